@@ -31,8 +31,8 @@ def issued(tables) -> DataFrame:
 
 
 def daily(spark, folder, named: bool = False) -> DataFrame:
-    return kpi.new_coupon_daily(
-        read_coupon_tables(spark, folder), P.POLICY_IDS, P.VALID, P.LEDGER, unit=P.DAY_UNIT, named=named)
+    build = kpi.new_coupon_daily_named if named else kpi.new_coupon_daily
+    return build(read_coupon_tables(spark, folder), P.POLICY_IDS, P.VALID, P.LEDGER, unit=P.DAY_UNIT)
 
 
 DAILY = [CP, ledger_daily(False)]
@@ -136,27 +136,29 @@ def snk_daily_records(spark, folder):
     return to_records(shaping.pivot_daily_policy(daily(spark, folder), P.POLICY_IDS))
 
 
+KINDS = "kinds AS (SELECT create_date, split_part(coupon_name, ' ', 2) AS kind, sum(cnt) AS cnt FROM daily GROUP BY ALL)"
 STACK = "SELECT create_date, " + ", ".join(
-    f"CAST(coalesce(sum(cnt) FILTER (coupon_name = '{n}'), 0) AS BIGINT) AS \"{n}\"" for n in P.POLICY_NAMES
-) + " FROM daily GROUP BY create_date"
+    f"CAST(coalesce(sum(cnt) FILTER (kind = '{k}'), 0) AS BIGINT) AS {k}" for k in P.COUPON_KINDS
+) + " FROM kinds GROUP BY create_date"
 
 
-@catalog.add("pivot_daily_stack", sql(NAMED, STACK))
-def pivot_daily_stack(spark, folder):
-    return shaping.pivot_daily_stack(daily(spark, folder, named=True), P.POLICY_NAMES)
+def stacked(spark, folder) -> DataFrame:
+    kinds = daily(spark, folder, named=True).withColumn("kind", F.substring_index("coupon_name", " ", -1))
+    return shaping.pivot_daily_stack(kinds, P.COUPON_KINDS, "kind")
 
 
-SERIES = (*P.POLICY_NAMES, "no such coupon")
+@catalog.add("pivot_daily_stack", sql([*NAMED, KINDS], STACK))
+def pivot_daily_stack(spark, folder):
+    return stacked(spark, folder)
 
 
-@catalog.add("drop_empty_series", sql(NAMED, """
-SELECT d.create_date, n.coupon_name AS series, CAST(coalesce(sum(x.cnt), 0) AS BIGINT) AS value
-FROM (SELECT DISTINCT create_date FROM daily) AS d CROSS JOIN (SELECT DISTINCT coupon_name FROM daily) AS n
-LEFT JOIN daily AS x ON x.create_date = d.create_date AND x.coupon_name = n.coupon_name
+@catalog.add("drop_empty_series", sql([*NAMED, KINDS], """
+SELECT d.create_date, n.kind AS series, CAST(coalesce(sum(x.cnt), 0) AS BIGINT) AS value
+FROM (SELECT DISTINCT create_date FROM kinds) AS d CROSS JOIN (SELECT DISTINCT kind FROM kinds) AS n
+LEFT JOIN kinds AS x ON x.create_date = d.create_date AND x.kind = n.kind
 GROUP BY ALL"""))
 def drop_empty_series(spark, folder):
-    wide = shaping.pivot_daily_stack(daily(spark, folder, named=True), SERIES)
-    return filters.drop_empty_series(shaping.stack_long(wide, SERIES), "series", "value")
+    return filters.drop_empty_series(shaping.stack_long(stacked(spark, folder), P.COUPON_KINDS), "series", "value")
 
 
 @catalog.add("revenue_per_booking", sql(NAMED, f"""

@@ -18,7 +18,7 @@ CLASS_UNIT, DAY_UNIT = 1e4, 1e3
 LABELS = {"ECONOMY": "Economy class", "PROMO": "Promotions", "SMALL": "Small", "LARGE": "Large"}
 
 POLICY_IDS = tuple(range(4, 12))
-POLICY_NAMES = ("small gizmo", "small bolt", "old bolt", "red bolt", "large plate", "blue gear", "large anvil", "small anvil")
+COUPON_KINDS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")  # last word of a coupon name
 ZONE = "Asia/Seoul"
 VALID = {
     "ways": ("1-URGENT", "2-HIGH", "3-MEDIUM"), "member_flags": (0, 9), "states": (1, 2, 3),

@@ -13,7 +13,7 @@ from couponlens.catalog.sqlkit import (
     DELTAS, PF, THIS_WEEK, TWO_WEEKS, dec, exact, filled, paired, pct, q, rollup, sql, sub, weekly, wow_select, wow_total,
 )
 from couponlens.functions.dates import day_range, iso_week, iso_week_range
-from couponlens.functions.numbers import difference, percent
+from couponlens.functions.numbers import difference, in_unit, percent
 from couponlens.functions.rules import (
     change_status, delta_direction, gpm_band_target, target_verdict,
 )
@@ -325,8 +325,6 @@ aligned AS (
 
 
 def offset_table(spark, folder) -> DataFrame:
-    from couponlens.functions.numbers import in_unit
-
     measures = {"cnt": F.countDistinct("reservation_id"), "rev": in_unit(F.sum("revenue"), P.DAY_UNIT, 1)}
     window = fact(spark, folder).filter(day_range(F.col("return_at"), date(1998, 5, 1), date(1998, 6, 7)))
     return periods.align_day_offset(window.withColumn("day", kpi.return_date()), "day", P.OFFSET_STARTS, 7, measures)
@@ -353,8 +351,7 @@ FROM (SELECT * FROM daily WHERE division = 'PROMO') AS a FULL JOIN (SELECT * FRO
 USING (return_date)"""))
 def sum_two_series(spark, folder):
     daily = kpi.division_daily(this_week(spark, folder), unit=P.DAY_UNIT)
-    return periods.sum_two_series(
-        daily.filter(F.col("division") == "PROMO"), daily.filter(F.col("division") == "ECONOMY"), "return_date", "rev")
+    return periods.sum_series(daily, "division", "PROMO", "ECONOMY", "return_date", "rev")
 
 
 INTENSITY = "rev / NULLIF(max(rev) OVER (PARTITION BY division), 0)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from couponlens.functions.dates import day_range, iso_year_range, local_midnight_utc, stamp
@@ -59,6 +59,9 @@ def filter_return_window(
 
 
 def drop_empty_series(long_df: DataFrame, series: str, value: str) -> DataFrame:
-    """Drops the series of a long table that have no positive value on any day."""
-    alive = long_df.groupBy(series).agg(F.max(value).alias("_top")).filter(F.col("_top") > 0).select(series)
-    return long_df.join(alive, series, "left_semi")
+    """Drops the series that have no positive value on any day.
+
+    For a table with one row per day and series; the window holds one series, whose length the calendar bounds.
+    """
+    top = F.max(value).over(Window.partitionBy(series))
+    return long_df.withColumn("_top", top).filter(F.col("_top") > 0).drop("_top")

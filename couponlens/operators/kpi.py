@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from couponlens.functions.dates import day_range, iso_week, local_date
@@ -19,7 +19,9 @@ from couponlens.functions.rules import ClassRule, classify
 from couponlens.operators.filters import (
     filter_campaign, filter_iso_year, filter_until_yesterday, filter_valid_reservation, last_n_days,
 )
-from couponlens.operators.lookups import coupon_summary, gross_ledger, single_policy, with_gross
+from couponlens.operators.lookups import (
+    coupon_summary, gross_ledger, single_policy, with_gross, with_policy_name,
+)
 
 ID, RETURN_AT = "reservation_id", "return_at"
 POLICY_ID, POLICY_NAME, DIVISION = "coupon_policy_id", "coupon_policy_name", "coupon_policy_division"
@@ -74,44 +76,46 @@ def weekly_class_kpi(
     )
 
 
-def _coupon_reservations(reservations, coupons, policies, valid: dict, ids: Sequence[int]) -> DataFrame:
+def _coupon_reservations(tables: dict[str, DataFrame], valid: dict, ids: Sequence[int]) -> DataFrame:
     """Valid reservations with a target policy, and the one policy of each.
 
     The target test and the policy lookup share one aggregation of the coupon table.
     """
-    kept = filter_valid_reservation(reservations, **valid).select("id", "created_at")
-    summary = coupon_summary(coupons, policies, ids).filter("is_target")
-    return (
-        kept.join(summary, "id")
-        .withColumn("pid", single_policy(F.col("pid"), F.col("n_coupons")))
-        .withColumn("create_date", local_date(F.col("created_at"), valid["tz"]))
-    )
+    kept = filter_valid_reservation(tables["reservation"], created="created_at", **valid).select("id", "created_at")
+    summary = coupon_summary(tables["coupon"], tables["policy"], ids).filter("is_target")
+    return kept.join(summary, "id").withColumns({
+        "pid": single_policy(F.col("pid"), F.col("n_coupons")),
+        "create_date": local_date(F.col("created_at"), valid["tz"]),
+    })
 
 
 def new_coupon_daily(
     tables: dict[str, DataFrame], ids: Sequence[int], valid: dict, ledger_types: dict, vat: float = 1.1,
-    unit: float = 1e6, named: bool = False,
+    unit: float = 1e6,
 ) -> DataFrame:
     """Local creation date by policy: reservations and net revenue in ``unit``.
 
     ``valid`` holds the arguments of ``filter_valid_reservation``, ``ledger_types`` those of ``gross_ledger``. The
     reservation, coupon and ledger sides are all partitioned by the reservation, so each is shuffled once.
     """
-    keyed = _coupon_reservations(
-        tables["reservation"], tables["coupon"], tables["policy"], {"created": "created_at", **valid}, ids
-    )
+    keyed = _coupon_reservations(tables, valid, ids)
     priced = with_gross(keyed, gross_ledger(tables["charge"], tables["payment"], **ledger_types))
-    keys = ["create_date", "pid", "coupon_name"] if named else ["create_date", "pid"]
     return (
-        priced.groupBy(*keys)
+        priced.groupBy("create_date", "pid")
         .agg(F.countDistinct("id").alias("cnt"), F.sum("gross").alias("gross"))
-        .select(*keys, "cnt", quotient("gross", vat * unit, 2).alias("net_rev_m"))
+        .select("create_date", "pid", "cnt", quotient("gross", vat * unit, 2).alias("net_rev_m"))
     )
 
 
-def new_coupon_daily_named(tables, ids, valid, ledger_types, vat: float = 1.1, unit: float = 1e6) -> DataFrame:
-    """``new_coupon_daily`` with the policy name as a further key."""
-    return new_coupon_daily(tables, ids, valid, ledger_types, vat, unit, named=True)
+def new_coupon_daily_named(
+    tables: dict[str, DataFrame], ids: Sequence[int], valid: dict, ledger_types: dict, vat: float = 1.1,
+    unit: float = 1e6,
+) -> DataFrame:
+    """``new_coupon_daily`` with the policy name, which is joined to the grouped rows."""
+    daily = new_coupon_daily(tables, ids, valid, ledger_types, vat, unit)
+    return with_policy_name(daily, tables["policy"], "pid").select(
+        "create_date", "pid", "coupon_name", "cnt", "net_rev_m"
+    )
 
 
 def ratio_gpm_cm(df: DataFrame, revenue: str = "rev", profit: str = "pft", cm: str = "cm", prefix: str = "") -> DataFrame:
@@ -268,7 +272,5 @@ def distinct_policies_matched(issued: DataFrame, pattern: str, state: int) -> Da
 def share_of_total(grouped: DataFrame, value: str, name: str = "share") -> DataFrame:
     """Percent of the column total per row. For category tables (buckets, weekdays, divisions): the total is a
     window over the grouped rows."""
-    from pyspark.sql import Window
-
     total = F.sum(value).over(Window.partitionBy())
     return grouped.withColumn(name, percent(value, total))

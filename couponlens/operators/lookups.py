@@ -32,16 +32,15 @@ def semi_target_policy(
 
 
 def coupon_summary(coupons: DataFrame, policies: DataFrame, ids: Sequence[int] = ()) -> DataFrame:
-    """One row per reservation: number of coupons, policy id and name, and whether a target policy is among them."""
-    return (
-        join_coupon_policy(coupons, policies)
-        .groupBy(F.col("reservation_id").alias("id"))
-        .agg(
-            F.count(F.lit(1)).alias("n_coupons"),
-            F.max("policy_id").alias("pid"),
-            F.max("coupon_name").alias("coupon_name"),
-            F.max(F.col("policy_id").isin(*ids) if ids else F.lit(False)).alias("is_target"),
-        )
+    """One row per reservation: number of coupons, policy id, and whether a target policy is among them.
+
+    Only numbers are aggregated, which keeps the aggregation hash based; names are joined to the result.
+    """
+    known = coupons.join(policies.select(F.col("id").alias("policy_id")), "policy_id")
+    return known.groupBy(F.col("reservation_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("n_coupons"),
+        F.max("policy_id").alias("pid"),
+        F.max(F.col("policy_id").isin(*ids) if ids else F.lit(False)).alias("is_target"),
     )
 
 
@@ -51,10 +50,17 @@ def single_policy(pid: Column, n_coupons: Column) -> Column:
     return F.when(n_coupons > 1, many).otherwise(F.coalesce(pid, F.lit(0)))
 
 
+def with_policy_name(df: DataFrame, policies: DataFrame, pid: str) -> DataFrame:
+    """Adds ``coupon_name`` by policy id, null where there is no such policy."""
+    names = policies.select(F.col("id").alias(pid), F.col("name").alias("coupon_name"))
+    return df.join(names, pid, "left")
+
+
 def lookup_policy_one(reservations: DataFrame, coupons: DataFrame, policies: DataFrame) -> DataFrame:
     """Adds ``pid`` (0 if none) and ``coupon_name`` (null if none); fails when a reservation has several coupons."""
     found = reservations.join(coupon_summary(coupons, policies), "id", "left")
-    return found.withColumn("pid", single_policy(F.col("pid"), F.col("n_coupons"))).drop("n_coupons", "is_target")
+    named = with_policy_name(found, policies, "pid")
+    return named.withColumn("pid", single_policy(F.col("pid"), F.col("n_coupons"))).drop("n_coupons", "is_target")
 
 
 def lookup_amount_sum(

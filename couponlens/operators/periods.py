@@ -142,13 +142,23 @@ def align_weeks_outer(weekly: DataFrame, class_col: str = "ctype", left: str = "
     return wide.withColumn("label", week_label(F.col("week"), F.col("week_start")))
 
 
+def sum_series(long: DataFrame, series: str, left: str, right: str, date_col: str, value: str) -> DataFrame:
+    """Two series of a long daily table and their sum by date; a date that one of them lacks counts as 0 there."""
+
+    def of(name: str) -> Column:
+        return zero_if_null(F.sum(F.when(F.col(series) == name, F.col(value))))
+
+    both = long.filter(F.col(series).isin(left, right))
+    merged = both.groupBy(date_col).agg(of(left).alias("a"), of(right).alias("b"))
+    return merged.withColumn("total", half_up(F.col("a") + F.col("b"), 1))
+
+
 def sum_two_series(a: DataFrame, b: DataFrame, date_col: str, value: str) -> DataFrame:
-    """Sum of two daily series by date; a date that one of them lacks counts as 0 there."""
-    sides = a.select(date_col, F.col(value).alias("a"), F.lit(None).cast("double").alias("b")).unionByName(
-        b.select(date_col, F.lit(None).cast("double").alias("a"), F.col(value).alias("b"))
+    """``sum_series`` for two separate daily tables."""
+    tagged = a.select(date_col, value, F.lit("a").alias("_series")).unionByName(
+        b.select(date_col, value, F.lit("b").alias("_series"))
     )
-    merged = sides.groupBy(date_col).agg(zero_if_null(F.sum("a")).alias("a"), zero_if_null(F.sum("b")).alias("b"))
-    return merged.withColumn("total", half_up(F.col("a") + F.col("b"), 1))
+    return sum_series(tagged, "_series", "a", "b", date_col, value)
 
 
 def dim_label(df: DataFrame, code: str, labels: DataFrame, name: str = "label") -> DataFrame:
@@ -157,9 +167,20 @@ def dim_label(df: DataFrame, code: str, labels: DataFrame, name: str = "label")
     return df.join(names, code, "left").withColumn(name, F.coalesce(F.col(name), F.col(code)))
 
 
+def _small_table(df: DataFrame, rows: Sequence[tuple], names: tuple[str, str]) -> DataFrame:
+    """Literal rows as a table of known size next to ``df``, so that joins with it are planned without a shuffle."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return df.sparkSession.range(1).select(F.inline(F.array(*structs)))
+
+
 def label_table(df: DataFrame, labels: dict[str, str]) -> DataFrame:
-    """A label dictionary as a table next to ``df``."""
-    return df.sparkSession.createDataFrame(list(labels.items()), "code string, label string")
+    """A label dictionary as a table."""
+    return _small_table(df, list(labels.items()), ("code", "label"))
+
+
+def holiday_table(df: DataFrame, holidays: dict[date, str]) -> DataFrame:
+    """A holiday calendar as a table."""
+    return _small_table(df, list(holidays.items()), ("day", "holiday"))
 
 
 def tag_calendar(df: DataFrame, day: str, holidays: DataFrame, prefix: str = "") -> DataFrame:
@@ -176,10 +197,6 @@ def tag_calendar(df: DataFrame, day: str, holidays: DataFrame, prefix: str = "")
     })
 
 
-def holiday_table(df: DataFrame, holidays: dict[date, str]) -> DataFrame:
-    return df.sparkSession.createDataFrame(list(holidays.items()), "day date, holiday string")
-
-
 def _in_window(day: Column, start: date, days: int) -> Column:
     return day.between(F.lit(start), F.lit(start + timedelta(days=days - 1)))
 
@@ -197,14 +214,14 @@ def align_day_offset(
     inside = reduce(or_, [_in_window(F.col(day), s, days) for s in starts.values()])
     per_day = df.filter(inside).groupBy(F.col(day).alias("_day")).agg(*[a.alias(m) for m, a in measures.items()])
     start_of = F.coalesce(*[F.when(_in_window(F.col("_day"), s, days), F.lit(s)) for s in starts.values()])
-    wide = (
-        per_day.withColumns({"_start": start_of, "offset": F.datediff("_day", start_of)})
-        .groupBy("offset")
-        .agg(*[F.max(F.when(F.col("_start") == F.lit(s), F.col(m))).alias(f"{p}_{m}")
-               for p, s in starts.items() for m in measures])
-    )
+    placed = per_day.withColumns({"_start": start_of, "offset": F.datediff("_day", start_of)})
+    # Empty rows for every offset go into the same aggregation, so that no offset is missing.
     grid = df.sparkSession.range(days).select(F.col("id").cast("int").alias("offset"))
-    return grid.join(wide, "offset", "left").select(
+    wide = placed.unionByName(grid, allowMissingColumns=True).groupBy("offset").agg(
+        *[F.max(F.when(F.col("_start") == F.lit(s), F.col(m))).alias(f"{p}_{m}")
+          for p, s in starts.items() for m in measures]
+    )
+    return wide.select(
         "offset",
         *[c for p, s in starts.items() for c in (
             F.date_add(F.lit(s), F.col("offset")).alias(f"{p}_date"),
