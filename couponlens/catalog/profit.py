@@ -12,7 +12,7 @@ from couponlens.catalog import params as P
 from couponlens.catalog.sqlkit import (
     DELTAS, PF, THIS_WEEK, TWO_WEEKS, dec, exact, filled, paired, pct, q, rollup, sql, sub, weekly, wow_select, wow_total,
 )
-from couponlens.functions.dates import day_range, iso_week, iso_week_range
+from couponlens.functions.dates import iso_week
 from couponlens.functions.numbers import difference, in_unit, percent
 from couponlens.functions.rules import (
     change_status, delta_direction, gpm_band_target, target_verdict,
@@ -28,17 +28,12 @@ def fact(spark: SparkSession, folder: str) -> DataFrame:
     return read_profit_fact(spark, folder)
 
 
-def in_week(df: DataFrame, first: int, last: int) -> DataFrame:
-    start, end = iso_week_range(P.YEAR, first)[0], iso_week_range(P.YEAR, last)[1]
-    return df.filter(day_range(F.col("return_at"), start, end))
-
-
 def two_weeks(spark, folder) -> DataFrame:
-    return in_week(fact(spark, folder), P.PREV_WEEK, P.CUR_WEEK)
+    return filters.filter_iso_weeks(fact(spark, folder), "return_at", P.YEAR, P.PREV_WEEK, P.CUR_WEEK)
 
 
 def this_week(spark, folder) -> DataFrame:
-    return in_week(fact(spark, folder), P.CUR_WEEK, P.CUR_WEEK)
+    return filters.filter_iso_weeks(fact(spark, folder), "return_at", P.YEAR, P.CUR_WEEK, P.CUR_WEEK)
 
 
 def class_weekly(spark, folder, as_of: date = P.AS_OF) -> DataFrame:
@@ -302,7 +297,7 @@ def top_revenue_shift(spark, folder):
 
 @catalog.add("change_status", sql(POLICY_PAIR, f"SELECT policy_id, prev_cnt, cur_cnt, {STATUS} AS status FROM f"))
 def change_status_query(spark, folder):
-    rows = periods._zero_filled(paired_policies(spark, folder), ("cnt",))
+    rows = periods.zero_filled(paired_policies(spark, folder), ("cnt",))
     return rows.select("policy_id", "prev_cnt", "cur_cnt", change_status(F.col("prev_cnt"), F.col("cur_cnt")).alias("status"))
 
 
@@ -326,7 +321,7 @@ aligned AS (
 
 def offset_table(spark, folder) -> DataFrame:
     measures = {"cnt": F.countDistinct("reservation_id"), "rev": in_unit(F.sum("revenue"), P.DAY_UNIT, 1)}
-    window = fact(spark, folder).filter(day_range(F.col("return_at"), date(1998, 5, 1), date(1998, 6, 7)))
+    window = filters.filter_days(fact(spark, folder), "return_at", date(1998, 5, 1), date(1998, 6, 7))
     return periods.align_day_offset(window.withColumn("day", kpi.return_date()), "day", P.OFFSET_STARTS, 7, measures)
 
 
@@ -412,7 +407,7 @@ SELECT policy_id, d_rev, d_rev_pct, CASE WHEN d_rev > 0 THEN 'up' WHEN d_rev < 0
   CASE WHEN d_rev_pct IS NULL THEN '-' WHEN d_rev_pct > 0 THEN 'up' WHEN d_rev_pct < 0 THEN 'down' ELSE 'flat' END AS pct_direction
 FROM (SELECT policy_id, {DELTAS} FROM f)"""))
 def delta_direction_query(spark, folder):
-    rows = periods._zero_filled(paired_policies(spark, folder), ("rev",)).select(
+    rows = periods.zero_filled(paired_policies(spark, folder), ("rev",)).select(
         "policy_id", difference("cur_rev", "prev_rev").alias("d_rev"),
         percent(F.col("cur_rev") - F.col("prev_rev"), "prev_rev").alias("d_rev_pct"))
     return rows.withColumns({"direction": delta_direction(F.col("d_rev")), "pct_direction": delta_direction(F.col("d_rev_pct"))})

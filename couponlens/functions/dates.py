@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 MICROS_PER_HOUR = 3_600_000_000
 
+# Partition column of stored fact tables, as yyyy-MM.
+MONTH_COLUMN = "return_month"
+
 
 def stamp(day: date | datetime) -> Column:
     """Literal of the zone-less timestamp type that the fact columns use."""
@@ -22,6 +25,10 @@ def day_range(ts: Column, first: date, last: date) -> Column:
     return (ts >= stamp(first)) & (ts < stamp(last + timedelta(days=1)))
 
 
+def month_text(day: date) -> str:
+    return f"{day:%Y-%m}"
+
+
 def local_date(ts: Column, tz: str) -> Column:
     """Calendar day in ``tz`` of a zone-less UTC timestamp."""
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), ts))
@@ -52,7 +59,9 @@ def iso_week_range(year: int, week: int) -> tuple[date, date]:
 
 
 def micros_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end)
+    """Microseconds between two zone-less timestamps, whatever the session's zone."""
+    seconds = (end - start).cast("interval second").cast("decimal(20,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def week_label(week: Column, start: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Row filters. Date conditions are ranges on the stored timestamp, so Parquet can skip row groups and partitions."""
+"""Row filters. Date conditions are ranges on the stored timestamp, so that Parquet can skip row groups."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.functions.dates import day_range, iso_year_range, local_midnight_utc, stamp
+from couponlens.functions.dates import (
+    MONTH_COLUMN, day_range, iso_week_range, iso_year_range, local_midnight_utc, month_text, stamp,
+)
 from couponlens.functions.rules import contains_any
 
 
@@ -21,19 +23,35 @@ def filter_campaign(
     )
 
 
+def filter_days(df: DataFrame, ts: str, first: date | None, last: date) -> DataFrame:
+    """Rows with ``first <= date(ts) <= last``; on a stored fact also as a filter on its month partitions."""
+    low = F.lit(True) if first is None else F.col(ts) >= stamp(first)
+    kept = low & (F.col(ts) < stamp(last + timedelta(days=1)))
+    if MONTH_COLUMN in df.columns:
+        month = F.col(MONTH_COLUMN)
+        kept &= month <= month_text(last)
+        kept &= F.lit(True) if first is None else month >= month_text(first)
+    return df.filter(kept)
+
+
 def filter_iso_year(df: DataFrame, ts: str, year: int) -> DataFrame:
     """ISO-year equality as the date range it stands for; year edges belong to the week's year."""
-    return df.filter(day_range(F.col(ts), *iso_year_range(year)))
+    return filter_days(df, ts, *iso_year_range(year))
+
+
+def filter_iso_weeks(df: DataFrame, ts: str, year: int, first: int, last: int) -> DataFrame:
+    """ISO weeks ``first`` to ``last`` of a year."""
+    return filter_days(df, ts, iso_week_range(year, first)[0], iso_week_range(year, last)[1])
 
 
 def filter_until_yesterday(df: DataFrame, ts: str, as_of: date) -> DataFrame:
     """Complete days only: everything before ``as_of``."""
-    return df.filter(F.col(ts) < stamp(as_of))
+    return filter_days(df, ts, None, as_of - timedelta(days=1))
 
 
 def last_n_days(df: DataFrame, ts: str, as_of: date, n: int = 7) -> DataFrame:
     """The ``n`` complete days that end the day before ``as_of``."""
-    return df.filter(day_range(F.col(ts), as_of - timedelta(days=n), as_of - timedelta(days=1)))
+    return filter_days(df, ts, as_of - timedelta(days=n), as_of - timedelta(days=1))
 
 
 def filter_valid_reservation(

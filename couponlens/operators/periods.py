@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, timedelta
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,7 +44,8 @@ def pair_periods(cur: DataFrame, prev: DataFrame, key: Sequence[str], measures:
     return pair_long(tagged, "_side", 1, 0, key, measures)
 
 
-def _zero_filled(paired: DataFrame, measures: Sequence[str]) -> DataFrame:
+def zero_filled(paired: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """The paired table with 0 for the measures of an absent side."""
     return paired.withColumns({f"{s}_{m}": zero_if_null(f"{s}_{m}") for s in ("cur", "prev") for m in measures})
 
 
@@ -59,7 +58,7 @@ def wow_rows(paired: DataFrame, key: Sequence[str], include_ended: bool = False)
     """Current-period keys with both periods, deltas, margins and margin change. Keys that ended are left out unless
     asked for; they still count in ``wow_total_row``."""
     kept = paired if include_ended else paired.filter("in_cur")
-    rows = _zero_filled(kept, MEASURES)
+    rows = zero_filled(kept, MEASURES)
     return rows.select(
         *key, "prev_rev", "cur_rev", difference("cur_rev", "prev_rev").alias("d_rev"),
         percent(F.col("cur_rev") - F.col("prev_rev"), "prev_rev").alias("d_rev_pct"),
@@ -78,7 +77,7 @@ def wow_join(cur: DataFrame, prev: DataFrame, key: Sequence[str], include_ended:
 def wow_total_row(paired: DataFrame) -> DataFrame:
     """Totals of both periods over all keys of either, deltas, weighted margins and their difference."""
     sides = [f"{s}_{m}" for s in ("prev", "cur") for m in MEASURES]
-    filled = _zero_filled(paired, MEASURES)
+    filled = zero_filled(paired, MEASURES)
     total = filled.agg(*[exact_sum(filled, c).alias(c) for c in sides])
     raw = {s: F.try_divide(F.col(f"{s}_profit").cast("double") * 100, F.col(f"{s}_rev").cast("double"))
            for s in ("prev", "cur")}
@@ -108,7 +107,7 @@ def policies_ended(paired: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def top_revenue_shift(paired: DataFrame, key: str, k: int = 10) -> DataFrame:
     """The ``k`` keys with the largest absolute revenue change, ranked, with both counts and the kind of change."""
-    rows = _zero_filled(paired, ("rev", "cnt"))
+    rows = zero_filled(paired, ("rev", "cnt"))
     moved = rows.select(
         key, difference("cur_rev", "prev_rev").alias("d_rev"), "prev_cnt", "cur_cnt",
         (F.col("cur_cnt") - F.col("prev_cnt")).alias("d_cnt"),
@@ -211,8 +210,8 @@ def align_day_offset(
     ordered = sorted(starts.values())
     if any((b - a).days < days for a, b in zip(ordered, ordered[1:])):
         raise ValueError("the periods overlap")
-    inside = reduce(or_, [_in_window(F.col(day), s, days) for s in starts.values()])
-    per_day = df.filter(inside).groupBy(F.col(day).alias("_day")).agg(*[a.alias(m) for m, a in measures.items()])
+    wanted = [s + timedelta(days=i) for s in starts.values() for i in range(days)]
+    per_day = df.filter(F.col(day).isin(*wanted)).groupBy(F.col(day).alias("_day")).agg(*[a.alias(m) for m, a in measures.items()])
     start_of = F.coalesce(*[F.when(_in_window(F.col("_day"), s, days), F.lit(s)) for s in starts.values()])
     placed = per_day.withColumns({"_start": start_of, "offset": F.datediff("_day", start_of)})
     # Empty rows for every offset go into the same aggregation, so that no offset is missing.

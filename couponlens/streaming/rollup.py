@@ -4,8 +4,8 @@ Bookings are de-duplicated by id inside the watermark, rows later than the water
 once, when the watermark has passed its end. On the emitted days the result equals ``batch_daily_rollup``.
 
 State: the de-duplication keeps ids for the length of the watermark only; the aggregation keeps one row per open day
-and group, spread by a map-side combine before its shuffle. Batches are bounded by files per trigger, and the state
-lives in RocksDB, so neither grows with the history.
+and group, behind a map-side combine. The state lives in RocksDB, so it may exceed the memory of its executor, and it
+does not grow with the history.
 """
 
 from __future__ import annotations
@@ -17,16 +17,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from couponlens.functions.dates import micros_between, stamp
 from couponlens.functions.numbers import half_up
 from couponlens.session import shared_folder
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_EPOCH = datetime(1970, 1, 1).isoformat(sep=" ")
+_EPOCH = datetime(1970, 1, 1)
 
 
 def utc_instant(ts: Column) -> Column:
     """Zone-less UTC time as an instant, whatever the session's zone; watermarks need an instant."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ts))
+    return F.timestamp_micros(micros_between(stamp(_EPOCH), ts))
 
 
 def _utc_date(instant: Column) -> Column:
@@ -54,12 +55,13 @@ def batch_daily_rollup(df: DataFrame, ts: str, id: str, group: str) -> DataFrame
 
 def run_rollup(
     spark: SparkSession, source: str, schema: T.StructType, prepare, ts: str, id: str, group: str, delay: str,
-    out: str | None = None, checkpoint: str | None = None, files_per_trigger: int = 1000,
+    out: str | None = None, checkpoint: str | None = None, files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Processes all files that have arrived since the last run, then returns the rollup table.
 
     ``prepare`` turns source rows into bookings. Output and checkpoint default to a new place in the shared folder;
-    give both to continue an earlier run.
+    give both to continue an earlier run. ``files_per_trigger`` cuts a large backlog into batches; use it when files
+    arrive in the order of their days, since a batch moves the watermark past rows that come in a later one.
     """
     if (out is None) != (checkpoint is None):
         raise ValueError("give both the output and the checkpoint folder, or neither")
@@ -69,10 +71,10 @@ def run_rollup(
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
-    arrived = (
-        session.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
-    )
-    rollup = incremental_daily_rollup(prepare(arrived), ts, id, group, delay)
+    reader = session.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    rollup = incremental_daily_rollup(prepare(reader.parquet(source)), ts, id, group, delay)
     query = (
         rollup.writeStream.format("parquet").outputMode("append").option("path", out)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -139,3 +139,32 @@ def test_sql_over_the_views_gives_the_same_rows(spark):
     assert as_set(spark.sql(WEEKLY_SQL)) == as_set(weekly)
     daily = kpi.new_coupon_daily(read_coupon_tables(spark, data), P.POLICY_IDS, P.VALID, P.LEDGER, unit=P.DAY_UNIT)
     assert as_set(spark.sql(CREATION_SQL)) == as_set(daily)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Seoul"])
+def test_results_do_not_depend_on_the_session_zone(spark, data, zone):
+    import oracle
+
+    import __spark_entry__ as entry
+
+    con, sql = oracle.connect(data), entry.oracle_sql()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for key in ("weekly_class_kpi", "new_coupon_daily", "inflow_compare", "bucket_leadtime", "by_hour", "monthly_trend",
+                    "report_first_week", "incremental_daily_rollup"):
+            assert oracle.difference(entry.queries()[key](spark, data), con, sql[key]) is None, key
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_spans_across_a_clock_change(spark):
+    from couponlens.functions.dates import micros_between
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        span = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-10 00:00:00' AS a, TIMESTAMP_NTZ '2024-03-11 00:00:00.000001' AS b")
+        assert span.select(micros_between(F.col("a"), F.col("b"))).first()[0] == 86_400_000_001
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

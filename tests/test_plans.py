@@ -108,3 +108,22 @@ def test_hot_user(spark, data):
     got = mix.repeat_transition(bookings, "user_id", "created_at", "booking_id", "division").agg(F.sum("users")).first()[0]
     users = bookings.groupBy("user_id").count().filter("count > 1").count()
     assert got == users
+
+
+def test_stored_fact_prunes_months_and_needs_no_join(spark, data, tmp_path):
+    from couponlens.catalog import params as P
+    from couponlens.operators import kpi
+    from couponlens.sources.store import read_fact, write_fact
+    from couponlens.sources.tables import read_profit_fact
+
+    fact, path = read_profit_fact(spark, data), f"{tmp_path}/fact"
+    write_fact(fact, path)
+    stored = read_fact(spark, path, fact)
+    assert stored.count() == fact.count()
+    weekly = kpi.weekly_class_kpi(stored, P.RULES, P.YEAR, P.AS_OF, P.CLASS_UNIT)
+    direct = kpi.weekly_class_kpi(fact, P.RULES, P.YEAR, P.AS_OF, P.CLASS_UNIT)
+    assert {tuple(r) for r in weekly.collect()} == {tuple(r) for r in direct.collect()}
+    text = plan(weekly)
+    assert "Join" not in text and "PartitionFilters: [isnotnull(return_month" in text
+    files = weekly._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "(return_month#" in files and ">= 1997-12)" in files and "<= 1998-11)" in files
