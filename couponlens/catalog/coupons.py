@@ -259,7 +259,7 @@ def src_report_tsv(spark, folder):
 
 @catalog.add("parse_report_number", sql([PF, weekly()], f"""
 SELECT ctype, week, CAST(cnt AS DOUBLE) AS bookings, {pct('pft', 'rev')} AS gpm, least(rev, pft) AS low, greatest(rev, pft) AS high,
-  CAST(NULL AS DOUBLE) AS missing, {dec('rev', 1)} AS per_day FROM weekly"""))
+  CASE WHEN week % 5 <> 0 THEN CAST(cnt AS DOUBLE) END AS gaps, {dec('rev', 1)} AS per_day FROM weekly"""))
 def parse_report_number(spark, folder):
     table = class_weekly(spark, folder)
     gpm, ends = percent("pft", "rev"), [F.format_number(f("rev", "pft"), 2) for f in (F.least, F.greatest)]
@@ -268,13 +268,13 @@ def parse_report_number(spark, folder):
         F.concat(F.format_number("cnt", 0), F.lit("명")).alias("bookings"),
         F.coalesce(F.concat(F.when(gpm > 0, "+").otherwise(""), F.format_number(gpm, 1), F.lit("%")), F.lit("-")).alias("gpm"),
         F.concat(ends[0], F.lit("~"), ends[1], F.lit("%")).alias("span"),
-        F.lit("-").alias("missing"),
+        F.when(F.col("week") % 5 == 0, "-").otherwise(F.col("cnt").cast("string")).alias("gaps"),
         F.concat(F.format_number(F.round(F.col("rev").cast("decimal(28,6)"), 1), 1), F.lit("명/일")).alias("per_day"),
     )
     span = parse_range(F.col("span"))
     return text.select(
         "ctype", "week", parse_number(F.col("bookings")).alias("bookings"), parse_number(F.col("gpm")).alias("gpm"),
-        span["low"].alias("low"), span["high"].alias("high"), parse_number(F.col("missing")).alias("missing"),
+        span["low"].alias("low"), span["high"].alias("high"), parse_number(F.col("gaps")).alias("gaps"),
         parse_number(F.col("per_day")).alias("per_day"))
 
 
