@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from couponlens.functions.dates import MONTH_COLUMN
+from couponlens.sources.tables import PROFIT_FACT
 
 
 def write_fact(fact: DataFrame, path: str, ts: str = "return_at") -> None:
@@ -19,7 +21,7 @@ def write_fact(fact: DataFrame, path: str, ts: str = "return_at") -> None:
     keyed.hint("rebalance", MONTH_COLUMN).write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path)
 
 
-def read_fact(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
-    """The stored fact; ``like`` gives the schema of the rows where it is known, so that no file is opened for it."""
-    reader = spark.read if like is None else spark.read.schema(like.schema.add(MONTH_COLUMN, "string"))
-    return reader.parquet(path)
+def read_fact(spark: SparkSession, path: str, schema: T.StructType = PROFIT_FACT) -> DataFrame:
+    """The stored fact; ``schema`` is that of its rows without the month."""
+    stored = T.StructType([*schema.fields, T.StructField(MONTH_COLUMN, T.StringType())])
+    return spark.read.schema(stored).parquet(path)

@@ -33,6 +33,21 @@ SCHEMAS = {
     "events": _schema(event_id=_L, ts=_N, user_id=_L, event_type=_S, value=_D, props=_S),
 }
 
+_MONEY = T.DecimalType(18, 4)
+
+# Schemas of the canonical inputs, for tables that already have this shape.
+PROFIT_FACT = _schema(
+    reservation_id=_L, return_at=_N, coupon_policy_id=_L, coupon_policy_name=_S, coupon_policy_division=_S,
+    revenue=_MONEY, contribution_margin=_MONEY, profit=_MONEY,
+)
+COUPON_TABLES = {
+    "reservation": _schema(id=_L, created_at=_N, way=_S, member_imaginary=_I, state=_I),
+    "coupon": _schema(reservation_id=_L, policy_id=_L, state=_I),
+    "policy": _schema(id=_L, name=_S),
+    "charge": _schema(reservation_id=_L, amount=_MONEY, charge_type=_S),
+    "payment": _schema(reservation_id=_L, amount=_MONEY, paid_type=_S),
+}
+
 
 def table_path(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}.parquet"
