@@ -15,6 +15,7 @@ from couponlens.functions.numbers import percent
 from couponlens.functions.rules import volume_tier
 from couponlens.operators import filters, kpi, lookups, mix, shaping
 from couponlens.plans import reports
+from couponlens.session import stage
 from couponlens.sinks.report_files import manifest, to_records
 from couponlens.sources.sectioned_text import render_sections, split_sectioned_text
 from couponlens.sources.tables import read_coupon_tables, read_table
@@ -32,7 +33,7 @@ def issued(tables) -> DataFrame:
 
 def daily(spark, folder, named: bool = False) -> DataFrame:
     build = kpi.new_coupon_daily_named if named else kpi.new_coupon_daily
-    return build(read_coupon_tables(spark, folder), P.POLICY_IDS, P.VALID, P.LEDGER, unit=P.DAY_UNIT)
+    return build(read_coupon_tables(spark, folder), P.POLICY_IDS, P.VALID, P.LEDGER, unit=P.DAY_UNIT, stage=stage)
 
 
 DAILY = [CP, ledger_daily(False)]

@@ -7,7 +7,7 @@ a class or policy with a third of all rows is still counted by many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +20,7 @@ from couponlens.operators.filters import (
     filter_campaign, filter_iso_year, filter_until_yesterday, filter_valid_reservation, last_n_days,
 )
 from couponlens.operators.lookups import (
-    coupon_summary, gross_ledger, single_policy, with_gross, with_policy_name,
+    coupon_summary, gross_ledger, of_few, single_policy, with_gross, with_policy_name,
 )
 
 ID, RETURN_AT = "reservation_id", "return_at"
@@ -91,15 +91,21 @@ def _coupon_reservations(tables: dict[str, DataFrame], valid: dict, ids: Sequenc
 
 def new_coupon_daily(
     tables: dict[str, DataFrame], ids: Sequence[int], valid: dict, ledger_types: dict, vat: float = 1.1,
-    unit: float = 1e6,
+    unit: float = 1e6, stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Local creation date by policy: reservations and net revenue in ``unit``.
 
     ``valid`` holds the arguments of ``filter_valid_reservation``, ``ledger_types`` those of ``gross_ledger``. The
-    reservation, coupon and ledger sides are all partitioned by the reservation, so each is shuffled once.
+    reservation, coupon and ledger sides are all partitioned by the reservation, so each is shuffled once. With
+    ``stage`` (see ``session.stage``) the campaign's reservations are stored first; if they are few, the charge and
+    payment rows of all others are dropped before the shuffle.
     """
-    keyed = _coupon_reservations(tables, valid, ids)
-    priced = with_gross(keyed, gross_ledger(tables["charge"], tables["payment"], **ledger_types))
+    keyed = _coupon_reservations(tables, valid, ids).select("id", "pid", "create_date")
+    charges, payments = tables["charge"], tables["payment"]
+    if stage is not None:
+        keyed = stage(keyed)
+        charges, payments = (of_few(t, "reservation_id", keyed, "id") for t in (charges, payments))
+    priced = with_gross(keyed, gross_ledger(charges, payments, **ledger_types))
     return (
         priced.groupBy("create_date", "pid")
         .agg(F.countDistinct("id").alias("cnt"), F.sum("gross").alias("gross"))
@@ -109,10 +115,10 @@ def new_coupon_daily(
 
 def new_coupon_daily_named(
     tables: dict[str, DataFrame], ids: Sequence[int], valid: dict, ledger_types: dict, vat: float = 1.1,
-    unit: float = 1e6,
+    unit: float = 1e6, stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``new_coupon_daily`` with the policy name, which is joined to the grouped rows."""
-    daily = new_coupon_daily(tables, ids, valid, ledger_types, vat, unit)
+    daily = new_coupon_daily(tables, ids, valid, ledger_types, vat, unit, stage)
     return with_policy_name(daily, tables["policy"], "pid").select(
         "create_date", "pid", "coupon_name", "cnt", "net_rev_m"
     )

@@ -1,6 +1,6 @@
 """The batch refresh: both campaign tables, the report files, and publication when something changed.
 
-    spark-submit couponlens/plans/refresh.py --data <folder> --out <folder> --as-of 1998-12-01
+    python -m couponlens.plans.refresh --data <folder> --out <folder> --as-of 1998-12-01
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from couponlens.operators.kpi import new_coupon_daily_named, weekly_class_kpi
 from couponlens.operators.periods import align_weeks_outer
 from couponlens.operators.shaping import pivot_daily_policy
 from couponlens.plans import presets
+from couponlens.session import stage
 from couponlens.sinks.report_files import manifest, snapshot_diff, to_records, to_series, write_records
 
 _PUBLISHED = "status string, updated string, weeks bigint, nc_days bigint, run string, published_at string"
@@ -72,8 +73,8 @@ def run_refresh(
     s, now = settings, now or datetime.now()
     run = f"{out.rstrip('/')}/runs/{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     weekly_class_kpi(fact, s.rules, s.year, as_of, s.weekly_unit).orderBy("ctype", "week").write.parquet(f"{run}/weekly")
-    new_coupon_daily_named(tables, s.policy_ids, s.valid, s.ledger_types, s.vat, s.daily_unit).orderBy(
-        "pid", "create_date").write.parquet(f"{run}/daily")
+    creation = new_coupon_daily_named(tables, s.policy_ids, s.valid, s.ledger_types, s.vat, s.daily_unit, stage)
+    creation.orderBy("pid", "create_date").write.parquet(f"{run}/daily")
     weekly, daily = spark.read.parquet(f"{run}/weekly"), spark.read.parquet(f"{run}/daily")
 
     done = manifest(weekly, daily, as_of)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only settings whose defaults do not already suit these jobs.
 SETTINGS = {
@@ -44,3 +45,11 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="couponlens-")
     os.chmod(folder, 0o755)
     return folder
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Writes an intermediate result to the shared folder and reads it back: its size is then known and nothing before
+    it runs again, also when an executor is lost."""
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -94,6 +94,18 @@ def test_creation_table_by_hand(tables, rows):
         ("2026-03-26", 10, "ten", 1, 750.0), ("2026-03-27", 11, "eleven", 1, -10.0)]
 
 
+@pytest.mark.parametrize("limit", [0, 10])
+def test_staged_creation_table_is_the_same(tables, rows, monkeypatch, limit):
+    """With few ids the other child rows are dropped early, with many they are not; the result is one."""
+    from couponlens.session import stage
+
+    small = lambda child, key, stored, id: lookups.of_few(child, key, stored, id, limit)
+    monkeypatch.setattr(kpi, "of_few", small)
+    lazy, staged = (kpi.new_coupon_daily(tables, [10, 11], VALID, LEDGER, unit=1.0, stage=s) for s in (None, stage))
+    assert sorted(map(str, rows(staged))) == sorted(map(str, rows(lazy)))
+    assert ("BroadcastHashJoin" in staged._jdf.queryExecution().executedPlan().toString()) or limit == 0
+
+
 def test_net_revenue_is_zero_without_rows(tables, rows):
     got = {r["id"]: r["net_revenue"] for r in rows(lookups.net_revenue(
         tables["reservation"], tables["charge"], tables["payment"], **LEDGER))}
