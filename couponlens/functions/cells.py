@@ -37,12 +37,12 @@ def policy_name_attributes(name: Column) -> dict[str, Column]:
     Names carry the Korean units for days, nights and won (or a price in thousands such as ``109K``), a percent sign,
     and the words for weekday or weekend.
     """
-    won = _captured(name, r"(\d[\d,]*)원").cast("bigint")
-    thousands = _captured(name, r"(\d+)K").cast("bigint") * 1000
+    won = _captured(name, r"(\d[\d,]*)원").try_cast("bigint")
+    thousands = _captured(name, r"(\d+)K").try_cast("bigint") * 1000
     return {
-        "days": _captured(name, r"(\d+)일").cast("int"),
-        "nights": _captured(name, r"(\d+)박").cast("int"),
+        "days": _captured(name, r"(\d+)일").try_cast("int"),
+        "nights": _captured(name, r"(\d+)박").try_cast("int"),
         "price": F.coalesce(won, thousands),
-        "discount_pct": _captured(name, r"(\d+)%").cast("int"),
+        "discount_pct": _captured(name, r"(\d+)%").try_cast("int"),
         "day_type": F.when(name.rlike("주중|평일"), "weekday").when(name.contains("주말"), "weekend"),
     }
