@@ -16,7 +16,7 @@ from couponlens.functions.rules import volume_tier
 from couponlens.operators import filters, kpi, lookups, mix, shaping
 from couponlens.plans import reports
 from couponlens.session import stage
-from couponlens.sinks.report_files import manifest, to_records
+from couponlens.sinks.report_files import manifest, to_records, with_json
 from couponlens.sources.sectioned_text import render_sections, split_sectioned_text
 from couponlens.sources.tables import read_coupon_tables, read_table
 
@@ -226,11 +226,12 @@ def report_creation_detail(spark, folder):
     return reports.report_creation_detail(daily(spark, folder, named=True), P.DAY_UNIT)
 
 
-@catalog.add("snk_refresh_manifest", sql([PF, weekly(), *DAILY], """
-SELECT 'ok' AS status, '1998.12.01' AS updated, (SELECT count(DISTINCT week) FROM weekly WHERE ctype IN ('eb', 'sd')) AS weeks,
-  (SELECT count(DISTINCT create_date) FROM daily) AS nc_days"""))
+@catalog.add("snk_refresh_manifest", sql([PF, weekly(), *DAILY, """
+m AS (SELECT 'ok' AS status, '1998.12.01' AS updated, (SELECT count(DISTINCT week) FROM weekly WHERE ctype IN ('eb', 'sd')) AS weeks,
+  (SELECT count(DISTINCT create_date) FROM daily) AS nc_days)"""], """
+SELECT *, '{"status":"' || status || '","updated":"' || updated || '","weeks":' || weeks || ',"nc_days":' || nc_days || '}' AS json FROM m"""))
 def snk_refresh_manifest(spark, folder):
-    return manifest(class_weekly(spark, folder), daily(spark, folder), P.AS_OF)
+    return with_json(manifest(class_weekly(spark, folder), daily(spark, folder), P.AS_OF))
 
 
 REPORT_TITLE = "Weekly review"

@@ -20,7 +20,7 @@ from couponlens.operators.filters import (
     filter_campaign, filter_iso_year, filter_until_yesterday, filter_valid_reservation, last_n_days,
 )
 from couponlens.operators.lookups import (
-    coupon_summary, gross_ledger, of_few, single_policy, with_gross, with_policy_name,
+    coupon_summary, gross_ledger, of_few, semi_target_policy, single_policy, with_gross, with_policy_name,
 )
 
 ID, RETURN_AT = "reservation_id", "return_at"
@@ -76,35 +76,28 @@ def weekly_class_kpi(
     )
 
 
-def _coupon_reservations(tables: dict[str, DataFrame], valid: dict, ids: Sequence[int]) -> DataFrame:
-    """Valid reservations with a target policy, and the one policy of each.
-
-    The target test and the policy lookup share one aggregation of the coupon table.
-    """
-    kept = filter_valid_reservation(tables["reservation"], created="created_at", **valid).select("id", "created_at")
-    summary = coupon_summary(tables["coupon"], tables["policy"], ids).filter("is_target")
-    return kept.join(summary, "id").withColumns({
-        "pid": single_policy(F.col("pid"), F.col("n_coupons")),
-        "create_date": local_date(F.col("created_at"), valid["tz"]),
-    })
-
-
 def new_coupon_daily(
     tables: dict[str, DataFrame], ids: Sequence[int], valid: dict, ledger_types: dict, vat: float = 1.1,
     unit: float = 1e6, stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Local creation date by policy: reservations and net revenue in ``unit``.
 
-    ``valid`` holds the arguments of ``filter_valid_reservation``, ``ledger_types`` those of ``gross_ledger``. The
-    reservation, coupon and ledger sides are all partitioned by the reservation, so each is shuffled once. With
-    ``stage`` (see ``session.stage``) the campaign's reservations are stored first; if they are few, the charge and
-    payment rows of all others are dropped before the shuffle.
+    ``valid`` holds the arguments of ``filter_valid_reservation``, ``ledger_types`` those of ``gross_ledger``. The target
+    test and the policy lookup share one aggregation of the coupon table, and the reservation, coupon and ledger
+    sides are all partitioned by the reservation, so each is shuffled once.
+
+    With ``stage`` (see ``session.stage``) the reservations of the campaign are stored first; if they are few, the
+    coupon, charge and payment rows of all others are dropped before any shuffle.
     """
-    keyed = _coupon_reservations(tables, valid, ids).select("id", "pid", "create_date")
-    charges, payments = tables["charge"], tables["payment"]
+    policies, coupons, charges, payments = (tables[t] for t in ("policy", "coupon", "charge", "payment"))
+    kept = filter_valid_reservation(tables["reservation"], created="created_at", **valid).select("id", "created_at")
     if stage is not None:
-        keyed = stage(keyed)
-        charges, payments = (of_few(t, "reservation_id", keyed, "id") for t in (charges, payments))
+        kept = stage(semi_target_policy(kept, coupons, policies, ids))
+        coupons, charges, payments = of_few(kept, "id", "reservation_id", coupons, charges, payments)
+    keyed = kept.join(coupon_summary(coupons, policies, ids).filter("is_target"), "id").select(
+        "id", single_policy(F.col("pid"), F.col("n_coupons")).alias("pid"),
+        local_date(F.col("created_at"), valid["tz"]).alias("create_date"),
+    )
     priced = with_gross(keyed, gross_ledger(charges, payments, **ledger_types))
     return (
         priced.groupBy("create_date", "pid")

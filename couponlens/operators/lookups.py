@@ -96,12 +96,13 @@ def gross_ledger(
     return plus.unionByName(minus).groupBy(F.col("reservation_id").alias("id")).agg(F.sum("amount").alias("gross"))
 
 
-def of_few(child: DataFrame, key: str, stored: DataFrame, id: str, limit: int = FEW_IDS) -> DataFrame:
+def of_few(stored: DataFrame, id: str, key: str, *children: DataFrame, limit: int = FEW_IDS) -> list[DataFrame]:
     """Child rows of the ids in a stored table, dropped at the scan if the ids are few enough to send to every task;
-    all child rows otherwise, for the join that follows to sort out."""
+    all child rows otherwise, for the joins that follow to sort out."""
     if stored.count() > limit:
-        return child
-    return child.join(F.broadcast(stored.select(F.col(id).alias(key))), key, "left_semi")
+        return list(children)
+    ids = F.broadcast(stored.select(F.col(id).alias(key)))
+    return [child.join(ids, key, "left_semi") for child in children]
 
 
 def with_gross(reservations: DataFrame, ledger: DataFrame) -> DataFrame:

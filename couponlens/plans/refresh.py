@@ -1,11 +1,12 @@
 """The batch refresh: both campaign tables, the report files, and publication when something changed.
 
-    python -m couponlens.plans.refresh --data <folder> --out <folder> --as-of 1998-12-01
+    python -m couponlens.plans.refresh --data <folder> --out <folder> --as-of 2026-04-01
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -22,6 +23,7 @@ from couponlens.operators.shaping import pivot_daily_policy
 from couponlens.plans import presets
 from couponlens.session import stage
 from couponlens.sinks.report_files import manifest, snapshot_diff, to_records, to_series, write_records
+from couponlens.sources.tables import read_canonical, read_coupon_tables, read_profit_fact
 
 _PUBLISHED = "status string, updated string, weeks bigint, nc_days bigint, run string, published_at string"
 
@@ -91,22 +93,30 @@ def run_refresh(
     return {**done.first().asDict(), "run": run, "published": True}
 
 
-def main(argv: Sequence[str] | None = None) -> None:
+def driver_settings() -> RefreshSettings:
+    """Settings for the driver tables."""
     from couponlens.catalog import params
-    from couponlens.sources.tables import read_coupon_tables, read_profit_fact
 
-    parser = argparse.ArgumentParser(description="Refresh the campaign reports from the tables of a folder.")
-    parser.add_argument("--data", required=True)
-    parser.add_argument("--out", required=True)
-    parser.add_argument("--as-of", type=date.fromisoformat, required=True)
-    args = parser.parse_args(argv)
-    spark = SparkSession.builder.getOrCreate()
-    settings = RefreshSettings(
+    return RefreshSettings(
         rules=params.RULES, year=params.YEAR, weekly_unit=params.CLASS_UNIT, policy_ids=params.POLICY_IDS,
         valid=params.VALID, ledger_types=params.LEDGER, daily_unit=params.DAY_UNIT,
     )
-    print(run_refresh(
-        spark, read_profit_fact(spark, args.data), read_coupon_tables(spark, args.data), args.out, args.as_of, settings))
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Refresh the campaign reports from the tables of a folder.")
+    parser.add_argument("--data", required=True, help="folder of the input tables")
+    parser.add_argument("--out", required=True, help="folder of the runs and the published manifest")
+    parser.add_argument("--as-of", type=date.fromisoformat, required=True, help="first day that is not complete")
+    parser.add_argument("--layout", choices=("canonical", "driver"), default="canonical")
+    args = parser.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    if args.layout == "canonical":
+        (fact, tables), settings = read_canonical(spark, args.data), RefreshSettings()
+    else:
+        fact, tables = read_profit_fact(spark, args.data), read_coupon_tables(spark, args.data)
+        settings = driver_settings()
+    print(json.dumps(run_refresh(spark, fact, tables, args.out, args.as_of, settings)))
 
 
 if __name__ == "__main__":

@@ -43,8 +43,9 @@ def manifest(weekly: DataFrame, daily: DataFrame, as_of: date, classes: Sequence
     )
 
 
-def as_json(df: DataFrame, name: str = "json") -> DataFrame:
-    return df.select(F.to_json(F.struct("*")).alias(name))
+def with_json(df: DataFrame, name: str = "json") -> DataFrame:
+    """Adds the whole row as a JSON text."""
+    return df.withColumn(name, F.to_json(F.struct("*")))
 
 
 def snapshot_diff(new: DataFrame, old: DataFrame) -> DataFrame:

@@ -126,6 +126,12 @@ def read_coupon_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]
     return {"reservation": reservation, "coupon": coupon, "policy": policy, "charge": charge, "payment": payment}
 
 
+def read_canonical(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Fact and coupon tables that are stored in canonical shape: ``profit_fact.parquet``, ``reservation.parquet`` ..."""
+    fact = spark.read.schema(PROFIT_FACT).parquet(table_path(folder, "profit_fact"))
+    return fact, {n: spark.read.schema(s).parquet(table_path(folder, n)) for n, s in COUPON_TABLES.items()}
+
+
 def read_policies(spark: SparkSession, folder: str) -> DataFrame:
     """Coupon policies: id and display name."""
     return (

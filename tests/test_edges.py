@@ -99,8 +99,7 @@ def test_staged_creation_table_is_the_same(tables, rows, monkeypatch, limit):
     """With few ids the other child rows are dropped early, with many they are not; the result is one."""
     from couponlens.session import stage
 
-    small = lambda child, key, stored, id: lookups.of_few(child, key, stored, id, limit)
-    monkeypatch.setattr(kpi, "of_few", small)
+    monkeypatch.setattr(kpi, "of_few", lambda *args: lookups.of_few(*args, limit=limit))
     lazy, staged = (kpi.new_coupon_daily(tables, [10, 11], VALID, LEDGER, unit=1.0, stage=s) for s in (None, stage))
     assert sorted(map(str, rows(staged))) == sorted(map(str, rows(lazy)))
     assert ("BroadcastHashJoin" in staged._jdf.queryExecution().executedPlan().toString()) or limit == 0
@@ -116,6 +115,10 @@ def test_two_coupons_on_a_reservation_fail(spark, tables):
     more = tables["coupon"].unionByName(spark.createDataFrame([(1, 99, 1)], tables["coupon"].schema))
     with pytest.raises(Exception, match="more than one coupon"):
         kpi.new_coupon_daily({**tables, "coupon": more}, [10, 11], VALID, LEDGER).collect()
+    from couponlens.session import stage
+
+    with pytest.raises(Exception, match="more than one coupon"):
+        kpi.new_coupon_daily({**tables, "coupon": more}, [10, 11], VALID, LEDGER, stage=stage).collect()
     with pytest.raises(Exception, match="more than one coupon"):
         lookups.lookup_policy_one(tables["reservation"], more, tables["policy"]).collect()
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from couponlens.catalog import params as P
 from couponlens.operators import kpi
 from couponlens.operators.lookups import lookup_policy_one
-from couponlens.plans.refresh import RefreshSettings, last_published, run_refresh
+from couponlens.plans.refresh import driver_settings, last_published, main, run_refresh
 from couponlens.session import shared_folder
 from couponlens.sources.sectioned_text import read_sections, split_sectioned_text
 from couponlens.sources.tables import SCHEMAS, booking_columns, read_bookings, read_coupon_tables, read_profit_fact
@@ -63,11 +63,8 @@ def test_shared_folder_follows_the_session(spark):
 
 
 def refresh(spark, data, out, as_of, minute):
-    settings = RefreshSettings(
-        rules=P.RULES, year=P.YEAR, weekly_unit=P.CLASS_UNIT, policy_ids=P.POLICY_IDS, valid=P.VALID,
-        ledger_types=P.LEDGER, daily_unit=P.DAY_UNIT)
-    return run_refresh(spark, read_profit_fact(spark, data), read_coupon_tables(spark, data), out, as_of, settings,
-                       datetime(2026, 4, 1, 9, minute))
+    return run_refresh(spark, read_profit_fact(spark, data), read_coupon_tables(spark, data), out, as_of,
+                       driver_settings(), datetime(2026, 4, 1, 9, minute))
 
 
 def test_refresh_publishes_only_changes(spark, data, tmp_path):
@@ -87,6 +84,47 @@ def test_refresh_publishes_only_changes(spark, data, tmp_path):
     assert records.count() == later["nc_days"] and {"c4", "r11", "date"} <= set(records.columns)
 
 
+def test_refresh_command_on_canonical_tables(spark, tmp_path, capsys, rows):
+    """The job with its default settings, from stored tables to the published files."""
+    from decimal import Decimal
+
+    from couponlens.sources.tables import COUPON_TABLES, PROFIT_FACT
+
+    def won(value):
+        return Decimal(value)
+
+    fact = [
+        (1, datetime(2026, 1, 1, 9), 7, "미리예약 2일 109,000원", "NORMAL", won(240_000_000), won(159_000_000), won(73_000_000)),
+        (2, datetime(2025, 12, 29, 9), 8, "땡처리", "SUPER_DEAL_CLOSING_SALE", won(115_000_000), won(59_000_000), won(-32_000_000)),
+        (3, datetime(2026, 1, 6, 9), 9, "[4월 당일최저가] 9,900원", "TARGET", won(1_000_000), won(1), won(1)),
+        (4, datetime(2026, 1, 1, 9), 10, "8~24시간 50%", "NORMAL", won(9), won(9), won(9)),
+        (5, datetime(2026, 3, 31, 0), 7, "미리예약 2일 109,000원", "NORMAL", won(9), won(9), won(9)),
+    ]
+    tables = {
+        "reservation": [(1, datetime(2026, 3, 25, 15), "round", 0, 1), (2, datetime(2026, 3, 26, 20), "d2d_rev", 9, 3),
+                        (3, datetime(2026, 3, 26, 20), "round", 5, 3)],
+        "coupon": [(1, 16264, 1), (2, 16271, 1), (3, 16264, 1)],
+        "policy": [(16264, "2일 109K"), (16271, "5일 249K")],
+        "charge": [(1, won(220_000), "rent"), (1, won(11_000), "protection_fee"), (2, won(1_100_000), "rent"), (3, won(5), "rent")],
+        "payment": [(1, won(110_000), "promotion"), (2, won(5_000), "oil_discount_refund"), (2, won(9), "card")],
+    }
+    data, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    spark.createDataFrame(fact, PROFIT_FACT).write.parquet(f"{data}/profit_fact.parquet")
+    for name, lines in tables.items():
+        spark.createDataFrame(lines, COUPON_TABLES[name]).write.parquet(f"{data}/{name}.parquet")
+    main(["--data", data, "--out", out, "--as-of", "2026-03-31"])
+    assert '"published": true' in capsys.readouterr().out
+    run = last_published(spark, out)
+    series = spark.read.json(f"{run}/weekly_series").first().asDict()
+    assert series["week"] == [1, 2] and series["label"] == ["W1\n01-01", "W2\n01-06"]
+    assert (series["eb_rev"], series["eb_cm"], series["eb_pft"], series["eb_cnt"]) == ([2.4, 0.0], [1.59, 0.0], [0.73, 0.0], [1, 0])
+    assert (series["sd_rev"], series["sd_pft"], series["sd_cnt"]) == ([1.15, 0.01], [-0.32, 0.0], [1, 1])
+    records = sorted(rows(spark.read.json(f"{run}/daily_records")), key=lambda r: r["date"])
+    assert [(r["date"], r["c16264"], r["r16264"], r["c16271"], r["r16271"]) for r in records] == [
+        ("03/26", 1, 0.11, 0, 0.0), ("03/27", 0, 0.0, 1, 1.0)]
+    assert len(records[0]) == 18
+
+
 def test_sections_from_files(spark, tmp_path, rows):
     for name, n in (("a", 3), ("b", 200)):
         lines = "\n".join(f"item {i}\t{i}" for i in range(n))
