@@ -21,7 +21,12 @@ from couponlens.functions.dates import micros_between, stamp
 from couponlens.functions.numbers import half_up
 from couponlens.session import shared_folder
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on local disk with its changes in the checkpoint, so that a batch uploads what it changed and no more.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 _EPOCH = datetime(1970, 1, 1)
 
 
@@ -69,7 +74,8 @@ def run_rollup(
         base = f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}"
         out, checkpoint = f"{base}/table", f"{base}/checkpoint"
     session = spark.newSession()
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for name, value in STATE_SETTINGS.items():
+        session.conf.set(name, value)
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     reader = session.readStream.schema(schema)
     if files_per_trigger is not None:
