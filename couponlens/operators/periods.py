@@ -13,9 +13,9 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from couponlens.functions.dates import week_label
 from couponlens.functions.numbers import difference, half_up, percent, zero_if_null
 from couponlens.functions.rules import change_status, level_of
-from couponlens.functions.dates import week_label
 from couponlens.operators.kpi import exact_sum
 
 MEASURES = ("rev", "profit", "cnt")
@@ -49,24 +49,34 @@ def zero_filled(paired: DataFrame, measures: Sequence[str]) -> DataFrame:
     return paired.withColumns({f"{s}_{m}": zero_if_null(f"{s}_{m}") for s in ("cur", "prev") for m in measures})
 
 
-def _raw_gpm(side: str) -> Column:
-    ratio = F.try_divide(F.col(f"{side}_profit").cast("double") * 100, F.col(f"{side}_rev").cast("double"))
-    return F.coalesce(ratio, F.lit(0.0))
+def _deltas(missing_gpm: float | None) -> list[Column]:
+    """Change columns of a paired row. The margins are compared before rounding; one without revenue counts as
+    ``missing_gpm``."""
+    gpm = {
+        side: F.coalesce(
+            F.try_divide(F.col(f"{side}_profit").cast("double") * 100, F.col(f"{side}_rev").cast("double")),
+            F.lit(missing_gpm).cast("double"),
+        )
+        for side in ("prev", "cur")
+    }
+    return [
+        difference("cur_rev", "prev_rev").alias("d_rev"),
+        percent(F.col("cur_rev") - F.col("prev_rev"), "prev_rev").alias("d_rev_pct"),
+        difference("cur_profit", "prev_profit").alias("d_profit"),
+        (F.col("cur_cnt") - F.col("prev_cnt")).alias("d_cnt"),
+        half_up(gpm["prev"], 1).alias("prev_gpm"), half_up(gpm["cur"], 1).alias("cur_gpm"),
+        half_up(gpm["cur"] - gpm["prev"], 1).alias("d_gpm"),
+    ]
+
+
+_SIDES = [f"{s}_{m}" for m in MEASURES for s in ("prev", "cur")]
 
 
 def wow_rows(paired: DataFrame, key: Sequence[str], include_ended: bool = False) -> DataFrame:
     """Current-period keys with both periods, deltas, margins and margin change. Keys that ended are left out unless
     asked for; they still count in ``wow_total_row``."""
     kept = paired if include_ended else paired.filter("in_cur")
-    rows = zero_filled(kept, MEASURES)
-    return rows.select(
-        *key, "prev_rev", "cur_rev", difference("cur_rev", "prev_rev").alias("d_rev"),
-        percent(F.col("cur_rev") - F.col("prev_rev"), "prev_rev").alias("d_rev_pct"),
-        "prev_profit", "cur_profit", difference("cur_profit", "prev_profit").alias("d_profit"),
-        "prev_cnt", "cur_cnt", (F.col("cur_cnt") - F.col("prev_cnt")).alias("d_cnt"),
-        half_up(_raw_gpm("prev"), 1).alias("prev_gpm"), half_up(_raw_gpm("cur"), 1).alias("cur_gpm"),
-        half_up(_raw_gpm("cur") - _raw_gpm("prev"), 1).alias("d_gpm"),
-    )
+    return zero_filled(kept, MEASURES).select(*key, *_SIDES, *_deltas(missing_gpm=0.0))
 
 
 def wow_join(cur: DataFrame, prev: DataFrame, key: Sequence[str], include_ended: bool = False) -> DataFrame:
@@ -76,19 +86,9 @@ def wow_join(cur: DataFrame, prev: DataFrame, key: Sequence[str], include_ended:
 
 def wow_total_row(paired: DataFrame) -> DataFrame:
     """Totals of both periods over all keys of either, deltas, weighted margins and their difference."""
-    sides = [f"{s}_{m}" for s in ("prev", "cur") for m in MEASURES]
     filled = zero_filled(paired, MEASURES)
-    total = filled.agg(*[exact_sum(filled, c).alias(c) for c in sides])
-    raw = {s: F.try_divide(F.col(f"{s}_profit").cast("double") * 100, F.col(f"{s}_rev").cast("double"))
-           for s in ("prev", "cur")}
-    return total.select(
-        *sides, difference("cur_rev", "prev_rev").alias("d_rev"),
-        percent(F.col("cur_rev") - F.col("prev_rev"), "prev_rev").alias("d_rev_pct"),
-        difference("cur_profit", "prev_profit").alias("d_profit"),
-        (F.col("cur_cnt") - F.col("prev_cnt")).alias("d_cnt"),
-        half_up(raw["prev"], 1).alias("prev_gpm"), half_up(raw["cur"], 1).alias("cur_gpm"),
-        half_up(raw["cur"] - raw["prev"], 1).alias("d_gpm"),
-    )
+    total = filled.agg(*[exact_sum(filled, c).alias(c) for c in _SIDES])
+    return total.select(*_SIDES, *_deltas(missing_gpm=None))
 
 
 def policies_new(paired: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -129,7 +129,7 @@ def period_delta(series: DataFrame, partition: Sequence[str], order: str, value:
 def align_weeks_outer(weekly: DataFrame, class_col: str = "ctype", left: str = "eb", right: str = "sd") -> DataFrame:
     """One row per week that either class has; missing side 0; the label takes the left class's date if it has one."""
     both = weekly.filter(F.col(class_col).isin(left, right))
-    values = [m for m in ("cnt", "rev", "cm", "pft")]
+    values = ("cnt", "rev", "cm", "pft")
 
     def of(label: str, column: str) -> Column:
         return F.max(F.when(F.col(class_col) == label, F.col(column)))
@@ -211,7 +211,8 @@ def align_day_offset(
     if any((b - a).days < days for a, b in zip(ordered, ordered[1:])):
         raise ValueError("the periods overlap")
     wanted = [s + timedelta(days=i) for s in starts.values() for i in range(days)]
-    per_day = df.filter(F.col(day).isin(*wanted)).groupBy(F.col(day).alias("_day")).agg(*[a.alias(m) for m, a in measures.items()])
+    rows = df.filter(F.col(day).isin(*wanted))
+    per_day = rows.groupBy(F.col(day).alias("_day")).agg(*[a.alias(m) for m, a in measures.items()])
     start_of = F.coalesce(*[F.when(_in_window(F.col("_day"), s, days), F.lit(s)) for s in starts.values()])
     placed = per_day.withColumns({"_start": start_of, "offset": F.datediff("_day", start_of)})
     # Empty rows for every offset go into the same aggregation, so that no offset is missing.

@@ -130,3 +130,30 @@ def test_stored_fact_prunes_months_and_needs_no_join(spark, data, tmp_path):
     assert "Join" not in text and "PartitionFilters: [isnotnull(return_month" in text
     files = weekly._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "(return_month#" in files and ">= 1997-12)" in files and "<= 1998-11)" in files
+
+
+def test_a_month_with_most_rows_is_split(spark, data, tmp_path):
+    from couponlens.sources.store import write_fact
+    from couponlens.sources.tables import read_profit_fact
+
+    fact = read_profit_fact(spark, data)
+    hot = F.when(F.pmod(F.xxhash64("reservation_id"), F.lit(3)) < 2, F.lit("1998-05-05").cast("timestamp_ntz"))
+    path = f"{tmp_path}/fact"
+    with settings(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}):
+        write_fact(fact.withColumn("return_at", F.coalesce(hot, F.col("return_at"))).repartition(8), path)
+    months = spark.read.parquet(path).groupBy("return_month").agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"))
+    files = {str(r["return_month"])[:7]: r["files"] for r in months.collect()}
+    assert files["1998-05"] == max(files.values()) > 3
+
+
+def test_hot_customer(spark, data):
+    """A third of all reservations belongs to one member; every other member is still counted once."""
+    from couponlens.catalog import params as P
+    from couponlens.sources.tables import read_coupon_tables
+
+    reservations = read_coupon_tables(spark, data)["reservation"].withColumn(
+        "member_id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("member_id")))
+    got = mix.inflow_compare(reservations, "member_id", "created_at", "amount", P.INFLOW, P.ZONE)
+    first = reservations.groupBy("member_id").agg(F.min(F.to_date(F.col("created_at") + F.expr("INTERVAL 9 HOURS"))).alias("d"))
+    want = {p: first.filter(F.col("d").between(F.lit(a), F.lit(b))).count() for p, (a, b) in P.INFLOW.items()}
+    assert {r["period"]: r["users"] for r in got.collect()} == want
