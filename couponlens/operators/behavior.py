@@ -2,6 +2,9 @@
 
 Input is a booking table with ``start_at``, ``end_at``, ``revenue``, ``profit`` and the spans ``lead_us`` and
 ``duration_us`` in microseconds. Each table is one grouped pass with a map-side combine over a handful of groups.
+
+The tables over start, lead time, duration and discount also take a ``booking_cube``: all their groups at once, from one
+pass over the bookings. Counts and decimal sums add up exactly, so both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -17,8 +20,8 @@ from pyspark.sql import functions as F
 from couponlens.functions.dates import MICROS_PER_HOUR, day_range
 from couponlens.functions.numbers import difference, in_unit, percent, quotient, zero_if_null
 from couponlens.functions.rules import (
-    DURATION_BOUNDS, DURATION_LABELS, LEAD_BOUNDS, LEAD_LABELS, TIME_BLOCKS, hour_bucket, label_position, time_block,
-    weekday_name,
+    DURATION_BOUNDS, DURATION_LABELS, LEAD_BOUNDS, LEAD_LABELS, TIME_BLOCKS, USE_TIME_BOUNDS, USE_TIME_LABELS, hour_bucket,
+    label_position, time_block, weekday_name,
 )
 
 
@@ -27,14 +30,41 @@ def span_sum(column: str) -> Column:
     return F.sum(F.col(column).cast("decimal(20,0)"))
 
 
+def is_cube(df: DataFrame) -> bool:
+    return "lead_sum" in df.columns
+
+
 def booking_totals(bookings: DataFrame, *keys: Column) -> DataFrame:
-    """Count and exact sums per group; unused sums are pruned by the optimizer."""
-    return bookings.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("cnt"), F.sum("revenue").alias("rev_sum"), F.sum("profit").alias("profit_sum"),
-        span_sum("duration_us").alias("duration_sum"), span_sum("lead_us").alias("lead_sum"),
+    """Count and exact sums per group, from bookings or from a cube; unused sums are pruned by the optimizer."""
+    if is_cube(bookings):
+        sums = [F.sum(c).alias(c) for c in ("cnt", "rev_sum", "profit_sum", "duration_sum", "lead_sum")]
+    else:
+        sums = [
+            F.count(F.lit(1)).alias("cnt"), F.sum("revenue").alias("rev_sum"), F.sum("profit").alias("profit_sum"),
+            span_sum("duration_us").alias("duration_sum"), span_sum("lead_us").alias("lead_sum"),
+        ]
+    return bookings.groupBy(*keys).agg(*sums)
+
+
+def booking_cube(
+    bookings: DataFrame, start: str = "start_at", rate: str = "discount_rate", lead=(LEAD_BOUNDS, LEAD_LABELS),
+    duration=(DURATION_BOUNDS, DURATION_LABELS), use_time=(USE_TIME_BOUNDS, USE_TIME_LABELS),
+) -> DataFrame:
+    """Totals by lead and duration bucket, time group, weekday, hour, month and discount rate. The number of rows is
+    bounded by the groups, some hundred thousand per year; store it once and make every table from it."""
+    return booking_totals(
+        bookings, hour_bucket(F.col("lead_us"), *lead).alias("lead_bucket"),
+        hour_bucket(F.col("duration_us"), *duration).alias("duration_bucket"),
+        hour_bucket(F.col("duration_us"), *use_time).alias("time_group"), F.dayofweek(start).alias("dow"),
+        F.hour(start).alias("hour"), F.date_format(start, "yyyy-MM").alias("month"), F.col(rate).alias("rate"),
     )
 
 
+def key_of(df: DataFrame, name: str, from_booking: Column, alias: str | None = None) -> Column:
+    """A group column: the expression on bookings, the finished column on a cube."""
+    return (F.col(name) if is_cube(df) else from_booking).alias(alias or name)
+
+
 def mean_hours(total_us: str, count: str = "cnt") -> Column:
     return quotient(total_us, F.col(count).cast("double") * F.lit(float(MICROS_PER_HOUR)), 1)
 
@@ -57,7 +87,8 @@ def bucket_leadtime(
     bookings: DataFrame, bounds=LEAD_BOUNDS, labels=LEAD_LABELS, unit: float = 1e6
 ) -> DataFrame:
     """Lead-time buckets: count, revenue, margin, per booking, mean hours."""
-    totals = booking_totals(bookings, hour_bucket(F.col("lead_us"), bounds, labels).alias("bucket"))
+    bucket = hour_bucket(F.col("lead_us"), bounds, labels)
+    totals = booking_totals(bookings, key_of(bookings, "lead_bucket", bucket, "bucket"))
     return _show(totals, ["bucket", label_position(F.col("bucket"), labels).alias("pos")],
                  ["cnt", "rev", "gpm", "rpu", "avg_h"], unit)
 
@@ -66,21 +97,22 @@ def bucket_duration(
     bookings: DataFrame, bounds=DURATION_BOUNDS, labels=DURATION_LABELS, unit: float = 1e6
 ) -> DataFrame:
     """Duration buckets: count, revenue, margin, per booking, gross profit."""
-    totals = booking_totals(bookings, hour_bucket(F.col("duration_us"), bounds, labels).alias("bucket"))
+    bucket = hour_bucket(F.col("duration_us"), bounds, labels)
+    totals = booking_totals(bookings, key_of(bookings, "duration_bucket", bucket, "bucket"))
     return _show(totals, ["bucket", label_position(F.col("bucket"), labels).alias("pos")],
                  ["cnt", "rev", "gpm", "rpu", "gp"], unit)
 
 
 def by_weekday(bookings: DataFrame, start: str = "start_at", unit: float = 1e6) -> DataFrame:
     """Weekdays of the start, Sunday first."""
-    totals = booking_totals(bookings, F.dayofweek(start).alias("dow"))
+    totals = booking_totals(bookings, key_of(bookings, "dow", F.dayofweek(start)))
     return _show(totals, ["dow", weekday_name(F.col("dow")).alias("weekday")],
                  ["cnt", "rev", "gpm", "rpu", "avg_h"], unit)
 
 
 def by_hour(bookings: DataFrame, start: str = "start_at", unit: float = 1e6) -> DataFrame:
     """All 24 start hours; an hour without bookings has count 0, revenue 0 and no means."""
-    totals = booking_totals(bookings, F.hour(start).alias("hour"))
+    totals = booking_totals(bookings, key_of(bookings, "hour", F.hour(start)))
     grid = bookings.sparkSession.range(24).select(F.col("id").cast("int").alias("hour"))
     shown = _show(grid.join(totals, "hour", "left"), ["hour"], ["cnt", "rev", "rpu", "avg_h"], unit)
     return shown.withColumns({"cnt": zero_if_null("cnt"), "rev": zero_if_null("rev")})
@@ -89,7 +121,9 @@ def by_hour(bookings: DataFrame, start: str = "start_at", unit: float = 1e6) ->
 def heatmap_long(bookings: DataFrame, start: str = "start_at", blocks=TIME_BLOCKS) -> DataFrame:
     """Weekday by time block: count and revenue per booking. The weekday is that of the start itself, also after
     midnight."""
-    totals = booking_totals(bookings, F.dayofweek(start).alias("dow"), time_block(F.hour(start), blocks).alias("block"))
+    hour = F.col("hour") if is_cube(bookings) else F.hour(start)
+    totals = booking_totals(
+        bookings, key_of(bookings, "dow", F.dayofweek(start)), time_block(hour, blocks).alias("block"))
     return totals.select("dow", "block", "cnt", quotient("rev_sum", "cnt", 0).alias("rpu"))
 
 
@@ -119,7 +153,7 @@ def heatmap_cells(long: DataFrame) -> DataFrame:
 
 def monthly_trend(bookings: DataFrame, start: str = "start_at", unit: float = 1e6) -> DataFrame:
     """Start month: count, revenue, margin, per booking, mean hours, mean lead hours."""
-    totals = booking_totals(bookings, F.date_format(start, "yyyy-MM").alias("month"))
+    totals = booking_totals(bookings, key_of(bookings, "month", F.date_format(start, "yyyy-MM")))
     return _show(totals, ["month"], ["cnt", "rev", "gpm", "rpu", "avg_h", "avg_lead"], unit)
 
 

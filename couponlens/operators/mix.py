@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from couponlens.functions.dates import local_date
 from couponlens.functions.numbers import in_unit, percent, quotient
 from couponlens.functions.rules import USE_TIME_BOUNDS, USE_TIME_LABELS, hour_bucket, label_position
-from couponlens.operators.behavior import booking_totals
+from couponlens.operators.behavior import booking_totals, key_of
 from couponlens.operators.kpi import share_of_total
 
 
-def use_time(bounds=USE_TIME_BOUNDS, labels=USE_TIME_LABELS) -> Column:
+def use_time(df: DataFrame, bounds=USE_TIME_BOUNDS, labels=USE_TIME_LABELS) -> Column:
     """Time group of the actual use."""
-    return hour_bucket(F.col("duration_us"), bounds, labels)
+    return key_of(df, "time_group", hour_bucket(F.col("duration_us"), bounds, labels))
 
 
 def timegroup_discount_matrix(
@@ -25,7 +25,7 @@ def timegroup_discount_matrix(
     unit: float = 1e6,
 ) -> DataFrame:
     """Time group by discount rate: count, revenue, profit, margin, per booking."""
-    totals = booking_totals(bookings, use_time(bounds, labels).alias("time_group"), F.col(rate).alias("rate"))
+    totals = booking_totals(bookings, use_time(bookings, bounds, labels), key_of(bookings, "rate", F.col(rate)))
     return totals.select(
         "time_group", "rate", "cnt", in_unit("rev_sum", unit, 1).alias("rev"),
         in_unit("profit_sum", unit, 1).alias("profit"), percent("profit_sum", "rev_sum").alias("gpm"),
@@ -37,7 +37,8 @@ def actual_use_distribution(
     bookings: DataFrame, policy: str, wanted: int, bounds=USE_TIME_BOUNDS, labels=USE_TIME_LABELS
 ) -> DataFrame:
     """How long the bookings of one policy were really used: count, share, per booking, margin per time group."""
-    totals = booking_totals(bookings.filter(F.col(policy) == wanted), use_time(bounds, labels).alias("time_group"))
+    mine = bookings.filter(F.col(policy) == wanted)
+    totals = booking_totals(mine, use_time(mine, bounds, labels))
     return share_of_total(totals, "cnt").select(
         "time_group", label_position(F.col("time_group"), labels).alias("pos"), "cnt", "share",
         quotient("rev_sum", "cnt", 0).alias("rpu"), percent("profit_sum", "rev_sum").alias("gpm"),
@@ -50,8 +51,8 @@ def discount_migration(
 ) -> DataFrame:
     """Time group and month by discount rate: count and margin per rate, null where the rate was not in use."""
     totals = booking_totals(
-        bookings, use_time(bounds, labels).alias("time_group"), F.date_format(start, "yyyy-MM").alias("month"),
-        F.col(rate).alias("rate"),
+        bookings, use_time(bookings, bounds, labels), key_of(bookings, "month", F.date_format(start, "yyyy-MM")),
+        key_of(bookings, "rate", F.col(rate)),
     )
     cells = totals.select("time_group", "month", "rate", "cnt", percent("profit_sum", "rev_sum").alias("gpm"))
 

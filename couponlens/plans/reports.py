@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from couponlens.functions.numbers import percent
+from couponlens.operators import behavior, mix
 from couponlens.operators.kpi import (
     exact_sum, grand_total_row, ratio_gpm_cm, ratio_gpm_nonzero, revenue_per_booking,
 )
 from couponlens.operators.periods import (
-    align_day_offset, align_weeks_outer, dim_label, intensity_of_max, pair_long, running_total, sort_delta_desc,
-    sort_gpm_asc, tag_calendar, wow_rows, wow_total_row,
+    align_day_offset, align_weeks_outer, dim_label, intensity_minmax, intensity_of_max, pair_long, running_total,
+    sort_delta_desc, sort_gpm_asc, tag_calendar, wow_rows, wow_total_row,
 )
+from couponlens.session import stage
 
 
 def report_weekly_detail(weekly: DataFrame, left: str = "eb", right: str = "sd") -> DataFrame:
@@ -100,3 +102,22 @@ def report_first_week(
     return both.withColumns({"d_cnt": change, "d_cnt_pct": percent(change, f"{first}_cnt")})
 
 
+def behavior_page(
+    bookings: DataFrame, rates: Sequence[int], unit: float = 1e6, stage: Callable[[DataFrame], DataFrame] = stage
+) -> dict[str, DataFrame]:
+    """All tables of the behaviour and discount pages from one pass over the bookings: the cube is stored, and each table
+    groups its few rows."""
+    cube = stage(behavior.booking_cube(bookings))
+    cells = behavior.heatmap_long(cube)
+    return {
+        "leadtime": behavior.bucket_leadtime(cube, unit=unit),
+        "duration": behavior.bucket_duration(cube, unit=unit),
+        "weekday": behavior.by_weekday(cube, unit=unit),
+        "hour": behavior.by_hour(cube, unit=unit),
+        "heatmap_count": behavior.heatmap_wide(cells, "cnt", fill=0),
+        "heatmap_rpu": behavior.heatmap_wide(cells, "rpu"),
+        "heatmap_levels": intensity_minmax(behavior.heatmap_cells(cells), ["matrix"], "value"),
+        "month": behavior.monthly_trend(cube, unit=unit),
+        "discount_matrix": mix.timegroup_discount_matrix(cube, unit=unit),
+        "discount_migration": mix.discount_migration(cube, rates),
+    }

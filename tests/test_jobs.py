@@ -222,3 +222,22 @@ def test_spans_across_a_clock_change(spark):
         assert span.select(micros_between(F.col("a"), F.col("b"))).first()[0] == 86_400_000_001
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_behavior_page_from_one_pass(spark, data):
+    """Every table of the page equals the query on the bookings themselves, and none of them reads the bookings again."""
+    import __spark_entry__ as entry
+    from couponlens.plans.reports import behavior_page
+
+    page = behavior_page(read_bookings(spark, data), P.RATES, P.DAY_UNIT)
+    same = {
+        "leadtime": "bucket_leadtime", "duration": "bucket_duration", "weekday": "by_weekday", "hour": "by_hour",
+        "heatmap_count": "heatmap_count", "heatmap_rpu": "heatmap_rpu", "heatmap_levels": "intensity_minmax",
+        "month": "monthly_trend", "discount_matrix": "timegroup_discount_matrix", "discount_migration": "discount_migration",
+    }
+    assert set(same) == set(page)
+    for table, key in same.items():
+        direct = entry.queries()[key](spark, data)
+        assert page[table].columns == direct.columns and as_set(page[table]) == as_set(direct), table
+        text = page[table]._jdf.queryExecution().executedPlan().toString()
+        assert "staged-" in text and "events.parquet" not in text, table
