@@ -9,13 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from couponlens.functions.numbers import percent
-from couponlens.operators import behavior, mix
-from couponlens.operators.kpi import (
-    exact_sum, grand_total_row, ratio_gpm_cm, ratio_gpm_nonzero, revenue_per_booking,
-)
+from couponlens.operators import behavior, filters, kpi, mix
+from couponlens.operators.kpi import exact_sum, grand_total_row, ratio_gpm_cm, ratio_gpm_nonzero, revenue_per_booking
 from couponlens.operators.periods import (
-    align_day_offset, align_weeks_outer, dim_label, intensity_minmax, intensity_of_max, pair_long, running_total,
-    sort_delta_desc, sort_gpm_asc, tag_calendar, wow_rows, wow_total_row,
+    align_day_offset, align_weeks_outer, dim_label, intensity_minmax, intensity_of_max, pair_long, policies_ended,
+    policies_new, running_total, sort_delta_desc, sort_gpm_asc, sum_series, tag_calendar, top_revenue_shift, wow_rows,
+    wow_total_row,
 )
 from couponlens.session import stage
 
@@ -121,3 +120,27 @@ def behavior_page(
         "discount_matrix": mix.timegroup_discount_matrix(cube, unit=unit),
         "discount_migration": mix.discount_migration(cube, rates),
     }
+
+
+def division_page(
+    fact: DataFrame, year: int, cur: int, prev: int, labels: DataFrame, groups: Sequence[str], target: float = 25.0,
+    unit: float = 1e6, stage: Callable[[DataFrame], DataFrame] = stage,
+) -> dict[str, DataFrame]:
+    """All tables of the division page. Distinct counts do not add up over groups, so there are three stored rollups of
+    the two weeks, by division and week, by policy and week, and by division and day; each table groups one of them."""
+    two = filters.filter_iso_weeks(fact, kpi.RETURN_AT, year, prev, cur)
+    weeks = stage(kpi.division_rollup(two, unit=unit))
+    used = two.filter(F.col(kpi.POLICY_ID).isNotNull())
+    policies = pair_long(stage(kpi.division_rollup(used, kpi.POLICY_ID, unit)), "week", cur, prev, ["division"])
+    policies = policies.withColumnRenamed("division", "policy_id")
+    daily = stage(kpi.division_daily(filters.filter_iso_weeks(fact, kpi.RETURN_AT, year, cur, cur), unit=unit))
+    return {
+        "cards": report_overview_cards(weeks, cur, prev, target),
+        "divisions": report_division_table(weeks.filter(F.col("week") == cur).drop("week"), labels),
+        "week_over_week": report_wow(weeks, cur, prev, labels),
+        "new_policies": policies_new(policies, ["policy_id"]),
+        "ended_policies": policies_ended(policies, ["policy_id"]),
+        "top_shift": top_revenue_shift(policies, "policy_id"),
+        "daily": report_division_daily(daily, groups),
+        "daily_sum": sum_series(daily, "division", groups[0], groups[1], "return_date", "rev"),
+    }

@@ -241,3 +241,21 @@ def test_behavior_page_from_one_pass(spark, data):
         assert page[table].columns == direct.columns and as_set(page[table]) == as_set(direct), table
         text = page[table]._jdf.queryExecution().executedPlan().toString()
         assert "staged-" in text and "events.parquet" not in text, table
+
+
+def test_division_page(spark, data):
+    import __spark_entry__ as entry
+    from couponlens.operators.periods import label_table
+    from couponlens.plans.reports import division_page
+
+    fact = read_profit_fact(spark, data)
+    page = division_page(fact, P.YEAR, P.CUR_WEEK, P.PREV_WEEK, label_table(fact, P.LABELS), ["PROMO", "ECONOMY"], 10.0, P.DAY_UNIT)
+    same = {
+        "cards": "report_overview_cards", "divisions": "report_division_table", "week_over_week": "report_wow",
+        "new_policies": "policies_new", "ended_policies": "policies_ended", "top_shift": "top_revenue_shift",
+        "daily_sum": "sum_two_series",
+    }
+    for table, key in same.items():
+        direct = entry.queries()[key](spark, data)
+        assert as_set(page[table].select(*direct.columns)) == as_set(direct), table
+    assert page["daily"].filter("is_total = 1").count() == 2
