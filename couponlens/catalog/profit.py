@@ -345,7 +345,8 @@ SELECT return_date, coalesce(a.rev, 0) AS a, coalesce(b.rev, 0) AS b, {dec('coal
 FROM (SELECT * FROM daily WHERE division = 'PROMO') AS a FULL JOIN (SELECT * FROM daily WHERE division = 'ECONOMY') AS b
 USING (return_date)"""))
 def sum_two_series(spark, folder):
-    daily = kpi.division_daily(this_week(spark, folder), unit=P.DAY_UNIT)
+    keys = [kpi.return_date().alias("return_date"), F.col(kpi.DIVISION).alias("division")]
+    daily = this_week(spark, folder).groupBy(*keys).agg(in_unit(F.sum("revenue"), P.DAY_UNIT, 1).alias("rev"))
     return periods.sum_series(daily, "division", "PROMO", "ECONOMY", "return_date", "rev")
 
 

@@ -1,8 +1,8 @@
 """KPI aggregations on the profit fact and on the coupon tables.
 
-Every aggregation is one ``groupBy`` with a map-side combine. The exact distinct count of reservations is the only
-distinct aggregate in each, so Spark plans it in two steps whose first shuffle spreads over (group, reservation):
-a class or policy with a third of all rows is still counted by many tasks.
+Every aggregation combines on the map side. An exact distinct count of reservations is planned by Spark in two steps whose
+first shuffle spreads over (group, reservation), so a class or policy with a third of all rows is still counted by
+many tasks.
 """
 
 from __future__ import annotations
@@ -47,14 +47,29 @@ def count_distinct_reservation(df: DataFrame, keys: Sequence[str], id: str = ID)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(id).alias("cnt"))
 
 
-def money_totals(df: DataFrame, keys: Sequence[Column | str], id: str = ID) -> DataFrame:
+def with_distinct(df: DataFrame, keys: Sequence[Column], sums: dict[str, Column], id: str = ID) -> DataFrame:
+    """Aggregates per group together with ``cnt``, the exact number of distinct ids.
+
+    The two are computed apart and put together on the finished groups. The sums then combine almost entirely on the map
+    side, and only bare (group, id) pairs are shuffled for the count; in a single aggregation every pair would carry
+    all sums through that shuffle, while the second read of a columnar fact takes the key and id columns alone.
+    """
+    summed = df.groupBy(*keys).agg(*[a.alias(name) for name, a in sums.items()])
+    counted = df.groupBy(*keys).agg(F.countDistinct(id).alias("cnt"))
+    names = [c for c in counted.columns if c != "cnt"]
+    parts = summed.unionByName(counted, allowMissingColumns=True)
+    return parts.groupBy(*names).agg(*[F.max(c).alias(c) for c in ("cnt", *sums)])
+
+
+def money_sums() -> dict[str, Column]:
+    return {
+        "rev_sum": F.sum("revenue"), "cm_sum": F.sum("contribution_margin"), "profit_sum": F.sum("profit"),
+    }
+
+
+def money_totals(df: DataFrame, keys: Sequence[Column], id: str = ID) -> DataFrame:
     """Distinct reservations and exact decimal sums per group; the base of the KPI tables."""
-    return df.groupBy(*keys).agg(
-        F.countDistinct(id).alias("cnt"),
-        F.sum("revenue").alias("rev_sum"),
-        F.sum("contribution_margin").alias("cm_sum"),
-        F.sum("profit").alias("profit_sum"),
-    )
+    return with_distinct(df, keys, money_sums(), id)
 
 
 def weekly_class_kpi(
@@ -62,17 +77,11 @@ def weekly_class_kpi(
 ) -> DataFrame:
     """ISO week by class: first seen date, reservations, revenue, contribution margin and profit in ``unit``."""
     rows = filter_until_yesterday(filter_iso_year(campaign_rows(fact, rules), RETURN_AT, year), RETURN_AT, as_of)
-    return (
-        rows.groupBy(iso_week(return_date()).alias("week"), class_column(rules).alias("ctype"))
-        .agg(
-            F.min(return_date()).alias("week_start"),
-            F.countDistinct(ID).alias("cnt"),
-            F.sum("revenue").alias("rev"),
-            F.sum("contribution_margin").alias("cm"),
-            F.sum("profit").alias("pft"),
-        )
-        .withColumns({m: in_unit(m, unit) for m in ("rev", "cm", "pft")})
-        .select("week", "week_start", "ctype", "cnt", "rev", "cm", "pft")
+    keys = [iso_week(return_date()).alias("week"), class_column(rules).alias("ctype")]
+    totals = with_distinct(rows, keys, {"week_start": F.min(return_date()), **money_sums()})
+    shown = {"rev": "rev_sum", "cm": "cm_sum", "pft": "profit_sum"}
+    return totals.select(
+        "week", "week_start", "ctype", "cnt", *[in_unit(c, unit).alias(name) for name, c in shown.items()]
     )
 
 
@@ -201,7 +210,7 @@ def class_daily(
 
 def policy_kpi(fact: DataFrame, group: Sequence[str] = (POLICY_ID, POLICY_NAME), unit: float = 1e6) -> DataFrame:
     """Per policy: reservations, revenue, margin in percent, revenue per reservation."""
-    return money_totals(fact, list(group)).select(
+    return money_totals(fact, [F.col(c) for c in group]).select(
         *group, "cnt", in_unit("rev_sum", unit, 1).alias("rev"),
         percent("profit_sum", "rev_sum").alias("gpm"), quotient("rev_sum", "cnt", 0).alias("rpu"),
     )
