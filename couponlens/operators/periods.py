@@ -1,8 +1,8 @@
 """Comparison of periods.
 
 Two periods are compared through one *paired* table: a row per key with ``cur_<m>`` and ``prev_<m>`` (null where the
-key is absent in that period) and the flags ``in_cur`` / ``in_prev``. It comes from one grouped pass over rows that
-hold both periods, so the fact is scanned once and no join is needed for new, ended, moved or total rows.
+key is absent in that period) and the flags ``in_cur`` / ``in_prev``. It comes from one grouping of rows that hold both
+periods, so there is no scan per period and no join for new, ended, moved or total rows.
 """
 
 from __future__ import annotations
