@@ -101,10 +101,14 @@ class RunHash:
 
     def sums(self, symbols: np.ndarray) -> np.ndarray:
         """Prefix sums; ``symbols`` are any unsigned integers."""
-        n = len(symbols)
+        return self.premixed(mix64(symbols.astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D)))
+
+    def premixed(self, values: np.ndarray) -> np.ndarray:
+        """Prefix sums of symbols that are random 64-bit values already."""
+        n = len(values)
         self._grow(n + 1)
         out = np.zeros(n + 1, np.uint64)
-        np.cumsum(mix64(symbols.astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D)) * self.powers[:n], out=out[1:])
+        np.cumsum(values * self.powers[:n], out=out[1:])
         return out
 
     def runs(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from couponlens.llm import bpe, packing, tokenfile
+from couponlens.llm import bpe, packing, suffix, tokenfile
 from couponlens.llm.common import table
 
 QUERIES: dict = {}
@@ -17,6 +17,11 @@ def query(function):
     return function
 
 
+@query
+def op2_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.digest(suffix.remove_repeats(table(spark, folder, "documents"), size=100))
+
+
 @query
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digest(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
