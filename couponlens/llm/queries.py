@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from couponlens.llm import bpe, packing, suffix, tokenfile
+from couponlens.llm import bpe, minhash, packing, suffix, tokenfile
 from couponlens.llm.common import table
 
 QUERIES: dict = {}
@@ -32,6 +32,11 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+@query
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_components(table(spark, folder, "documents"), words=2)
+
+
 @query
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = tokenfile.write_token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
