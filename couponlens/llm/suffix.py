@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from couponlens.llm.common import RunHash, mix64, rows, stored
 
-_CHUNK = 3_000_000  # bytes that a task scans at once
-_SHARD = 4_000_000  # bytes of a suffix array
+_CHUNK = 1_500_000  # bytes that a task scans at once
+_SHARD = 1_500_000  # bytes of a suffix array
 _NO_ID = -(1 << 63)
 _BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -231,7 +231,7 @@ def _scan(size: int, k: int):
 
     def run(batches):
         tool = RunHash()
-        for batch in batches:
+        for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
             texts = [x.encode() for x in batch.column(1).to_pylist()]
             ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
             order = np.argsort(ids, kind="stable")
@@ -277,7 +277,7 @@ def _cut_out(size: int):
     """Task: documents with their pieces to (h1, doc, loc, bytes of the piece)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (x.slice(i, 500) for x in batches for i in range(0, x.num_rows, 500)):
             h1, doc, loc, body = [], [], [], []
             for key, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 raw = text.encode()
@@ -336,7 +336,7 @@ def _shards(size: int, limit: int):
             for d, s, e in out:
                 yield rows(doc=d, start=s, end=e)
 
-        for batch in batches:
+        for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
             for x in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 for held, value in zip((h1, doc, loc, body), x):
                     held.append(value)
@@ -351,7 +351,7 @@ def _shards(size: int, limit: int):
 
 def _remove():
     def run(batches):
-        for batch in batches:
+        for batch in (x.slice(i, 500) for x in batches for i in range(0, x.num_rows, 500)):
             n_bytes, kept, spans = [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 raw = text.encode()
