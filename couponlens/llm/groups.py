@@ -1,8 +1,10 @@
-"""Connected components of a similarity relation from inverted lists, without writing out the pairs of a list.
+"""Connected components of a set similarity of 0.8 or more, from inverted lists and without writing out a list's pairs.
 
-Every list first links its members to one of them, its centre. A list is settled when all of these links hold. Members of
-the other lists that are still in different components are compared in blocks, by their signatures, inside the tasks;
-only pairs that the signatures can't rule out leave a task and are verified.
+Every list first links its members to one of them, its centre, the member made up of the most common values. A list is
+settled when all of these links hold. Members of the other lists that are still in different components are indexed
+again, now by the rarest values of their full sets: two sets that are similar enough share one of them, at places that
+leave room for the overlap. Those lists are compared in blocks inside the tasks, and only pairs that the places and the
+sketches can't rule out leave a task. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -16,69 +18,141 @@ from pyspark.sql import functions as F
 
 from couponlens.llm.common import components, rows, stored
 
-_BLOCK = 128  # members of a list that are compared with as many others at once
-Near = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+K = 48
+#: Shared values that the union's bottom-k has at least where the similarity is 0.8: fewer than 20 of 48 have a
+#: probability under 1e-8.
+LEAST = 20
+PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
+SLOTS = 1 << 18  # counters of how common a value is; the table has this size for any corpus
+_BLOCK = 512  # members of a list that are compared with as many others at once
 
 
-def _block_pairs(near: Near, width: int):
-    """Task: rows (value, i, j, block, node, size, part, sig) ordered by (value, i, j) to pairs of different parts that may
-    be similar. ``near`` judges pairs by (sig, size) of either side."""
+def sketch(values: np.ndarray) -> bytes:
+    """The K smallest of a set's sorted hashes."""
+    out = np.full(K, PAD, np.uint64)
+    out[: min(K, len(values))] = values[:K]
+    return out.tobytes()
 
-    def compare(block, node, size, part, sig, i, j):
+
+def sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), K)
+
+
+def union_estimate(sa: np.ndarray, na: np.ndarray, sb: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Whether pairs can reach a similarity of 0.8, by the bottom-k sketch of their union; exact where it holds the union."""
+    ok = np.zeros(len(sa), bool)
+    for at in range(0, len(sa), 1 << 15):
+        cut = slice(at, at + (1 << 15))
+        both = np.sort(np.concatenate([sa[cut], sb[cut]], axis=1), axis=1)
+        real = both != PAD
+        shared = np.zeros(both.shape, bool)
+        shared[:, 1:] = (both[:, 1:] == both[:, :-1]) & real[:, 1:]
+        place = np.cumsum(real & ~shared, axis=1)
+        whole = (na[cut] <= K) & (nb[cut] <= K)
+        ok[cut] = np.where(whole, 100 * shared.sum(axis=1) >= 80 * place[:, -1], (shared & (place <= K)).sum(axis=1) >= LEAST)
+    return ok
+
+
+def how_common(values: DataFrame, column: int) -> np.ndarray:
+    """How often values fall into each of SLOTS counters, for an order of rarity that all tasks share. ``column`` holds
+    sets as bytes."""
+
+    def count(batches):
+        for batch in batches:
+            x = np.frombuffer(b"".join(batch.column(column).to_pylist()), np.uint64)
+            slot, n = np.unique(x[x != PAD] & np.uint64(SLOTS - 1), return_counts=True)
+            yield rows(slot=slot.astype(np.int32), n=n.astype(np.int64))
+
+    found = values.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 2").toPandas()
+    out = np.zeros(SLOTS, np.int64)
+    out[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+def exact_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets have a Jaccard similarity of 0.8 or more."""
+    a, b = (bodies.select(F.col("node").alias(k), F.col("body").alias(f"s{k}")) for k in "ab")
+
+    def exact(batches):
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(100 * shared >= 80 * (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long")
+
+
+def _block_pairs():
+    """Task: rows (value, i, j, block, node, size, at, part, sig) ordered by (value, i, j) to pairs of different parts that
+    may be similar."""
+
+    def compare(block, node, size, at, part, sig, i, j):
         if i == j:
             a, b = np.triu_indices(len(node), 1)
         else:
             a, b = (x.ravel() for x in np.meshgrid(np.nonzero(block == i)[0], np.nonzero(block == j)[0], indexing="ij"))
-        different = part[a] != part[b]
-        a, b = a[different], b[different]
-        fits = 100 * np.minimum(size[a], size[b]) >= 80 * np.maximum(size[a], size[b])
+        # the overlap from here on must reach 80/180 of both sizes; before here there is none at the first shared value
+        room = 1 + np.minimum(size[a] - at[a] - 1, size[b] - at[b] - 1)
+        fits = (part[a] != part[b]) & (180 * room >= 80 * (size[a] + size[b]))
         a, b = a[fits], b[fits]
-        ok = near(sig[a], size[a], sig[b], size[b]) if len(a) else np.zeros(0, bool)
+        ok = union_estimate(sig[a], size[a], sig[b], size[b])
         x, y = node[a[ok]], node[b[ok]]
         return np.minimum(x, y), np.maximum(x, y)
 
-    def run(batches):
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            yield from cut(held, False)
-            held = held.slice(run.done)
-        if held is not None and held.num_rows:
-            yield from cut(held, True)
-
     def cut(table, final):
-        value, i, j, block, node, size, part = (table.column(c).to_numpy() for c in range(7))
+        value, i, j, block, node, size, at, part = (table.column(c).to_numpy() for c in range(8))
         new = np.nonzero((value[1:] != value[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))[0] + 1
         edges = np.concatenate([[0], new, [len(value)] if final else []]).astype(np.int64)
-        run.done = int(edges[-1])
-        if len(edges) < 2:
-            return
-        raw = b"".join(table.column(7).slice(0, run.done).to_pylist())
-        sig = np.frombuffer(raw, np.uint64).reshape(run.done, width)
+        done = int(edges[-1])
+        sig = np.frombuffer(b"".join(table.column(8).slice(0, done).to_pylist()), np.uint64).reshape(done, K)
         out_a, out_b = [], []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             if b - a > 1 and (part[a:b] != part[a]).any():
-                x, y = compare(block[a:b], node[a:b], size[a:b], part[a:b], sig[a:b], i[a], j[a])
+                x, y = compare(block[a:b], node[a:b], size[a:b], at[a:b], part[a:b], sig[a:b], i[a], j[a])
                 out_a.append(x)
                 out_b.append(y)
-        if out_a:
-            pairs = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)], axis=1), axis=0)
-            yield rows(a=pairs[:, 0], b=pairs[:, 1])
+        pairs = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)], axis=1), axis=0) if out_a else np.zeros((0, 2), np.int64)
+        return done, rows(a=pairs[:, 0], b=pairs[:, 1])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            done, found = cut(held, False)
+            held = held.slice(done)
+            yield found
+        if held is not None and held.num_rows:
+            yield cut(held, True)[1]
 
     return run
 
 
-def similar_components(index: DataFrame, signatures: DataFrame, near: Near, width: int, verify: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Components (node, component) over all pairs of a common list that ``verify`` confirms.
+def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components (node, component) over all pairs of nodes that share a list and whose sets are similar to 0.8 or more.
 
-    ``index`` has rows (value, node, size), ``signatures`` (node, sig) with ``width`` 64-bit words each. ``verify`` takes
-    pairs (a, b) and the nodes they concern, and returns those that hold. Nodes without a link are not in the result.
+    ``index`` has rows (value, node, size, weight, need); the member of the greatest weight is a list's centre, and a node
+    that has fewer than ``need`` lists with others has no similar one. ``bodies_of`` takes a table of nodes and returns
+    (node, body), their sets as sorted 64-bit hashes. Nodes without a link are not in the result.
     """
     within = Window.partitionBy("value")
-    lists = index.withColumn("centre", F.min(F.struct("node", "size")).over(within)).withColumn("last", F.max("node").over(within))
-    lists = lists.where(F.col("centre.node") != F.col("last"))
+    several = F.min("node").over(within) != F.max("node").over(within)
+    found = stored(index.withColumn("several", several).where("several").drop("several"), "found")
+    enough = found.groupBy("node").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("node")
+    lists = found.join(enough, "node", "left_semi").withColumn("centre", F.max(F.struct("weight", "node", "size")).over(within))
+    lists = lists.withColumn("several", several).where("several")
     lists = stored(lists.select("value", "node", "size", F.col("centre.node").alias("centre"), F.col("centre.size").alias("centre_size")), "lists")
+    bodies = stored(bodies_of(lists.select("node").distinct()), "bodies")
+
+    def with_sketch(batches):
+        for batch in batches:
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+            yield rows(node=batch.column(0), size=pa.array([len(s) for s in sets], pa.int64()), sig=pa.array([sketch(s) for s in sets], pa.binary()))
+
+    signatures = bodies.select("node", "body").mapInArrow(with_sketch, "node long, size long, sig binary")
     least, most = F.least("size", "centre_size"), F.greatest("size", "centre_size")
     pairs = lists.where((F.col("node") != F.col("centre")) & (100 * least >= 80 * most))
     pairs = pairs.select(F.col("centre").alias("a"), F.col("node").alias("b"), F.col("centre_size").alias("na"), F.col("size").alias("nb")).distinct()
@@ -87,31 +161,44 @@ def similar_components(index: DataFrame, signatures: DataFrame, near: Near, widt
     def judge(batches):
         for batch in batches:
             a, b, na, nb = (batch.column(c).to_numpy() for c in range(4))
-            sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, width) for c in (4, 5))
-            ok = near(sa, na, sb, nb) if len(a) else np.zeros(0, bool)
+            ok = union_estimate(sketches(batch.column(4)), na, sketches(batch.column(5)), nb)
             yield rows(a=a[ok], b=b[ok])
 
     likely = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(judge, "a long, b long")
-    likely = stored(likely, "pairs")
-    concerned = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    links = stored(verify(likely, concerned), "verified")
+    links = stored(exact_links(likely, bodies), "verified")
     parts = stored(components(links), "parts")
 
     linked = links.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.lit(True).alias("ok"))
     unsettled = lists.where("node != centre").join(linked, ["centre", "node"], "left").where("ok is null").select("value").distinct()
-    members = lists.join(unsettled, "value", "left_semi").join(parts, "node", "left")
-    members = members.select("value", "node", "size", F.coalesce("component", "node").alias("part"))
-    members = members.withColumn("low", F.min("part").over(within)).withColumn("high", F.max("part").over(within)).where("low != high")
-    numbered = members.withColumn("block", F.floor((F.row_number().over(within.orderBy("node")) - 1) / _BLOCK).cast("int"))
+    members = lists.join(unsettled, "value", "left_semi").select("node").distinct().join(parts, "node", "left")
+    members = members.select("node", F.coalesce("component", "node").alias("part")).join(bodies, "node")
+    common = how_common(members, 2)
+
+    def prefixes(batches):
+        for batch in batches:
+            value, size, at, sig = [], [], [], []
+            for x in batch.column(2).to_pylist():
+                x = np.frombuffer(x, np.uint64)
+                take = len(x) - -(-len(x) * 80 // 100) + 1
+                value.append(x[np.argsort(common[(x & np.uint64(SLOTS - 1)).astype(np.int64)], kind="stable")[:take]])
+                size.append(len(x))
+                at.append(np.arange(take))
+                sig.append(sketch(x))
+            n = np.array([len(v) for v in value])
+            row = np.repeat(np.arange(len(n)), n)
+            yield rows(
+                value=np.concatenate(value).view(np.int64), node=batch.column(0).take(pa.array(row)), part=batch.column(1).take(pa.array(row)),
+                size=np.array(size)[row], at=np.concatenate(at))
+
+    again = members.mapInArrow(prefixes, "value long, node long, part long, size long, at long")
+    again = again.withColumn("low", F.min("part").over(within)).withColumn("high", F.max("part").over(within)).where("low != high")
+    numbered = again.withColumn("block", F.floor((F.row_number().over(within.orderBy("node")) - 1) / _BLOCK).cast("int"))
     numbered = numbered.withColumn("blocks", F.max("block").over(within))
-    dealt = numbered.withColumn("other", F.explode(F.sequence(F.lit(0), "blocks")))
-    dealt = dealt.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "size", "part")
-    dealt = dealt.join(signatures, "node").select("value", "i", "j", "block", "node", "size", "part", "sig")
+    dealt = numbered.withColumn("other", F.explode(F.sequence(F.lit(0), "blocks"))).join(signatures.drop("size"), "node")
+    dealt = dealt.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "size", "at", "part", "sig")
     dealt = dealt.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j", "node")
-    rest = dealt.mapInArrow(_block_pairs(near, width), "a long, b long").distinct()
-    rest = stored(rest.join(likely, ["a", "b"], "left_anti"), "rest")
-    if rest.isEmpty():
+    rest = stored(dealt.mapInArrow(_block_pairs(), "a long, b long").distinct(), "rest")
+    more = stored(exact_links(rest, bodies), "verified")
+    if more.isEmpty():
         return parts
-    concerned = rest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    more = verify(rest, concerned).select("a", "b")
-    return components(links.select("a", "b").unionAll(more))
+    return components(links.unionAll(more))

@@ -1,8 +1,12 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
-A document's sketch is the k smallest hashes of its word shingles. Documents whose sketches can be similar enough share a
-value among the rarest of either sketch; inverted lists of these values give the candidates, the sketch of the union
-estimates the similarity, and the full shingle sets decide.
+A document's sketch is the k smallest hashes of its word shingles. The inverted lists are over pairs of neighbouring
+values of a sketch, which similar documents share and others hardly ever do, however common the single values are. In
+the ordered union of two sketches at least four fifths of the values are shared if the documents are similar enough, and
+so are many pairs of neighbours: .6 n - 1 of them at least where the sketches hold whole sets of n, and at least 7 (fewer
+have a probability of 2e-8) where they are cut at k. Documents that have fewer of their pairs in common with any others,
+as those that share only a passage, are left out at once. The sketch of the union estimates the similarity, and the full
+shingle sets decide (see `groups`).
 """
 
 from __future__ import annotations
@@ -15,20 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from couponlens.llm.common import RunHash, mix64, rows, stored, text_chunks
-from couponlens.llm.groups import similar_components
+from couponlens.llm.groups import K, PAD, SLOTS, how_common, similar_components, sketch, sketches
 
-K = 48
-#: Shared values that the union's bottom-k has at least where the similarity is 0.8: fewer than 20 of 48 have a
-#: probability under 1e-8. Sets of up to 38 shingles are in their sketch as a whole, as are the unions they can join.
-LEAST, WHOLE = 20, 38
-_SLOTS = 1 << 18  # counters of how common a sketch value is; the table has this size for any corpus
+#: Sets of so many shingles and the sets similar to them are in their sketches as a whole.
+WHOLE = 38
+#: Least number of neighbour pairs that larger sets share with a similar one.
+NEIGHBOURS = 7
 _NO_ID = -(1 << 63)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, *range(9, 14)]] = True
 _VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def shingle_sets(texts: list[str], words: int, tool: RunHash) -> list[np.ndarray]:
@@ -66,24 +68,6 @@ def _node(shingles: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True) if len(shingles) else None
 
 
-def sketch(shingles: np.ndarray) -> bytes:
-    out = np.full(K, _PAD, np.uint64)
-    out[: min(K, len(shingles))] = shingles[:K]
-    return out.tobytes()
-
-
-def union_estimate(sa: np.ndarray, na: np.ndarray, sb: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Whether pairs can reach a similarity of 0.8, by the bottom-k sketch of their union; exact where it holds the union."""
-    both = np.sort(np.concatenate([sa, sb], axis=1), axis=1)
-    real = both != _PAD
-    shared = np.zeros(both.shape, bool)
-    shared[:, 1:] = (both[:, 1:] == both[:, :-1]) & real[:, 1:]
-    place = np.cumsum(real & ~shared, axis=1)
-    size = place[:, -1]
-    whole = (na <= K) & (nb <= K)
-    return np.where(whole, 100 * shared.sum(axis=1) >= 80 * size, (shared & (place <= K)).sum(axis=1) >= LEAST)
-
-
 def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Groups documents that are linked, directly or through others, by a Jaccard similarity of 0.8 or more of their
     distinct word shingles.
@@ -108,30 +92,22 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
     firsts = nodes.groupBy("node").agg(F.min("doc").alias("first"))
     signatures = nodes.select("node", F.col("n_shingles").alias("size"), "sig").dropDuplicates(["node"])
 
-    def slots(batches):
-        for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64)
-            slot, n = np.unique(sig[sig != _PAD] & np.uint64(_SLOTS - 1), return_counts=True)
-            yield rows(slot=slot.astype(np.int32), n=n.astype(np.int64))
-
-    counts = signatures.mapInArrow(slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 2").toPandas()
-    common = np.zeros(_SLOTS, np.int64)
-    common[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+    common = how_common(signatures, 2)
 
-    def prefixes(batches):
+    def neighbours(batches):
         for batch in batches:
-            size = batch.column(1).to_numpy()
-            sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(len(size), K)
-            held = np.minimum(size, K)
-            take = np.where(size <= WHOLE, size - -(-size * 80 // 100) + 1, held - LEAST + 1)
-            rarity = common[(sig & np.uint64(_SLOTS - 1)).astype(np.int64)]
-            rarity[sig == _PAD] = np.iinfo(np.int64).max
-            order = np.argsort(rarity, axis=1, kind="stable")  # sketches ascend, so equal counts are ordered by value
-            chosen = np.arange(K)[None, :] < take[:, None]
-            value = np.take_along_axis(sig, order, axis=1)[chosen].view(np.int64)
-            yield rows(value=value, node=np.repeat(batch.column(0).to_numpy(), take), size=np.repeat(size, take))
-
-    index = signatures.mapInArrow(prefixes, "value long, node long, size long")
+            size, sig = batch.column(1).to_numpy(), sketches(batch.column(2))
+            rarity = common[(sig & np.uint64(SLOTS - 1)).astype(np.int64)]
+            weight = np.where(sig == PAD, 0, rarity).sum(axis=1)
+            value = mix64((mix64(sig[:, :-1]) + sig[:, 1:]).ravel()).reshape(len(sig), K - 1)
+            chosen = sig[:, 1:] != PAD
+            n = chosen.sum(axis=1)
+            need = np.where(size <= WHOLE, np.maximum(-(-size * 60 // 100) - 1, 1), NEIGHBOURS)
+            yield rows(
+                value=value[chosen].view(np.int64), node=np.repeat(batch.column(0).to_numpy(), n), size=np.repeat(size, n),
+                weight=np.repeat(weight, n), need=np.repeat(need, n))
+
+    index = signatures.mapInArrow(neighbours, "value long, node long, size long, weight long, need long")
 
     def full(batches):
         tool = RunHash()
@@ -140,24 +116,11 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
             same = [i for i, (s, n) in enumerate(zip(sets, batch.column(0).to_pylist())) if _node(s) == n]
             yield rows(node=batch.column(0).take(pa.array(same, pa.int64())), body=pa.array([sets[i].tobytes() for i in same], pa.binary()))
 
-    def verify(pairs: DataFrame, concerned: DataFrame) -> DataFrame:
-        wanted = concerned.join(firsts, "node").select("node", F.col("first").alias("doc"))
-        bodies = whole.join(wanted, "doc").select("node", "text").mapInArrow(full, "node long, body binary").dropDuplicates(["node"])
-        bodies = stored(bodies, "sets")
-        a, b = (bodies.select(F.col("node").alias(k), F.col("body").alias(f"s{k}")) for k in "ab")
-
-        def exact(batches):
-            for batch in batches:
-                ok = []
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(100 * shared >= 80 * (len(x) + len(y) - shared))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long")
+    def bodies(wanted: DataFrame) -> DataFrame:
+        of = wanted.join(firsts, "node").select("node", F.col("first").alias("doc"))
+        return whole.join(of, "doc").select("node", "text").mapInArrow(full, "node long, body binary").dropDuplicates(["node"])
 
-    parts = similar_components(index, signatures.select("node", "sig"), union_estimate, K, verify)
+    parts = similar_components(index, bodies)
     ids = firsts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = ids.groupBy("component").agg(F.min("first").alias("component_id"))
     ids = ids.join(least, "component").select("node", "component_id")
