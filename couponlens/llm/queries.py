@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from couponlens.llm import bpe, minhash, packing, suffix, tokenfile
+from couponlens.llm import bpe, egojoin, langid, minhash, packing, suffix, tokenfile
 from couponlens.llm.common import table
 
 QUERIES: dict = {}
@@ -17,6 +18,11 @@ def query(function):
     return function
 
 
+def id_fold(n: int) -> Column:
+    """crc32 of the document id as text, modulo n; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
 @query
 def op2_suffix(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.digest(suffix.remove_repeats(table(spark, folder, "documents"), size=100))
@@ -41,3 +47,14 @@ def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     files = tokenfile.write_token_files(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return tokenfile.read_token_files(files)
+
+
+@query
+def op9_ego_join(spark: SparkSession, folder: str) -> DataFrame:
+    return egojoin.near_vectors(table(spark, folder, "embeddings"), least=0.9)
+
+
+@query
+def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
+    found = langid.identify(table(spark, folder, "documents"), learn=id_fold(4) != 2)
+    return found.select("doc_id", (id_fold(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
