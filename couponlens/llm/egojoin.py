@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from couponlens.llm.common import components, partitions, rows, stored
+from couponlens.llm.groups import spanning
 
 AXES = 8  # leading axes of the grid
 BOX = 16  # leading axes of the bounding boxes
@@ -86,22 +87,6 @@ def _leaf_pairs(u, y, a, b, c, d, eps2, least, out):
         _leaf_pairs(u, y, a, b, m, d, eps2, least, out)
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest member of each component of n places under the links (i, j)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        np.minimum.at(new, label[i], low)
-        np.minimum.at(new, label[j], low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def near_vectors(vectors: DataFrame, least: float = 0.9, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """Links vectors whose cosine in double precision is ``least`` or more: vec_id, n_links, component_id, kept.
 
@@ -208,7 +193,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, key: str = "vec_id", co
             i, j = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
             links = np.bincount(i, copies[j], len(nodes)) + np.bincount(j, copies[i], len(nodes))
             at = np.nonzero(links)[0]
-            root = _roots(len(nodes), i, j)
+            root = spanning(len(nodes), i, j)
             yield rows(node=nodes[at], n=links[at].astype(np.int64), root=nodes[root[at]])
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "size", "nodes_a", "copies_a", "body_a", "nodes_b", "copies_b", "body_b")

@@ -1,10 +1,10 @@
 """Connected components of a set similarity of 0.8 or more, from inverted lists and without writing out a list's pairs.
 
 Every list first links its members to one of them, its centre, the member made up of the most common values. A list is
-settled when all of these links hold. Members of the other lists that are still in different components are indexed
-again, now by the rarest values of their full sets: two sets that are similar enough share one of them, at places that
-leave room for the overlap. Those lists are compared in blocks inside the tasks, and only pairs that the places and the
-sketches can't rule out leave a task. Every link is confirmed on the full sets.
+settled when all of these links hold. The members of the other lists form families, one for each centre; two members
+that are similar share a list and so a family. The members
+outside a family's largest component are compared, in blocks and on the full sets, with each other and with that
+component; no more than spanning links leave a task.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,8 @@ K = 48
 LEAST = 20
 PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
 SLOTS = 1 << 18  # counters of how common a value is; the table has this size for any corpus
-_BLOCK = 512  # members of a list that are compared with as many others at once
+_REST, _MAIN = 512, 2048  # members of a family's smaller parts, and of its largest part, that a task compares
+_SLICE = 4096  # values that a comparison holds as a matrix at once
 
 
 def sketch(values: np.ndarray) -> bytes:
@@ -69,15 +71,22 @@ def how_common(values: DataFrame, column: int) -> np.ndarray:
     return out
 
 
-def exact_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+Sets = Callable[[list[bytes]], list[np.ndarray]]
+
+
+def stored_sets(bodies: list[bytes]) -> list[np.ndarray]:
+    """Bodies that are the sorted hashes themselves."""
+    return [np.frombuffer(x, np.uint64) for x in bodies]
+
+
+def exact_links(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:
     """The pairs (a, b) whose full sets have a Jaccard similarity of 0.8 or more."""
     a, b = (bodies.select(F.col("node").alias(k), F.col("body").alias(f"s{k}")) for k in "ab")
 
     def exact(batches):
-        for batch in batches:
+        for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
             ok = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(sets_of(batch.column(2).to_pylist()), sets_of(batch.column(3).to_pylist())):
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * shared >= 80 * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -85,41 +94,66 @@ def exact_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long")
 
 
-def _block_pairs():
-    """Task: rows (value, i, j, block, node, size, at, part, sig) ordered by (value, i, j) to pairs of different parts that
-    may be similar."""
-
-    def compare(block, node, size, at, part, sig, i, j):
-        if i == j:
-            a, b = np.triu_indices(len(node), 1)
-        else:
-            a, b = (x.ravel() for x in np.meshgrid(np.nonzero(block == i)[0], np.nonzero(block == j)[0], indexing="ij"))
-        # the overlap from here on must reach 80/180 of both sizes; before here there is none at the first shared value
-        room = 1 + np.minimum(size[a] - at[a] - 1, size[b] - at[b] - 1)
-        fits = (part[a] != part[b]) & (180 * room >= 80 * (size[a] + size[b]))
-        a, b = a[fits], b[fits]
-        ok = union_estimate(sig[a], size[a], sig[b], size[b])
-        x, y = node[a[ok]], node[b[ok]]
-        return np.minimum(x, y), np.maximum(x, y)
+def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest member of each component of n places under the links (i, j)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        for at in (i, j, label[i], label[j]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def links_between(part: np.ndarray, left: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets in different parts with a similarity of 0.8 or more, one of each pair in the left block and one in the
+    right; ``left`` marks the left block. Overlaps are counted exactly, by products over the values that occur twice."""
+    n, size = len(sets), np.array([len(s) for s in sets])
+    parts, count = np.unique(part, return_counts=True)
+    few = np.nonzero(part != parts[count.argmax()])[0]  # every pair of different parts has a member here
+    which, different = pd.factorize(np.concatenate(sets))
+    row = np.repeat(np.arange(n), size)
+    often = np.bincount(which) > 1
+    code = np.cumsum(often) - 1
+    row, which = row[often[which]], code[which[often[which]]]
+    order = np.argsort(which, kind="stable")
+    row, which = row[order], which[order]
+    overlap = np.zeros((len(few), n), np.float32)
+    for low in range(0, int(often.sum()), _SLICE):
+        a, b = np.searchsorted(which, [low, low + _SLICE])
+        matrix = np.zeros((n, _SLICE), np.float32)
+        matrix[row[a:b], which[a:b] - low] = 1
+        overlap += matrix[few] @ matrix.T
+    both = size[few][:, None] + size[None, :]
+    ok = (180 * overlap.astype(np.int64) >= 80 * both) & (part[few][:, None] != part[None, :]) & ((left[few][:, None] != left[None, :]) | left.all())
+    i, j = np.nonzero(ok)
+    return few[i], j
+
+
+def _family_links(sets_of: Sets):
+    """Task: rows (centre, i, j, block, node, part, body) ordered by (centre, i, j) to spanning links (a, b)."""
 
     def cut(table, final):
-        value, i, j, block, node, size, at, part = (table.column(c).to_numpy() for c in range(8))
-        new = np.nonzero((value[1:] != value[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))[0] + 1
-        edges = np.concatenate([[0], new, [len(value)] if final else []]).astype(np.int64)
-        done = int(edges[-1])
-        sig = np.frombuffer(b"".join(table.column(8).slice(0, done).to_pylist()), np.uint64).reshape(done, K)
+        centre, i, j, block, node, part = (table.column(c).to_numpy() for c in range(6))
+        new = np.nonzero((centre[1:] != centre[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))[0] + 1
+        edges = np.concatenate([[0], new, [len(centre)] if final else []]).astype(np.int64)
         out_a, out_b = [], []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             if b - a > 1 and (part[a:b] != part[a]).any():
-                x, y = compare(block[a:b], node[a:b], size[a:b], at[a:b], part[a:b], sig[a:b], i[a], j[a])
-                out_a.append(x)
-                out_b.append(y)
-        pairs = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)], axis=1), axis=0) if out_a else np.zeros((0, 2), np.int64)
-        return done, rows(a=pairs[:, 0], b=pairs[:, 1])
+                sets = sets_of(table.column(6).slice(a, b - a).to_pylist())
+                x, y = links_between(part[a:b], block[a:b] == i[a], sets)
+                root = spanning(b - a, x, y)
+                linked = np.nonzero(root != np.arange(b - a))[0]
+                out_a.append(node[a:b][linked])
+                out_b.append(node[a:b][root[linked]])
+        return int(edges[-1]), rows(a=np.concatenate([*out_a, np.zeros(0, np.int64)]), b=np.concatenate([*out_b, np.zeros(0, np.int64)]))
 
     def run(batches):
         held = None
-        for batch in batches:
+        for batch in (x.slice(i, 2000) for x in batches for i in range(0, x.num_rows, 2000)):
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
             done, found = cut(held, False)
@@ -131,74 +165,69 @@ def _block_pairs():
     return run
 
 
-def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components (node, component) over all pairs of nodes that share a list and whose sets are similar to 0.8 or more.
-
-    ``index`` has rows (value, node, size, weight, need); the member of the greatest weight is a list's centre, and a node
-    that has fewer than ``need`` lists with others has no similar one. ``bodies_of`` takes a table of nodes and returns
-    (node, body), their sets as sorted 64-bit hashes. Nodes without a link are not in the result.
-    """
-    within = Window.partitionBy("value")
-    several = F.min("node").over(within) != F.max("node").over(within)
-    found = stored(index.withColumn("several", several).where("several").drop("several"), "found")
-    enough = found.groupBy("node").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("node")
-    lists = found.join(enough, "node", "left_semi").withColumn("centre", F.max(F.struct("weight", "node", "size")).over(within))
-    lists = lists.withColumn("several", several).where("several")
-    lists = stored(lists.select("value", "node", "size", F.col("centre.node").alias("centre"), F.col("centre.size").alias("centre_size")), "lists")
-    bodies = stored(bodies_of(lists.select("node").distinct()), "bodies")
+def _likely(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:
+    """The pairs whose sizes and sketches allow a similarity of 0.8."""
 
     def with_sketch(batches):
         for batch in batches:
-            sets = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+            sets = sets_of(batch.column(1).to_pylist())
             yield rows(node=batch.column(0), size=pa.array([len(s) for s in sets], pa.int64()), sig=pa.array([sketch(s) for s in sets], pa.binary()))
 
-    signatures = bodies.select("node", "body").mapInArrow(with_sketch, "node long, size long, sig binary")
-    least, most = F.least("size", "centre_size"), F.greatest("size", "centre_size")
-    pairs = lists.where((F.col("node") != F.col("centre")) & (100 * least >= 80 * most))
-    pairs = pairs.select(F.col("centre").alias("a"), F.col("node").alias("b"), F.col("centre_size").alias("na"), F.col("size").alias("nb")).distinct()
-    left, right = (signatures.select(F.col("node").alias(k), F.col("sig").alias(f"s{k}")) for k in "ab")
-
     def judge(batches):
         for batch in batches:
             a, b, na, nb = (batch.column(c).to_numpy() for c in range(4))
             ok = union_estimate(sketches(batch.column(4)), na, sketches(batch.column(5)), nb)
+            ok &= 100 * np.minimum(na, nb) >= 80 * np.maximum(na, nb)
             yield rows(a=a[ok], b=b[ok])
 
-    likely = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(judge, "a long, b long")
-    links = stored(exact_links(likely, bodies), "verified")
+    signatures = bodies.select("node", "body").mapInArrow(with_sketch, "node long, size long, sig binary")
+    left, right = (signatures.select(F.col("node").alias(k), F.col("size").alias(f"n{k}"), F.col("sig").alias(f"s{k}")) for k in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(judge, "a long, b long")
+
+
+def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], sets_of: Sets = stored_sets, estimate: bool = True) -> DataFrame:
+    """Components (node, component) over all pairs of nodes that share a list and whose sets are similar to 0.8 or more.
+
+    ``index`` has rows (value, node, weight, need); the member of the greatest weight is a list's centre, and a node
+    that has fewer than ``need`` lists with others has no similar one. ``bodies_of`` takes a table of nodes and returns
+    (node, body), and ``sets_of`` makes sorted 64-bit hashes of bodies. With ``estimate``, the sketches of the unions sort
+    out pairs before the full sets meet. Nodes without a link are not in the result.
+    """
+    within = Window.partitionBy("value")
+    several = F.min("node").over(within) != F.max("node").over(within)
+    found = stored(index.withColumn("several", several).where("several").drop("several"), "found")
+    enough = found.groupBy("node").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("node")
+    lists = found.join(enough, "node", "left_semi").withColumn("centre", F.max(F.struct("weight", "node")).over(within))
+    lists = lists.withColumn("several", several).where("several")
+    lists = stored(lists.select("value", "node", "need", F.col("centre.node").alias("centre")), "lists")
+    bodies = stored(bodies_of(lists.select("node").distinct()), "bodies")
+
+    likely = lists.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    if estimate:
+        likely = _likely(likely, bodies, sets_of)
+    links = stored(exact_links(likely, bodies, sets_of), "verified")
     parts = stored(components(links), "parts")
 
     linked = links.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.lit(True).alias("ok"))
     unsettled = lists.where("node != centre").join(linked, ["centre", "node"], "left").where("ok is null").select("value").distinct()
-    members = lists.join(unsettled, "value", "left_semi").select("node").distinct().join(parts, "node", "left")
-    members = members.select("node", F.coalesce("component", "node").alias("part")).join(bodies, "node")
-    common = how_common(members, 2)
-
-    def prefixes(batches):
-        for batch in batches:
-            value, size, at, sig = [], [], [], []
-            for x in batch.column(2).to_pylist():
-                x = np.frombuffer(x, np.uint64)
-                take = len(x) - -(-len(x) * 80 // 100) + 1
-                value.append(x[np.argsort(common[(x & np.uint64(SLOTS - 1)).astype(np.int64)], kind="stable")[:take]])
-                size.append(len(x))
-                at.append(np.arange(take))
-                sig.append(sketch(x))
-            n = np.array([len(v) for v in value])
-            row = np.repeat(np.arange(len(n)), n)
-            yield rows(
-                value=np.concatenate(value).view(np.int64), node=batch.column(0).take(pa.array(row)), part=batch.column(1).take(pa.array(row)),
-                size=np.array(size)[row], at=np.concatenate(at))
-
-    again = members.mapInArrow(prefixes, "value long, node long, part long, size long, at long")
-    again = again.withColumn("low", F.min("part").over(within)).withColumn("high", F.max("part").over(within)).where("low != high")
-    numbered = again.withColumn("block", F.floor((F.row_number().over(within.orderBy("node")) - 1) / _BLOCK).cast("int"))
-    numbered = numbered.withColumn("blocks", F.max("block").over(within))
-    dealt = numbered.withColumn("other", F.explode(F.sequence(F.lit(0), "blocks"))).join(signatures.drop("size"), "node")
-    dealt = dealt.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "size", "at", "part", "sig")
-    dealt = dealt.repartition("value", "i", "j").sortWithinPartitions("value", "i", "j", "node")
-    rest = stored(dealt.mapInArrow(_block_pairs(), "a long, b long").distinct(), "rest")
-    more = stored(exact_links(rest, bodies), "verified")
+    family = lists.join(unsettled, "value", "left_semi").groupBy("centre", "node").agg(F.count("*").alias("n"), F.max("need").alias("need"))
+    # a pair that is similar has `need` lists in common, so either may leave the families of nearly half as many
+    so_far = F.sum("n").over(Window.partitionBy("node").orderBy("n", "centre").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    family = family.withColumn("so_far", so_far).where("2 * so_far >= need").join(parts, "node", "left")
+    family = family.select("centre", "node", F.coalesce("component", "node").alias("part"))
+    of = Window.partitionBy("centre")
+    counted = family.withColumn("n", F.count("*").over(Window.partitionBy("centre", "part")))
+    counted = counted.withColumn("main", F.max(F.struct("n", "part")).over(of)["part"]).withColumn("rest", F.col("part") != F.col("main"))
+    counted = counted.withColumn("any", F.max("rest").over(of)).where("any")
+    nth = F.row_number().over(Window.partitionBy("centre", "rest").orderBy("part", "node")) - 1
+    # blocks of the largest part are numbered -1, -2, ...; they meet the blocks of the rest, never each other
+    numbered = counted.withColumn("nth", nth).withColumn("block", F.floor(F.when(F.col("rest"), F.col("nth") / _REST).otherwise(-1 - F.floor(F.col("nth") / _MAIN))).cast("int"))
+    numbered = numbered.withColumn("top", F.max("block").over(of)).withColumn("bottom", F.min("block").over(of))
+    others = F.when(F.col("rest"), F.sequence("bottom", "top")).otherwise(F.sequence(F.lit(0), "top"))
+    dealt = numbered.withColumn("other", F.explode(others)).join(bodies, "node")
+    dealt = dealt.select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "part", "body")
+    dealt = dealt.repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j")
+    more = stored(dealt.mapInArrow(_family_links(sets_of), "a long, b long"), "more")
     if more.isEmpty():
         return parts
     return components(links.unionAll(more))

@@ -68,7 +68,7 @@ def _node(shingles: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True) if len(shingles) else None
 
 
-def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text: str = "text", mark: bool = False) -> DataFrame:
     """Groups documents that are linked, directly or through others, by a Jaccard similarity of 0.8 or more of their
     distinct word shingles.
 
@@ -81,13 +81,17 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
 
     def measure(batches):
         tool = RunHash()
-        for keys, texts in text_chunks(batches):
-            sets = shingle_sets(texts, words, tool)
-            yield rows(
-                doc=keys, n_shingles=pa.array([len(s) for s in sets], pa.int64()),
-                node=pa.array([_node(s) for s in sets], pa.int64()), sig=pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()))
-
-    measured = stored(whole.mapInArrow(measure, "doc long, n_shingles long, node long, sig binary"), "sketches")
+        for whole_batch in batches:
+            at = 0
+            for keys, texts in text_chunks([whole_batch]):
+                sets = shingle_sets(texts, words, tool)
+                yield rows(
+                    doc=keys, n_shingles=pa.array([len(s) for s in sets], pa.int64()), node=pa.array([_node(s) for s in sets], pa.int64()),
+                    sig=pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()), mark=whole_batch.column(2).slice(at, len(texts)))
+                at += len(texts)
+
+    marked = whole.withColumn("mark", F.xxhash64("text"))
+    measured = stored(marked.mapInArrow(measure, "doc long, n_shingles long, node long, sig binary, mark long"), "sketches")
     nodes = measured.where("node is not null")
     firsts = nodes.groupBy("node").agg(F.min("doc").alias("first"))
     signatures = nodes.select("node", F.col("n_shingles").alias("size"), "sig").dropDuplicates(["node"])
@@ -104,10 +108,10 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
             n = chosen.sum(axis=1)
             need = np.where(size <= WHOLE, np.maximum(-(-size * 60 // 100) - 1, 1), NEIGHBOURS)
             yield rows(
-                value=value[chosen].view(np.int64), node=np.repeat(batch.column(0).to_numpy(), n), size=np.repeat(size, n),
+                value=value[chosen].view(np.int64), node=np.repeat(batch.column(0).to_numpy(), n),
                 weight=np.repeat(weight, n), need=np.repeat(need, n))
 
-    index = signatures.mapInArrow(neighbours, "value long, node long, size long, weight long, need long")
+    index = signatures.mapInArrow(neighbours, "value long, node long, weight long, need long")
 
     def full(batches):
         tool = RunHash()
@@ -124,7 +128,16 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
     ids = firsts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = ids.groupBy("component").agg(F.min("first").alias("component_id"))
     ids = ids.join(least, "component").select("node", "component_id")
-    return measured.select("doc", "n_shingles", "node").join(ids, "node", "left").select(
-        F.when(F.col("doc") != _NO_ID, F.col("doc")).alias("doc_id"), "n_shingles",
+    more = ["doc", "mark"] if mark else []
+    return measured.select("doc", "n_shingles", "node", "mark").join(ids, "node", "left").select(
+        *more, F.when(F.col("doc") != _NO_ID, F.col("doc")).alias("doc_id"), "n_shingles",
         F.when(F.coalesce("component_id", "doc") != _NO_ID, F.coalesce("component_id", "doc")).alias("component_id"),
         (F.coalesce("component_id", "doc") == F.col("doc")).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that `near_components` keeps, with all their columns. Rows that repeat an id are told apart by their texts,
+    and rows that repeat both are kept or dropped together; rows with a null id stay if their group names no id."""
+    kept = near_components(docs, words, key, text, mark=True).where("kept").select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark")).distinct()
+    own = F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    return docs.join(kept, (own[0] == kept["_doc"]) & (own[1] == kept["_mark"]), "left_semi")
