@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers find this package where it is not installed but lies in the same place on every machine, as
+    with a local master. A cluster without such a place gets it with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back. What stands before it does not run again, also when an
     executor is lost. ``drop_stored`` deletes the tables of this session when their results have been written."""

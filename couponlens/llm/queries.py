@@ -6,15 +6,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couponlens.llm import bpe, egojoin, langid, minhash, packing, suffix, tokenfile
-from couponlens.llm.common import table
+from couponlens.llm import bpe, egojoin, imatch, langid, lines, minhash, packing, suffix, tokenfile, toxicity
+from couponlens.llm.common import ship, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
     return function
 
 
@@ -23,6 +27,14 @@ def id_fold(n: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
 
 
+@query
+def op1_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.edited_fingerprints(table(spark, folder, "documents"))
+
+
+ORACLES["op1_imatch"] = imatch.oracle_sql()
+
+
 @query
 def op2_suffix(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.digest(suffix.remove_repeats(table(spark, folder, "documents"), size=100))
@@ -58,3 +70,15 @@ def op9_ego_join(spark: SparkSession, folder: str) -> DataFrame:
 def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
     found = langid.identify(table(spark, folder, "documents"), learn=id_fold(4) != 2)
     return found.select("doc_id", (id_fold(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op7_lines(spark: SparkSession, folder: str) -> DataFrame:
+    out = lines.dedup_lines(table(spark, folder, "documents"))
+    return out.select(F.col("rest.doc_id").alias("doc_id"), "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"), learn=id_fold(5) != 0)
+    return found.select("doc_id", (id_fold(5) == 0).alias("held_out"), "score", "predicted")

@@ -349,7 +349,7 @@ def _shards(size: int, limit: int):
     return run
 
 
-def _remove():
+def _remove(as_text: bool):
     def run(batches):
         for batch in (x.slice(i, 500) for x in batches for i in range(0, x.num_rows, 500)):
             n_bytes, kept, spans = [], [], []
@@ -369,17 +369,19 @@ def _remove():
                 kept.append(b"".join([*out, raw[at:]]))
                 spans.append(merged)
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield rows(doc_id=batch.column(0), rest=batch.column(3), n_bytes=pa.array(n_bytes, pa.int64()), kept=pa.array(kept, pa.binary()), spans=pa.array(spans, span))
+            more = {"kept_text": pa.array([x.decode(errors="ignore") for x in kept], pa.string())} if as_text else {}
+            yield rows(doc_id=batch.column(0), rest=batch.column(3), n_bytes=pa.array(n_bytes, pa.int64()), kept=pa.array(kept, pa.binary()), spans=pa.array(spans, span), **more)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, size: int = 100, key: str = "doc_id", text: str = "text", shard_bytes: int = _SHARD) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 100, key: str = "doc_id", text: str = "text", shard_bytes: int = _SHARD, as_text: bool = False) -> DataFrame:
     """Cuts out every byte covered by a string of ``size`` bytes that also starts earlier: in a document with a smaller
     id, or earlier in the same one. Strings do not cross documents and are judged on the input.
 
     Returns every row with ``n_bytes``, ``kept`` (binary: a cut may fall inside a character) and ``spans`` (start and
-    end of the maximal removed runs), and ``rest``, a struct of all columns of the row. A null or empty text, or one
+    end of the maximal removed runs), and ``rest``, a struct of the row's other columns; with ``as_text`` also
+    ``kept_text``, without characters that a cut went through. A null or empty text, or one
     shorter than ``size``, has no spans; a null id comes before all others; rows that repeat id and text are one document
     and get the same result; an empty table gives no rows.
     """
@@ -411,7 +413,7 @@ def remove_repeats(docs: DataFrame, size: int = 100, key: str = "doc_id", text:
     spans = ranges.unionAll(more).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     joined = whole.join(spans, "doc", "left").select("doc", "text", "found", "rest")
     rest = joined.schema["rest"].dataType.simpleString()
-    out = joined.mapInArrow(_remove(), f"doc_id long, rest {rest}, n_bytes long, kept binary, spans array<struct<start:long,end:long>>")
+    out = joined.mapInArrow(_remove(as_text), f"doc_id long, rest {rest}, n_bytes long, kept binary, spans array<struct<start:long,end:long>>" + ", kept_text string" * as_text)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
 
 
