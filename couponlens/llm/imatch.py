@@ -108,8 +108,9 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     order = ids.withColumn("next", F.lead(me).over(inside)).join(heads, "part")
     order = order.select(F.col("doc").alias("of"), F.col("th").alias("of_th"), "n", F.coalesce("next", "after").alias("next"))
     order = order.select("of", "of_th", F.floor(F.col("n") / 3).cast("int").alias("need"), F.col("next.doc").alias("doc"), F.col("next.th").alias("th"))
-    one = given.dropDuplicates(["doc", "th"])
-    begun = one.join(order, ["doc", "th"]).select(F.col("of").alias("doc"), F.col("of_th").alias("th"), F.expr("substring(text, 1, need)").alias("head"), F.col("fp").alias("next_fp"))
+    # both joins are on the same key of the same rows, so texts and fingerprints are made and shuffled once
+    begun = given.join(order, ["doc", "th"]).select(F.col("of").alias("doc"), F.col("of_th").alias("th"), F.expr("substring(text, 1, need)").alias("head"), F.col("fp").alias("next_fp"))
+    begun = begun.dropDuplicates(["doc", "th"])
     n = F.char_length("text")
     joined = given.join(begun, ["doc", "th"]).withColumn("edited", F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 3) as int))"), "head"))
     joined = joined.withColumn("edited_fp", fingerprint(F.col("edited"), lookup))
