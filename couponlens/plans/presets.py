@@ -15,7 +15,7 @@ CLASS_RULES = (
 )
 
 # The coupon policies of the campaign, its first day, and the zone of its calendar.
-CAMPAIGN_POLICIES = tuple(range(16264, 16272))
+CAMPAIGN_POLICIES = (16264, 16265, 16266, 16267, 16268, 16269, 16270, 16271)
 CAMPAIGN_START = date(2026, 3, 26)
 LOCAL_ZONE = "Asia/Seoul"
 REPORT_YEAR = 2026

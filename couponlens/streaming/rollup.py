@@ -10,7 +10,9 @@ does not grow with the history.
 
 from __future__ import annotations
 
+import json
 import uuid
+import warnings
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +60,14 @@ def batch_daily_rollup(df: DataFrame, ts: str, id: str, group: str) -> DataFrame
     return days.select("event_date", group, "cnt", half_up("rev_sum", 2).alias("rev"))
 
 
+class LateRows(UserWarning):
+    """Rows arrived behind the watermark, so the rollup does not count them."""
+
+
+def _plain(progress) -> dict:
+    return json.loads(progress.json) if hasattr(progress, "json") else progress
+
+
 def run_rollup(
     spark: SparkSession, source: str, schema: T.StructType, prepare, ts: str, id: str, group: str, delay: str,
     out: str | None = None, checkpoint: str | None = None, files_per_trigger: int | None = None,
@@ -66,7 +76,8 @@ def run_rollup(
 
     ``prepare`` turns source rows into bookings. Output and checkpoint default to a new place in the shared folder;
     give both to continue an earlier run. ``files_per_trigger`` cuts a large backlog into batches; use it when files
-    arrive in the order of their days, since a batch moves the watermark past rows that come in a later one.
+    arrive in the order of their days, since a batch moves the watermark past rows that come in a later one. Rows that
+    are left out in this way, or are later than ``delay``, are counted in a warning (`LateRows`).
     """
     if (out is None) != (checkpoint is None):
         raise ValueError("give both the output and the checkpoint folder, or neither")
@@ -86,4 +97,7 @@ def run_rollup(
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in map(_plain, query.recentProgress) for op in p["stateOperators"])
+    if late:
+        warnings.warn(LateRows(f"{late} rows, repeated ones included, came after their day was closed and were left out of {out}"), stacklevel=2)
     return spark.read.schema(rollup.schema).parquet(out)

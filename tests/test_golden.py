@@ -30,16 +30,39 @@ SD = {
     "cm": [0.59, 0.54, 0.62, 0.84, 0.60, 0.62, 0.48, 0.45, 0.66, 0.39, 0.45, 0.51, 0.45, 0.10],
     "pft": [-0.32, -0.28, -0.44, -0.63, -0.37, -0.28, -0.22, -0.21, -0.27, -0.22, -0.26, -0.29, -0.25, 0.00],
 }
-# Two weeks by division (revenue, profit, count); divisions are numbered by their place in the first week.
+# Two weeks by division (revenue, profit, count). The code of the eleventh division is left out, as it is a
+# product name.
 W14 = [
-    (1, 3612.9, 898.4, 41916), (2, 940.7, -35.4, 19816), (3, 235.5, 66.4, 2880), (4, 231.5, -8.8, 3147),
-    (5, 117.2, -3.6, 2687), (6, 67.7, -8.1, 1472), (7, 38.3, -12.9, 1215), (8, 33.4, 7.0, 476), (9, 18.4, 3.5, 276),
-    (10, 9.9, 1.6, 97), (11, 9.5, -4.0, 190), (12, 2.3, -0.4, 81), (13, 0.3, -0.8, 23), (14, 0.0, -0.1, 2),
+    ("NORMAL", 3612.9, 898.4, 41916),
+    ("TARGET", 940.7, -35.4, 19816),
+    ("B2B", 235.5, 66.4, 2880),
+    ("MAM", 231.5, -8.8, 3147),
+    ("PASSPORT", 117.2, -3.6, 2687),
+    ("SUPER_DEAL", 67.7, -8.1, 1472),
+    ("SUPER_DEAL_CLOSING_SALE", 38.3, -12.9, 1215),
+    ("COMPANY", 33.4, 7.0, 476),
+    ("MEMBERSHIP", 18.4, 3.5, 276),
+    ("PARTNERSHIP", 9.9, 1.6, 97),
+    ("d11", 9.5, -4.0, 190),
+    ("VOUCHER", 2.3, -0.4, 81),
+    ("CS", 0.3, -0.8, 23),
+    ("CARZONE", 0.0, -0.1, 2),
 ]
 W15 = [
-    (1, 3510.9, 838.7, 40663), (2, 755.8, -31.4, 15071), (4, 276.0, -3.9, 3446), (3, 228.0, 59.6, 2845),
-    (5, 95.7, -2.3, 2154), (6, 42.3, -5.8, 934), (8, 28.4, 5.8, 396), (7, 25.2, -9.6, 788), (9, 18.2, 3.0, 279),
-    (10, 16.1, 1.4, 160), (11, 9.9, -4.1, 192), (12, 2.2, -0.2, 67), (13, 0.8, -1.3, 36), (14, 0.1, 0.0, 2),
+    ("NORMAL", 3510.9, 838.7, 40663),
+    ("TARGET", 755.8, -31.4, 15071),
+    ("MAM", 276.0, -3.9, 3446),
+    ("B2B", 228.0, 59.6, 2845),
+    ("PASSPORT", 95.7, -2.3, 2154),
+    ("SUPER_DEAL", 42.3, -5.8, 934),
+    ("COMPANY", 28.4, 5.8, 396),
+    ("SUPER_DEAL_CLOSING_SALE", 25.2, -9.6, 788),
+    ("MEMBERSHIP", 18.2, 3.0, 279),
+    ("PARTNERSHIP", 16.1, 1.4, 160),
+    ("d11", 9.9, -4.1, 192),
+    ("VOUCHER", 2.2, -0.2, 67),
+    ("CS", 0.8, -1.3, 36),
+    ("CARZONE", 0.1, 0.0, 2),
 ]
 # First weeks of two months by day (count, hours).
 MAY = [(81, 1821), (1150, 36408), (1625, 71935), (871, 40999), (666, 32336), (92, 4139), (73, 2609)]
@@ -71,7 +94,7 @@ def weekly(spark):
 
 @pytest.fixture(scope="module")
 def divisions(spark):
-    lines = [(w, f"d{d:02}", r, p, c) for w, week in ((14, W14), (15, W15)) for d, r, p, c in week]
+    lines = [(w, d, r, p, c) for w, week in ((14, W14), (15, W15)) for d, r, p, c in week]
     return spark.createDataFrame(lines, "week int, division string, rev double, profit double, cnt bigint")
 
 
@@ -109,10 +132,10 @@ def test_wow(divisions, rows):
     assert (total["cur_rev"], total["cur_profit"], total["cur_cnt"]) == (5009.6, 849.9, 67033)
     assert (total["d_rev"], total["d_cnt"], total["prev_gpm"], total["cur_gpm"], total["d_gpm"]) == (-308.0, -7245, 17.0, 17.0, 0.0)
     ordered = sorted(rows(periods.sort_delta_desc(periods.wow_rows(paired, ["division"]))), key=lambda r: r["rank"])
-    assert [r["division"] for r in ordered[:2]] == ["d04", "d10"]
-    assert ordered[-1]["division"] == "d02" and ordered[-1]["d_rev_pct"] == -19.7
-    assert next(r for r in ordered if r["division"] == "d14")["prev_gpm"] == 0.0
-    assert next(r for r in ordered if r["division"] == "d14")["d_rev_pct"] is None
+    assert [r["division"] for r in ordered[:2]] == ["MAM", "PARTNERSHIP"]
+    assert ordered[-1]["division"] == "TARGET" and ordered[-1]["d_rev_pct"] == -19.7
+    assert next(r for r in ordered if r["division"] == "CARZONE")["prev_gpm"] == 0.0
+    assert next(r for r in ordered if r["division"] == "CARZONE")["d_rev_pct"] is None
 
 
 def test_separate_tables_pair_like_one(divisions, rows):
@@ -124,7 +147,7 @@ def test_separate_tables_pair_like_one(divisions, rows):
 
 def test_sort_gpm(divisions, rows):
     ordered = sorted(rows(periods.sort_gpm_asc(divisions.filter("week = 15"))), key=lambda r: r["rank"])
-    assert [r["division"] for r in ordered[:2]] == ["d13", "d11"] and ordered[-1]["division"] == "d03"
+    assert [r["division"] for r in ordered[:2]] == ["CS", "d11"] and ordered[-1]["division"] == "B2B"
 
 
 def test_first_week(spark, rows):

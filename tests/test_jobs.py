@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,12 +55,9 @@ def test_stream_folders_come_in_pairs(spark, tmp_path):
         run_rollup(spark, "x", SCHEMAS["events"], booking_columns, delay="1 day", out=str(tmp_path), **ARGS)
 
 
-def test_shared_folder_follows_the_session(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        assert shared_folder(spark) == named.rstrip("/")
-    spark.conf.set("spark.checkpoint.dir", "/shared/place/") if not named else None
-    assert shared_folder(spark)
+def test_shared_folder_follows_the_session():
+    session = SimpleNamespace(conf={"spark.checkpoint.dir": "/shared/place/"})
+    assert shared_folder(session) == "/shared/place"
 
 
 def refresh(spark, data, out, as_of, minute):
