@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from couponlens.session import shared_folder
 
 _STORED: list[str] = []
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Code points or bytes that a task handles at once; a longer single text is handled alone.
 CHUNK = 2_000_000
 
@@ -38,7 +39,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     executor is lost. ``drop_stored`` deletes the tables of this session when their results have been written."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # shuffle files of a job whose result is stored serve nobody
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -188,18 +188,23 @@ def _likely(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:
 def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], sets_of: Sets = stored_sets, estimate: bool = True) -> DataFrame:
     """Components (node, component) over all pairs of nodes that share a list and whose sets are similar to 0.8 or more.
 
-    ``index`` has rows (value, node, weight, need); the member of the greatest weight is a list's centre, and a node
-    that has fewer than ``need`` lists with others has no similar one. ``bodies_of`` takes a table of nodes and returns
-    (node, body), and ``sets_of`` makes sorted 64-bit hashes of bodies. With ``estimate``, the sketches of the unions sort
-    out pairs before the full sets meet. Nodes without a link are not in the result.
+    ``index`` has rows (value, node) and may have (weight, need): the member of the greatest weight, or the greatest one, is
+    a list's centre, and a node that has fewer than ``need`` lists with others has no similar one. ``bodies_of`` takes a
+    table of nodes and returns (node, body), and ``sets_of`` makes sorted 64-bit hashes of bodies. With ``estimate``, the
+    sketches of the unions sort out pairs before the full sets meet. Nodes without a link are not in the result.
     """
     within = Window.partitionBy("value")
-    several = F.min("node").over(within) != F.max("node").over(within)
-    found = stored(index.withColumn("several", several).where("several").drop("several"), "found")
-    enough = found.groupBy("node").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("node")
-    lists = found.join(enough, "node", "left_semi").withColumn("centre", F.max(F.struct("weight", "node")).over(within))
-    lists = lists.withColumn("several", several).where("several")
-    lists = stored(lists.select("value", "node", "need", F.col("centre.node").alias("centre")), "lists")
+    ends = {"low": F.min("node").over(within), "high": F.max("node").over(within)}
+    if "need" in index.columns:
+        found = stored(index.withColumns(ends).where("low != high").drop("low", "high"), "found")
+        enough = found.groupBy("node").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("node")
+        lists = found.join(enough, "node", "left_semi").withColumns({**ends, "centre": F.max(F.struct("weight", "node")).over(within)["node"]})
+    else:
+        lists = index.withColumns(ends).withColumns({"centre": F.col("high"), "need": F.lit(1)})
+    # the link to the centre settles a list of two
+    larger = F.max((F.col("node") != F.col("low")) & (F.col("node") != F.col("high"))).over(within)
+    lists = lists.where("low != high").withColumn("larger", larger)
+    lists = stored(lists.select("value", "node", "need", "centre", "larger"), "lists")
     bodies = stored(bodies_of(lists.select("node").distinct()), "bodies")
 
     likely = lists.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
@@ -209,6 +214,7 @@ def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFr
     parts = stored(components(links), "parts")
 
     linked = links.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.lit(True).alias("ok"))
+    lists = lists.where("larger")
     unsettled = lists.where("node != centre").join(linked, ["centre", "node"], "left").where("ok is null").select("value").distinct()
     family = lists.join(unsettled, "value", "left_semi").groupBy("centre", "node").agg(F.count("*").alias("n"), F.max("need").alias("need"))
     # a pair that is similar has `need` lists in common, so either may leave the families of nearly half as many

@@ -6,12 +6,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from couponlens.llm.common import RunHash, mix64, rows, stored, text_chunks
+from couponlens.llm.common import RunHash, chunks, mix64, rows, stored, text_chunks
 from couponlens.llm.groups import similar_components
 
 SHINGLE = 5  # characters
-BANDS, ROWS = 8, 2  # a pair of similarity 0.8 shares a band with probability 1 - 0.36 ** 8 = 0.9997
+#: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** 6) ** 27 = 0.9997, one of 0.15 with 0.0003.
+BANDS, ROWS = 27, 6
+_FACTORS = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_BLOCK = 1 << 15  # shingles
 _NO_ID = -(1 << 63)
 _END = 10
 
@@ -22,9 +26,14 @@ def _codes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.concatenate([[0], np.cumsum([len(x) + 1 for x in lines])]).astype(np.int64)
 
 
-def _shingles(lines: list[str], tool: RunHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all shingles of non-empty lines, where each line's begin, and a hash of each line. A line that is shorter
-    than a shingle is one itself."""
+def _nodes(lines: list[str]) -> np.ndarray:
+    """Identity of each line."""
+    return np.fromiter(map(xxh3_64_intdigest, lines), np.uint64, len(lines)).view(np.int64)
+
+
+def _shingles(lines: list[str], tool: RunHash) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of non-empty lines, and where each line's begin. A line that is shorter than a shingle is one
+    itself."""
     codes, begins = _codes(lines)
     sums = tool.sums(codes)
     sizes = np.diff(begins) - 1
@@ -32,28 +41,56 @@ def _shingles(lines: list[str], tool: RunHash) -> tuple[np.ndarray, np.ndarray,
     at = np.cumsum(n) - n
     starts = np.repeat(begins[:-1], n) + np.arange(n.sum()) - np.repeat(at, n)
     ends = np.minimum(starts + SHINGLE, np.repeat(begins[:-1] + sizes, n))
-    return tool.runs(sums, starts, ends), at, tool.runs(sums, begins[:-1], begins[1:] - 1)
+    return tool.runs(sums, starts, ends), at
 
 
 def line_sets(bodies: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of lines in UTF-8."""
     if not bodies:
         return []
-    hashes, at, _ = _shingles([x.decode() for x in bodies], RunHash())
+    hashes, at = _shingles([x.decode() for x in bodies], RunHash())
     return [np.unique(x) for x in np.split(hashes, at[1:])]
 
 
-def _bands(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Band keys of each line, from the minima of its shingles under BANDS * ROWS multiplications."""
-    short = (hashes >> np.uint64(32)).astype(np.uint32)
-    keys = np.empty((len(at), BANDS), np.uint64)
+def _quick_hashes(codes: np.ndarray) -> np.ndarray:
+    """32-bit hashes of the shingles at all places of ``codes``, for signatures."""
+    mixed = codes * np.uint32(0x9E3779B1)
+    mixed ^= mixed >> np.uint32(15)
+    n = len(codes) - SHINGLE + 1
+    out = mixed[:n].copy()
+    for j in range(1, SHINGLE):
+        out *= np.uint32(0x01000193)
+        out += mixed[j : n + j]
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        out ^= out >> np.uint32(shift)
+        out *= np.uint32(factor)
+    out ^= out >> np.uint32(16)
+    return out
+
+
+def _bands(lines: list[str], node: np.ndarray) -> np.ndarray:
+    """Band keys of each line, from the minima of its shingles under BANDS * ROWS multiplications; a line that is shorter
+    than a shingle has its own. Lines are taken in blocks that stay in a processor's cache."""
+    codes, begins = _codes(lines)
+    sizes = np.diff(begins) - 1
+    minima = np.empty((BANDS * ROWS, len(lines)), np.uint32)
+    minima[:] = node.view(np.uint64) >> np.uint64(32)
+    for a, b in chunks(sizes.tolist(), _BLOCK):
+        if len(whole := a + np.nonzero(sizes[a:b] >= SHINGLE)[0]):
+            hashes = _quick_hashes(codes[begins[a] : begins[b]])
+            scrambled = np.empty_like(hashes)
+            # every other range is a line's
+            ranges = (np.stack([begins[whole], begins[whole] + sizes[whole] - SHINGLE + 1], axis=1) - begins[a]).ravel()
+            for k, factor in enumerate(_FACTORS):
+                np.multiply(hashes, factor, out=scrambled)
+                minima[k, whole] = np.minimum.reduceat(scrambled, ranges)[::2]
+    keys = np.empty((len(lines), BANDS), np.uint64)
     for band in range(BANDS):
-        key = np.full(len(at), band + 1, np.uint64)
+        key = np.full(len(lines), band + 1, np.uint64)
         for r in range(ROWS):
-            factor = np.uint32(int(mix64(np.array([band * ROWS + r + 1], np.uint64))[0]) >> 32 | 1)
-            scrambled = short * factor
-            scrambled ^= scrambled >> np.uint32(15)
-            key = mix64(key) + np.minimum.reduceat(scrambled * np.uint32(0x85EBCA6B), at)
+            key *= np.uint64(RunHash.BASE)
+            key += minima[band * ROWS + r]
+            key ^= key >> np.uint64(29)
         keys[:, band] = mix64(key)
     return keys
 
@@ -66,23 +103,22 @@ def _lines(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def _banded(batches):
-    tool = RunHash()
+    seen = np.zeros(0, np.int64)  # the lines of this partition
     for _, texts in text_chunks(batches):
-        lines, _, _ = _lines(texts)
-        lines = list(dict.fromkeys(lines))
-        if lines:
-            hashes, at, node = _shingles(lines, tool)
-            yield rows(value=_bands(hashes, at).view(np.int64).ravel(), node=np.repeat(node.view(np.int64), BANDS))
+        lines = list(dict.fromkeys(_lines(texts)[0]))
+        node = _nodes(lines)
+        new = ~np.isin(node, seen)
+        if new.any():
+            lines, node = [x for x, ok in zip(lines, new.tolist()) if ok], node[new]
+            seen = np.concatenate([seen, node])
+            yield rows(value=_bands(lines, node).view(np.int64).ravel(), node=np.repeat(node, BANDS))
 
 
 def _placed(batches):
-    tool = RunHash()
     for keys, texts in text_chunks(batches):
         lines, of, place = _lines(texts)
         if lines:
-            codes, begins = _codes(lines)
-            node = tool.runs(tool.sums(codes), begins[:-1], begins[1:] - 1)
-            yield rows(node=node.view(np.int64), doc=keys.take(pa.array(of)), line=place)
+            yield rows(node=_nodes(lines), doc=keys.take(pa.array(of)), line=place)
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -101,7 +137,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     plain = whole.select("doc", "text")
     placed = stored(plain.mapInArrow(_placed, "node long, doc long, line long").distinct(), "lines")
     firsts = placed.groupBy("node").agg(F.min(F.struct("doc", "line")).alias("first"))
-    index = plain.mapInArrow(_banded, "value long, node long").withColumns({"weight": F.lit(0), "need": F.lit(1)})
+    index = plain.mapInArrow(_banded, "value long, node long")
 
     def cut(batches):
         for batch in (x.slice(i, 500) for x in batches for i in range(0, x.num_rows, 500)):
