@@ -4,7 +4,7 @@ Every list first links its members to one of them, its centre, the member made u
 settled when all of these links hold. The members of the other lists form families, one for each centre; two members
 that are similar share a list and so a family. The members
 outside a family's largest component are compared, in blocks and on the full sets, with each other and with that
-component; no more than spanning links leave a task.
+component; no more than spanning links leave a task. Within a pair, 48 bits of a hash stand for a member of a set.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import components, rows, stored
+from couponlens.llm.common import chunks, components, rows, stored
 
 K = 48
 #: Shared values that the union's bottom-k has at least where the similarity is 0.8: fewer than 20 of 48 have a
@@ -71,6 +71,35 @@ def how_common(values: DataFrame, column: int) -> np.ndarray:
     return out
 
 
+def _numbered(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """48 bits of each hash after the number of its part, for one sort of all parts; no more than 65,536 parts."""
+    return np.repeat(np.arange(len(sizes), dtype=np.uint64) << np.uint64(48), sizes) | (hashes >> np.uint64(16))
+
+
+def distinct_parts(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The sorted distinct hashes of consecutive parts, of which the upper 48 bits count."""
+    out = []
+    begins = np.concatenate([[0], np.cumsum(sizes)])
+    for a in range(0, len(sizes), 1 << 16):
+        b = min(a + (1 << 16), len(sizes))
+        keys = np.unique(_numbered(hashes[begins[a] : begins[b]], sizes[a:b]))
+        ends = np.searchsorted(keys, np.arange(1, b - a, dtype=np.uint64) << np.uint64(48))
+        out += np.split(keys << np.uint64(16), ends)
+    return out
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes the sets of each pair have in common, of which the upper 48 bits count."""
+    out = []
+    for a, b in chunks([len(x) + len(y) + 64 for x, y in zip(left, right)]):  # at most 31,250 pairs
+        pairs = left[a:b], right[a:b]
+        keys = np.concatenate([_numbered(np.concatenate(side), np.array([len(x) for x in side])) for side in pairs])
+        keys.sort()
+        both = keys[1:][keys[1:] == keys[:-1]]
+        out.append(np.bincount((both >> np.uint64(48)).astype(np.int64), minlength=len(pairs[0])))
+    return np.concatenate(out)
+
+
 Sets = Callable[[list[bytes]], list[np.ndarray]]
 
 
@@ -85,11 +114,10 @@ def exact_links(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame
 
     def exact(batches):
         for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
-            ok = []
-            for x, y in zip(sets_of(batch.column(2).to_pylist()), sets_of(batch.column(3).to_pylist())):
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * shared >= 80 * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            x, y = sets_of(batch.column(2).to_pylist()), sets_of(batch.column(3).to_pylist())
+            shared = shared_counts(x, y)
+            ok = 100 * shared >= 80 * (np.array([len(s) + len(t) for s, t in zip(x, y)]) - shared)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
 
     return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long")
 
@@ -124,7 +152,7 @@ def links_between(part: np.ndarray, left: np.ndarray, sets: list[np.ndarray]) ->
     overlap = np.zeros((len(few), n), np.float32)
     for low in range(0, int(often.sum()), _SLICE):
         a, b = np.searchsorted(which, [low, low + _SLICE])
-        matrix = np.zeros((n, _SLICE), np.float32)
+        matrix = np.zeros((n, min(_SLICE, int(which[-1]) + 1 - low)), np.float32)
         matrix[row[a:b], which[a:b] - low] = 1
         overlap += matrix[few] @ matrix.T
     both = size[few][:, None] + size[None, :]
@@ -141,10 +169,10 @@ def _family_links(sets_of: Sets):
         new = np.nonzero((centre[1:] != centre[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))[0] + 1
         edges = np.concatenate([[0], new, [len(centre)] if final else []]).astype(np.int64)
         out_a, out_b = [], []
+        every = sets_of(table.column(6).slice(0, int(edges[-1])).to_pylist())
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             if b - a > 1 and (part[a:b] != part[a]).any():
-                sets = sets_of(table.column(6).slice(a, b - a).to_pylist())
-                x, y = links_between(part[a:b], block[a:b] == i[a], sets)
+                x, y = links_between(part[a:b], block[a:b] == i[a], every[a:b])
                 root = spanning(b - a, x, y)
                 linked = np.nonzero(root != np.arange(b - a))[0]
                 out_a.append(node[a:b][linked])
@@ -236,4 +264,4 @@ def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFr
     more = stored(dealt.mapInArrow(_family_links(sets_of), "a long, b long"), "more")
     if more.isEmpty():
         return parts
-    return components(links.unionAll(more))
+    return components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from couponlens.llm.common import RunHash, chunks, mix64, rows, stored, text_chunks
-from couponlens.llm.groups import similar_components
+from couponlens.llm.groups import distinct_parts, similar_components
 
 SHINGLE = 5  # characters
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** 6) ** 27 = 0.9997, one of 0.15 with 0.0003.
@@ -46,10 +46,11 @@ def _shingles(lines: list[str], tool: RunHash) -> tuple[np.ndarray, np.ndarray]:
 
 def line_sets(bodies: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of lines in UTF-8."""
-    if not bodies:
-        return []
-    hashes, at = _shingles([x.decode() for x in bodies], RunHash())
-    return [np.unique(x) for x in np.split(hashes, at[1:])]
+    out = []
+    for a, b in chunks([len(x) for x in bodies]):
+        hashes, at = _shingles([x.decode() for x in bodies[a:b]], RunHash())
+        out += distinct_parts(hashes, np.append(at[1:], len(hashes)) - at)
+    return out
 
 
 def _quick_hashes(codes: np.ndarray) -> np.ndarray:
