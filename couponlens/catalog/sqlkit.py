@@ -95,8 +95,8 @@ WEEKDAY = "CASE dow WHEN 1 THEN 'Sun' WHEN 2 THEN 'Mon' WHEN 3 THEN 'Tue' WHEN 4
 
 
 def dec(value: str, scale: int) -> str:
-    """Half-up rounding of a double or decimal by way of six decimals, as double."""
-    return f"CAST(CAST(CAST({value} AS DECIMAL(28,6)) AS DECIMAL(28,{scale})) AS DOUBLE)"
+    """Half-up rounding of a double or decimal by way of twelve decimals, as double."""
+    return f"CAST(CAST(CAST({value} AS DECIMAL(38,12)) AS DECIMAL(38,{scale})) AS DOUBLE)"
 
 
 def q(num: str, den: str, scale: int, factor: int = 1) -> str:

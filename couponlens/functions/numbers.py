@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,4)"
-_WIDE = "decimal(28,6)"
+_WIDE = "decimal(38,12)"
 
 
 def _col(value: Column | str | int | float) -> Column:
@@ -18,7 +18,7 @@ def _col(value: Column | str | int | float) -> Column:
 
 
 def half_up(value: Column | str, scale: int) -> Column:
-    """Round half up on the decimal value, as double."""
+    """Round half up on the decimal value, as double; twelve decimals shed binary noise and keep real ones."""
     return F.round(_col(value).cast(_WIDE), scale).cast("double")
 
 

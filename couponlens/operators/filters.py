@@ -39,9 +39,14 @@ def filter_iso_year(df: DataFrame, ts: str, year: int) -> DataFrame:
     return filter_days(df, ts, *iso_year_range(year))
 
 
-def filter_iso_weeks(df: DataFrame, ts: str, year: int, first: int, last: int) -> DataFrame:
-    """ISO weeks ``first`` to ``last`` of a year."""
-    return filter_days(df, ts, iso_week_range(year, first)[0], iso_week_range(year, last)[1])
+def filter_iso_weeks(
+    df: DataFrame, ts: str, year: int, first: int, last: int, last_year: int | None = None
+) -> DataFrame:
+    """ISO weeks ``first`` of a year to ``last`` of the same year or of ``last_year``; a reversed range is an error."""
+    start, end = iso_week_range(year, first)[0], iso_week_range(last_year or year, last)[1]
+    if end < start:
+        raise ValueError(f"week {last} of {last_year or year} ends before week {first} of {year} begins")
+    return filter_days(df, ts, start, end)
 
 
 def filter_until_yesterday(df: DataFrame, ts: str, as_of: date) -> DataFrame:

@@ -61,8 +61,7 @@ def with_policy_name(df: DataFrame, policies: DataFrame, pid: str) -> DataFrame:
 
 def lookup_policy_one(reservations: DataFrame, coupons: DataFrame, policies: DataFrame) -> DataFrame:
     """Adds ``pid`` (0 if none) and ``coupon_name`` (null if none); fails when a reservation has several coupons."""
-    found = reservations.join(coupon_summary(coupons, policies), "id", "left")
-    named = with_policy_name(found, policies, "pid")
+    named = reservations.join(with_policy_name(coupon_summary(coupons, policies), policies, "pid"), "id", "left")
     return named.withColumn("pid", single_policy(F.col("pid"), F.col("n_coupons"))).drop("n_coupons", "is_target")
 
 

@@ -90,7 +90,7 @@ def inflow_compare(
     reservations: DataFrame, user: str, created: str, amount: str, periods: dict[str, tuple[date, date]], tz: str,
 ) -> DataFrame:
     """First-time users per period: number, mean per day, revenue of their first booking, change against the period
-    before it.
+    before it. A period without any is a row with 0 users.
 
     The first booking of a user is a minimum over (time, id), so it combines before the shuffle.
     """
@@ -99,9 +99,12 @@ def inflow_compare(
     ).select(local_date(F.col("f.at"), tz).alias("day"), F.col("f.amount").alias("amount"))
     label = F.coalesce(*[F.when(F.col("day").between(F.lit(a), F.lit(b)), F.lit(p)) for p, (a, b) in periods.items()])
     days = F.coalesce(*[F.when(F.col("period") == p, F.lit((b - a).days + 1)) for p, (a, b) in periods.items()])
+    seen = first.select(label.alias("period"), F.lit(1).alias("users"), "amount").filter(F.col("period").isNotNull())
+    every = reservations.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(p) for p in periods])).alias("period"), F.lit(0).alias("users"))
     totals = (
-        first.withColumn("period", label).filter(F.col("period").isNotNull())
-        .groupBy("period").agg(F.count(F.lit(1)).alias("users"), F.sum("amount").alias("amount"))
+        seen.unionByName(every, allowMissingColumns=True)
+        .groupBy("period").agg(F.sum("users").alias("users"), F.sum("amount").alias("amount"))
         .withColumn("days", days)
         .withColumn("pos", label_position(F.col("period"), list(periods)))
     )
@@ -116,7 +119,7 @@ def inflow_compare(
 
 
 def repeat_transition(bookings: DataFrame, user: str, ts: str, id: str, division: str) -> DataFrame:
-    """Distribution of the division of the second booking, given that of the first.
+    """Distribution of the division of the second booking, given that of the first; a missing division is a value too.
 
     The rank filter is a group limit of two, which Spark also applies before the shuffle: however many bookings one
     user has, each task sends at most two of them.
@@ -124,9 +127,10 @@ def repeat_transition(bookings: DataFrame, user: str, ts: str, id: str, division
     order = Window.partitionBy(user).orderBy(ts, id)
     first_two = bookings.select(user, ts, id, division).withColumn("_n", F.row_number().over(order)).filter("_n <= 2")
     pairs = first_two.groupBy(user).agg(
+        F.max("_n").alias("_n"),
         F.max(F.when(F.col("_n") == 1, F.col(division))).alias("first_division"),
         F.max(F.when(F.col("_n") == 2, F.col(division))).alias("second_division"),
-    ).filter(F.col("second_division").isNotNull())
+    ).filter("_n = 2")
     counts = pairs.groupBy("first_division", "second_division").agg(F.count(F.lit(1)).alias("users"))
     share = percent("users", F.sum("users").over(Window.partitionBy("first_division")))
     return counts.withColumn("share", share)

@@ -250,3 +250,36 @@ def test_half_up_rounding(spark, rows):
 
     table = spark.createDataFrame([(1.005,), (2.345,), (-1.005,), (0.15,)], "v double")
     assert [r["r"] for r in rows(table.select(half_up("v", 2).alias("r")))] == [1.01, 2.35, -1.01, 0.15]
+
+
+def test_half_up_rounds_once(spark, rows):
+    from couponlens.functions.numbers import in_unit
+
+    table = spark.createDataFrame([(499999.97,), (500000.0,)], "v double")
+    assert [r["r"] for r in rows(table.select(in_unit("v", 1e8).alias("r")))] == [0.0, 0.01]
+
+
+def test_weeks_across_a_year_edge(spark):
+    days = [datetime(2026, 12, 27), datetime(2026, 12, 28), datetime(2027, 1, 10, 23), datetime(2027, 1, 11)]
+    fact = spark.createDataFrame([line(i, d) for i, d in enumerate(days)], FACT)
+    kept = filters.filter_iso_weeks(fact, "return_at", 2026, 53, 1, 2027).collect()
+    assert sorted(r.reservation_id for r in kept) == [1, 2]
+    with pytest.raises(ValueError, match="before"):
+        filters.filter_iso_weeks(fact, "return_at", 2026, 53, 1)
+
+
+def test_second_booking_without_division_counts(spark, rows):
+    bookings = spark.createDataFrame(
+        [(1, 1, datetime(2026, 1, 1), "a"), (2, 1, datetime(2026, 1, 2), None), (3, 2, datetime(2026, 1, 1), "a")],
+        "id int, u int, ts timestamp_ntz, d string")
+    assert rows(mix.repeat_transition(bookings, "u", "ts", "id", "d")) == [
+        {"first_division": "a", "second_division": None, "users": 1, "share": 100.0}]
+
+
+def test_inflow_period_without_users(spark):
+    reservations = spark.createDataFrame(
+        [(1, 7, datetime(2026, 1, 1, 3), Decimal(10)), (2, 8, datetime(2026, 3, 1, 3), Decimal(20))],
+        "id int, u int, at timestamp_ntz, amount decimal(18,4)")
+    months = {m: (date(2026, k, 1), date(2026, k, 28)) for k, m in enumerate(("jan", "feb", "mar"), start=1)}
+    got = mix.inflow_compare(reservations, "u", "at", "amount", months, "UTC").orderBy("pos").collect()
+    assert [(r.period, r.users, r.users_pct) for r in got] == [("jan", 1, None), ("feb", 0, -100.0), ("mar", 1, None)]
