@@ -80,6 +80,36 @@ def lines(docs: dict[int, str | None]) -> dict:
     return out
 
 
+def kneser_ney(rows: list[tuple[str | None, str]], order: int = 4, discount: float = 0.75):
+    """Log-probability per character of a text of lower-case letters and spaces under a language, learned from rows."""
+
+    def runs(text):
+        clean = " ".join("".join(x if x.isalpha() else " " for x in text or "").split())
+        padded = " " * (order - 1) + clean + " "
+        return [padded[i : i + order] for i in range(len(clean) + 1)] if clean else []
+
+    counts: dict = {}
+    for text, lang in rows:
+        for x in runs(text):
+            own = counts.setdefault(lang, [{} for _ in range(order + 1)])
+            own[order][x] = own[order].get(x, 0) + 1
+    for own in counts.values():
+        for n in range(order - 1, 0, -1):
+            for x in own[n + 1]:
+                own[n][x[1:]] = own[n].get(x[1:], 0) + 1
+    floor = 1 / (len({x for own in counts.values() for x in own[1]}) + 1)
+
+    def p(own, x):
+        if not x:
+            return floor
+        same = [c for y, c in own[len(x)].items() if y[:-1] == x[:-1]]
+        if not same:
+            return p(own, x[1:])
+        return max(own[len(x)].get(x, 0) - discount, 0) / sum(same) + discount * len(same) / sum(same) * p(own, x[1:])
+
+    return lambda text, lang: np.mean([np.log(p(counts[lang], x)) for x in runs(text)])
+
+
 def vectors(rows: list[tuple[int, list | None]]) -> dict:
     good = [(i, np.array(v, float)) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     groups, n = Sets([i for i, _ in rows]), dict.fromkeys([i for i, _ in rows], 0)

@@ -166,6 +166,35 @@ def test_languages_of_odd_texts(odd):
     assert {r.lang_pred for r in langid.identify(odd, learn=F.lit(False)).collect()} == {"und"}
 
 
+def test_small_language_beside_a_large_one(spark):
+    """More than a million different runs of one language, all more frequent than those of the other."""
+    rng = np.random.default_rng(4)
+    big = ["".join(map(chr, 0x4E00 + rng.integers(0, 2000, 300_000))) for _ in range(4)]
+    rows = [(i, x, "big") for i, x in enumerate(big * 2)] + [(100, "ene mene miste", "small"), (101, "ene mene", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, learn=F.lit(True)).collect()}
+    assert got == {**dict.fromkeys(range(8), "big"), 100: "small", 101: "small"}
+
+
+def test_language_model(spark, monkeypatch):
+    rnd = random.Random(6)
+    own = {"a": "abc ", "b": "bcd ", "c": "xyzaé "}
+    texts = [(i, " ".join("".join(rnd.choice(own[x]) for _ in range(rnd.randint(1, 60))).split()), x) for i, x in enumerate("aaabbc" * 20)]
+    texts += [texts[0], (None, "abc", "a"), (None, None, "b"), (500, "!", "c")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(4)
+    model = langid.train(docs)
+    log = brute.kneser_ney([(t, x) for _, t, x in texts])
+    probe = ["abc xyz", "ééé", "bcd", "q"]
+    entropy, _ = model.entropies(probe)
+    assert np.allclose(entropy, [[-log(x, lang) for lang in "abc"] for x in probe])
+    order = lambda df: sorted(map(tuple, df.collect()), key=str)
+    want = order(langid.identify(docs, learn=F.lit(True)))
+    monkeypatch.setattr(langid, "CELLS", 200)
+    assert langid.train(docs).parts > 3
+    got = order(langid.identify(docs, learn=F.lit(True)))
+    assert len(got) == len(texts) and [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want])
+
+
 def test_toxicity(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
