@@ -116,10 +116,13 @@ def _banded(batches):
 
 
 def _placed(batches):
-    for keys, texts in text_chunks(batches):
-        lines, of, place = _lines(texts)
-        if lines:
-            yield rows(node=_nodes(lines), doc=keys.take(pa.array(of)), line=place)
+    for batch in batches:
+        at = 0
+        for keys, texts in text_chunks([batch]):
+            lines, of, place = _lines(texts)
+            if lines:
+                yield rows(node=_nodes(lines), doc=keys.take(pa.array(of)), mark=batch.column(2).slice(at, len(texts)).take(pa.array(of)), line=place)
+            at += len(texts)
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -130,14 +133,14 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     row's other columns. Outer white space of a line does not count. Blank lines are no lines and stay; a line shorter
     than a shingle only equals itself; a null or empty text has no lines and comes back empty; a document may lose all its
     lines but stays as a row; a null id comes before all others; rows that repeat id and text are one document and get the
-    same result; an empty table gives no rows.
+    same result; texts that share an id are told apart, and ordered, by their hashes; an empty table gives no rows.
     """
     whole = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-        F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("rest"))
-    plain = whole.select("doc", "text")
-    placed = stored(plain.mapInArrow(_placed, "node long, doc long, line long").distinct(), "lines")
-    firsts = placed.groupBy("node").agg(F.min(F.struct("doc", "line")).alias("first"))
+        F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("rest")).withColumn("mark", F.xxhash64("text"))
+    plain = whole.select("doc", "text", "mark")
+    placed = stored(plain.mapInArrow(_placed, "node long, doc long, mark long, line long").distinct(), "lines")
+    firsts = placed.groupBy("node").agg(F.min(F.struct("doc", "mark", "line")).alias("first"))
     index = plain.mapInArrow(_banded, "value long, node long")
 
     def cut(batches):
@@ -148,19 +151,20 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                 for w in wanted:
                     if w["line"] < len(lines):
                         node.append(w["node"])
-                        body.append(lines[w["line"]].strip().encode())
-            yield rows(node=pa.array(node, pa.int64()), body=pa.array(body, pa.binary()))
+                        body.append(lines[w["line"]].strip())
+            same = np.nonzero(_nodes(body) == np.array(node, np.int64))[0].tolist()
+            yield rows(node=pa.array([node[i] for i in same], pa.int64()), body=pa.array([body[i].encode() for i in same], pa.binary()))
 
     def bodies(wanted: DataFrame) -> DataFrame:
-        of = wanted.join(firsts, "node").groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "node")).alias("wanted"))
-        return plain.join(of, "doc").select("text", "wanted").mapInArrow(cut, "node long, body binary").dropDuplicates(["node"])
+        of = wanted.join(firsts, "node").groupBy(F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "node")).alias("wanted"))
+        return plain.join(of, ["doc", "mark"]).select("text", "wanted").mapInArrow(cut, "node long, body binary").dropDuplicates(["node"])
 
     parts = similar_components(index, bodies, line_sets, estimate=False)
     groups = firsts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = groups.groupBy("component").agg(F.min("first").alias("kept"))
     kept = groups.join(kept, "component").select("node", "kept")
-    dropped = placed.join(kept, "node").where(F.struct("doc", "line") != F.col("kept"))
-    dropped = dropped.groupBy("doc").agg(F.collect_list("line").alias("lines"))
+    dropped = placed.join(kept, "node").where(F.struct("doc", "mark", "line") != F.col("kept"))
+    dropped = dropped.groupBy("doc", "mark").agg(F.collect_list("line").alias("lines"))
 
     def remove(batches):
         for batch in batches:
@@ -174,6 +178,6 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             yield rows(
                 text=pa.array(out, pa.string()), n_lines=pa.array(n_lines, pa.int64()), n_removed=pa.array(n_removed, pa.int64()), rest=batch.column(2))
 
-    joined = whole.join(dropped, "doc", "left").select("text", "lines", "rest")
+    joined = whole.join(dropped, ["doc", "mark"], "left").select("text", "lines", "rest")
     rest = joined.schema["rest"].dataType.simpleString()
     return joined.mapInArrow(remove, f"text string, n_lines long, n_removed long, rest {rest}")

@@ -223,7 +223,7 @@ def _runs(flags: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _scan(size: int, k: int):
-    """Task: rows (doc, text) to pieces (h1, h2, doc, loc) and to ranges that the task found covered itself.
+    """Task: rows (doc, text, mark) to pieces (h1, h2, doc, mark, loc) and to ranges that the task found covered itself.
 
     ``loc`` is first window << 16 | place of the anchor << 8 | number of windows; 0 windows mark a covered range, whose
     end is in h2.
@@ -234,7 +234,8 @@ def _scan(size: int, k: int):
         for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
             texts = [x.encode() for x in batch.column(1).to_pylist()]
             ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
-            order = np.argsort(ids, kind="stable")
+            marks = np.asarray(batch.column(2).to_numpy(), np.int64)
+            order = np.lexsort((marks, ids))
             at = 0
             while at < len(order):
                 to, total = at, 0
@@ -249,7 +250,7 @@ def _scan(size: int, k: int):
                 if not len(first):
                     continue
                 doc_at = np.searchsorted(bounds, first, side="right") - 1
-                doc, local = ids[part][doc_at], first - bounds[doc_at]
+                doc, mark, local = ids[part][doc_at], marks[part][doc_at], first - bounds[doc_at]
                 by = np.lexsort((first, h2, h1))
                 same = np.zeros(len(by), bool)
                 same[1:] = (h1[by][1:] == h1[by][:-1]) & (h2[by][1:] == h2[by][:-1])
@@ -257,51 +258,53 @@ def _scan(size: int, k: int):
                 repeat = np.zeros(len(by), bool)
                 repeat[by] = same
                 again = np.zeros(len(by), bool)  # the same document once more: neither a new piece nor a repeat
-                again[by] = same & (doc[by] == doc[leader]) & (local[by] == local[leader])
+                again[by] = same & (doc[by] == doc[leader]) & (mark[by] == mark[leader]) & (local[by] == local[leader])
                 keep = ~repeat
                 loc = local << 16 | place << 8 | n
-                yield rows(h1=h1[keep].view(np.int64), h2=h2[keep].view(np.int64), doc=doc[keep], loc=loc[keep])
+                yield rows(h1=h1[keep].view(np.int64), h2=h2[keep].view(np.int64), doc=doc[keep], mark=mark[keep], loc=loc[keep])
                 repeat &= ~again
                 if repeat.any():
-                    d, s, e = doc[repeat], local[repeat], (local + n + size - 1)[repeat]
-                    new = np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > e[:-1])])
+                    d, m, s, e = doc[repeat], mark[repeat], local[repeat], (local + n + size - 1)[repeat]
+                    new = np.concatenate([[True], (d[1:] != d[:-1]) | (m[1:] != m[:-1]) | (s[1:] > e[:-1])])
                     heads = np.nonzero(new)[0]
-                    d, s, e = d[heads], s[heads], e[np.concatenate([heads[1:] - 1, [len(e) - 1]])]
+                    d, m, s, e = d[heads], m[heads], s[heads], e[np.concatenate([heads[1:] - 1, [len(e) - 1]])]
                     spread = mix64(mix64(d.view(np.uint64)) + s.astype(np.uint64)).view(np.int64)
-                    yield rows(h1=spread, h2=e, doc=d, loc=s << 16)
+                    yield rows(h1=spread, h2=e, doc=d, mark=m, loc=s << 16)
 
     return run
 
 
 def _cut_out(size: int):
-    """Task: documents with their pieces to (h1, doc, loc, bytes of the piece)."""
+    """Task: documents with their pieces to (h1, doc, mark, loc, bytes of the piece)."""
 
     def run(batches):
         for batch in (x.slice(i, 500) for x in batches for i in range(0, x.num_rows, 500)):
-            h1, doc, loc, body = [], [], [], []
-            for key, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            h1, doc, mark, loc, body = [], [], [], [], []
+            for key, text, own, found in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 raw = text.encode()
                 for x in found:
                     first, n = x["loc"] >> 16, x["loc"] & 255
                     if first + n + size - 1 <= len(raw):
                         h1.append(x["h1"])
                         doc.append(key)
+                        mark.append(own)
                         loc.append(x["loc"])
                         body.append(raw[first : first + n + size - 1])
-            yield rows(h1=pa.array(h1, pa.int64()), doc=pa.array(doc, pa.int64()), loc=pa.array(loc, pa.int64()), body=pa.array(body, pa.binary()))
+            yield rows(h1=pa.array(h1, pa.int64()), doc=pa.array(doc, pa.int64()), mark=pa.array(mark, pa.int64()), loc=pa.array(loc, pa.int64()), body=pa.array(body, pa.binary()))
 
     return run
 
 
 def _shards(size: int, limit: int):
-    """Task: pieces ordered by (h1, doc, loc) to covered ranges (doc, start, end)."""
+    """Task: pieces ordered by (h1, doc, mark, loc) to covered ranges (doc, mark, start, end). A piece that comes again
+    from a row that repeats id and text is the same one."""
 
     def run(batches):
-        h1, doc, loc, body, total = [], [], [], [], 0
+        h1, doc, mark, loc, body, total = [], [], [], [], [], 0
         carry: tuple[int | None, list] = (None, [])
 
         def work(final: bool):
-            nonlocal h1, doc, loc, body, total, carry
+            nonlocal h1, doc, mark, loc, body, total, carry
             stop = len(h1)
             if not final:  # the last anchor may go on: keep it for the next shard unless it fills this one
                 while stop and h1[stop - 1] == h1[-1]:
@@ -328,19 +331,24 @@ def _shards(size: int, limit: int):
                 low, high = _runs(flags, for_run)
                 who = low >> 20
                 first = where[who] >> 16
-                out.append((np.array(doc[a:b])[who], first + (low & 0xFFFFF), first + (high & 0xFFFFF) + size))
+                out.append((np.array(doc[a:b])[who], np.array(mark[a:b])[who], first + (low & 0xFFFFF), first + (high & 0xFFFFF) + size))
                 last = h1[b - 1]
                 carry = (last, [*before, shard] if before and last == key else [shard] if h1[a] == last else [])
-            h1, doc, loc, body = h1[stop:], doc[stop:], loc[stop:], body[stop:]
+            h1, doc, mark, loc, body = h1[stop:], doc[stop:], mark[stop:], loc[stop:], body[stop:]
             total = sum(map(len, body))
-            for d, s, e in out:
-                yield rows(doc=d, start=s, end=e)
+            for d, m, s, e in out:
+                yield rows(doc=d, mark=m, start=s, end=e)
+
+        before = None
 
         for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
-            for x in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                for held, value in zip((h1, doc, loc, body), x):
+            for x in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if x[:4] == before:
+                    continue
+                before = x[:4]
+                for held, value in zip((h1, doc, mark, loc, body), x):
                     held.append(value)
-                total += len(x[3])
+                total += len(x[4])
                 if total >= limit:
                     yield from work(False)
         if h1:
@@ -383,35 +391,36 @@ def remove_repeats(docs: DataFrame, size: int = 100, key: str = "doc_id", text:
     end of the maximal removed runs), and ``rest``, a struct of the row's other columns; with ``as_text`` also
     ``kept_text``, without characters that a cut went through. A null or empty text, or one
     shorter than ``size``, has no spans; a null id comes before all others; rows that repeat id and text are one document
-    and get the same result; an empty table gives no rows.
+    and get the same result; texts that share an id are told apart, and ordered, by their hashes; an empty table gives no
+    rows.
     """
     if not 16 <= size <= 200:
         raise ValueError("size is from 16 to 200 bytes")
     k = min(24, size // 4)
     whole = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-        F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("rest"))
-    found = whole.select("doc", "text").mapInArrow(_scan(size, k), "h1 long, h2 long, doc long, loc long")
+        F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("rest")).withColumn("mark", F.xxhash64("text"))
+    found = whole.select("doc", "text", "mark").mapInArrow(_scan(size, k), "h1 long, h2 long, doc long, mark long, loc long")
     is_range = F.col("loc").bitwiseAND(255) == 0
-    by_piece = Window.partitionBy("h1", "h2").orderBy("doc", "loc")
+    by_piece = Window.partitionBy("h1", "h2").orderBy("doc", "mark", "loc")
     by_anchor = Window.partitionBy("h1")
     judged = (
         found.repartition("h1")
-        .withColumn("lead", F.first(F.struct("doc", "loc")).over(by_piece))
+        .withColumn("lead", F.first(F.struct("doc", "mark", "loc")).over(by_piece))
         .withColumn("several", F.min("h2").over(by_anchor) != F.max("h2").over(by_anchor))
-        .withColumn("own", F.struct("doc", "loc"))
+        .withColumn("own", F.struct("doc", "mark", "loc"))
     )
     state = F.when(is_range, 1).when(F.col("lead") < F.col("own"), 2).when(F.col("several"), 3)
-    judged = stored(judged.select("h1", "h2", "doc", "loc", state.alias("state")).where("state is not null").distinct(), "pieces")
+    judged = stored(judged.select("h1", "h2", "doc", "mark", "loc", state.alias("state")).where("state is not null").distinct(), "pieces")
     start = F.shiftright("loc", 16)
     ranges = judged.where("state < 3").select(
-        "doc", start.alias("start"), F.when(is_range, F.col("h2")).otherwise(start + F.col("loc").bitwiseAND(255) + (size - 1)).alias("end"))
-    wanted = judged.where("state = 3").groupBy("doc").agg(F.collect_list(F.struct("h1", "loc")).alias("found"))
-    cut = whole.join(wanted, "doc").select("doc", "text", "found").mapInArrow(_cut_out(size), "h1 long, doc long, loc long, body binary")
-    dealt = cut.repartition("h1").sortWithinPartitions("h1", "doc", "loc")
-    more = dealt.mapInArrow(_shards(size, shard_bytes), "doc long, start long, end long")
-    spans = ranges.unionAll(more).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    joined = whole.join(spans, "doc", "left").select("doc", "text", "found", "rest")
+        "doc", "mark", start.alias("start"), F.when(is_range, F.col("h2")).otherwise(start + F.col("loc").bitwiseAND(255) + (size - 1)).alias("end"))
+    wanted = judged.where("state = 3").groupBy("doc", "mark").agg(F.collect_list(F.struct("h1", "loc")).alias("found"))
+    cut = whole.join(wanted, ["doc", "mark"]).select("doc", "text", "mark", "found").mapInArrow(_cut_out(size), "h1 long, doc long, mark long, loc long, body binary")
+    dealt = cut.repartition("h1").sortWithinPartitions("h1", "doc", "mark", "loc")
+    more = dealt.mapInArrow(_shards(size, shard_bytes), "doc long, mark long, start long, end long")
+    spans = ranges.unionAll(more).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("found"))
+    joined = whole.join(spans, ["doc", "mark"], "left").select("doc", "text", "found", "rest")
     rest = joined.schema["rest"].dataType.simpleString()
     out = joined.mapInArrow(_remove(as_text), f"doc_id long, rest {rest}, n_bytes long, kept binary, spans array<struct<start:long,end:long>>" + ", kept_text string" * as_text)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))

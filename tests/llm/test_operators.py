@@ -118,6 +118,36 @@ def test_repeats(spark, size, shard):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute.repeats(docs, size)
 
 
+def shared_ids(spark, texts):
+    """Texts under three ids, one of them null, and the same by (id, hash), as the operators order them."""
+    docs = [([None, 4, 9][i % 3], x) for i, x in enumerate(texts)]
+    df = table(spark, [*docs, docs[0], docs[1]])
+    plain = df.select(F.coalesce("doc_id", F.lit(-(1 << 63))), F.xxhash64(F.coalesce("text", F.lit(""))), "text")
+    return df, {(k, h): t for k, h, t in plain.collect()}
+
+
+def as_id(key):
+    return None if key[0] == -(1 << 63) else key[0]
+
+
+def test_repeats_of_texts_that_share_an_id(spark):
+    rnd = random.Random(8)
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(300)) for _ in range(4)]
+    texts = [rnd.choice(base)[rnd.randint(0, 150) :] + str(i) + rnd.choice(base)[: rnd.randint(0, 300)] for i in range(40)]
+    df, docs = shared_ids(spark, [*texts, None])
+    want = {(as_id(k), *v) for k, v in brute.repeats(docs, 100).items()}
+    got = suffix.digest(suffix.remove_repeats(df, 100)).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(texts) + 3
+
+
+def test_lines_of_texts_that_share_an_id(spark):
+    two = spark.createDataFrame([(None, "x\ny"), (None, "y\nz")], "doc_id long, text string")
+    assert sorted("".join(r.text for r in lines.dedup_lines(two).collect()).replace("\n", "")) == ["x", "y", "z"]
+    df, docs = shared_ids(spark, list(edited(11, 60).values()))
+    want = {(as_id(k), *v) for k, v in brute.lines(docs).items()}
+    assert {(r.rest.doc_id, r.n_lines, r.n_removed, r.text) for r in lines.dedup_lines(df).collect()} == want
+
+
 @pytest.mark.parametrize("words", [2, 5])
 def test_near_documents(spark, words):
     docs = edited(5, 300)
