@@ -1,4 +1,4 @@
-"""Removal of byte strings that also start earlier, by suffix arrays per shard that are merged by binary search.
+"""Removal of byte strings that also start earlier, by suffix arrays per shard, and by hashes of windows beyond them.
 
 1. *Where to look.* Of each window of ``size`` bytes, the k-gram with the least hash (the leftmost of equal ones) is its
    anchor. Equal windows have equal anchors at the same place, so windows whose anchors differ need no comparison. The
@@ -7,10 +7,11 @@
    goes on. A task drops its own repeats before the shuffle.
 3. *Shards.* Where one anchor stands in different pieces, these are gathered into shards of some megabytes. A shard's
    suffix array is made by Larsson-Sadakane refinement, its common prefixes by Kasai's rule; suffixes that share
-   ``size`` bytes are one class, and all but the first member are covered. An anchor with more pieces than a shard holds
-   goes through several shards; the first members of each are looked up in the suffix arrays of the shards before by
-   binary search.
-4. *Removal.* The covered ranges of a document are put together and cut out.
+   ``size`` bytes are one class, and all but the first member are covered.
+4. *Large anchors.* An anchor with more pieces than a shard holds, such as one at the edge of a passage that much of the
+   corpus begins or ends with, is dealt out further: each window of its pieces goes by the hash of its own bytes, and
+   all but the first of equal ones are covered.
+5. *Removal.* The covered ranges of a document are put together and cut out.
 """
 
 from __future__ import annotations
@@ -158,37 +159,8 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, depth: int, words: np.ndar
     return out
 
 
-def found_in(data: np.ndarray, places: np.ndarray, words: np.ndarray, other: tuple, size: int) -> np.ndarray:
-    """Whether each window of ``data`` begins a suffix of another shard: binary search in that shard's suffix array."""
-    other_words, other_sa = other
-    if not len(other_sa) or not len(places):
-        return np.zeros(len(places), bool)
-    steps = [*range(0, size - 7, 8), *([size - 8] if size % 8 else [])]
-
-    def compare(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """-1, 0, 1: how the other shard's windows at b stand to the own ones at a."""
-        out, todo = np.zeros(len(a), np.int64), np.arange(len(a))
-        for s in steps:
-            x, y = other_words[b[todo] + s], words[a[todo] + s]
-            out[todo[x < y]], out[todo[x > y]] = -1, 1
-            todo = todo[x == y]
-            if not len(todo):
-                break
-        return out
-
-    low, high = np.zeros(len(places), np.int64), np.full(len(places), len(other_sa))
-    while (open_ := np.nonzero(low < high)[0]).size:
-        mid = (low[open_] + high[open_]) // 2
-        less = compare(places[open_], other_sa[mid]) < 0
-        low[open_[less]], high[open_[~less]] = mid[less] + 1, mid[~less]
-    hit = low < len(other_sa)
-    hit[hit] = compare(places[hit], other_sa[low[hit]]) == 0
-    return hit
-
-
-def covered_windows(data: np.ndarray, windows: np.ndarray, size: int, before: list[tuple]) -> tuple[np.ndarray, tuple]:
-    """For windows in ascending order: whether an equal one stands earlier, in the data or in a shard before. Also the
-    shard itself (words, suffix array of its first members) for the shards that follow."""
+def covered_windows(data: np.ndarray, windows: np.ndarray, size: int) -> np.ndarray:
+    """For windows in ascending order: whether an equal one stands earlier in the data."""
     depth = 8
     while depth < size:
         depth *= 2
@@ -201,16 +173,7 @@ def covered_windows(data: np.ndarray, windows: np.ndarray, size: int, before: li
     first = np.minimum.reduceat(np.where(is_window[sa], sa, len(data)), heads)
     leader = np.zeros(len(data), bool)
     leader[first[first < len(data)]] = True
-    covered = ~leader[windows]
-    fresh = windows[~covered]
-    hit = np.zeros(len(fresh), bool)
-    for other in before:
-        left = np.nonzero(~hit)[0]
-        hit[left] = found_in(data, fresh[left], words, other, size)
-    covered[np.nonzero(~covered)[0][hit]] = True
-    kept = np.zeros(len(data), bool)
-    kept[fresh[~hit]] = True
-    return covered, (words, sa[kept[sa]])
+    return ~leader[windows]
 
 
 def _runs(flags: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -297,47 +260,35 @@ def _cut_out(size: int):
 
 def _shards(size: int, limit: int):
     """Task: pieces ordered by (h1, doc, mark, loc) to covered ranges (doc, mark, start, end). A piece that comes again
-    from a row that repeats id and text is the same one."""
+    from a row that repeats id and text is the same one. No anchor has more than ``limit`` bytes, so none goes on in the
+    next shard."""
 
     def run(batches):
         h1, doc, mark, loc, body, total = [], [], [], [], [], 0
-        carry: tuple[int | None, list] = (None, [])
 
         def work(final: bool):
-            nonlocal h1, doc, mark, loc, body, total, carry
+            nonlocal h1, doc, mark, loc, body, total
             stop = len(h1)
-            if not final:  # the last anchor may go on: keep it for the next shard unless it fills this one
+            if not final:  # the last anchor may go on: keep it for the next shard
                 while stop and h1[stop - 1] == h1[-1]:
                     stop -= 1
-                stop = stop or len(h1)
-            key, shards = carry
-            own = 0
-            while own < stop and h1[own] == key:
-                own += 1
-            out = []
-            for a, b, before in ((0, own, shards), (own, stop, [])):
-                if a == b:
-                    continue
-                data = np.frombuffer(b"".join(body[a:b]), np.uint8)
-                at = np.cumsum([0, *map(len, body[a:b])])[:-1]
-                where = np.array(loc[a:b])
-                n = where & 255
-                begins = np.cumsum(n) - n
-                step = np.arange(n.sum()) - np.repeat(begins, n)
-                windows = np.repeat(at, n) + step
-                flags, shard = covered_windows(data, windows, size, before)
-                piece = np.repeat(np.arange(b - a), n)
-                for_run = piece * (1 << 20) + step  # neighbours within a piece only
-                low, high = _runs(flags, for_run)
-                who = low >> 20
-                first = where[who] >> 16
-                out.append((np.array(doc[a:b])[who], np.array(mark[a:b])[who], first + (low & 0xFFFFF), first + (high & 0xFFFFF) + size))
-                last = h1[b - 1]
-                carry = (last, [*before, shard] if before and last == key else [shard] if h1[a] == last else [])
+            if not stop:
+                return
+            data = np.frombuffer(b"".join(body[:stop]), np.uint8)
+            at = np.cumsum([0, *map(len, body[:stop])])[:-1]
+            where = np.array(loc[:stop])
+            n = where & 255
+            begins = np.cumsum(n) - n
+            step = np.arange(n.sum()) - np.repeat(begins, n)
+            flags = covered_windows(data, np.repeat(at, n) + step, size)
+            for_run = np.repeat(np.arange(stop), n) * (1 << 20) + step  # neighbours within a piece only
+            low, high = _runs(flags, for_run)
+            who = low >> 20
+            first = where[who] >> 16
+            out = rows(doc=np.array(doc[:stop])[who], mark=np.array(mark[:stop])[who], start=first + (low & 0xFFFFF), end=first + (high & 0xFFFFF) + size)
             h1, doc, mark, loc, body = h1[stop:], doc[stop:], mark[stop:], loc[stop:], body[stop:]
             total = sum(map(len, body))
-            for d, m, s, e in out:
-                yield rows(doc=d, mark=m, start=s, end=e)
+            yield out
 
         before = None
 
@@ -357,6 +308,26 @@ def _shards(size: int, limit: int):
     return run
 
 
+def _windows(size: int):
+    """Task: pieces (doc, mark, loc, body) to a row for each of their windows (hash, doc, mark, start)."""
+
+    def run(batches):
+        tool = RunHash()
+        for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
+            body = batch.column(3).to_pylist()
+            loc = batch.column(2).to_numpy()
+            n = loc & 255
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(np.cumsum([0, *map(len, body)])[:-1], n) + step
+            sums = tool.premixed(_BYTE_VALUES[np.frombuffer(b"".join(body), np.uint8)])
+            of = pa.array(np.repeat(np.arange(len(body)), n))
+            yield rows(
+                window=tool.runs(sums, at, at + size).view(np.int64), doc=batch.column(0).take(of), mark=batch.column(1).take(of),
+                start=np.repeat(loc >> 16, n) + step)
+
+    return run
+
+
 def _remove(as_text: bool):
     def run(batches):
         for batch in (x.slice(i, 500) for x in batches for i in range(0, x.num_rows, 500)):
@@ -410,16 +381,29 @@ def remove_repeats(docs: DataFrame, size: int = 100, key: str = "doc_id", text:
         .withColumn("several", F.min("h2").over(by_anchor) != F.max("h2").over(by_anchor))
         .withColumn("own", F.struct("doc", "mark", "loc"))
     )
-    state = F.when(is_range, 1).when(F.col("lead") < F.col("own"), 2).when(F.col("several"), 3)
+    bytes_of = F.col("loc").bitwiseAND(255) + (size - 1)
+    large = F.sum(F.when(F.col("lead") == F.col("own"), bytes_of)).over(by_anchor) > shard_bytes
+    judged = judged.withColumn("large", large)
+    state = F.when(is_range, 1).when(F.col("lead") < F.col("own"), 2).when(F.col("several"), F.when(F.col("large"), 4).otherwise(3))
     judged = stored(judged.select("h1", "h2", "doc", "mark", "loc", state.alias("state")).where("state is not null").distinct(), "pieces")
     start = F.shiftright("loc", 16)
     ranges = judged.where("state < 3").select(
-        "doc", "mark", start.alias("start"), F.when(is_range, F.col("h2")).otherwise(start + F.col("loc").bitwiseAND(255) + (size - 1)).alias("end"))
-    wanted = judged.where("state = 3").groupBy("doc", "mark").agg(F.collect_list(F.struct("h1", "loc")).alias("found"))
-    cut = whole.join(wanted, ["doc", "mark"]).select("doc", "text", "mark", "found").mapInArrow(_cut_out(size), "h1 long, doc long, mark long, loc long, body binary")
-    dealt = cut.repartition("h1").sortWithinPartitions("h1", "doc", "mark", "loc")
+        "doc", "mark", start.alias("start"), F.when(is_range, F.col("h2")).otherwise(start + bytes_of).alias("end"))
+
+    def cut(state: int) -> DataFrame:
+        wanted = judged.where(F.col("state") == state).groupBy("doc", "mark").agg(F.collect_list(F.struct("h1", "loc")).alias("found"))
+        return whole.join(wanted, ["doc", "mark"]).select("doc", "text", "mark", "found").mapInArrow(_cut_out(size), "h1 long, doc long, mark long, loc long, body binary")
+    dealt = cut(3).repartition("h1").sortWithinPartitions("h1", "doc", "mark", "loc")
     more = dealt.mapInArrow(_shards(size, shard_bytes), "doc long, mark long, start long, end long")
-    spans = ranges.unionAll(more).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("found"))
+    ranges = ranges.unionAll(more)
+    if judged.where("state = 4").limit(1).count():
+        pieces = stored(cut(4).select("doc", "mark", "loc", "body"), "large")
+        windows = pieces.mapInArrow(_windows(size), "window long, doc long, mark long, start long")
+        own = F.struct("doc", "mark", "start")
+        firsts = windows.groupBy("window").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first < last")
+        again = windows.join(firsts.drop("last"), "window").where(own != F.col("first"))
+        ranges = ranges.unionAll(again.select("doc", "mark", "start", (F.col("start") + size).alias("end")))
+    spans = ranges.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     joined = whole.join(spans, ["doc", "mark"], "left").select("doc", "text", "found", "rest")
     rest = joined.schema["rest"].dataType.simpleString()
     out = joined.mapInArrow(_remove(as_text), f"doc_id long, rest {rest}, n_bytes long, kept binary, spans array<struct<start:long,end:long>>" + ", kept_text string" * as_text)

@@ -118,6 +118,31 @@ def test_repeats(spark, size, shard):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute.repeats(docs, size)
 
 
+def test_passage_at_the_head_of_many_documents(spark, monkeypatch):
+    """Its edge makes a different piece in each document under few anchors; no task gets more of them than a shard holds."""
+    rnd = random.Random(12)
+    head = "".join(rnd.choice("abcdefgh ") for _ in range(400))
+    docs = {i: head + "".join(rnd.choice("abcdefgh ") for _ in range(150)) + head[:130] * (i % 7 == 0) for i in range(300)}
+    limit, seen = 6000, spark.sparkContext.accumulator(0)
+    plain = suffix._shards
+
+    def watched(size, limit):
+        def run(batches):
+            held: dict = {}
+            for batch in batches:
+                for h1, body in zip(batch.column(0).to_pylist(), batch.column(4).to_pylist()):
+                    held[h1] = held.get(h1, 0) + len(body)
+                seen.add(sum(x > limit for x in held.values()))
+                yield from plain(size, limit)([batch])
+
+        return run
+
+    monkeypatch.setattr(suffix, "_shards", watched)
+    got = suffix.digest(suffix.remove_repeats(table(spark, docs.items()), 100, shard_bytes=limit)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute.repeats(docs, 100)
+    assert seen.value == 0
+
+
 def shared_ids(spark, texts):
     """Texts under three ids, one of them null, and the same by (id, hash), as the operators order them."""
     docs = [([None, 4, 9][i % 3], x) for i, x in enumerate(texts)]
