@@ -28,6 +28,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # the progress of every batch is kept to the end of the run, for the count of late rows
+    "spark.sql.streaming.numRecentProgressUpdates": str(2**31 - 1),
 }
 _EPOCH = datetime(1970, 1, 1)
 
@@ -64,6 +66,16 @@ class LateRows(UserWarning):
     """Rows arrived behind the watermark, so the rollup does not count them."""
 
 
+class BacklogOutOfOrder(RuntimeError):
+    """Rows of a backlog that was cut into batches fell behind the watermark, so the rollup is not whole."""
+
+
+def _lost_mark(spark: SparkSession, checkpoint: str):
+    """The file that marks a checkpoint whose table lacks rows, and its file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint, "rows-lost")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def _plain(progress) -> dict:
     return json.loads(progress.json) if hasattr(progress, "json") else progress
 
@@ -76,14 +88,18 @@ def run_rollup(
 
     ``prepare`` turns source rows into bookings. Output and checkpoint default to a new place in the shared folder;
     give both to continue an earlier run. ``files_per_trigger`` cuts a large backlog into batches; use it when files
-    arrive in the order of their days, since a batch moves the watermark past rows that come in a later one. Rows that
-    are left out in this way, or are later than ``delay``, are counted in a warning (`LateRows`).
+    arrive in the order of their days, since a batch moves the watermark past rows that come in a later one. If any rows are
+    left out then, the run fails (`BacklogOutOfOrder`), and so does every later run on its checkpoint. Without it, rows
+    that are later than ``delay`` after an earlier run are counted in a warning (`LateRows`).
     """
     if (out is None) != (checkpoint is None):
         raise ValueError("give both the output and the checkpoint folder, or neither")
     if out is None:
         base = f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}"
         out, checkpoint = f"{base}/table", f"{base}/checkpoint"
+    files, lost = _lost_mark(spark, checkpoint)
+    if files.exists(lost):
+        raise BacklogOutOfOrder(f"an earlier run left rows out of {out}; begin anew with other folders")
     session = spark.newSession()
     for name, value in STATE_SETTINGS.items():
         session.conf.set(name, value)
@@ -98,6 +114,11 @@ def run_rollup(
     )
     query.awaitTermination()
     late = sum(op.get("numRowsDroppedByWatermark", 0) for p in map(_plain, query.recentProgress) for op in p["stateOperators"])
+    if late and files_per_trigger is not None:
+        files.create(lost).close()
+        raise BacklogOutOfOrder(
+            f"{late} rows, repeated ones included, came after their day was closed and are missing in {out}; begin anew with "
+            "other folders, and without files_per_trigger or with the files in the order of their days")
     if late:
         warnings.warn(LateRows(f"{late} rows, repeated ones included, came after their day was closed and were left out of {out}"), stacklevel=2)
     return spark.read.schema(rollup.schema).parquet(out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 from types import SimpleNamespace
 
@@ -16,7 +17,7 @@ from couponlens.session import shared_folder
 from couponlens.sources.sectioned_text import read_sections, split_sectioned_text
 from couponlens.sources.tables import SCHEMAS, booking_columns, read_bookings, read_coupon_tables, read_profit_fact
 from couponlens.sources.views import register_views
-from couponlens.streaming.rollup import batch_daily_rollup, run_rollup
+from couponlens.streaming.rollup import BacklogOutOfOrder, batch_daily_rollup, run_rollup
 
 ARGS = {"ts": "created_at", "id": "booking_id", "group": "division"}
 
@@ -50,6 +51,28 @@ def test_stream_equals_batch_on_emitted_days(spark, data, tmp_path):
     assert as_set(advance()) == as_set(batch.filter("event_date <= DATE '2024-01-28'"))
 
 
+@pytest.mark.parametrize("newest_first", [False, True])
+def test_backlog_in_batches_is_whole_or_fails(spark, data, tmp_path, newest_first):
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    days = [(date(2024, 1, 1), date(2024, 1, 10)), (date(2024, 1, 11), date(2024, 1, 20)), (date(2024, 1, 21), date(2024, 1, 30))]
+    for n, (first, last) in enumerate(reversed(days) if newest_first else days):
+        write_events(spark, data, source, first, last)
+        for path in (tmp_path / "in").glob("*.parquet"):
+            if path.stat().st_mtime > 1e8:  # not yet dated; the source takes files by their dates
+                os.utime(path, (1e6 * (n + 1),) * 2)
+
+    def run():
+        return run_rollup(spark, source, SCHEMAS["events"], booking_columns, delay="1 day", out=out, checkpoint=mark, files_per_trigger=1, **ARGS)
+
+    if newest_first:
+        for _ in range(2):  # the second run has nothing new, and its table is still not whole
+            with pytest.raises(BacklogOutOfOrder):
+                run()
+    else:
+        want = batch_daily_rollup(read_bookings(spark, data), **ARGS).filter("event_date <= DATE '2024-01-28'")
+        assert as_set(run()) == as_set(want)
+
+
 def test_stream_folders_come_in_pairs(spark, tmp_path):
     with pytest.raises(ValueError):
         run_rollup(spark, "x", SCHEMAS["events"], booking_columns, delay="1 day", out=str(tmp_path), **ARGS)
