@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from couponlens.llm import lines, minhash, packing, suffix, toxicity
 from couponlens.llm.common import ship, stored, table
 
-MIN_REPEAT = 200  # bytes of a passage that the suffix stage cuts where it repeats
+MIN_REPEAT = 100  # bytes of a passage that the suffix stage cuts where it repeats
 
 
 def _with_text(docs: DataFrame, result: DataFrame, text) -> DataFrame:

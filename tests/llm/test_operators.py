@@ -277,6 +277,13 @@ def test_odd_rows(odd):
     assert suffix.remove_repeats(empty).count() == lines.dedup_lines(empty).count() == minhash.near_components(empty).count() == 0
 
 
+def test_pipeline_cuts_passages_of_100_bytes(spark, data):
+    passage = "".join(random.Random(2).choices("abcdefgh", k=120))
+    docs = table(spark, [(1, "x1 " + passage + " one"), (2, "y2 " + passage + " two")])
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.cut_repeats(spark, docs, data).collect()}
+    assert passage in got[1][0] and passage[5:-5] not in got[2][0] and got[2][1] == len(got[2][0])
+
+
 def test_pipeline_stages(spark, data, odd):
     labels = f"{data}"
     for _, stage in corpus_pipeline.STAGES[:-1]:
