@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from couponlens.llm import bpe, egojoin, imatch, langid, lines, minhash, packing, suffix, tokenfile, toxicity
+from couponlens.llm import bpe, egojoin, imatch, langid, lines, minhash, packing, postings, repair, search, suffix, tokenfile, toxicity
 from couponlens.llm.common import ship, table
 
 QUERIES: dict = {}
@@ -82,3 +82,26 @@ def op7_lines(spark: SparkSession, folder: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     found = toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"), learn=id_fold(5) != 0)
     return found.select("doc_id", (id_fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op12_bag_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLES["op12_bag_search"] = search.oracle_sql()
+
+
+@query
+def op13_postings(spark: SparkSession, folder: str) -> DataFrame:
+    index = postings.write_index(table(spark, folder, "documents"))
+    return postings.contamination(postings.phrase_hits(index, table(spark, folder, "benchmark")))
+
+
+ORACLES["op13_postings"] = postings.oracle_sql()
+
+
+@query
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair.repair(repair.damage(conversations), conversations)
