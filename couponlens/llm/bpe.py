@@ -28,7 +28,8 @@ from couponlens.llm.common import RunHash, rows, text_chunks, texts_only
 _FINAL = 0x1000  # added to a word's last symbol where the vocabulary marks word ends
 _END, _SPECIAL = "\ud800", 0xD801  # lone surrogates: they cannot occur in a text
 _PUNCT, _LETTER, _NUMBER, _WHITE, _STOP, _UNKNOWN = range(6)
-_CACHED = 1_000_000  # words that a worker remembers before it starts anew
+_CACHED = 300_000  # words, and pairs of tokens, that a worker remembers before it starts anew
+_CHUNK = 250_000  # characters that are encoded at once
 
 
 def vocabulary(path: str) -> bytes:
@@ -118,6 +119,8 @@ class _Merges:
                 key = last << 20 | token
                 ok = known.get(key)
                 if ok is None:
+                    if len(known) >= _CACHED:
+                        known.clear()
                     ok = known[key] = self.fit(last, token)
             if ok:
                 out.append(token)
@@ -304,7 +307,7 @@ def encoder(packed: bytes) -> Encoder:
 def encoded(batches: Iterator[pa.RecordBatch], packed: bytes) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """For chunks of the rows (doc_id, text): their keys, the ids of their texts, where each text's ids begin."""
     tool = encoder(packed)
-    for keys, texts in text_chunks(batches):
+    for keys, texts in text_chunks(batches, _CHUNK):
         yield keys, *tool.encode(texts)
 
 

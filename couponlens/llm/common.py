@@ -82,11 +82,11 @@ def rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], [*columns])
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Keys and texts of the rows (key, text), in chunks."""
+def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Keys and texts of the rows (key, text), in chunks of about ``limit`` characters."""
     for batch in batches:
         texts = batch.column(1).to_pylist()
-        for a, b in chunks([len(x) for x in texts]):
+        for a, b in chunks([len(x) for x in texts], limit):
             yield batch.column(0).slice(a, b - a), texts[a:b]
 
 

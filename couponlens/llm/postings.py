@@ -22,13 +22,14 @@ from couponlens.llm.common import rows, stored, text_chunks, texts_only
 from couponlens.llm.words import BLOCK_CHARS, numbered, numbering, query_blocks, words
 
 WINDOW = 10
+_SEGMENT_CHARS = 1_000_000
 _SHIFT = np.int64(32)  # a key is a word's rank in the segment, then its place in the segment
 _SEGMENT = "part int, number int, doc_ids array<long>, begins binary, terms binary, lists binary, places binary"
 _FOUND = "part int, number int, nth int, doc_id long, n_words long, starts array<long>, ends array<long>, items array<long>"
 
 
 def write_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Stores the positional index of all words of all texts; one row per segment of about two million characters.
+    """Stores the positional index of all words of all texts; one row per segment of about a million characters.
 
     A null text has no words, rows that share an id or a text stay apart, a longer text is a segment of its own, an empty
     table gives no row.
@@ -36,7 +37,7 @@ def write_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     def run(batches):
         part, nth = TaskContext.get().partitionId(), 0
-        for keys, texts in text_chunks(batches):
+        for keys, texts in text_chunks(batches, _SEGMENT_CHARS):
             number = numbering()
             found, begins = numbered(texts, number)
             by_bytes = sorted(number)

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from couponlens.llm.common import RunHash, mix64, rows, stored
 
-_CHUNK = 1_500_000  # bytes that a task scans at once
-_SHARD = 1_500_000  # bytes of a suffix array
+_CHUNK = 500_000  # bytes that a task scans at once
+_GATHERED = 500_000  # bytes of the anchors that share a suffix array
+_SHARD = 1_500_000  # bytes of one anchor's suffix array
 _NO_ID = -(1 << 63)
 _BYTE_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -300,7 +301,7 @@ def _shards(size: int, limit: int):
                 for held, value in zip((h1, doc, mark, loc, body), x):
                     held.append(value)
                 total += len(x[4])
-                if total >= limit:
+                if total >= min(limit, _GATHERED):
                     yield from work(False)
         if h1:
             yield from work(True)
