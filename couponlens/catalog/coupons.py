@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +17,9 @@ from couponlens.functions.numbers import percent
 from couponlens.functions.rules import volume_tier
 from couponlens.operators import filters, kpi, lookups, mix, shaping
 from couponlens.plans import reports
-from couponlens.session import stage
+from couponlens.session import shared_folder, stage
 from couponlens.sinks.report_files import manifest, to_records, with_json
-from couponlens.sources.sectioned_text import render_sections, split_sectioned_text
+from couponlens.sources.sectioned_text import read_sections, render_sections
 from couponlens.sources.tables import read_coupon_tables, read_table
 
 catalog = Catalog()
@@ -251,12 +253,16 @@ def _cells(section_no: int, section: str, columns: list[tuple[str, str]]) -> str
 
 
 @catalog.add("src_report_tsv", sql([PF, weekly()], " UNION ALL ".join([
+    f"SELECT DISTINCT ctype AS file, 0 AS section_no, NULL AS section, 'title' AS kind, 1 AS row, 1 AS col, NULL AS header, '{REPORT_TITLE}' AS value FROM weekly",
     _cells(1, "Volume", [("week", "week"), ("bookings", "cnt")]),
     _cells(2, "Money", [("week", "week"), *[(m, f"CAST({m} AS DECIMAL(18,2))") for m in ("rev", "cm", "pft")]]),
 ])))
 def src_report_tsv(spark, folder):
+    """Writes the report files, since the driver tables hold none, and reads them."""
     documents = render_sections(class_weekly(spark, folder), "ctype", "week", REPORT_TITLE, report_sections())
-    return split_sectioned_text(documents, "file", "text")
+    path = f"{shared_folder(spark)}/reports-{uuid.uuid4().hex}"
+    documents.write.partitionBy("file").text(path)
+    return read_sections(spark, path).drop("line_no").withColumn("file", F.regexp_extract("file", "file=([^/]+)", 1))
 
 
 @catalog.add("parse_report_number", sql([PF, weekly()], f"""

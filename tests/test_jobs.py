@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from contextlib import contextmanager
 from datetime import date, datetime
 from types import SimpleNamespace
 
@@ -14,7 +16,7 @@ from couponlens.operators import kpi
 from couponlens.operators.lookups import lookup_policy_one
 from couponlens.plans.refresh import driver_settings, last_published, main, run_refresh
 from couponlens.session import shared_folder
-from couponlens.sources.sectioned_text import read_sections, split_sectioned_text
+from couponlens.sources.sectioned_text import read_lines, section_cells, split_sectioned_text
 from couponlens.sources.tables import SCHEMAS, booking_columns, read_bookings, read_coupon_tables, read_profit_fact
 from couponlens.sources.views import register_views
 from couponlens.streaming.rollup import BacklogOutOfOrder, batch_daily_rollup, run_rollup
@@ -31,6 +33,19 @@ def as_set(df):
     return {tuple(r) for r in df.collect()}
 
 
+@contextmanager
+def changed(spark, settings):
+    """Session settings for a while."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_stream_equals_batch_on_emitted_days(spark, data, tmp_path):
     source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
 
@@ -146,20 +161,64 @@ def test_refresh_command_on_canonical_tables(spark, tmp_path, capsys, rows):
     assert len(records[0]) == 18
 
 
-def test_sections_from_files(spark, tmp_path, rows):
-    for name, n in (("a", 3), ("b", 200)):
-        lines = "\n".join(f"item {i}\t{i}" for i in range(n))
-        (tmp_path / f"{name}.tsv").write_text(f"Title\n\n1. First\nname\tvalue\n{lines}\n→ a note\n\n2. Second\nname\tvalue\nx\t1\n")
-    (tmp_path / "c.tsv").write_bytes("Title\r\n\r\n1. First\r\nname\tvalue\r\ny\t7\r\n".encode())
-    got = split_sectioned_text(read_sections(spark, str(tmp_path)), "file", "text")
-    name = F.element_at(F.split("file", "/"), -1)
-    counts = {(r["f"], r["section"], r["kind"]): r["n"] for r in rows(
-        got.groupBy(name.alias("f"), "section", "kind").agg(F.countDistinct("row").alias("n")))}
-    assert counts == {
-        ("a.tsv", "First", "data"): 3, ("a.tsv", "First", "note"): 1, ("a.tsv", "Second", "data"): 1,
-        ("b.tsv", "First", "data"): 200, ("b.tsv", "First", "note"): 1, ("b.tsv", "Second", "data"): 1,
-        ("c.tsv", "First", "data"): 1}
-    assert got.filter("value = 'item 150' OR value = '150'").count() == 2
+def plain_sections(text: str) -> list[tuple]:
+    """Rows of a report, line by line: line_no, section_no, section, kind, row, col, header, value."""
+    out, number, name, header, rows, notes, before = [], 0, None, None, 0, 0, ""
+    for at, line in enumerate(re.split("\r\n|\r|\n", text), start=1):
+        title = re.match(r"^(\d+)\.\s*(.*)$", line)
+        if title and not before.strip(" ") and "\t" not in line:
+            number, name, header, rows, notes = int(title[1]), title[2], None, 0, 0
+        elif "\t" in line and not line.startswith("→"):
+            cells = line.split("\t")
+            if header is None:
+                header = cells
+            else:
+                rows += 1
+                out += [(at, number, name, "data", rows, i + 1, header[i] if i < len(header) else None, x) for i, x in enumerate(cells)]
+        elif line.strip(" "):
+            notes += 1
+            out.append((at, number, name, "title" if name is None else "note", notes, 1, None, line.removeprefix("→").strip(" ")))
+        before = line
+    return out
+
+
+# The shape of the two published reviews: a title, tables of several widths, cells of free text, notes, a section of one
+# sentence. Then what may also come: tables that go on behind blank lines, loose lines, numbers that are no titles.
+REVIEW = "\n\n".join([
+    "첫 리뷰 (25Q1 vs 26Q1)", "1. 구조 전환 요약\n항목\t25Q1\t26Q1\t변화\n유입 규모\t10,082명\t4,811명\t-52.3%\n건당매출\t86,136원\t73,553원\t-14.6%",
+    "2. 실제 이용시간 분포\n실제 이용시간\t건수\t비중\n~4h\t9,379\t83%\n24h+\t113\n8~24h\t합산\t4%\t-\n→ 83%가 4시간 미만 이용",
+    "5. 진단\n구분\t내용\n변화\t\"50% 아니면 안 쓴다\" 유저 → 해소\n향후 과제\t34,900~39,900원 밴드", "10. 한 줄 정리\n시간그룹 분리는 구조적 진보."])
+LOOSE = "Title\nsecond line\na\tb\nc\td\n\n1. First\nname\tvalue\nx\t1\n2. not a title\n\n \ny\t2\n\nloose\n→ arrow\twith a tab\n\n3.\n\n2.x\ty\nz\tw\n\n\n12. End"
+
+
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+@pytest.mark.parametrize("block", ["16b", "300b", "128m"])
+def test_sections_from_files(spark, tmp_path, ends, block):
+    """Every line keeps its section, number and header wherever the file is split."""
+    table = "\n".join(f"item {i}\t{i}" + "\n" * (i % 7 == 0) for i in range(120))
+    texts = {
+        "review": REVIEW + "\n", "loose": LOOSE, "long": f"Long\n\n1. First\nname\tvalue\n{table}\n→ a note\n\n2. Second\nname\tvalue\nx\t1",
+        "empty": "", "blank": "\n\n", "bare": "k\tv\n1\t2"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.tsv").write_bytes(text.replace("\n", ends).encode())
+    with changed(spark, {"spark.sql.files.maxPartitionBytes": block, "spark.sql.files.openCostInBytes": "0"}):
+        lines = read_lines(spark, str(tmp_path))
+        got = [tuple(r) for r in section_cells(lines).collect()]
+        if block == "16b":
+            assert lines.filter("file LIKE '%long%'").select("block").distinct().count() > 20
+    for name, text in texts.items():
+        mine = sorted((r[1:] for r in got if r[0].endswith(f"/{name}.tsv")), key=lambda r: (r[0], r[5]))
+        assert mine == plain_sections(text)
+    back = {}
+    for row in sorted((r for r in got if "review" in r[0]), key=lambda r: (r[1], r[6])):
+        back.setdefault(row[1], []).append(("→ " if "83%가" in row[-1] else "") + row[-1])
+    source = {i: x for i, x in enumerate(REVIEW.split("\n"), start=1)}
+    assert {i: "\t".join(x) for i, x in back.items()} == {i: source[i] for i in back} and len(back) == 10
+
+
+def test_sections_of_no_file(spark):
+    table = spark.createDataFrame([("a", None), ("b", "")], "f string, t string")
+    assert split_sectioned_text(table, "f", "t").count() == 0 and split_sectioned_text(table.limit(0), "f", "t").count() == 0
 
 
 WEEKLY_SQL = """
