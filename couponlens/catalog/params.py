@@ -13,7 +13,7 @@ RULES = (
     ClassRule("sd", contains="rod"),
 )
 YEAR, AS_OF, EARLIER = 1998, date(1998, 12, 1), date(1998, 11, 24)
-CUR_WEEK, PREV_WEEK = 15, 14
+WEEK, WEEK_BEFORE = (1998, 15), (1998, 14)
 CLASS_UNIT, DAY_UNIT = 1e4, 1e3
 LABELS = {"ECONOMY": "Economy class", "PROMO": "Promotions", "SMALL": "Small", "LARGE": "Large"}
 

@@ -29,11 +29,11 @@ def fact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def two_weeks(spark, folder) -> DataFrame:
-    return filters.filter_iso_weeks(fact(spark, folder), "return_at", P.YEAR, P.PREV_WEEK, P.CUR_WEEK)
+    return filters.filter_iso_weeks(fact(spark, folder), "return_at", *P.WEEK_BEFORE, P.WEEK[1], last_year=P.WEEK[0])
 
 
 def this_week(spark, folder) -> DataFrame:
-    return filters.filter_iso_weeks(fact(spark, folder), "return_at", P.YEAR, P.CUR_WEEK, P.CUR_WEEK)
+    return filters.filter_iso_weeks(fact(spark, folder), "return_at", *P.WEEK, P.WEEK[1])
 
 
 def class_weekly(spark, folder, as_of: date = P.AS_OF) -> DataFrame:
@@ -50,15 +50,15 @@ def policy_weeks(spark, folder) -> DataFrame:
 
 
 def paired_policies(spark, folder) -> DataFrame:
-    return periods.pair_long(policy_weeks(spark, folder), "week", P.CUR_WEEK, P.PREV_WEEK, ["policy_id"])
+    return periods.pair_weeks(policy_weeks(spark, folder), P.WEEK, ["policy_id"])
 
 
 def paired_divisions(spark, folder) -> DataFrame:
-    return periods.pair_long(division_weeks(spark, folder), "week", P.CUR_WEEK, P.PREV_WEEK, ["division"])
+    return periods.pair_weeks(division_weeks(spark, folder), P.WEEK, ["division"])
 
 
 DIVISION = "coupon_policy_division AS division"
-DIV_WEEKS = rollup(f"week, {DIVISION}", "weeks", TWO_WEEKS)
+DIV_WEEKS = rollup(f"CAST(iso_year AS INTEGER) AS iso_year, week, {DIVISION}", "weeks", TWO_WEEKS)
 DIV_WEEK = rollup(DIVISION, "grouped", THIS_WEEK)
 POLICY_WEEKS = rollup("week, coupon_policy_id AS policy_id", "weeks", f"coupon_policy_id IS NOT NULL AND {TWO_WEEKS}")
 DIV_PAIR = [PF, DIV_WEEKS, paired("weeks", "division"), filled("paired", "division")]
@@ -180,13 +180,29 @@ def ratio_gpm_nonzero(spark, folder):
     return kpi.ratio_gpm_nonzero(division_weeks(spark, folder))
 
 
-YEAR_ROLLUP = rollup(f"week, {DIVISION}", "weeks", "iso_year = 1998")
+ALL_WEEKS = rollup(f"CAST(iso_year AS INTEGER) AS iso_year, week, {DIVISION}", "weeks")
 
 
-@catalog.add("division_rollup", sql([PF, YEAR_ROLLUP], "SELECT * FROM weeks"))
+@catalog.add("division_rollup", sql([PF, ALL_WEEKS], "SELECT * FROM weeks"))
 def division_rollup(spark, folder):
-    year = filters.filter_iso_year(fact(spark, folder), "return_at", P.YEAR)
-    return kpi.division_rollup(year, unit=P.DAY_UNIT)
+    """All weeks of all years."""
+    return kpi.division_rollup(fact(spark, folder), unit=P.DAY_UNIT)
+
+
+@catalog.add("wow_weeks", sql([PF, ALL_WEEKS, """
+dated AS (
+  SELECT weeks.*, d.monday FROM weeks
+  JOIN (SELECT DISTINCT iso_year, week, CAST(date_trunc('week', return_date) AS DATE) AS monday FROM pf) AS d USING (iso_year, week)
+)""", f"""
+paired AS (
+  SELECT c.iso_year, c.week, c.division, {", ".join(f"c.{m} AS cur_{m}, p.{m} AS prev_{m}" for m in ("rev", "profit", "cnt"))},
+    TRUE AS in_cur, p.division IS NOT NULL AS in_prev
+  FROM dated AS c LEFT JOIN dated AS p ON p.division = c.division AND p.monday = c.monday - 7
+)""", filled("paired", "iso_year, week, division")], wow_select("iso_year, week, division")))
+def wow_weeks(spark, folder):
+    """Every week against the week before, from one year into the next."""
+    weeks = kpi.division_rollup(fact(spark, folder), unit=P.DAY_UNIT)
+    return periods.wow_rows(periods.pair_every_week(weeks, ["division"]), ["iso_year", "week", "division"])
 
 
 DIV_DAILY = rollup(f"return_date, {DIVISION}", "daily", THIS_WEEK)
@@ -224,7 +240,7 @@ def weighted_gpm(spark, folder):
 SELECT count(*) FILTER (rev > 0 AND profit * 100 / NULLIF(rev, 0) >= 10) AS reached, count(*) AS groups
 FROM weeks WHERE week = 15"""))
 def target_attainment_count(spark, folder):
-    grouped = division_weeks(spark, folder).filter(F.col("week") == P.CUR_WEEK)
+    grouped = division_weeks(spark, folder).filter(F.col("week") == P.WEEK[1])
     return kpi.target_attainment_count(grouped, target=10.0)
 
 
@@ -305,7 +321,7 @@ def change_status_query(spark, folder):
 SELECT *, CASE division WHEN 'ECONOMY' THEN 'Economy class' WHEN 'PROMO' THEN 'Promotions' WHEN 'SMALL' THEN 'Small'
   WHEN 'LARGE' THEN 'Large' ELSE division END AS label FROM grouped"""))
 def dim_label(spark, folder):
-    grouped = kpi.division_rollup(this_week(spark, folder), unit=P.DAY_UNIT).drop("week")
+    grouped = kpi.division_rollup(this_week(spark, folder), unit=P.DAY_UNIT).drop("iso_year", "week")
     return periods.dim_label(grouped, "division", periods.label_table(grouped, P.LABELS))
 
 
@@ -372,7 +388,7 @@ def period_delta(spark, folder):
 @catalog.add("sort_gpm_asc", sql([PF, DIV_WEEK], """
 SELECT *, CAST(row_number() OVER (ORDER BY coalesce(profit / NULLIF(rev, 0), 0), division) AS INTEGER) AS rank FROM grouped"""))
 def sort_gpm_asc(spark, folder):
-    return periods.sort_gpm_asc(kpi.division_rollup(this_week(spark, folder), unit=P.DAY_UNIT).drop("week"))
+    return periods.sort_gpm_asc(kpi.division_rollup(this_week(spark, folder), unit=P.DAY_UNIT).drop("iso_year", "week"))
 
 
 @catalog.add("sort_delta_desc", sql([*DIV_PAIR, f"wow AS ({wow_select('division')})"], """
@@ -431,7 +447,7 @@ FROM (SELECT {exact('rev')} AS total_rev, {exact('profit')} AS total_profit, cou
     count(*) FILTER (rev > 0 AND profit * 100 / NULLIF(rev, 0) >= 10) AS reached FROM weeks WHERE week = 15),
   (SELECT {exact('rev')} AS prev_rev FROM weeks WHERE week = 14)"""))
 def report_overview_cards(spark, folder):
-    return reports.report_overview_cards(division_weeks(spark, folder), P.CUR_WEEK, P.PREV_WEEK, target=10.0)
+    return reports.report_overview_cards(division_weeks(spark, folder), P.WEEK, target=10.0)
 
 
 LABEL_CASE = """CASE division WHEN 'ECONOMY' THEN 'Economy class' WHEN 'PROMO' THEN 'Promotions' WHEN 'SMALL' THEN 'Small'
@@ -442,7 +458,7 @@ LABEL_CASE = """CASE division WHEN 'ECONOMY' THEN 'Economy class' WHEN 'PROMO' T
 SELECT *, {LABEL_CASE} AS label, coalesce({pct('profit', 'rev')}, 0) AS gpm,
   CAST(row_number() OVER (ORDER BY coalesce(profit / NULLIF(rev, 0), 0), division) AS INTEGER) AS rank FROM grouped"""))
 def report_division_table(spark, folder):
-    grouped = kpi.division_rollup(this_week(spark, folder), unit=P.DAY_UNIT).drop("week")
+    grouped = kpi.division_rollup(this_week(spark, folder), unit=P.DAY_UNIT).drop("iso_year", "week")
     return reports.report_division_table(grouped, periods.label_table(grouped, P.LABELS))
 
 
@@ -451,7 +467,7 @@ SELECT *, {LABEL_CASE} AS label, CAST(row_number() OVER (ORDER BY d_rev DESC, di
 UNION ALL BY NAME SELECT *, CAST(NULL AS VARCHAR) AS division, 'total' AS label, 0 AS rank FROM total"""))
 def report_wow(spark, folder):
     weeks = division_weeks(spark, folder)
-    return reports.report_wow(weeks, P.CUR_WEEK, P.PREV_WEEK, periods.label_table(weeks, P.LABELS))
+    return reports.report_wow(weeks, P.WEEK, periods.label_table(weeks, P.LABELS))
 
 
 @catalog.add("report_division_daily", sql([

@@ -58,6 +58,33 @@ def iso_week_range(year: int, week: int) -> tuple[date, date]:
     return first, first + timedelta(days=6)
 
 
+# A week of a year, as (iso_year, week).
+Week = tuple[int, int]
+# Weeks are numbered on from the one that begins on this Monday, so that the week before is one less in any year.
+_FIRST_MONDAY = date(1970, 1, 5)
+
+
+def week_number(week: Week) -> int:
+    return (date.fromisocalendar(*week, 1) - _FIRST_MONDAY).days // 7
+
+
+def week_before(week: Week) -> Week:
+    """The ISO week before; that of week 1 is week 52 or 53 of the year before."""
+    year, number, _ = (date.fromisocalendar(*week, 1) - timedelta(days=7)).isocalendar()
+    return year, number
+
+
+def week_numbers(year: Column, week: Column) -> Column:
+    """Running number of the ISO weeks in two columns. The fourth of January is always in week 1."""
+    return F.floor(F.datediff(F.make_date(year, F.lit(1), F.lit(4)), F.lit(_FIRST_MONDAY)) / 7).cast("int") + week - 1
+
+
+def week_of_number(number: Column) -> tuple[Column, Column]:
+    """ISO year and week of a running number."""
+    thursday = F.date_add(F.lit(_FIRST_MONDAY), (number * 7 + 3).cast("int"))
+    return F.year(thursday), F.weekofyear(thursday)
+
+
 def micros_between(start: Column, end: Column) -> Column:
     """Microseconds between two zone-less timestamps, whatever the session's zone."""
     seconds = (end - start).cast("interval second").cast("decimal(20,6)")

@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.functions.dates import day_range, iso_week, local_date
+from couponlens.functions.dates import day_range, iso_week, iso_year, local_date
 from couponlens.functions.numbers import half_up, in_unit, percent, quotient, zero_if_null
 from couponlens.functions.rules import ClassRule, classify
 from couponlens.operators.filters import (
@@ -48,17 +48,12 @@ def count_distinct_reservation(df: DataFrame, keys: Sequence[str], id: str = ID)
 
 
 def with_distinct(df: DataFrame, keys: Sequence[Column], sums: dict[str, Column], id: str = ID) -> DataFrame:
-    """Aggregates per group together with ``cnt``, the exact number of distinct ids.
+    """Aggregates per group together with ``cnt``, the exact number of distinct ids, from one read of the rows.
 
-    The two are computed apart and put together on the finished groups. The sums then combine almost entirely on the map
-    side, and only bare (group, id) pairs are shuffled for the count; in a single aggregation every pair would carry
-    all sums through that shuffle, while the second read of a columnar fact takes the key and id columns alone.
+    Rows are combined by (group, id) on both sides of a shuffle over (group, id), which spreads a group with most of the
+    rows over many tasks; a second, small shuffle puts the groups together.
     """
-    summed = df.groupBy(*keys).agg(*[a.alias(name) for name, a in sums.items()])
-    counted = df.groupBy(*keys).agg(F.countDistinct(id).alias("cnt"))
-    names = [c for c in counted.columns if c != "cnt"]
-    parts = summed.unionByName(counted, allowMissingColumns=True)
-    return parts.groupBy(*names).agg(*[F.max(c).alias(c) for c in ("cnt", *sums)])
+    return df.groupBy(*keys).agg(F.countDistinct(id).alias("cnt"), *[a.alias(name) for name, a in sums.items()])
 
 
 def money_sums() -> dict[str, Column]:
@@ -187,10 +182,40 @@ def _measures(df: DataFrame, keys: Sequence[str], unit: float) -> DataFrame:
     )
 
 
+def week_columns() -> list[Column]:
+    """ISO year and week of the return date."""
+    return [iso_year(return_date()).alias("iso_year"), iso_week(return_date()).alias("week")]
+
+
 def division_rollup(fact: DataFrame, group: str = DIVISION, unit: float = 1e6) -> DataFrame:
-    """ISO week by group: revenue and profit in ``unit``, reservations. Give it one ISO year or a few weeks."""
-    keyed = money_totals(fact, [iso_week(return_date()).alias("week"), F.col(group).alias("division")])
-    return _measures(keyed, ["week", "division"], unit)
+    """ISO year and week by group: revenue and profit in ``unit``, reservations. Equal week numbers of two years stay apart."""
+    keyed = money_totals(fact, [*week_columns(), F.col(group).alias("division")])
+    return _measures(keyed, ["iso_year", "week", "division"], unit)
+
+
+ROLLUPS = {"weeks": ("iso_year", "week", "division"), "policies": ("iso_year", "week", "policy_id"), "days": ("return_date", "division")}
+
+
+def joint_rollup(fact: DataFrame, unit: float = 1e6) -> DataFrame:
+    """The three groupings of ``ROLLUPS`` in one table, told apart by ``rollup``, from one read of the fact. Distinct counts
+    of one grouping do not add up to those of another, so all three are counted side by side in one aggregation."""
+    keys = ("iso_year", "week", "return_date", "division", "policy_id")
+    rows = fact.select(
+        *week_columns(), return_date().alias("return_date"), F.col(DIVISION).alias("division"), F.col(POLICY_ID).alias("policy_id"), ID,
+        "revenue", "contribution_margin", "profit")
+    sets = [[F.col(k) for k in chosen] for chosen in ROLLUPS.values()]
+    totals = rows.groupingSets(sets, *keys).agg(
+        F.grouping_id().alias("_set"), F.countDistinct(ID).alias("cnt"), *[a.alias(name) for name, a in money_sums().items()])
+    # a grouping's id has a bit for each key that it leaves out, the first key highest
+    left_out = {name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in chosen) for name, chosen in ROLLUPS.items()}
+    name = F.coalesce(*[F.when(F.col("_set") == number, F.lit(rollup)) for rollup, number in left_out.items()])
+    return _measures(totals.withColumn("rollup", name), ["rollup", *keys], unit)
+
+
+def rollup_of(joint: DataFrame, name: str) -> DataFrame:
+    """One of the groupings of ``joint_rollup``. Rows without a policy are not one of the policies."""
+    mine = joint.filter(F.col("rollup") == name).select(*ROLLUPS[name], "rev", "profit", "cnt")
+    return mine.filter(F.col("policy_id").isNotNull()) if name == "policies" else mine
 
 
 def division_daily(fact: DataFrame, group: str = DIVISION, unit: float = 1e6) -> DataFrame:

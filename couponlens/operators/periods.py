@@ -13,7 +13,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.functions.dates import week_label
+from couponlens.functions.dates import Week, week_before, week_label, week_numbers, week_of_number
 from couponlens.functions.numbers import difference, half_up, percent, zero_if_null
 from couponlens.functions.rules import change_status, level_of
 from couponlens.operators.kpi import exact_sum
@@ -25,7 +25,33 @@ def pair_long(
     long: DataFrame, period: str, cur, prev, key: Sequence[str], measures: Sequence[str] = MEASURES
 ) -> DataFrame:
     """Pairs two values of ``period`` in a table with one row per period and key."""
-    here, there = F.col(period) == F.lit(cur), F.col(period) == F.lit(prev)
+    return _pair(long, F.col(period) == F.lit(cur), F.col(period) == F.lit(prev), key, measures)
+
+
+def pair_weeks(
+    rollup: DataFrame, cur: Week, key: Sequence[str], prev: Week | None = None, measures: Sequence[str] = MEASURES
+) -> DataFrame:
+    """Pairs an ISO week with another one, by default with the week before, which may be in the year before. ``rollup`` has a
+    row per iso_year, week and key."""
+
+    def of(week: Week) -> Column:
+        return (F.col("iso_year") == week[0]) & (F.col("week") == week[1])
+
+    return _pair(rollup, of(cur), of(prev or week_before(cur)), key, measures)
+
+
+def pair_every_week(rollup: DataFrame, key: Sequence[str], measures: Sequence[str] = MEASURES) -> DataFrame:
+    """Pairs every ISO week with the one before, by their running numbers, over any span of years: a row per iso_year, week
+    and key of either week. Each row counts once for its own week and once for the next, in one grouping without a join."""
+    number = week_numbers(F.col("iso_year"), F.col("week"))
+    sides = F.array(*[F.struct((number + ahead).alias("_number"), F.lit(ahead == 0).alias("_here")) for ahead in (0, 1)])
+    both = rollup.select(*key, *measures, F.inline(sides))
+    paired = _pair(both, F.col("_here"), ~F.col("_here"), ["_number", *key], measures)
+    year, week = week_of_number(F.col("_number"))
+    return paired.select(year.alias("iso_year"), week.alias("week"), *[c for c in paired.columns if c != "_number"])
+
+
+def _pair(long: DataFrame, here: Column, there: Column, key: Sequence[str], measures: Sequence[str]) -> DataFrame:
     return (
         long.filter(here | there)
         .groupBy(*key)

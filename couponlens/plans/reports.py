@@ -8,11 +8,12 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from couponlens.functions.dates import Week, iso_week_range, week_before
 from couponlens.functions.numbers import percent
 from couponlens.operators import behavior, filters, kpi, mix
 from couponlens.operators.kpi import exact_sum, grand_total_row, ratio_gpm_cm, ratio_gpm_nonzero, revenue_per_booking
 from couponlens.operators.periods import (
-    align_day_offset, align_weeks_outer, dim_label, intensity_minmax, intensity_of_max, pair_long, policies_ended,
+    align_day_offset, align_weeks_outer, dim_label, intensity_minmax, intensity_of_max, pair_weeks, policies_ended,
     policies_new, running_total, sort_delta_desc, sort_gpm_asc, sum_series, tag_calendar, top_revenue_shift, wow_rows,
     wow_total_row,
 )
@@ -35,9 +36,9 @@ def report_creation_detail(daily_named: DataFrame, unit: float) -> DataFrame:
     return revenue_per_booking(rows, "net_rev_m", "cnt", unit)
 
 
-def report_overview_cards(rollup: DataFrame, cur: int, prev: int, target: float = 25.0) -> DataFrame:
-    """Cards of the current week: revenue, change on the week before, weighted margin, profit, groups at target."""
-    paired = pair_long(rollup, "week", cur, prev, ["division"])
+def report_overview_cards(rollup: DataFrame, cur: Week, prev: Week | None = None, target: float = 25.0) -> DataFrame:
+    """Cards of an ISO week: revenue, change on the week before, weighted margin, profit, groups at target."""
+    paired = pair_weeks(rollup, cur, ["division"], prev)
     gpm = F.try_divide(F.col("cur_profit") * 100, F.col("cur_rev"))
     total = paired.agg(
         exact_sum(paired, "cur_rev").alias("total_rev"), exact_sum(paired, "prev_rev").alias("prev_total_rev"),
@@ -56,9 +57,9 @@ def report_division_table(rollup: DataFrame, labels: DataFrame) -> DataFrame:
     return sort_gpm_asc(ratio_gpm_nonzero(dim_label(rollup, "division", labels)))
 
 
-def report_wow(rollup: DataFrame, cur: int, prev: int, labels: DataFrame) -> DataFrame:
-    """Week-over-week table, largest revenue gain first, and its total row (rank 0)."""
-    paired = pair_long(rollup, "week", cur, prev, ["division"])
+def report_wow(rollup: DataFrame, cur: Week, labels: DataFrame, prev: Week | None = None) -> DataFrame:
+    """Week-over-week table of an ISO week, largest revenue gain first, and its total row (rank 0)."""
+    paired = pair_weeks(rollup, cur, ["division"], prev)
     rows = sort_delta_desc(dim_label(wow_rows(paired, ["division"]), "division", labels))
     total = wow_total_row(paired).withColumns({
         "division": F.lit(None).cast("string"), "label": F.lit("total"), "rank": F.lit(0),
@@ -123,21 +124,22 @@ def behavior_page(
 
 
 def division_page(
-    fact: DataFrame, year: int, cur: int, prev: int, labels: DataFrame, groups: Sequence[str], target: float = 25.0,
-    unit: float = 1e6, stage: Callable[[DataFrame], DataFrame] = stage,
+    fact: DataFrame, cur: Week, labels: DataFrame, groups: Sequence[str], target: float = 25.0, unit: float = 1e6,
+    prev: Week | None = None, stage: Callable[[DataFrame], DataFrame] = stage,
 ) -> dict[str, DataFrame]:
-    """All tables of the division page. Distinct counts do not add up over groups, so there are three stored rollups of
-    the two weeks, by division and week, by policy and week, and by division and day; each table groups one of them."""
-    two = filters.filter_iso_weeks(fact, kpi.RETURN_AT, year, prev, cur)
-    weeks = stage(kpi.division_rollup(two, unit=unit))
-    used = two.filter(F.col(kpi.POLICY_ID).isNotNull())
-    policies = pair_long(stage(kpi.division_rollup(used, kpi.POLICY_ID, unit)), "week", cur, prev, ["division"])
-    policies = policies.withColumnRenamed("division", "policy_id")
-    daily = stage(kpi.division_daily(filters.filter_iso_weeks(fact, kpi.RETURN_AT, year, cur, cur), unit=unit))
+    """All tables of the division page, for an ISO week and the week before, which may be in the year before. They are made
+    from one stored rollup of the two weeks, for which the fact is read once."""
+    prev = prev or week_before(cur)
+    two = filters.filter_iso_weeks(fact, kpi.RETURN_AT, prev[0], prev[1], cur[1], last_year=cur[0])
+    joint = stage(kpi.joint_rollup(two, unit))
+    weeks, policies = kpi.rollup_of(joint, "weeks"), pair_weeks(kpi.rollup_of(joint, "policies"), cur, ["policy_id"], prev)
+    first, last = iso_week_range(*cur)
+    daily = kpi.rollup_of(joint, "days").filter(F.col("return_date").between(F.lit(first), F.lit(last)))
+    this = weeks.filter((F.col("iso_year") == cur[0]) & (F.col("week") == cur[1])).drop("iso_year", "week")
     return {
         "cards": report_overview_cards(weeks, cur, prev, target),
-        "divisions": report_division_table(weeks.filter(F.col("week") == cur).drop("week"), labels),
-        "week_over_week": report_wow(weeks, cur, prev, labels),
+        "divisions": report_division_table(this, labels),
+        "week_over_week": report_wow(weeks, cur, labels, prev),
         "new_policies": policies_new(policies, ["policy_id"]),
         "ended_policies": policies_ended(policies, ["policy_id"]),
         "top_shift": top_revenue_shift(policies, "policy_id"),

@@ -283,3 +283,25 @@ def test_inflow_period_without_users(spark):
     months = {m: (date(2026, k, 1), date(2026, k, 28)) for k, m in enumerate(("jan", "feb", "mar"), start=1)}
     got = mix.inflow_compare(reservations, "u", "at", "amount", months, "UTC").orderBy("pos").collect()
     assert [(r.period, r.users, r.users_pct) for r in got] == [("jan", 1, None), ("feb", 0, -100.0), ("mar", 1, None)]
+
+
+def test_week_numbers_run_across_years(spark, rows):
+    from couponlens.functions.dates import week_before, week_number, week_numbers, week_of_number
+
+    days = spark.range(0, 30 * 366, 7).select(F.date_add(F.lit(date(1999, 12, 30)), F.col("id").cast("int")).alias("d"))
+    keyed = days.select(F.extract(F.lit("YEAROFWEEK"), "d").alias("y"), F.weekofyear("d").alias("w"))
+    got = rows(keyed.withColumn("n", week_numbers(F.col("y"), F.col("w"))).select("y", "w", "n", *[c.alias(a) for a, c in zip(("y2", "w2"), week_of_number(F.col("n")))]).orderBy("n"))
+    assert [r["n"] for r in got] == list(range(got[0]["n"], got[0]["n"] + len(got)))
+    assert all((r["y"], r["w"]) == (r["y2"], r["w2"]) and r["n"] == week_number((r["y"], r["w"])) for r in got)
+    assert [week_before((a["y"], a["w"])) == (b["y"], b["w"]) for a, b in zip(got[1:], got)].count(False) == 0
+
+
+def test_equal_weeks_of_two_years_stay_apart(spark, rows):
+    days = [(2024, 12, 31), (2025, 12, 30), (2025, 12, 23), (2026, 1, 6), (2020, 12, 31), (2021, 1, 4)]
+    fact = spark.createDataFrame([line(i, datetime(*d)) for i, d in enumerate(days)], FACT)
+    weeks = kpi.division_rollup(fact, unit=1.0)
+    assert {(r["iso_year"], r["week"]): r["cnt"] for r in rows(weeks)} == {(2025, 1): 1, (2026, 1): 1, (2025, 52): 1, (2026, 2): 1, (2020, 53): 1, (2021, 1): 1}
+    (card,) = rows(periods.wow_rows(periods.pair_weeks(weeks, (2026, 1), ["division"]), ["division"]))
+    assert (card["prev_cnt"], card["cur_cnt"], card["d_rev"]) == (1, 1, 0.0)
+    pairs = {(r["iso_year"], r["week"]): (r["prev_cnt"], r["cur_cnt"]) for r in rows(periods.wow_rows(periods.pair_every_week(weeks, ["division"]), ["iso_year", "week", "division"]))}
+    assert pairs == {(2025, 1): (0, 1), (2026, 1): (1, 1), (2025, 52): (0, 1), (2026, 2): (1, 1), (2020, 53): (0, 1), (2021, 1): (1, 1)}

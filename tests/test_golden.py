@@ -94,8 +94,8 @@ def weekly(spark):
 
 @pytest.fixture(scope="module")
 def divisions(spark):
-    lines = [(w, d, r, p, c) for w, week in ((14, W14), (15, W15)) for d, r, p, c in week]
-    return spark.createDataFrame(lines, "week int, division string, rev double, profit double, cnt bigint")
+    lines = [(2026, w, d, r, p, c) for w, week in ((14, W14), (15, W15)) for d, r, p, c in week]
+    return spark.createDataFrame(lines, "iso_year int, week int, division string, rev double, profit double, cnt bigint")
 
 
 def test_weekly_totals(weekly, rows):
@@ -121,12 +121,12 @@ def test_revenue_per_booking_and_ratio(spark, rows):
 
 
 def test_overview_cards(divisions, rows):
-    card = rows(reports.report_overview_cards(divisions, 15, 14))[0]
+    card = rows(reports.report_overview_cards(divisions, (2026, 15)))[0]
     assert card == {"total_rev": 5009.6, "rev_pct": -5.8, "weighted_gpm": 17.0, "total_profit": 849.9, "reached": 1, "groups": 14}
 
 
 def test_wow(divisions, rows):
-    paired = periods.pair_long(divisions, "week", 15, 14, ["division"])
+    paired = periods.pair_weeks(divisions, (2026, 15), ["division"])
     total = rows(periods.wow_total_row(paired))[0]
     assert (total["prev_rev"], total["prev_profit"], total["prev_cnt"]) == (5317.6, 902.8, 74278)
     assert (total["cur_rev"], total["cur_profit"], total["cur_cnt"]) == (5009.6, 849.9, 67033)

@@ -329,7 +329,7 @@ def test_division_page(spark, data):
     from couponlens.plans.reports import division_page
 
     fact = read_profit_fact(spark, data)
-    page = division_page(fact, P.YEAR, P.CUR_WEEK, P.PREV_WEEK, label_table(fact, P.LABELS), ["PROMO", "ECONOMY"], 10.0, P.DAY_UNIT)
+    page = division_page(fact, P.WEEK, label_table(fact, P.LABELS), ["PROMO", "ECONOMY"], 10.0, P.DAY_UNIT)
     same = {
         "cards": "report_overview_cards", "divisions": "report_division_table", "week_over_week": "report_wow",
         "new_policies": "policies_new", "ended_policies": "policies_ended", "top_shift": "top_revenue_shift",
@@ -339,3 +339,30 @@ def test_division_page(spark, data):
         direct = entry.queries()[key](spark, data)
         assert as_set(page[table].select(*direct.columns)) == as_set(direct), table
     assert page["daily"].filter("is_total = 1").count() == 2
+
+
+def test_division_page_across_a_year(spark, data):
+    """Week 1 against week 53, from one stored table and one read of the fact."""
+    import duckdb
+
+    from couponlens.catalog.sqlkit import PF, q
+    from couponlens.operators.periods import label_table
+    from couponlens.plans.reports import division_page
+    from couponlens.session import stage
+
+    fact, staged = read_profit_fact(spark, data), []
+    page = division_page(fact, (1993, 1), label_table(fact, P.LABELS), ["PROMO", "ECONOMY"], 10.0, P.DAY_UNIT, stage=lambda df: staged.append(stage(df)) or staged[-1])
+    assert len(staged) == 1
+    con = duckdb.connect()
+    for name in ("lineitem", "part"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{data}/{name}.parquet')")
+    of = f"SELECT {{}} AS k, {q('sum(revenue)', '1e3', 1)} AS rev, count(DISTINCT reservation_id) AS cnt FROM pf WHERE return_date BETWEEN DATE '{{}}' AND DATE '{{}}' {{}} GROUP BY 1"
+    weeks = ("1993-01-04", "1993-01-10"), ("1992-12-28", "1993-01-03")
+    by = {(k, d): con.execute(f"WITH {PF} " + of.format(k, *d, "AND coupon_policy_id IS NOT NULL")).fetchall() for k in ("coupon_policy_id", "coupon_policy_division") for d in weeks}
+    divisions = [{k: (r, c) for k, r, c in con.execute(f"WITH {PF} " + of.format("coupon_policy_division", *d, "")).fetchall()} for d in weeks]
+    got = {r.division: r for r in page["week_over_week"].collect() if r.label != "total"}
+    assert {d: ((r.cur_rev, r.cur_cnt), (r.prev_rev, r.prev_cnt)) for d, r in got.items()} == {d: (divisions[0][d], divisions[1].get(d, (0, 0))) for d in divisions[0]}
+    policies = [{k for k, _, _ in by["coupon_policy_id", d]} for d in weeks]
+    assert {r.policy_id for r in page["new_policies"].collect()} == policies[0] - policies[1]
+    assert {r.policy_id for r in page["ended_policies"].collect()} == policies[1] - policies[0]
+    assert {r.return_date for r in page["daily"].filter("is_total = 0").collect()} <= {date(1993, 1, d) for d in range(4, 11)}
