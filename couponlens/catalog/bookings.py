@@ -190,7 +190,7 @@ def return_date_distribution(spark, folder):
     return kpi.return_date_distribution(read_bookings(spark, folder), "end_at", P.FEBRUARY)
 
 
-NAMED_BK = "named AS (SELECT bk.*, p_name AS policy_name FROM bk JOIN part ON p_partkey = policy_id AND p_partkey < 20)"
+NAMED_BK = "named AS (SELECT bk.*, p_name AS policy_name FROM bk JOIN part ON p_partkey = policy_id)"
 
 
 @catalog.add("filter_return_window", sql([BK, NAMED_BK], f"""

@@ -17,7 +17,7 @@ from couponlens.functions.numbers import percent
 from couponlens.functions.rules import volume_tier
 from couponlens.operators import filters, kpi, lookups, mix, shaping
 from couponlens.plans import reports
-from couponlens.session import shared_folder, stage
+from couponlens.session import shared_folder
 from couponlens.sinks.report_files import manifest, to_records, with_json
 from couponlens.sources.sectioned_text import read_sections, render_sections
 from couponlens.sources.tables import read_coupon_tables, read_table
@@ -29,13 +29,9 @@ def valid(tables) -> DataFrame:
     return filters.filter_valid_reservation(tables["reservation"], created="created_at", **P.VALID)
 
 
-def issued(tables) -> DataFrame:
-    return lookups.join_coupon_policy(tables["coupon"], tables["policy"])
-
-
 def daily(spark, folder, named: bool = False) -> DataFrame:
     build = kpi.new_coupon_daily_named if named else kpi.new_coupon_daily
-    return build(read_coupon_tables(spark, folder), P.POLICY_IDS, P.VALID, P.LEDGER, unit=P.DAY_UNIT, stage=stage)
+    return build(read_coupon_tables(spark, folder), P.POLICY_IDS, P.VALID, P.LEDGER, unit=P.DAY_UNIT)
 
 
 DAILY = [CP, ledger_daily(False)]
@@ -72,12 +68,12 @@ def filter_valid_reservation(spark, folder):
 @catalog.add("join_coupon_policy", sql([CP], """
 SELECT policy_id, coupon_name, state, count(*) AS cnt FROM issued GROUP BY ALL"""))
 def join_coupon_policy(spark, folder):
-    return issued(read_coupon_tables(spark, folder)).groupBy("policy_id", "coupon_name", "state").agg(
-        F.count(F.lit(1)).alias("cnt"))
+    t = read_coupon_tables(spark, folder)
+    return kpi.issued_counts(t["coupon"], t["policy"])
 
 
 @catalog.add("semi_target_policy", sql([CP], """
-SELECT id, create_date FROM valid WHERE id IN (SELECT reservation_id FROM issued WHERE policy_id BETWEEN 4 AND 11)"""))
+SELECT id, create_date FROM valid WHERE id IN (SELECT reservation_id FROM issued WHERE policy_id BETWEEN 4 AND 403)"""))
 def semi_target_policy(spark, folder):
     t = read_coupon_tables(spark, folder)
     hits = lookups.semi_target_policy(valid(t), t["coupon"], t["policy"], P.POLICY_IDS)
@@ -93,8 +89,9 @@ def lookup_policy_one(spark, folder):
 
 
 @catalog.add("lookup_amount_sum", sql([CP], """
-SELECT id, CAST(coalesce((SELECT sum(amount) FROM charge AS c WHERE c.reservation_id = valid.id
-  AND c.charge_type IN ('rent', 'refund')), 0) AS DOUBLE) AS rent FROM valid"""))
+SELECT valid.id, CAST(coalesce(rents.total, 0) AS DOUBLE) AS rent FROM valid
+LEFT JOIN (SELECT reservation_id AS id, sum(amount) AS total FROM charge WHERE charge_type IN ('rent', 'refund') GROUP BY 1) AS rents
+  ON rents.id = valid.id"""))
 def lookup_amount_sum(spark, folder):
     t = read_coupon_tables(spark, folder)
     found = lookups.lookup_amount_sum(
@@ -102,12 +99,16 @@ def lookup_amount_sum(spark, folder):
     return found.select("id", F.col("rent").cast("double").alias("rent"))
 
 
-@catalog.add("net_revenue", sql([CP], f"""
-SELECT id, {q('''(coalesce((SELECT sum(amount) FROM charge AS c WHERE c.reservation_id = valid.id
-    AND c.charge_type IN ('rent', 'refund')), 0)
-  + coalesce((SELECT sum(amount) FROM charge AS c WHERE c.reservation_id = valid.id AND c.charge_type = 'protection_fee'), 0)
-  - coalesce((SELECT sum(amount) FROM payment AS p WHERE p.reservation_id = valid.id AND p.paid_type = 'coupon'), 0))''',
-  '1.1', 2)} AS net_revenue FROM valid"""))
+SIGNED = """
+signed AS (
+  SELECT reservation_id, amount FROM charge WHERE charge_type IN ('rent', 'refund', 'protection_fee')
+  UNION ALL SELECT reservation_id, -amount FROM payment WHERE paid_type = 'coupon'
+),
+gross AS (SELECT reservation_id, sum(amount) AS total FROM signed GROUP BY 1)"""
+
+
+@catalog.add("net_revenue", sql([CP, SIGNED], f"""
+SELECT id, {q('coalesce(total, 0)', '1.1', 2)} AS net_revenue FROM valid LEFT JOIN gross ON reservation_id = id"""))
 def net_revenue(spark, folder):
     t = read_coupon_tables(spark, folder)
     return lookups.net_revenue(valid(t), t["charge"], t["payment"], **P.LEDGER).select("id", "net_revenue")
@@ -125,18 +126,18 @@ def new_coupon_daily_named(spark, folder):
 
 PIVOT = "SELECT create_date, " + ", ".join(
     f"coalesce(max(cnt) FILTER (pid = {p}), 0) AS c{p}, coalesce(max(net_rev_m) FILTER (pid = {p}), 0) AS r{p}"
-    for p in P.POLICY_IDS) + " FROM daily GROUP BY create_date"
+    for p in P.PIVOT_IDS) + " FROM daily GROUP BY create_date"
 
 
 @catalog.add("pivot_daily_policy", sql(DAILY, PIVOT))
 def pivot_daily_policy(spark, folder):
-    return shaping.pivot_daily_policy(daily(spark, folder), P.POLICY_IDS)
+    return shaping.pivot_daily_policy(daily(spark, folder), P.PIVOT_IDS)
 
 
 @catalog.add("snk_daily_records", sql([*DAILY, f"wide AS ({PIVOT})"],
                                       "SELECT *, strftime(create_date, '%m/%d') AS date FROM wide"))
 def snk_daily_records(spark, folder):
-    return to_records(shaping.pivot_daily_policy(daily(spark, folder), P.POLICY_IDS))
+    return to_records(shaping.pivot_daily_policy(daily(spark, folder), P.PIVOT_IDS))
 
 
 KINDS = "kinds AS (SELECT create_date, split_part(coupon_name, ' ', 2) AS kind, sum(cnt) AS cnt FROM daily GROUP BY ALL)"
@@ -188,7 +189,8 @@ def creation_day_counts(spark, folder):
 @catalog.add("distinct_policies_matched", sql([CP], """
 SELECT count(DISTINCT policy_id) AS policies FROM issued WHERE coupon_name LIKE '%bolt%' AND state = 1"""))
 def distinct_policies_matched(spark, folder):
-    return kpi.distinct_policies_matched(issued(read_coupon_tables(spark, folder)), "bolt", 1)
+    t = read_coupon_tables(spark, folder)
+    return kpi.distinct_policies_matched(t["coupon"], t["policy"], "bolt", 1)
 
 
 @catalog.add("volume_tier", sql(NAMED, """

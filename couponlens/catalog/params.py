@@ -17,7 +17,8 @@ WEEK, WEEK_BEFORE = (1998, 15), (1998, 14)
 CLASS_UNIT, DAY_UNIT = 1e4, 1e3
 LABELS = {"ECONOMY": "Economy class", "PROMO": "Promotions", "SMALL": "Small", "LARGE": "Large"}
 
-POLICY_IDS = tuple(range(4, 12))
+POLICY_IDS = tuple(range(4, 404))
+PIVOT_IDS = (18, 20, 38, 40, 58, 60, 78, 80)  # the policies that get columns of their own
 COUPON_KINDS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")  # last word of a coupon name
 ZONE = "Asia/Seoul"
 VALID = {

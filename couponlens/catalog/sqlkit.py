@@ -38,11 +38,11 @@ valid AS (
     AND state IN (1, 2, 3) AND create_date >= DATE '1996-01-01'
 ),
 coupon AS (
-  SELECT o_orderkey AS reservation_id, o_orderkey % 20 AS policy_id,
+  SELECT o_orderkey AS reservation_id, 2 * o_custkey AS policy_id,
     CASE WHEN o_orderkey % 5 <> 0 THEN 1 ELSE 0 END AS state
-  FROM orders WHERE o_orderkey % 3 <> 0
+  FROM orders
 ),
-policy AS (SELECT p_partkey AS id, p_name AS name FROM part WHERE p_partkey < 20),
+policy AS (SELECT p_partkey AS id, p_name AS name FROM part),
 charge AS (
   SELECT l_orderkey AS reservation_id,
     CASE WHEN l_returnflag = 'A' THEN -1 ELSE 1 END * CAST(l_extendedprice AS DECIMAL(12,2)) AS amount,
@@ -71,7 +71,7 @@ bk_times AS (
 ),
 bk AS (
   SELECT *, CASE WHEN division = 'error' THEN 0 ELSE 1 END AS state, 40 + 5 * (k % 3) AS discount_rate,
-    CAST(k % 20 AS BIGINT) AS policy_id,
+    user_id AS policy_id,
     CAST(round(revenue * (k - 40) * CAST(0.01 AS DECIMAL(3,2)), 4) AS DECIMAL(18,4)) AS profit,
     epoch_us(start_at) - epoch_us(created_at) AS lead_us, epoch_us(end_at) - epoch_us(start_at) AS duration_us,
     CAST(end_at AS DATE) AS end_date, dayofweek(start_at) + 1 AS dow, hour(start_at) AS hr,
@@ -191,7 +191,7 @@ def ledger_daily(named: bool, unit: str = "1e3", name: str = "daily") -> str:
     return f"""
 keyed AS (
   SELECT v.id, v.create_date, i.policy_id AS pid, i.coupon_name FROM valid AS v JOIN issued AS i ON i.reservation_id = v.id
-  WHERE v.id IN (SELECT reservation_id FROM issued WHERE policy_id BETWEEN 4 AND 11)
+  WHERE v.id IN (SELECT reservation_id FROM issued WHERE policy_id BETWEEN 4 AND 403)
 ),
 rent AS (SELECT reservation_id, sum(amount) AS a FROM charge WHERE charge_type IN ('rent', 'refund') GROUP BY ALL),
 fee AS (SELECT reservation_id, sum(amount) AS a FROM charge WHERE charge_type IN ('protection_fee') GROUP BY ALL),

@@ -7,7 +7,7 @@ many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +20,7 @@ from couponlens.operators.filters import (
     filter_campaign, filter_iso_year, filter_until_yesterday, filter_valid_reservation, last_n_days,
 )
 from couponlens.operators.lookups import (
-    coupon_summary, gross_ledger, of_few, semi_target_policy, single_policy, with_gross, with_policy_name,
+    coupon_summary, gross_ledger, join_coupon_policy, single_policy, with_gross, with_policy_name,
 )
 
 ID, RETURN_AT = "reservation_id", "return_at"
@@ -82,7 +82,7 @@ def weekly_class_kpi(
 
 def new_coupon_daily(
     tables: dict[str, DataFrame], ids: Sequence[int], valid: dict, ledger_types: dict, vat: float = 1.1,
-    unit: float = 1e6, stage: Callable[[DataFrame], DataFrame] | None = None,
+    unit: float = 1e6,
 ) -> DataFrame:
     """Local creation date by policy: reservations and net revenue in ``unit``.
 
@@ -90,19 +90,22 @@ def new_coupon_daily(
     test and the policy lookup share one aggregation of the coupon table, and the reservation, coupon and ledger
     sides are all partitioned by the reservation, so each is shuffled once.
 
-    With ``stage`` (see ``session.stage``) the reservations of the campaign are stored first; if they are few, the
-    coupon, charge and payment rows of all others are dropped before any shuffle.
+    Every side is first held against the reservations that used a target policy. These semi joins come behind the
+    map-side combine of the child rows; where the tables are large, Spark turns them into bloom filters that drop the
+    rows of all other reservations at the scans (``spark.sql.optimizer.runtime.bloomFilter.*``). Nothing is counted or
+    stored beforehand.
     """
     policies, coupons, charges, payments = (tables[t] for t in ("policy", "coupon", "charge", "payment"))
+    used = coupons.filter(F.col("policy_id").isin(*ids)).select("reservation_id")
+    of_campaign = used.withColumnRenamed("reservation_id", "id")
     kept = filter_valid_reservation(tables["reservation"], created="created_at", **valid).select("id", "created_at")
-    if stage is not None:
-        kept = stage(semi_target_policy(kept, coupons, policies, ids))
-        coupons, charges, payments = of_few(kept, "id", "reservation_id", coupons, charges, payments)
-    keyed = kept.join(coupon_summary(coupons, policies, ids).filter("is_target"), "id").select(
+    kept = kept.join(of_campaign, "id", "left_semi")
+    targets = coupon_summary(coupons.join(used, "reservation_id", "left_semi"), policies, ids).filter("is_target")
+    keyed = kept.join(targets, "id").select(
         "id", single_policy(F.col("pid"), F.col("n_coupons")).alias("pid"),
         local_date(F.col("created_at"), valid["tz"]).alias("create_date"),
     )
-    priced = with_gross(keyed, gross_ledger(charges, payments, **ledger_types))
+    priced = with_gross(keyed, gross_ledger(charges, payments, **ledger_types).join(of_campaign, "id", "left_semi"))
     return (
         priced.groupBy("create_date", "pid")
         .agg(F.countDistinct("id").alias("cnt"), F.sum("gross").alias("gross"))
@@ -112,10 +115,10 @@ def new_coupon_daily(
 
 def new_coupon_daily_named(
     tables: dict[str, DataFrame], ids: Sequence[int], valid: dict, ledger_types: dict, vat: float = 1.1,
-    unit: float = 1e6, stage: Callable[[DataFrame], DataFrame] | None = None,
+    unit: float = 1e6,
 ) -> DataFrame:
     """``new_coupon_daily`` with the policy name, which is joined to the grouped rows."""
-    daily = new_coupon_daily(tables, ids, valid, ledger_types, vat, unit, stage)
+    daily = new_coupon_daily(tables, ids, valid, ledger_types, vat, unit)
     return with_policy_name(daily, tables["policy"], "pid").select(
         "create_date", "pid", "coupon_name", "cnt", "net_rev_m"
     )
@@ -295,13 +298,22 @@ def return_date_distribution(bookings: DataFrame, end: str, window: tuple[date,
     )
 
 
-def distinct_policies_matched(issued: DataFrame, pattern: str, state: int) -> DataFrame:
-    """Number of distinct policies in use whose name matches, over coupon issues joined to their policy."""
-    return issued.filter(F.col("coupon_name").contains(pattern) & (F.col("state") == state)).agg(
-        F.countDistinct("policy_id").alias("policies")
+def distinct_policies_matched(coupons: DataFrame, policies: DataFrame, pattern: str, state: int) -> DataFrame:
+    """Number of policies in use, by coupons of a state, whose name matches. Policies are tested for a coupon, so coupons are
+    cut down to one row per task and policy before they are shuffled."""
+    in_use = coupons.filter(F.col("state") == state).select(F.col("policy_id").alias("id")).distinct()
+    return policies.filter(F.col("name").contains(pattern)).join(in_use, "id", "left_semi").agg(
+        F.countDistinct("id").alias("policies")
     )
 
 
+def issued_counts(coupons: DataFrame, policies: DataFrame) -> DataFrame:
+    """Coupons per policy, name and state. They are counted before the policies are joined, so a policy with most of the
+    coupons sends one row per task; coupons of unknown policies drop out."""
+    counted = coupons.groupBy("policy_id", "state").agg(F.count(F.lit(1)).alias("cnt"))
+    return join_coupon_policy(counted, policies).select("policy_id", "coupon_name", "state", "cnt")
+
+
 def share_of_total(grouped: DataFrame, value: str, name: str = "share") -> DataFrame:
     """Percent of the column total per row. For category tables (buckets, weekdays, divisions): the total is a
     window over the grouped rows."""

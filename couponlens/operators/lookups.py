@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from couponlens.functions.numbers import MONEY, quotient
 
-# Ids up to this number are sent to every task (16 MB).
-FEW_IDS = 1_000_000
-
 
 def join_coupon_policy(coupons: DataFrame, policies: DataFrame) -> DataFrame:
     """Coupon issues with the name of their policy; issues of unknown policies drop out."""
@@ -95,15 +92,6 @@ def gross_ledger(
     return plus.unionByName(minus).groupBy(F.col("reservation_id").alias("id")).agg(F.sum("amount").alias("gross"))
 
 
-def of_few(stored: DataFrame, id: str, key: str, *children: DataFrame, limit: int = FEW_IDS) -> list[DataFrame]:
-    """Child rows of the ids in a stored table, dropped at the scan if the ids are few enough to send to every task;
-    all child rows otherwise, for the joins that follow to sort out."""
-    if stored.count() > limit:
-        return list(children)
-    ids = F.broadcast(stored.select(F.col(id).alias(key)))
-    return [child.join(ids, key, "left_semi") for child in children]
-
-
 def with_gross(reservations: DataFrame, ledger: DataFrame) -> DataFrame:
     return reservations.join(ledger, "id", "left").withColumn(
         "gross", F.coalesce(F.col("gross"), F.lit(0).cast(MONEY))

@@ -21,7 +21,6 @@ from couponlens.operators.kpi import new_coupon_daily_named, weekly_class_kpi
 from couponlens.operators.periods import align_weeks_outer
 from couponlens.operators.shaping import pivot_daily_policy
 from couponlens.plans import presets
-from couponlens.session import stage
 from couponlens.sinks.report_files import manifest, snapshot_diff, to_records, to_series, write_records
 from couponlens.sources.tables import read_canonical, read_coupon_tables, read_profit_fact
 
@@ -36,6 +35,7 @@ class RefreshSettings:
     year: int = presets.REPORT_YEAR
     weekly_unit: float = presets.WEEKLY_UNIT
     policy_ids: Sequence[int] = presets.CAMPAIGN_POLICIES
+    record_ids: Sequence[int] | None = None  # policies with columns in the daily records; all of ``policy_ids`` by default
     valid: dict = field(default_factory=lambda: dict(presets.VALID_RESERVATION))
     ledger_types: dict = field(default_factory=lambda: dict(presets.LEDGER_TYPES))
     vat: float = presets.VAT
@@ -75,7 +75,7 @@ def run_refresh(
     s, now = settings, now or datetime.now()
     run = f"{out.rstrip('/')}/runs/{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     weekly_class_kpi(fact, s.rules, s.year, as_of, s.weekly_unit).orderBy("ctype", "week").write.parquet(f"{run}/weekly")
-    creation = new_coupon_daily_named(tables, s.policy_ids, s.valid, s.ledger_types, s.vat, s.daily_unit, stage)
+    creation = new_coupon_daily_named(tables, s.policy_ids, s.valid, s.ledger_types, s.vat, s.daily_unit)
     creation.orderBy("pid", "create_date").write.parquet(f"{run}/daily")
     weekly, daily = spark.read.parquet(f"{run}/weekly"), spark.read.parquet(f"{run}/daily")
 
@@ -86,7 +86,7 @@ def run_refresh(
     values = [f"{c}_{m}" for c in ("eb", "sd") for m in ("cnt", "rev", "cm", "pft")]
     aligned = align_weeks_outer(weekly).withColumn("report", F.lit("weekly"))
     write_records(to_series(aligned, ["report"], "week", ["label", *values]), f"{run}/weekly_series")
-    records = to_records(pivot_daily_policy(daily, s.policy_ids)).orderBy("create_date")
+    records = to_records(pivot_daily_policy(daily, s.record_ids or s.policy_ids)).orderBy("create_date")
     write_records(records, f"{run}/daily_records")
     stamped = done.withColumns({"run": F.lit(run), "published_at": F.lit(now.isoformat(timespec="seconds"))})
     stamped.write.mode("append").json(f"{out}/published")
@@ -99,7 +99,7 @@ def driver_settings() -> RefreshSettings:
 
     return RefreshSettings(
         rules=params.RULES, year=params.YEAR, weekly_unit=params.CLASS_UNIT, policy_ids=params.POLICY_IDS,
-        valid=params.VALID, ledger_types=params.LEDGER, daily_unit=params.DAY_UNIT,
+        record_ids=params.PIVOT_IDS, valid=params.VALID, ledger_types=params.LEDGER, daily_unit=params.DAY_UNIT,
     )
 
 

@@ -105,9 +105,9 @@ def read_coupon_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]
         F.when(status == "F", 1).when(status == "O", 2).when(status == "P", 4).alias("state"),
         _money(_hundredths("o_totalprice"), 2).alias("amount"),
     )
-    coupon = orders.filter(F.col("o_orderkey") % 3 != 0).select(
+    coupon = orders.select(
         F.col("o_orderkey").alias("reservation_id"),
-        (F.col("o_orderkey") % 20).alias("policy_id"),
+        (F.col("o_custkey") * 2).alias("policy_id"),  # a third of them name a policy that does not exist
         F.when(F.col("o_orderkey") % 5 != 0, 1).otherwise(0).alias("state"),
     )
     policy = read_policies(spark, folder)
@@ -134,11 +134,7 @@ def read_canonical(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[st
 
 def read_policies(spark: SparkSession, folder: str) -> DataFrame:
     """Coupon policies: id and display name."""
-    return (
-        read_table(spark, folder, "part")
-        .filter(F.col("p_partkey") < 20)
-        .select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-    )
+    return read_table(spark, folder, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
 
 
 def booking_columns(events: DataFrame) -> DataFrame:
@@ -156,7 +152,7 @@ def booking_columns(events: DataFrame) -> DataFrame:
         F.timestamp_add("HOUR", k, start).alias("end_at"),
         F.when(F.col("event_type") == "error", 0).otherwise(1).alias("state"),
         (40 + 5 * (k % 3)).cast("int").alias("discount_rate"),
-        (k % 20).cast("bigint").alias("policy_id"),
+        F.col("user_id").alias("policy_id"),
         _money(revenue, 3).alias("revenue"),
         _money(revenue * (k - 40), 5).alias("profit"),
     )

@@ -94,17 +94,6 @@ def test_creation_table_by_hand(tables, rows):
         ("2026-03-26", 10, "ten", 1, 750.0), ("2026-03-27", 11, "eleven", 1, -10.0)]
 
 
-@pytest.mark.parametrize("limit", [0, 10])
-def test_staged_creation_table_is_the_same(tables, rows, monkeypatch, limit):
-    """With few ids the other child rows are dropped early, with many they are not; the result is one."""
-    from couponlens.session import stage
-
-    monkeypatch.setattr(kpi, "of_few", lambda *args: lookups.of_few(*args, limit=limit))
-    lazy, staged = (kpi.new_coupon_daily(tables, [10, 11], VALID, LEDGER, unit=1.0, stage=s) for s in (None, stage))
-    assert sorted(map(str, rows(staged))) == sorted(map(str, rows(lazy)))
-    assert ("BroadcastHashJoin" in staged._jdf.queryExecution().executedPlan().toString()) or limit == 0
-
-
 def test_net_revenue_is_zero_without_rows(tables, rows):
     got = {r["id"]: r["net_revenue"] for r in rows(lookups.net_revenue(
         tables["reservation"], tables["charge"], tables["payment"], **LEDGER))}
@@ -115,14 +104,18 @@ def test_two_coupons_on_a_reservation_fail(spark, tables):
     more = tables["coupon"].unionByName(spark.createDataFrame([(1, 99, 1)], tables["coupon"].schema))
     with pytest.raises(Exception, match="more than one coupon"):
         kpi.new_coupon_daily({**tables, "coupon": more}, [10, 11], VALID, LEDGER).collect()
-    from couponlens.session import stage
-
-    with pytest.raises(Exception, match="more than one coupon"):
-        kpi.new_coupon_daily({**tables, "coupon": more}, [10, 11], VALID, LEDGER, stage=stage).collect()
     with pytest.raises(Exception, match="more than one coupon"):
         lookups.lookup_policy_one(tables["reservation"], more, tables["policy"]).collect()
 
 
+def test_coupons_of_unknown_policies_drop_out(spark, tables, rows):
+    more = tables["coupon"].unionByName(spark.createDataFrame([(1, 12345, 1), (3, 777, 1)], tables["coupon"].schema))
+    assert kpi.new_coupon_daily({**tables, "coupon": more}, [10, 11, 777], VALID, LEDGER).count() == 2
+    counts = {(r["policy_id"], r["coupon_name"], r["state"]): r["cnt"] for r in rows(kpi.issued_counts(more, tables["policy"]))}
+    assert counts == {(10, "ten", 1): 4, (11, "eleven", 1): 1, (99, "other", 1): 1}
+    assert rows(kpi.distinct_policies_matched(more, tables["policy"], "e", 1))[0]["policies"] == 3
+
+
 def test_two_coupons_elsewhere_do_not_matter(spark, tables):
     more = tables["coupon"].unionByName(spark.createDataFrame([(4, 99, 1)], tables["coupon"].schema))
     assert kpi.new_coupon_daily({**tables, "coupon": more}, [10, 11], VALID, LEDGER).count() == 2

@@ -117,7 +117,7 @@ def test_refresh_publishes_only_changes(spark, data, tmp_path):
     assert len(series["week"]) == later["weeks"] and series["week"] == sorted(series["week"])
     assert series["label"][0].startswith("W1\n") and len(series["eb_rev"]) == later["weeks"]
     records = spark.read.json(f"{later['run']}/daily_records")
-    assert records.count() == later["nc_days"] and {"c4", "r11", "date"} <= set(records.columns)
+    assert records.count() == later["nc_days"] and {"c18", "r80", "date"} <= set(records.columns)
 
 
 def test_refresh_command_on_canonical_tables(spark, tmp_path, capsys, rows):
@@ -244,7 +244,7 @@ WITH gross AS (
 used AS (
   SELECT r.id, to_date(convert_timezone('UTC', 'Asia/Seoul', r.created_at)) AS create_date, i.policy_id AS pid
   FROM reservation AS r JOIN coupon_issue AS i ON i.reservation_id = r.id
-  WHERE r.way < '4' AND r.member_imaginary IN (0, 9) AND r.state < 4 AND i.policy_id BETWEEN 4 AND 11
+  WHERE r.way < '4' AND r.member_imaginary IN (0, 9) AND r.state < 4 AND i.policy_id BETWEEN 4 AND 403
     AND EXISTS (SELECT 1 FROM coupon_policy AS p WHERE p.id = i.policy_id)
 )
 SELECT create_date, pid, count(DISTINCT used.id) AS cnt,
@@ -253,7 +253,7 @@ FROM used LEFT JOIN gross ON gross.reservation_id = used.id
 WHERE create_date >= DATE '1996-01-01' GROUP BY create_date, pid"""
 
 LOOKUP_SQL = """
-SELECT id, coalesce((SELECT i.policy_id FROM coupon_issue AS i WHERE i.reservation_id = reservation.id), 0) AS pid
+SELECT id, coalesce((SELECT i.policy_id FROM coupon_issue AS i JOIN coupon_policy AS p ON p.id = i.policy_id WHERE i.reservation_id = reservation.id), 0) AS pid
 FROM reservation"""
 
 
