@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from couponlens.llm.common import RunHash, rows, text_chunks, texts_only
+from couponlens.llm.common import RunHash, rows, text_chunks, texts_only, trim
 
 _FINAL = 0x1000  # added to a word's last symbol where the vocabulary marks word ends
 _END, _SPECIAL = "\ud800", 0xD801  # lone surrogates: they cannot occur in a text
 _PUNCT, _LETTER, _NUMBER, _WHITE, _STOP, _UNKNOWN = range(6)
-_CACHED = 300_000  # words, and pairs of tokens, that a worker remembers before it starts anew
-_CHUNK = 250_000  # characters that are encoded at once
+_CACHED = 1_000_000  # words that a worker remembers before it starts anew
+_PAIRS = 300_000  # pairs of tokens that it remembers
+_CHUNK = 1_000_000  # characters that are encoded at once
 
 
 def vocabulary(path: str) -> bytes:
@@ -119,7 +120,7 @@ class _Merges:
                 key = last << 20 | token
                 ok = known.get(key)
                 if ok is None:
-                    if len(known) >= _CACHED:
+                    if len(known) >= _PAIRS:
                         known.clear()
                     ok = known[key] = self.fit(last, token)
             if ok:
@@ -304,6 +305,12 @@ def encoder(packed: bytes) -> Encoder:
     return _ENCODERS[key]
 
 
+def drop_encoders() -> None:
+    """Gives up the worker's encoders, where the tasks that follow need the memory more than the time to load them again."""
+    _ENCODERS.clear()
+    trim()
+
+
 def encoded(batches: Iterator[pa.RecordBatch], packed: bytes) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """For chunks of the rows (doc_id, text): their keys, the ids of their texts, where each text's ids begin."""
     tool = encoder(packed)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes.util
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -90,6 +92,16 @@ def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterat
             yield batch.column(0).slice(a, b - a), texts[a:b]
 
 
+def trim() -> None:
+    """Hands the memory that a Python worker has freed back to the system. Workers outlive their tasks, so what one stage
+    leaves behind would otherwise count against the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    name = ctypes.util.find_library("c")
+    if name and hasattr(library := ctypes.CDLL(name), "malloc_trim"):
+        library.malloc_trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of 64-bit values."""
     x = x.astype(np.uint64, copy=True)

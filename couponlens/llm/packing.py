@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.llm.bpe import encoded, vocabulary
+from couponlens.llm.bpe import drop_encoders, encoded, vocabulary
 from couponlens.llm.common import partitions, rows, stored, texts_only
 
 
@@ -38,6 +38,7 @@ def pieces(docs: DataFrame, vocab_path: str, end_id: int, capacity: int, key: st
             a = at[row] + start
             crcs = [zlib.crc32(ids[i:j]) for i, j in zip(a.tolist(), (a + length).tolist())]
             yield rows(doc_id=keys.take(pa.array(row)), piece=pa.array(piece, pa.int32()), start=start, length=length, ids_crc32=pa.array(crcs, pa.int64()))
+        drop_encoders()
 
     return texts_only(docs, key, text).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

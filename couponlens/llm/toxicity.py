@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import RunHash, rows, text_chunks
+from couponlens.llm.common import RunHash, rows, text_chunks, trim
 from couponlens.llm.langid import letter_table
 
 SAMPLE = 12_000  # labelled documents that everything is fitted on
@@ -26,6 +26,7 @@ LEXICON = 256  # entries at most
 SHORTEST, LONGEST = 4, 8  # characters of a word beginning
 _WHOLE = np.uint64(0xA24BAED4963EE407)  # told apart from a beginning of the same letters
 _END = 0xD800
+_CHUNK = 500_000  # characters that are scored at once
 _TABLES: dict[str, object] = {}
 
 
@@ -216,11 +217,12 @@ def score(docs: DataFrame, labels: DataFrame, learn, key: str = "doc_id", text:
 
     def run(batches):
         for whole in batches:
-            at, parts = 0, text_chunks([whole])
+            at, parts = 0, text_chunks([whole], _CHUNK)
             for keys, texts in parts:
                 rest = {"rest": whole.column(2).slice(at, len(texts))} if carry else {}
                 at += len(texts)
                 yield rows(doc_id=keys, **judged(texts), **rest)
+        trim()
 
     def judged(texts):
         if fitted is None:
