@@ -184,7 +184,9 @@ def train(labelled: DataFrame):
 
     def measure(batches):
         for toxic, texts in text_chunks(batches):
-            yield rows(toxic=toxic, x=pa.array(features(texts, keys).tolist(), pa.list_(pa.float64())))
+            x = features(texts, keys)
+            ends = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * x.shape[1], pa.int32())
+            yield rows(toxic=toxic, x=pa.ListArray.from_arrays(ends, pa.array(x.ravel())))
 
     table = sample.select("toxic", "text").mapInArrow(measure, "toxic int, x array<double>").limit(2 * SAMPLE).toArrow()
     if not table.num_rows:
@@ -192,11 +194,14 @@ def train(labelled: DataFrame):
     y = table.column(0).to_numpy().astype(np.float64)
     if y.min() == y.max():
         return None
-    x = np.array(table.column(1).to_pylist())
+    x = table.column(1).combine_chunks().flatten().to_numpy().reshape(len(y), -1)
+    del table
     model = LabelModel(votes(x))
     w = logistic(inputs(x), model.posterior(votes(x)), 1.0)
     raw = inputs(x) @ w
     scale = logistic(np.stack([raw, np.ones(len(raw))], axis=1), y, 1e-3)
+    del x, raw
+    trim()
     return keys, w, scale
 
 
