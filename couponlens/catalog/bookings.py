@@ -10,7 +10,7 @@ from couponlens.catalog import params as P
 from couponlens.catalog.sqlkit import BK, WEEKDAY, dec, exact, pct, q, sql, sub
 from couponlens.functions.dates import MICROS_PER_HOUR
 from couponlens.functions.numbers import in_unit
-from couponlens.functions.rules import DURATION_LABELS, gpm_band_abs
+from couponlens.functions.rules import DURATION_LABELS, gpm_band_abs, weekday_name
 from couponlens.operators import behavior, filters, kpi, mix, periods
 from couponlens.plans import reports
 from couponlens.sources.tables import SCHEMAS, booking_columns, read_bookings, read_policies, table_path
@@ -120,9 +120,20 @@ def _ends(measure: str) -> str:
     return " UNION ALL ".join(one.format(m=measure, k=k, d=d) for k, d in (("best", "DESC"), ("worst", "ASC")))
 
 
-@catalog.add("extreme_groups", sql([BK, f"grouped AS ({BY_DOW})"], " UNION ALL ".join(_ends(m) for m in ("rpu", "gpm", "cnt"))))
+def _peaks(measure: str) -> str:
+    one = (f"SELECT * FROM (SELECT '{{m}}' AS measure, '{{k}}' AS kind, {WEEKDAY} || ' ' || block AS \"group\", CAST({{m}} AS DOUBLE) AS value "
+           "FROM cells ORDER BY {m} {d}, \"group\" {d} LIMIT 1)")
+    return " UNION ALL ".join(one.format(m=measure, k=k, d=d) for k, d in (("best", "DESC"), ("worst", "ASC")))
+
+
+@catalog.add("extreme_groups", sql(
+    [BK, f"grouped AS ({BY_DOW})", CELLS], " UNION ALL ".join([*[_ends(m) for m in ("rpu", "gpm", "cnt")], *[_peaks(m) for m in ("cnt", "rpu")]])))
 def extreme_groups(spark, folder):
-    return behavior.extreme_groups(behavior.by_weekday(read_bookings(spark, folder), unit=UNIT), "weekday", ["rpu", "gpm", "cnt"])
+    """Best and worst weekday by three measures, and the peak and the lowest cell of both heatmaps."""
+    bookings = read_bookings(spark, folder)
+    cells = behavior.heatmap_long(bookings).withColumn("weekday", weekday_name(F.col("dow")))
+    days = behavior.extreme_groups(behavior.by_weekday(bookings, unit=UNIT), "weekday", ["rpu", "gpm", "cnt"])
+    return days.unionByName(behavior.extreme_groups(cells, ["weekday", "block"], ["cnt", "rpu"]))
 
 
 PROFIT = f"{q('sum(profit)', '1e3', 1)} AS profit"
@@ -193,13 +204,24 @@ def return_date_distribution(spark, folder):
 NAMED_BK = "named AS (SELECT bk.*, p_name AS policy_name FROM bk JOIN part ON p_partkey = policy_id)"
 
 
+PAGE_BK = "page AS (SELECT * FROM named WHERE policy_name LIKE '%bolt%' AND state = 1)"
+
+
+def named_bookings(spark, folder) -> DataFrame:
+    policies = read_policies(spark, folder).select(F.col("id").alias("policy_id"), F.col("name").alias("policy_name"))
+    return read_bookings(spark, folder).join(policies, "policy_id")
+
+
+def page_bookings(spark, folder) -> DataFrame:
+    """The rows of the first-week page: bookings under coupons whose name matches and that are in use."""
+    return filters.filter_policy_state(named_bookings(spark, folder), "policy_name", "bolt", "state", 1)
+
+
 @catalog.add("filter_return_window", sql([BK, NAMED_BK], f"""
 SELECT end_date AS return_date, count(*) AS cnt, {q('sum(duration_us)', 'CAST(3600000000 AS DOUBLE)', 1)} AS hours
 FROM named WHERE policy_name LIKE '%bolt%' AND state = 1 AND end_date BETWEEN DATE '2024-02-01' AND DATE '2024-02-07' GROUP BY ALL"""))
 def filter_return_window(spark, folder):
-    policies = read_policies(spark, folder).select(F.col("id").alias("policy_id"), F.col("name").alias("policy_name"))
-    bookings = read_bookings(spark, folder).join(policies, "policy_id")
-    kept = filters.filter_return_window(bookings, "policy_name", "bolt", "state", 1, "end_at", P.FEB_WEEK)
+    kept = filters.filter_return_window(named_bookings(spark, folder), "policy_name", "bolt", "state", 1, "end_at", P.FEB_WEEK)
     return kept.groupBy(F.to_date("end_at").alias("return_date")).agg(
         F.count(F.lit(1)).alias("cnt"),
         in_unit(behavior.span_sum("duration_us"), float(MICROS_PER_HOUR), 1).alias("hours"))
@@ -208,17 +230,17 @@ def filter_return_window(spark, folder):
 HOURS = "CAST(3600000000 AS DOUBLE)"
 
 
-@catalog.add("first_week_compare", sql([BK, f"""
+@catalog.add("first_week_compare", sql([BK, NAMED_BK, PAGE_BK, f"""
 s AS (SELECT count(*) FILTER (cur) AS cur_cnt, count(*) FILTER (prev) AS prev_cnt,
     coalesce({q('sum(duration_us) FILTER (cur)', HOURS, 1)}, 0) AS cur_hours,
     coalesce({q('sum(duration_us) FILTER (prev)', HOURS, 1)}, 0) AS prev_hours
   FROM (SELECT *, end_date BETWEEN DATE '2024-02-01' AND DATE '2024-02-07' AS cur,
-    end_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' AS prev FROM bk))"""], f"""
+    end_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' AS prev FROM page))"""], f"""
 SELECT prev_cnt, cur_cnt, cur_cnt - prev_cnt AS d_cnt, {pct('(cur_cnt - prev_cnt)', 'prev_cnt')} AS d_cnt_pct,
   prev_hours, cur_hours, {sub('cur_hours', 'prev_hours')} AS d_hours, {pct('(cur_hours - prev_hours)', 'prev_hours')} AS d_hours_pct,
   {q('prev_hours', 'prev_cnt', 1)} AS prev_mean_h, {q('cur_hours', 'cur_cnt', 1)} AS cur_mean_h FROM s"""))
 def first_week_compare(spark, folder):
-    return behavior.first_week_compare(read_bookings(spark, folder), "end_at", P.FEB_WEEK, P.JAN_WEEK)
+    return behavior.first_week_compare(page_bookings(spark, folder), "end_at", P.FEB_WEEK, P.JAN_WEEK)
 
 
 @catalog.add("subset_share", sql([BK], f"""
@@ -249,7 +271,7 @@ def tag_calendar(spark, folder):
 
 
 FIRST_WEEK = f"""
-days AS (SELECT end_date AS d, count(*) AS cnt, {q('sum(duration_us)', HOURS, 1)} AS hours FROM bk GROUP BY ALL),
+days AS (SELECT end_date AS d, count(*) AS cnt, {q('sum(duration_us)', HOURS, 1)} AS hours FROM page GROUP BY ALL),
 wide AS (
   SELECT o AS "offset", DATE '2024-01-08' + o AS jan_date, coalesce(j.cnt, 0) AS jan_cnt, coalesce(j.hours, 0) AS jan_hours,
     DATE '2024-02-01' + o AS feb_date, coalesce(f.cnt, 0) AS feb_cnt, coalesce(f.hours, 0) AS feb_hours
@@ -266,16 +288,14 @@ rows AS (
 )"""
 
 
-@catalog.add("report_first_week", sql([BK, HOLIDAYS, FIRST_WEEK], f"""
+@catalog.add("report_first_week", sql([BK, NAMED_BK, PAGE_BK, HOLIDAYS, FIRST_WEEK], f"""
 SELECT *, feb_cnt - jan_cnt AS d_cnt, {pct('(feb_cnt - jan_cnt)', 'jan_cnt')} AS d_cnt_pct FROM rows"""))
 def report_first_week(spark, folder):
-    bookings = read_bookings(spark, folder).withColumn("day", F.to_date("end_at"))
     measures = {
         "cnt": F.count(F.lit(1)),
         "hours": in_unit(behavior.span_sum("duration_us"), float(MICROS_PER_HOUR), 1),
     }
-    holidays = periods.holiday_table(bookings, P.HOLIDAYS)
-    return reports.report_first_week(bookings, "day", P.END_STARTS, 7, measures, holidays)
+    return reports.report_first_week(page_bookings(spark, folder), "end_at", P.END_STARTS, 7, measures, P.HOLIDAYS)
 
 
 @catalog.add("incremental_daily_rollup", sql([BK], f"""

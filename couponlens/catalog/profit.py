@@ -337,8 +337,7 @@ aligned AS (
 
 def offset_table(spark, folder) -> DataFrame:
     measures = {"cnt": F.countDistinct("reservation_id"), "rev": in_unit(F.sum("revenue"), P.DAY_UNIT, 1)}
-    window = filters.filter_days(fact(spark, folder), "return_at", date(1998, 5, 1), date(1998, 6, 7))
-    return periods.align_day_offset(window.withColumn("day", kpi.return_date()), "day", P.OFFSET_STARTS, 7, measures)
+    return periods.align_day_offset(fact(spark, folder), "return_at", P.OFFSET_STARTS, 7, measures)
 
 
 @catalog.add("align_day_offset", sql([PF, OFFSETS], "SELECT * FROM aligned"))

@@ -114,7 +114,10 @@ def by_hour(bookings: DataFrame, start: str = "start_at", unit: float = 1e6) ->
     """All 24 start hours; an hour without bookings has count 0, revenue 0 and no means."""
     totals = booking_totals(bookings, key_of(bookings, "hour", F.hour(start)))
     grid = bookings.sparkSession.range(24).select(F.col("id").cast("int").alias("hour"))
-    shown = _show(grid.join(totals, "hour", "left"), ["hour"], ["cnt", "rev", "rpu", "avg_h"], unit)
+    sums = [c for c in totals.columns if c != "hour"]
+    # one row of each hour, at most, goes into the same grouping as an empty row of it
+    every = totals.unionByName(grid, allowMissingColumns=True).groupBy("hour").agg(*[F.max(c).alias(c) for c in sums])
+    shown = _show(every.filter("hour is not null"), ["hour"], ["cnt", "rev", "rpu", "avg_h"], unit)
     return shown.withColumns({"cnt": zero_if_null("cnt"), "rev": zero_if_null("rev")})
 
 
@@ -200,9 +203,12 @@ def profit_contribution(grouped: DataFrame, label: str, members: Sequence[str],
     )
 
 
-def extreme_groups(grouped: DataFrame, group: str, values: Sequence[str]) -> DataFrame:
-    """Best and worst group per measure, in long form; equal values are decided by the group itself."""
-    entry = {v: F.struct(F.col(v).cast("double").alias("value"), F.col(group).cast("string").alias("group")) for v in values}
+def extreme_groups(grouped: DataFrame, group: str | Sequence[str], values: Sequence[str], join: str = " ") -> DataFrame:
+    """Best and worst group per measure, in long form; equal values are decided by the group itself. Several group columns,
+    such as weekday and time block, name the cell of a matrix; their values are joined to one name."""
+    columns = [group] if isinstance(group, str) else list(group)
+    name = F.concat_ws(join, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]) if len(columns) > 1 else F.col(columns[0]).cast("string")
+    entry = {v: F.struct(F.col(v).cast("double").alias("value"), name.alias("group")) for v in values}
     ends = grouped.agg(
         *[F.max(F.when(F.col(v).isNotNull(), entry[v])).alias(f"max_{v}") for v in values],
         *[F.min(F.when(F.col(v).isNotNull(), entry[v])).alias(f"min_{v}") for v in values],

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,13 +74,26 @@ def filter_valid_reservation(
     )
 
 
+def filter_periods(df: DataFrame, ts: str, periods: Sequence[tuple[date, date]]) -> DataFrame:
+    """Rows of any of several periods of days, as ranges on the stored timestamp; on a stored fact also as a filter on its
+    months, so that only the months of the periods are read."""
+    kept = reduce(or_, [day_range(F.col(ts), *p) for p in periods])
+    if MONTH_COLUMN in df.columns:
+        month = F.col(MONTH_COLUMN)
+        kept &= reduce(or_, [month.between(month_text(a), month_text(b)) for a, b in periods])
+    return df.filter(kept)
+
+
+def filter_policy_state(df: DataFrame, name: str, pattern: str, state: str, wanted: int) -> DataFrame:
+    """Rows under a policy name pattern and coupon state."""
+    return df.filter(F.col(name).contains(pattern) & (F.col(state) == wanted))
+
+
 def filter_return_window(
     df: DataFrame, name: str, pattern: str, state: str, wanted_state: int, end: str, window: tuple[date, date]
 ) -> DataFrame:
     """Bookings under a policy name pattern and coupon state that return inside a window of days."""
-    return df.filter(
-        F.col(name).contains(pattern) & (F.col(state) == wanted_state) & day_range(F.col(end), *window)
-    )
+    return filter_policy_state(df, name, pattern, state, wanted_state).filter(day_range(F.col(end), *window))
 
 
 def drop_empty_series(long_df: DataFrame, series: str, value: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from couponlens.functions.dates import Week, week_before, week_label, week_numbers, week_of_number
 from couponlens.functions.numbers import difference, half_up, percent, zero_if_null
 from couponlens.functions.rules import change_status, level_of
+from couponlens.operators.filters import filter_periods
 from couponlens.operators.kpi import exact_sum
 
 MEASURES = ("rev", "profit", "cnt")
@@ -222,6 +223,12 @@ def tag_calendar(df: DataFrame, day: str, holidays: DataFrame, prefix: str = "")
     })
 
 
+def calendar_tag(day: Column, holidays: dict[date, str]) -> Column:
+    """The tag of ``tag_calendar`` as an expression, for a calendar that is small enough to be written into the plan."""
+    named = F.lit(False) if not holidays else day.isin(*holidays)
+    return F.when(named, "holiday").when(F.dayofweek(day).isin(1, 7), "weekend").when(day.isNotNull(), "weekday")
+
+
 def _in_window(day: Column, start: date, days: int) -> Column:
     return day.between(F.lit(start), F.lit(start + timedelta(days=days - 1)))
 
@@ -231,14 +238,14 @@ def align_day_offset(
 ) -> DataFrame:
     """Periods side by side on the day offset 0..``days``-1: date and measures of each, 0 where a day has no rows.
 
-    ``measures`` maps a name to an aggregate over rows. The windows must not overlap.
+    ``day`` is a date or a timestamp; the periods become ranges on it that reach the scan. ``measures`` maps a name to an
+    aggregate over rows. The windows must not overlap.
     """
     ordered = sorted(starts.values())
     if any((b - a).days < days for a, b in zip(ordered, ordered[1:])):
         raise ValueError("the periods overlap")
-    wanted = [s + timedelta(days=i) for s in starts.values() for i in range(days)]
-    rows = df.filter(F.col(day).isin(*wanted))
-    per_day = rows.groupBy(F.col(day).alias("_day")).agg(*[a.alias(m) for m, a in measures.items()])
+    rows = filter_periods(df, day, [(s, s + timedelta(days=days - 1)) for s in ordered])
+    per_day = rows.groupBy(F.to_date(day).alias("_day")).agg(*[a.alias(m) for m, a in measures.items()])
     start_of = F.coalesce(*[F.when(_in_window(F.col("_day"), s, days), F.lit(s)) for s in starts.values()])
     placed = per_day.withColumns({"_start": start_of, "offset": F.datediff("_day", start_of)})
     # Empty rows for every offset go into the same aggregation, so that no offset is missing.

@@ -13,8 +13,8 @@ from couponlens.functions.numbers import percent
 from couponlens.operators import behavior, filters, kpi, mix
 from couponlens.operators.kpi import exact_sum, grand_total_row, ratio_gpm_cm, ratio_gpm_nonzero, revenue_per_booking
 from couponlens.operators.periods import (
-    align_day_offset, align_weeks_outer, dim_label, intensity_minmax, intensity_of_max, pair_weeks, policies_ended,
-    policies_new, running_total, sort_delta_desc, sort_gpm_asc, sum_series, tag_calendar, top_revenue_shift, wow_rows,
+    align_day_offset, align_weeks_outer, calendar_tag, dim_label, intensity_minmax, intensity_of_max, pair_weeks, policies_ended,
+    policies_new, running_total, sort_delta_desc, sort_gpm_asc, sum_series, top_revenue_shift, wow_rows,
     wow_total_row,
 )
 from couponlens.session import stage
@@ -81,25 +81,19 @@ def report_division_daily(daily: DataFrame, groups: Sequence[str]) -> DataFrame:
 
 
 def report_first_week(
-    bookings: DataFrame, day: str, starts: dict[str, date], days: int, measures: dict[str, Column], holidays: DataFrame,
+    bookings: DataFrame, day: str, starts: dict[str, date], days: int, measures: dict[str, Column], holidays: dict[date, str],
 ) -> DataFrame:
     """Two periods on the day offset: dates with calendar tags, counts, hours, running counts, count difference, and a
-    total row (offset null)."""
+    total row (offset null). The total comes from the same grouping, the calendar is part of the expressions."""
     (first, second) = list(starts)
     wide = align_day_offset(bookings, day, starts, days, measures)
-    for p in (first, second):
-        wide = tag_calendar(wide, f"{p}_date", holidays, prefix=f"{p}_").drop(f"{p}_is_weekend", f"{p}_holiday")
-        wide = running_total(wide.withColumn("_all", F.lit(1)), ["_all"], "offset", f"{p}_cnt", f"{p}_running").drop("_all")
     sums = [f"{p}_{m}" for p in (first, second) for m in measures]
-    total = wide.agg(*[exact_sum(wide, c).alias(c) for c in sums]).withColumns({
-        "offset": F.lit(None).cast("int"),
-        **{f"{p}_date": F.lit(None).cast("date") for p in (first, second)},
-        **{f"{p}_day_tag": F.lit(None).cast("string") for p in (first, second)},
-        **{f"{p}_running": F.col(f"{p}_cnt") for p in (first, second)},
-    })
-    both = wide.unionByName(total)
+    both = grand_total_row(wide, ["offset", *[f"{p}_date" for p in (first, second)]], sums)
+    for p in (first, second):
+        both = both.withColumn(f"{p}_day_tag", calendar_tag(F.col(f"{p}_date"), holidays))
+        both = running_total(both, ["is_total"], "offset", f"{p}_cnt", f"{p}_running")
     change = F.col(f"{second}_cnt") - F.col(f"{first}_cnt")
-    return both.withColumns({"d_cnt": change, "d_cnt_pct": percent(change, f"{first}_cnt")})
+    return both.drop("is_total").withColumns({"d_cnt": change, "d_cnt_pct": percent(change, f"{first}_cnt")})
 
 
 def behavior_page(

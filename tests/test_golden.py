@@ -153,7 +153,7 @@ def test_sort_gpm(divisions, rows):
 def test_first_week(spark, rows):
     lines = [(date(2026, m, 1 + d), c, h) for m, week in ((5, MAY), (6, JUN)) for d, (c, h) in enumerate(week)]
     days = spark.createDataFrame(lines, "day date, c bigint, h bigint")
-    calendar = periods.holiday_table(days, {date(2026, 5, 4): "substitute", date(2026, 5, 5): "children"})
+    calendar = {date(2026, 5, 4): "substitute", date(2026, 5, 5): "children"}
     table = rows(reports.report_first_week(
         days, "day", {"may": date(2026, 5, 1), "jun": date(2026, 6, 1)}, 7,
         {"cnt": F.sum("c"), "hours": F.sum("h")}, calendar))
@@ -190,6 +190,13 @@ def test_extremes(spark, rows):
     assert ends[("gpm", "best")] == ("Mon", 17.3)
 
 
+def test_peak_of_the_heatmap(spark, rows):
+    cells = [(w[0], b[0], HEAT[d][i]) for d, w in enumerate(WEEKDAY) for i, b in enumerate(TIME_BLOCKS)]
+    ends = {r["kind"]: (r["group"], r["value"]) for r in rows(behavior.extreme_groups(
+        spark.createDataFrame(cells, "weekday string, block string, cnt bigint"), ["weekday", "block"], ["cnt"]))}
+    assert ends == {"best": ("Sat 10-14", 53075.0), "worst": ("Tue 22-06", 13913.0)}
+
+
 def test_heatmap_levels(spark, rows):
     cells = [("cnt", d + 1, b[0], float(HEAT[d][i])) for d in range(7) for i, b in enumerate(TIME_BLOCKS)]
     table = spark.createDataFrame(cells, "matrix string, dow int, block string, value double")

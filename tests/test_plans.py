@@ -232,3 +232,36 @@ def test_hot_customer(spark, data):
     first = reservations.groupBy("member_id").agg(F.min(F.to_date(F.col("created_at") + F.expr("INTERVAL 9 HOURS"))).alias("d"))
     want = {p: first.filter(F.col("d").between(F.lit(a), F.lit(b))).count() for p, (a, b) in P.INFLOW.items()}
     assert {r["period"]: r["users"] for r in got.collect()} == want
+
+
+def test_first_bookings_need_no_sort(spark, data):
+    """The first reservation of each user comes from hashing, and ties in time are decided by the id."""
+    text = plan(entry.queries()["inflow_compare"](spark, data))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+    key = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ '1960-01-01 00:00:00', 5L), (TIMESTAMP_NTZ '1960-01-01 00:00:00', -5L), (TIMESTAMP_NTZ '2999-01-01 00:00:00.000001', null), "
+                    "(TIMESTAMP_NTZ '2999-01-01 00:00:00.000001', 9223372036854775807L), (TIMESTAMP_NTZ '9999-12-31 23:59:59.999999', -9223372036854775808L), (null, 1L) AS t(ts, id)")
+    got = key.select("ts", "id", mix.time_and_id(F.col("ts"), F.col("id")).alias("k"))
+    ordered = [(r.ts, r.id) for r in got.filter("k is not null").orderBy("k").collect()]
+    assert ordered == [(r.ts, r.id) for r in key.filter("ts is not null").orderBy("ts", "id").collect()] and got.filter("k is null").count() == 1
+
+
+def test_offset_periods_prune_the_stored_fact(spark, data, tmp_path):
+    """Two weeks of two months read these two months, by ranges that reach the scan; the page takes five shuffles at most."""
+    from datetime import date
+
+    from couponlens.catalog import params as P
+    from couponlens.operators import periods
+    from couponlens.sources.store import read_fact, write_fact
+    from couponlens.sources.tables import read_profit_fact
+
+    write_fact(read_profit_fact(spark, data), str(tmp_path / "fact"))
+    aligned = periods.align_day_offset(read_fact(spark, str(tmp_path / "fact")), "return_at", P.OFFSET_STARTS, 7, {"cnt": F.countDistinct("reservation_id")})
+    direct = entry.queries()["align_day_offset"](spark, data).select(*aligned.columns)
+    assert as_rows(aligned) == as_rows(direct)
+    details = aligned._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(return_at,1998-05-01" in details
+    metric = re.search(r"PartitionFilters: .*", details).group(0)
+    assert "1998-05" in metric and "1998-06" in metric
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        page = plan(entry.queries()["report_first_week"](spark, data))
+    assert len(re.findall(r"Exchange (?:hash|Single|range)", page)) <= 7 and date(1998, 5, 1) in P.OFFSET_STARTS.values()
