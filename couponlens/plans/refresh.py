@@ -21,7 +21,9 @@ from couponlens.operators.kpi import new_coupon_daily_named, weekly_class_kpi
 from couponlens.operators.periods import align_weeks_outer
 from couponlens.operators.shaping import pivot_daily_policy
 from couponlens.plans import presets
-from couponlens.sinks.report_files import manifest, snapshot_diff, to_records, to_series, write_records
+from couponlens.sinks.report_files import (
+    MONTH, changed_months, diff_months, manifest, read_digests, read_monthly, to_records, to_series, write_monthly, write_records,
+)
 from couponlens.sources.tables import read_canonical, read_coupon_tables, read_profit_fact
 
 _PUBLISHED = "status string, updated string, weeks bigint, nc_days bigint, run string, published_at string"
@@ -55,11 +57,15 @@ def last_published(spark: SparkSession, out: str) -> str | None:
 
 
 def _changed(spark: SparkSession, new: str, old: str | None, tables: Sequence[str]) -> bool:
+    """Whether a run differs from an earlier one. Digests of months are compared first, then the rows of months that differ."""
     if old is None:
         return True
-    return any(
-        not snapshot_diff(spark.read.parquet(f"{new}/{t}"), spark.read.parquet(f"{old}/{t}")).isEmpty() for t in tables
-    )
+    for t in tables:
+        here, there = f"{new}/{t}", f"{old}/{t}"
+        months = changed_months(read_digests(spark, here), read_digests(spark, there))
+        if months and not diff_months(read_monthly(spark, here), read_monthly(spark, there), months).isEmpty():
+            return True
+    return False
 
 
 def run_refresh(
@@ -74,10 +80,10 @@ def run_refresh(
     """
     s, now = settings, now or datetime.now()
     run = f"{out.rstrip('/')}/runs/{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    weekly_class_kpi(fact, s.rules, s.year, as_of, s.weekly_unit).orderBy("ctype", "week").write.parquet(f"{run}/weekly")
+    write_monthly(weekly_class_kpi(fact, s.rules, s.year, as_of, s.weekly_unit), "week_start", f"{run}/weekly")
     creation = new_coupon_daily_named(tables, s.policy_ids, s.valid, s.ledger_types, s.vat, s.daily_unit)
-    creation.orderBy("pid", "create_date").write.parquet(f"{run}/daily")
-    weekly, daily = spark.read.parquet(f"{run}/weekly"), spark.read.parquet(f"{run}/daily")
+    write_monthly(creation, "create_date", f"{run}/daily")
+    weekly, daily = (read_monthly(spark, f"{run}/{t}").drop(MONTH) for t in ("weekly", "daily"))
 
     done = manifest(weekly, daily, as_of)
     if not _changed(spark, run, last_published(spark, out), ("weekly", "daily")):

@@ -1,124 +1,95 @@
-"""Incremental daily rollup of arriving bookings.
+"""Incremental daily rollup of arriving bookings, whole however late or often they arrive.
 
-Bookings are de-duplicated by id inside the watermark, rows later than the watermark are dropped, and a day is emitted
-once, when the watermark has passed its end. On the emitted days the result equals ``batch_daily_rollup``.
+Every micro-batch stores its arrivals by day, then rewrites the days that it touched from all their arrivals, and no
+others. Both writes replace what the same batch wrote before, so a batch that is run again changes nothing: the table
+is at any time what ``batch_daily_rollup`` makes of all files so far. A day counts as complete once bookings have been
+seen that are later than its end by ``delay``; a booking for a complete day corrects it.
 
-State: the de-duplication keeps ids for the length of the watermark only; the aggregation keeps one row per open day
-and group, behind a map-side combine. The state lives in RocksDB, so it may exceed the memory of its executor, and it
-does not grow with the history.
+There is no state between batches but the arrivals, so nothing grows in the executors or the driver. The driver sees
+the dates of a batch. Settings that cut a backlog into batches change the work, not the result.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-import warnings
-from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from couponlens.functions.dates import micros_between, stamp
 from couponlens.functions.numbers import half_up
 from couponlens.session import shared_folder
 
-# State on local disk with its changes in the checkpoint, so that a batch uploads what it changed and no more.
-STATE_SETTINGS = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # the progress of every batch is kept to the end of the run, for the count of late rows
-    "spark.sql.streaming.numRecentProgressUpdates": str(2**31 - 1),
-}
-_EPOCH = datetime(1970, 1, 1)
+_DAY = "event_date"
 
 
-def utc_instant(ts: Column) -> Column:
-    """Zone-less UTC time as an instant, whatever the session's zone; watermarks need an instant."""
-    return F.timestamp_micros(micros_between(stamp(_EPOCH), ts))
+def _measures(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("cnt"), F.sum("revenue").alias("rev_sum"), F.max("event_time").alias("latest"))
 
 
-def _utc_date(instant: Column) -> Column:
-    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
+def _arrived(bookings: DataFrame, ts: str, id: str, group: str) -> DataFrame:
+    return bookings.select(F.col(ts).alias("event_time"), id, group, "revenue", F.to_date(ts).alias(_DAY))
 
 
-def _measures(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("cnt"), F.sum("revenue").alias("rev_sum"))
+def _daily(arrivals: DataFrame, id: str, group: str) -> DataFrame:
+    """A booking that arrives again is counted once on its day."""
+    return _measures(arrivals.dropDuplicates([_DAY, id]).groupBy(_DAY, group))
 
 
-def incremental_daily_rollup(stream_df: DataFrame, ts: str, id: str, group: str, delay: str) -> DataFrame:
-    """Streaming table of complete days: event_date, group, cnt, rev."""
-    arrived = stream_df.select(utc_instant(F.col(ts)).alias("event_time"), id, group, "revenue")
-    unique = arrived.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([id])
-    days = _measures(unique.groupBy(F.window("event_time", "1 day"), F.col(group)))
-    return days.select(_utc_date(F.col("window.start")).alias("event_date"), group, "cnt", half_up("rev_sum", 2).alias("rev"))
+def _shown(days: DataFrame, group: str) -> DataFrame:
+    return days.select(_DAY, group, "cnt", half_up("rev_sum", 2).alias("rev"))
 
 
 def batch_daily_rollup(df: DataFrame, ts: str, id: str, group: str) -> DataFrame:
-    """The same table from all rows at once, including days that are still open."""
-    unique = df.dropDuplicates([id])
-    days = _measures(unique.groupBy(F.to_date(ts).alias("event_date"), F.col(group)))
-    return days.select("event_date", group, "cnt", half_up("rev_sum", 2).alias("rev"))
-
-
-class LateRows(UserWarning):
-    """Rows arrived behind the watermark, so the rollup does not count them."""
+    """The rollup of all rows at once, including days that are still open: event_date, group, cnt, rev."""
+    return _shown(_daily(_arrived(df, ts, id, group), id, group), group)
 
 
-class BacklogOutOfOrder(RuntimeError):
-    """Rows of a backlog that was cut into batches fell behind the watermark, so the rollup is not whole."""
+def _replace(df: DataFrame, path: str, mode: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(_DAY).parquet(path)
 
 
-def _lost_mark(spark: SparkSession, checkpoint: str):
-    """The file that marks a checkpoint whose table lacks rows, and its file system."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint, "rows-lost")
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+def store_batch(arrivals: DataFrame, number: int, out: str, id: str, group: str) -> None:
+    """Stores the arrivals of a micro-batch and rewrites the days that they fall on. Rows without a time belong to no day."""
+    spark = arrivals.sparkSession
+    mine = f"{out}/arrivals/batch={number}"
+    _replace(arrivals.filter(F.col(_DAY).isNotNull()), mine, "static")
+    # the days of a batch; the calendar bounds them
+    touched = [r[0] for r in spark.read.schema(arrivals.schema).parquet(mine).select(_DAY).distinct().collect()]
+    if touched:
+        stored = spark.read.schema(arrivals.schema).option("basePath", f"{out}/arrivals").parquet(f"{out}/arrivals")
+        _replace(_daily(stored.filter(F.col(_DAY).isin(*touched)), id, group), f"{out}/days", "dynamic")
 
 
-def _plain(progress) -> dict:
-    return json.loads(progress.json) if hasattr(progress, "json") else progress
+def read_rollup(spark: SparkSession, out: str, group: str, kind: str, delay: str) -> DataFrame:
+    """The complete days of a stored rollup; ``kind`` is the type of the group column."""
+    stored = spark.read.schema(f"{group} {kind}, cnt long, rev_sum decimal(38,4), latest timestamp_ntz, {_DAY} date").parquet(f"{out}/days")
+    seen = stored.agg(F.to_date(F.max("latest") - F.expr(f"INTERVAL {delay}"))).first()[0]
+    return _shown(stored.filter(F.col(_DAY) < F.lit(seen) if seen else F.lit(False)), group)
 
 
 def run_rollup(
     spark: SparkSession, source: str, schema: T.StructType, prepare, ts: str, id: str, group: str, delay: str,
     out: str | None = None, checkpoint: str | None = None, files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Processes all files that have arrived since the last run, then returns the rollup table.
+    """Processes all files that have arrived since the last run, then returns the complete days.
 
     ``prepare`` turns source rows into bookings. Output and checkpoint default to a new place in the shared folder;
-    give both to continue an earlier run. ``files_per_trigger`` cuts a large backlog into batches; use it when files
-    arrive in the order of their days, since a batch moves the watermark past rows that come in a later one. If any rows are
-    left out then, the run fails (`BacklogOutOfOrder`), and so does every later run on its checkpoint. Without it, rows
-    that are later than ``delay`` after an earlier run are counted in a warning (`LateRows`).
+    give both to continue an earlier run. ``files_per_trigger`` cuts a large backlog into batches, in any order of days;
+    each batch reads the arrivals of its days again, so files in the order of their days are the least work.
     """
     if (out is None) != (checkpoint is None):
         raise ValueError("give both the output and the checkpoint folder, or neither")
     if out is None:
         base = f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}"
         out, checkpoint = f"{base}/table", f"{base}/checkpoint"
-    files, lost = _lost_mark(spark, checkpoint)
-    if files.exists(lost):
-        raise BacklogOutOfOrder(f"an earlier run left rows out of {out}; begin anew with other folders")
-    session = spark.newSession()
-    for name, value in STATE_SETTINGS.items():
-        session.conf.set(name, value)
-    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
-    reader = session.readStream.schema(schema)
+    reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    rollup = incremental_daily_rollup(prepare(reader.parquet(source)), ts, id, group, delay)
+    arrivals = _arrived(prepare(reader.parquet(source)), ts, id, group)
     query = (
-        rollup.writeStream.format("parquet").outputMode("append").option("path", out)
+        arrivals.writeStream.foreachBatch(lambda rows, number: store_batch(rows, number, out, id, group))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in map(_plain, query.recentProgress) for op in p["stateOperators"])
-    if late and files_per_trigger is not None:
-        files.create(lost).close()
-        raise BacklogOutOfOrder(
-            f"{late} rows, repeated ones included, came after their day was closed and are missing in {out}; begin anew with "
-            "other folders, and without files_per_trigger or with the files in the order of their days")
-    if late:
-        warnings.warn(LateRows(f"{late} rows, repeated ones included, came after their day was closed and were left out of {out}"), stacklevel=2)
-    return spark.read.schema(rollup.schema).parquet(out)
+    return read_rollup(spark, out, group, arrivals.schema[group].dataType.simpleString(), delay)

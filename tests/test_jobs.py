@@ -6,6 +6,7 @@ import os
 import re
 from contextlib import contextmanager
 from datetime import date, datetime
+from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
@@ -16,10 +17,11 @@ from couponlens.operators import kpi
 from couponlens.operators.lookups import lookup_policy_one
 from couponlens.plans.refresh import driver_settings, last_published, main, run_refresh
 from couponlens.session import shared_folder
+from couponlens.sinks.report_files import MONTH, changed_months, diff_months, read_digests, read_monthly, snapshot_diff, write_monthly
 from couponlens.sources.sectioned_text import read_lines, section_cells, split_sectioned_text
 from couponlens.sources.tables import SCHEMAS, booking_columns, read_bookings, read_coupon_tables, read_profit_fact
 from couponlens.sources.views import register_views
-from couponlens.streaming.rollup import BacklogOutOfOrder, batch_daily_rollup, run_rollup
+from couponlens.streaming.rollup import batch_daily_rollup, read_rollup, run_rollup, store_batch
 
 ARGS = {"ts": "created_at", "id": "booking_id", "group": "division"}
 
@@ -58,7 +60,7 @@ def test_stream_equals_batch_on_emitted_days(spark, data, tmp_path):
     assert max(r[0] for r in first) == date(2024, 1, 8)
     assert first == as_set(batch.filter("event_date <= DATE '2024-01-08'"))
 
-    # A second delivery repeats the last day, and a third brings a row far older than the watermark.
+    # A second delivery repeats the last day, and a third repeats a day that was complete.
     write_events(spark, data, source, date(2024, 1, 10), date(2024, 1, 20))
     assert as_set(advance()) == as_set(batch.filter("event_date <= DATE '2024-01-18'"))
     write_events(spark, data, source, date(2024, 1, 2), date(2024, 1, 2))
@@ -67,9 +69,10 @@ def test_stream_equals_batch_on_emitted_days(spark, data, tmp_path):
 
 
 @pytest.mark.parametrize("newest_first", [False, True])
-def test_backlog_in_batches_is_whole_or_fails(spark, data, tmp_path, newest_first):
+def test_backlog_in_batches_equals_the_batch(spark, data, tmp_path, newest_first):
+    """Four files, one to a batch, the newest first as well: the table is whole."""
     source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
-    days = [(date(2024, 1, 1), date(2024, 1, 10)), (date(2024, 1, 11), date(2024, 1, 20)), (date(2024, 1, 21), date(2024, 1, 30))]
+    days = [(date(2024, 1, 1), date(2024, 1, 10)), (date(2024, 1, 8), date(2024, 1, 15)), (date(2024, 1, 11), date(2024, 1, 20)), (date(2024, 1, 21), date(2024, 1, 30))]
     for n, (first, last) in enumerate(reversed(days) if newest_first else days):
         write_events(spark, data, source, first, last)
         for path in (tmp_path / "in").glob("*.parquet"):
@@ -79,13 +82,35 @@ def test_backlog_in_batches_is_whole_or_fails(spark, data, tmp_path, newest_firs
     def run():
         return run_rollup(spark, source, SCHEMAS["events"], booking_columns, delay="1 day", out=out, checkpoint=mark, files_per_trigger=1, **ARGS)
 
-    if newest_first:
-        for _ in range(2):  # the second run has nothing new, and its table is still not whole
-            with pytest.raises(BacklogOutOfOrder):
-                run()
-    else:
-        want = batch_daily_rollup(read_bookings(spark, data), **ARGS).filter("event_date <= DATE '2024-01-28'")
-        assert as_set(run()) == as_set(want)
+    want = as_set(batch_daily_rollup(read_bookings(spark, data), **ARGS).filter("event_date <= DATE '2024-01-28'"))
+    assert as_set(run()) == want and as_set(run()) == want
+    assert len(list((tmp_path / "out" / "arrivals").glob("batch=*"))) == 4
+
+
+def test_late_rows_correct_their_day_and_no_other(spark, tmp_path):
+    """A booking for a day that was complete changes it; other days are not written again; a batch that is run again, and a row
+    that comes again, change nothing; rows without a time are left out."""
+    out = str(tmp_path / "out")
+
+    def arrivals(*rows):
+        return spark.createDataFrame([(datetime(2024, 1, *r[:2]) if r[0] else None, r[2], "g", Decimal(r[3]), date(2024, 1, r[0]) if r[0] else None) for r in rows],
+                                     "event_time timestamp_ntz, booking_id long, division string, revenue decimal(18,4), event_date date")
+
+    def files():
+        return {p.name for p in (tmp_path / "out" / "days").glob("event_date=2024-01-02/*.parquet")}
+
+    def table():
+        return {(r.event_date.day, r.cnt, r.rev) for r in read_rollup(spark, out, "division", "string", "1 day").collect()}
+
+    store_batch(arrivals((1, 5, 1, 10), (1, 6, 2, 20), (2, 1, 3, 5), (4, 3, 4, 1)), 0, out, "booking_id", "division")
+    assert table() == {(1, 2, 30.0), (2, 1, 5.0)}
+    before = files()
+    late = arrivals((1, 7, 9, 7), (1, 5, 1, 10), (None, 0, 8, 3))
+    for _ in range(2):
+        store_batch(late, 1, out, "booking_id", "division")
+        assert table() == {(1, 3, 37.0), (2, 1, 5.0)} and files() == before
+    store_batch(late.limit(0), 2, out, "booking_id", "division")
+    assert table() == {(1, 3, 37.0), (2, 1, 5.0)}
 
 
 def test_stream_folders_come_in_pairs(spark, tmp_path):
@@ -120,10 +145,27 @@ def test_refresh_publishes_only_changes(spark, data, tmp_path):
     assert records.count() == later["nc_days"] and {"c18", "r80", "date"} <= set(records.columns)
 
 
+def test_unchanged_months_are_not_read(spark, tmp_path, rows):
+    """Digests tell which months differ, in whatever order rows stand; only their files are compared."""
+    lines = [("a", date(2024, 1, d), d, None) for d in range(1, 20)] + [("b", date(2024, 2, d), None, float(d)) for d in range(1, 9)] + [("c", None, 1, 1.0)]
+    schema = "k string, day date, n int, x double"
+    moved = [r for r in lines if r[2] != 5] + [("a", date(2024, 1, 5), None, 5.0), ("d", date(2024, 3, 1), 1, 1.0)]
+    places = [str(tmp_path / n) for n in ("old", "same", "new")]
+    for path, some in zip(places, (lines, lines[::-1], moved)):
+        write_monthly(spark.createDataFrame(some, schema).repartition(3), "day", path)
+    old, same, new = (read_monthly(spark, p) for p in places)
+    assert changed_months(read_digests(spark, places[1]), read_digests(spark, places[0])) == []
+    months = changed_months(read_digests(spark, places[2]), read_digests(spark, places[0]))
+    assert months == ["2024-01", "2024-03"]
+    diff = diff_months(new, old, months)
+    assert sorted(map(str, rows(diff))) == sorted(map(str, rows(snapshot_diff(new.drop(MONTH), old.drop(MONTH))))) and diff.count() == 3
+    text = diff._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert len(re.findall(r"PartitionFilters: \[.*2024-01.*2024-03", text)) == 2 and "2024-02" not in text
+    assert set(diff.select("day").distinct().toPandas()["day"]) == {date(2024, 1, 5), date(2024, 3, 1)} and diff_months(new, old, []).isEmpty()
+
+
 def test_refresh_command_on_canonical_tables(spark, tmp_path, capsys, rows):
     """The job with its default settings, from stored tables to the published files."""
-    from decimal import Decimal
-
     from couponlens.sources.tables import COUPON_TABLES, PROFIT_FACT
 
     def won(value):
