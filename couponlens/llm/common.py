@@ -52,11 +52,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stored(spark: SparkSession) -> None:
+def stored_tables() -> int:
+    """How many tables this session holds in the shared folder."""
+    return len(_STORED)
+
+
+def drop_stored(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Deletes the tables stored from place ``since`` on, but the last ``keep``."""
     jvm = spark.sparkContext._jvm
-    while _STORED:
-        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+    end = max(since, len(_STORED) - keep)
+    for name in _STORED[since:end]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    del _STORED[since:end]
 
 
 def partitions(spark: SparkSession) -> int:
