@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from couponlens.llm import lines, minhash, packing, suffix, toxicity
-from couponlens.llm.common import ship, stored, table
+from couponlens.llm.common import drop_stored, ship, stored, stored_tables, table
 
 MIN_REPEAT = 100  # bytes of a passage that the suffix stage cuts where it repeats
 
@@ -50,7 +50,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining texts and their places in sequences of 4096 tokens."""
+    """Pieces of the remaining texts and their places in sequences of 4096 tokens; a null or empty text is the end id alone,
+    rows that repeat are packed each."""
     ship(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
@@ -66,7 +67,10 @@ ORACLE_SQL = None  # the stages learn, hash and encode; SQL cannot say that
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Pieces of all that the stages leave of ``documents``, as ``pack`` returns them; an empty table gives no row. Once a stage
+    has written its result, the tables it worked on are deleted."""
+    begin, docs = stored_tables(), table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.split()[0].lower())
+        drop_stored(spark, since=begin, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)
