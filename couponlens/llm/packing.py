@@ -21,7 +21,7 @@ from couponlens.llm.bpe import drop_encoders, encoded, vocabulary
 from couponlens.llm.common import partitions, rows, stored, texts_only
 
 
-def pieces(docs: DataFrame, vocab_path: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, vocab_path: str, end_id: int, capacity: int, key: str = "doc_id", text: str = "text", release: bool = False) -> DataFrame:
     """The ids of each text and ``end_id``, cut into pieces of ``capacity`` where longer: doc_id, piece, start, length, ids_crc32."""
     packed = vocabulary(vocab_path)
 
@@ -38,7 +38,8 @@ def pieces(docs: DataFrame, vocab_path: str, end_id: int, capacity: int, key: st
             a = at[row] + start
             crcs = [zlib.crc32(ids[i:j]) for i, j in zip(a.tolist(), (a + length).tolist())]
             yield rows(doc_id=keys.take(pa.array(row)), piece=pa.array(piece, pa.int32()), start=start, length=length, ids_crc32=pa.array(crcs, pa.int64()))
-        drop_encoders()
+        if release:
+            drop_encoders()
 
     return texts_only(docs, key, text).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -166,15 +167,16 @@ def slots(planned: list[tuple[tuple[int, ...], int]]) -> list[np.ndarray]:
     return [np.array(x, np.int64) for x in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
 
 
-def pack_documents(docs: DataFrame, vocab_path: str, end_id: int, capacity: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, vocab_path: str, end_id: int, capacity: int = 4096, key: str = "doc_id", text: str = "text", release: bool = False) -> DataFrame:
     """Places every piece of every document: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null or empty text is the end id alone. Rows with the same id are packed each; an empty table gives no rows. Ranks
     among equal lengths are counted within buckets of pieces and shifted by the totals of the buckets before, so one
-    very common length is spread over many tasks.
+    very common length is spread over many tasks. With ``release`` workers give up their encoders after each task, for
+    jobs whose other stages need the memory.
     """
     spark = docs.sparkSession
-    held = stored(pieces(docs, vocab_path, end_id, capacity, key, text), "pieces")
+    held = stored(pieces(docs, vocab_path, end_id, capacity, key, text, release), "pieces")
     buckets = max(64, partitions(spark))
     dealt = held.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
     totals = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
