@@ -53,7 +53,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining texts and their places in sequences of 4096 tokens; a null or empty text is the end id alone,
     rows that repeat are packed each."""
     ship(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, release=True)
 
 
 STAGES = [
