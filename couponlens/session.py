@@ -18,6 +18,9 @@ SETTINGS = {
 }
 
 
+_LOCAL: list[str] = []  # the one folder of a local master without a setting
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "couponlens") -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
     builder = (
@@ -42,9 +45,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="couponlens-")
-    os.chmod(folder, 0o755)
-    return folder
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="couponlens-"))
+        os.chmod(_LOCAL[0], 0o755)
+    return _LOCAL[0]
 
 
 def stage(df: DataFrame) -> DataFrame:
