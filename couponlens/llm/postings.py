@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import rows, stored, text_chunks, texts_only
+from couponlens.llm.common import rows, stored, text_chunks, texts_only, trim
 from couponlens.llm.words import BLOCK_CHARS, numbered, numbering, query_blocks, words
 
 WINDOW = 10
@@ -51,6 +51,7 @@ def write_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                 begins=[begins.astype("<u4").tobytes()], terms=[b" ".join(by_bytes)], lists=[lists.astype("<u4").tobytes()],
                 places=[places.astype("<u4").tobytes()])
             nth += 1
+        trim()
 
     return stored(texts_only(docs, key, text).mapInArrow(run, _SEGMENT), "postings")
 
@@ -121,10 +122,12 @@ class Segment:
 
 
 def segments(batches):
-    """The segments of Arrow batches of the index, with their part and number."""
+    """The segments of Arrow batches of the index, one at a time, with their part and number."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for i in range(batch.num_rows):
+            (row,) = batch.slice(i, 1).to_pylist()
             yield row["part"], row["number"], Segment(row["doc_ids"], row["begins"], row["terms"], row["lists"], row["places"])
+    trim()
 
 
 def _windows(block: list[tuple[int | None, str]], size: int):
