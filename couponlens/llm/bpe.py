@@ -14,6 +14,7 @@ import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import ahocorasick
 import numpy as np
@@ -188,16 +189,20 @@ class Encoder:
         text = word.encode().decode("latin-1").translate(self.byte_to_symbol)
         return self.merges.encode(text[:-1] + chr(ord(text[-1]) + _FINAL) if self.suffix else text)
 
-    def _remember(self, key: int, ids: list[int]) -> int:
-        slot = self.slots[key] = len(self.slots)
-        if slot >= len(self.slot_at):
+    def _remember(self, keys: list[int], found: list[list[int]]) -> np.ndarray:
+        """Slots of new words, whose ids are laid into the pool in one piece."""
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        first, upto = len(self.slots), self.used + np.cumsum(sizes)
+        slots = np.arange(first, first + len(keys))
+        self.slots.update(zip(keys, slots.tolist()))
+        while first + len(keys) > len(self.slot_at):
             self.slot_at, self.slot_len = (np.concatenate([x, np.zeros_like(x)]) for x in (self.slot_at, self.slot_len))
-        while self.used + len(ids) > len(self.pool):
+        while upto[-1] > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.slot_at[slot], self.slot_len[slot] = self.used, len(ids)
-        self.used += len(ids)
-        return slot
+        self.pool[self.used : upto[-1]] = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        self.slot_at[slots], self.slot_len[slots] = upto - sizes, sizes
+        self.used = int(upto[-1])
+        return slots
 
     def _starts(self, codes: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last-plus-one places of the words of the joined texts; the last code is a stop."""
@@ -266,17 +271,15 @@ class Encoder:
         which, different = pd.factorize(keys)
         if len(self.slots) + len(different) > _CACHED:
             self._forget()
-        slots = np.fromiter((self.slots.get(k, -1) for k in different.tolist()), np.int64, len(different))
+        slots = np.fromiter(map(self.slots.get, different.tolist(), repeat(-1)), np.int64, len(different))
         new = np.nonzero(slots < 0)[0]
         if len(new):
             first = np.full(len(different), -1)
             first[which[::-1]] = np.arange(len(which))[::-1]
             special = [*self.special.values()]
-            for n in new.tolist():
-                a, b = starts[first[n]], ends[first[n]]
-                word = joined[a:b]
-                ids = [special[ord(word) - _SPECIAL]] if "\ud801" <= word[0] <= "\udfff" else self._word(word)
-                slots[n] = self._remember(int(different[n]), ids)
+            words = [joined[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            found = [[special[ord(x) - _SPECIAL]] if "\ud801" <= x[0] <= "\udfff" else self._word(x) for x in words]
+            slots[new] = self._remember(different[new].tolist(), found)
         slot = slots[which]
         size = self.slot_len[slot]
         upto = np.concatenate([[0], np.cumsum(size)])

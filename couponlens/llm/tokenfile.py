@@ -33,14 +33,21 @@ def width(vocabulary_size: int) -> int:
 def pack(ids: np.ndarray, bits: int) -> bytes:
     if len(ids) and (int(ids.min()) < 0 or int(ids.max()) >> bits):
         raise ValueError("an id does not fit the width")
-    planes = np.unpackbits(np.ascontiguousarray(ids, ">u4").view(np.uint8).reshape(-1, 4), axis=1)
-    return np.packbits(planes[:, 32 - bits :]).tobytes()
+    used = -(-bits // 8)  # bytes of an id that can differ from 0
+    low = np.ascontiguousarray(ids, ">u4").view(np.uint8).reshape(-1, 4)[:, 4 - used :]
+    return low.tobytes() if bits == 8 * used else np.packbits(np.unpackbits(low, axis=1)[:, 8 * used - bits :]).tobytes()
 
 
 def unpack(raw: bytes, n: int, bits: int) -> np.ndarray:
-    planes = np.zeros((n, 32), np.uint8)
-    planes[:, 32 - bits :] = np.unpackbits(np.frombuffer(raw, np.uint8), count=n * bits).reshape(n, bits)
-    return np.packbits(planes, axis=1).view(">u4").ravel().astype(np.uint32)
+    used = -(-bits // 8)
+    low = np.frombuffer(raw, np.uint8)
+    if bits < 8 * used:
+        planes = np.zeros((n, 8 * used), np.uint8)
+        planes[:, 8 * used - bits :] = np.unpackbits(low, count=n * bits).reshape(n, bits)
+        low = np.packbits(planes, axis=1)
+    out = np.zeros((n, 4), np.uint8)
+    out[:, 4 - used :] = low.reshape(-1, used)[:n]
+    return out.view(">u4").ravel().astype(np.uint32)
 
 
 def write_file(doc_ids: list[int | None], starts: np.ndarray, ids: np.ndarray, bits: int, block: int = BLOCK) -> bytes:
