@@ -121,6 +121,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted distinct values; by one sort, which numpy does many times faster than ``unique``."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
 class RunHash:
     """64-bit polynomial hashes of runs of symbols, from prefix sums modulo 2^64 over random symbol values."""
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import chunks, components, rows, stored
+from couponlens.llm.common import chunks, components, distinct, rows, stored
 
 K = 48
 #: Shared values that the union's bottom-k has at least where the similarity is 0.8: fewer than 20 of 48 have a
@@ -25,6 +25,7 @@ K = 48
 LEAST = 20
 PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
 SLOTS = 1 << 18  # counters of how common a value is; the table has this size for any corpus
+MARKS = 1024  # bits that stand for a set before its members are made
 _REST, _MAIN = 512, 2048  # members of a family's smaller parts, and of its largest part, that a task compares
 _SLICE = 4096  # values that a comparison holds as a matrix at once
 
@@ -82,7 +83,7 @@ def distinct_parts(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     begins = np.concatenate([[0], np.cumsum(sizes)])
     for a in range(0, len(sizes), 1 << 16):
         b = min(a + (1 << 16), len(sizes))
-        keys = np.unique(_numbered(hashes[begins[a] : begins[b]], sizes[a:b]))
+        keys = distinct(_numbered(hashes[begins[a] : begins[b]], sizes[a:b]))
         ends = np.searchsorted(keys, np.arange(1, b - a, dtype=np.uint64) << np.uint64(48))
         out += np.split(keys << np.uint64(16), ends)
     return out
@@ -101,6 +102,21 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
 
 
 Sets = Callable[[list[bytes]], list[np.ndarray]]
+#: Bodies to the packed bits of each one's members (MARKS / 8 bytes), and a bound on the number of its members.
+Marks = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+
+
+def marks(slots: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Packed bits of consecutive parts; ``slots`` are any hashes of their members."""
+    out = np.zeros((len(sizes), MARKS), bool)
+    out[np.repeat(np.arange(len(sizes)), sizes), slots & slots.dtype.type(MARKS - 1)] = True
+    return np.packbits(out, axis=1)
+
+
+def may_be_similar(differ: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether sets with so many different marks and at most so many members in all can reach a similarity of 0.8. Each
+    different mark is a member of one set alone, and of s members in all s / 9 may be such; so no similar pair is lost."""
+    return 9 * differ <= most
 
 
 def stored_sets(bodies: list[bytes]) -> list[np.ndarray]:
@@ -108,12 +124,23 @@ def stored_sets(bodies: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in bodies]
 
 
-def exact_links(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:
-    """The pairs (a, b) whose full sets have a Jaccard similarity of 0.8 or more."""
+def stored_marks(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.array([len(x) // 8 for x in bodies], np.int64)
+    parts = [marks(np.frombuffer(b"".join(bodies[a:b]), np.uint64) >> np.uint64(16), sizes[a:b]) for a, b in chunks((8 * sizes + MARKS).tolist())]
+    return np.concatenate([np.zeros((0, MARKS // 8), np.uint8), *parts]), sizes
+
+
+def exact_links(pairs: DataFrame, bodies: DataFrame, sets_of: Sets, marks_of: Marks) -> DataFrame:
+    """The pairs (a, b) whose full sets have a Jaccard similarity of 0.8 or more. Sets are made for the pairs that their
+    marks allow."""
     a, b = (bodies.select(F.col("node").alias(k), F.col("body").alias(f"s{k}")) for k in "ab")
 
     def exact(batches):
         for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
+            (x, most_x), (y, most_y) = marks_of(batch.column(2).to_pylist()), marks_of(batch.column(3).to_pylist())
+            batch = batch.filter(pa.array(may_be_similar(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64), most_x + most_y)))
+            if not batch.num_rows:
+                continue
             x, y = sets_of(batch.column(2).to_pylist()), sets_of(batch.column(3).to_pylist())
             shared = shared_counts(x, y)
             ok = 100 * shared >= 80 * (np.array([len(s) + len(t) for s, t in zip(x, y)]) - shared)
@@ -161,22 +188,41 @@ def links_between(part: np.ndarray, left: np.ndarray, sets: list[np.ndarray]) ->
     return few[i], j
 
 
-def _family_links(sets_of: Sets):
-    """Task: rows (centre, i, j, block, node, part, body) ordered by (centre, i, j) to spanning links (a, b)."""
+def _meeting(part: np.ndarray, left: np.ndarray, packed: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Places of the sets that the marks allow to be similar to one in another part and in the other block."""
+    parts, count = np.unique(part, return_counts=True)
+    few = np.nonzero(part != parts[count.argmax()])[0]
+    matrix = np.unpackbits(packed, axis=1).astype(np.float32)
+    size = matrix.sum(axis=1)
+    differ = size[few][:, None] + size[None, :] - 2 * (matrix[few] @ matrix.T)
+    ok = may_be_similar(differ, (most[few][:, None] + most[None, :]).astype(np.float32)) & (part[few][:, None] != part[None, :])
+    ok &= (left[few][:, None] != left[None, :]) | left.all()
+    return np.nonzero(ok.any(axis=0) | np.isin(np.arange(len(part)), few[ok.any(axis=1)]))[0]
+
+
+def _family_links(sets_of: Sets, marks_of: Marks):
+    """Task: rows (centre, i, j, block, node, part, body) ordered by (centre, i, j) to spanning links (a, b). Sets are made
+    for the members that their marks allow to be similar to another."""
 
     def cut(table, final):
         centre, i, j, block, node, part = (table.column(c).to_numpy() for c in range(6))
         new = np.nonzero((centre[1:] != centre[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))[0] + 1
         edges = np.concatenate([[0], new, [len(centre)] if final else []]).astype(np.int64)
-        out_a, out_b = [], []
-        every = sets_of(table.column(6).slice(0, int(edges[-1])).to_pylist())
+        out_a, out_b, met = [], [], []
+        bodies = table.column(6).slice(0, int(edges[-1]))
+        packed, most = marks_of(bodies.to_pylist())
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             if b - a > 1 and (part[a:b] != part[a]).any():
-                x, y = links_between(part[a:b], block[a:b] == i[a], every[a:b])
-                root = spanning(b - a, x, y)
-                linked = np.nonzero(root != np.arange(b - a))[0]
-                out_a.append(node[a:b][linked])
-                out_b.append(node[a:b][root[linked]])
+                at = a + _meeting(part[a:b], block[a:b] == i[a], packed[a:b], most[a:b])
+                met += [at] if len(at) else []
+        every = sets_of(bodies.take(pa.array(np.concatenate(met))).to_pylist()) if met else []
+        for at in met:
+            sets, every = every[: len(at)], every[len(at) :]
+            x, y = links_between(part[at], block[at] == i[at], sets)
+            root = spanning(len(at), x, y)
+            linked = np.nonzero(root != np.arange(len(at)))[0]
+            out_a.append(node[at][linked])
+            out_b.append(node[at][root[linked]])
         return int(edges[-1]), rows(a=np.concatenate([*out_a, np.zeros(0, np.int64)]), b=np.concatenate([*out_b, np.zeros(0, np.int64)]))
 
     def run(batches):
@@ -213,12 +259,12 @@ def _likely(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(judge, "a long, b long")
 
 
-def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], sets_of: Sets = stored_sets, estimate: bool = True) -> DataFrame:
+def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], sets_of: Sets = stored_sets, marks_of: Marks = stored_marks, estimate: bool = True) -> DataFrame:
     """Components (node, component) over all pairs of nodes that share a list and whose sets are similar to 0.8 or more.
 
     ``index`` has rows (value, node) and may have (weight, need): the member of the greatest weight, or the greatest one, is
     a list's centre, and a node that has fewer than ``need`` lists with others has no similar one. ``bodies_of`` takes a
-    table of nodes and returns (node, body), and ``sets_of`` makes sorted 64-bit hashes of bodies. With ``estimate``, the
+    table of nodes and returns (node, body), ``sets_of`` makes sorted 64-bit hashes of bodies and ``marks_of`` their marks. With ``estimate``, the
     sketches of the unions sort out pairs before the full sets meet. Nodes without a link are not in the result.
     """
     within = Window.partitionBy("value")
@@ -238,7 +284,7 @@ def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFr
     likely = lists.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     if estimate:
         likely = _likely(likely, bodies, sets_of)
-    links = stored(exact_links(likely, bodies, sets_of), "verified")
+    links = stored(exact_links(likely, bodies, sets_of, marks_of), "verified")
     parts = stored(components(links), "parts")
 
     linked = links.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.lit(True).alias("ok"))
@@ -261,7 +307,7 @@ def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFr
     dealt = numbered.withColumn("other", F.explode(others)).join(bodies, "node")
     dealt = dealt.select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "part", "body")
     dealt = dealt.repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j")
-    more = stored(dealt.mapInArrow(_family_links(sets_of), "a long, b long"), "more")
+    more = stored(dealt.mapInArrow(_family_links(sets_of, marks_of), "a long, b long"), "more")
     if more.isEmpty():
         return parts
     return components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))

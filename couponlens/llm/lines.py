@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from couponlens.llm.common import RunHash, chunks, mix64, rows, stored, text_chunks
-from couponlens.llm.groups import distinct_parts, similar_components
+from couponlens.llm.groups import MARKS, distinct_parts, marks, similar_components
 
 SHINGLE = 5  # characters
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** 6) ** 27 = 0.9997, one of 0.15 with 0.0003.
@@ -31,28 +31,52 @@ def _nodes(lines: list[str]) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, lines), np.uint64, len(lines)).view(np.int64)
 
 
-def _shingles(lines: list[str], tool: RunHash) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles of non-empty lines, and where each line's begin. A line that is shorter than a shingle is one
-    itself."""
-    codes, begins = _codes(lines)
-    sums = tool.sums(codes)
-    sizes = np.diff(begins) - 1
-    n = np.maximum(sizes - SHINGLE + 1, 1)
-    at = np.cumsum(n) - n
-    starts = np.repeat(begins[:-1], n) + np.arange(n.sum()) - np.repeat(at, n)
-    ends = np.minimum(starts + SHINGLE, np.repeat(begins[:-1] + sizes, n))
-    return tool.runs(sums, starts, ends), at
+def _inside(codes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``codes`` at which a shingle of a line begins, and how many each line has."""
+    stops = np.concatenate([[0], np.cumsum(codes == _END, dtype=np.int64)])
+    return np.nonzero(stops[SHINGLE:] == stops[:-SHINGLE])[0], np.maximum(np.diff(begins) - SHINGLE, 0)
+
+
+def _with_short(lines: list[str], hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Adds the lines that are shorter than a shingle, each as the one member of its set."""
+    if len(short := np.nonzero(sizes == 0)[0]):
+        own = _nodes([lines[k] for k in short.tolist()]).view(np.uint64).astype(hashes.dtype)
+        hashes = np.insert(hashes, (np.cumsum(sizes) - sizes)[short], own)
+        sizes = np.maximum(sizes, 1)
+    return hashes, sizes
 
 
 def line_sets(bodies: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of lines in UTF-8."""
     out = []
     for a, b in chunks([len(x) for x in bodies]):
-        hashes, at = _shingles([x.decode() for x in bodies[a:b]], RunHash())
-        out += distinct_parts(hashes, np.append(at[1:], len(hashes)) - at)
+        lines = [x.decode() for x in bodies[a:b]]
+        codes, begins = _codes(lines)
+        at, sizes = _inside(codes, begins)
+        values = mix64(codes.astype(np.uint64) + np.uint64(0x2545F4914F6CDD1D))
+        n = max(len(codes) - SHINGLE + 1, 0)
+        hashes = values[:n].copy()
+        for j in range(1, SHINGLE):
+            hashes *= np.uint64(RunHash.BASE)
+            hashes += values[j : n + j]
+        out += distinct_parts(*_with_short(lines, mix64(hashes[at]), sizes))
     return out
 
 
+def line_marks(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of lines in UTF-8 (see `groups`), and their number of shingles, repeated ones included."""
+    packed, most = [np.zeros((0, MARKS // 8), np.uint8)], [np.zeros(0, np.int64)]
+    for a, b in chunks([len(x) + MARKS for x in bodies]):
+        lines = [x.decode() for x in bodies[a:b]]
+        codes, begins = _codes(lines)
+        at, sizes = _inside(codes, begins)
+        hashes = _quick_hashes(codes)[at] if len(at) else np.zeros(0, np.uint32)
+        hashes, sizes = _with_short(lines, hashes, sizes)
+        packed.append(marks(hashes, sizes))
+        most.append(sizes)
+    return np.concatenate(packed), np.concatenate(most)
+
+
 def _quick_hashes(codes: np.ndarray) -> np.ndarray:
     """32-bit hashes of the shingles at all places of ``codes``, for signatures."""
     mixed = codes * np.uint32(0x9E3779B1)
@@ -159,7 +183,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         of = wanted.join(firsts, "node").groupBy(F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "node")).alias("wanted"))
         return plain.join(of, ["doc", "mark"]).select("text", "wanted").mapInArrow(cut, "node long, body binary").dropDuplicates(["node"])
 
-    parts = similar_components(index, bodies, line_sets, estimate=False)
+    parts = similar_components(index, bodies, line_sets, line_marks, estimate=False)
     groups = firsts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = groups.groupBy("component").agg(F.min("first").alias("kept"))
     kept = groups.join(kept, "component").select("node", "kept")

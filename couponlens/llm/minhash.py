@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import RunHash, mix64, rows, stored, text_chunks
+from couponlens.llm.common import RunHash, distinct, mix64, rows, stored, text_chunks
 from couponlens.llm.groups import K, PAD, SLOTS, how_common, similar_components, sketch, sketches
 
 #: Sets of so many shingles and the sets similar to them are in their sketches as a whole.
@@ -54,7 +54,7 @@ def shingle_sets(texts: list[str], words: int, tool: RunHash) -> list[np.ndarray
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         if b - a >= words:
-            out.append(np.unique(joined[a : b - words + 1]))
+            out.append(distinct(joined[a : b - words + 1]))
         elif b > a:
             short = hashlib.blake2b(hashes[a:b].tobytes(), digest_size=8, person=b"short").digest()
             out.append(np.frombuffer(short, np.uint64))
