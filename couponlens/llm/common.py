@@ -163,6 +163,23 @@ class RunHash:
         return mix64(body ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
+def perhaps_among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``key`` can be in the column ``key`` of ``wanted``, by a bitmap of hashed keys that has at most 4 MB
+    whatever the number of keys. Rows that are not wanted may remain, so that a join must follow; it spares that join most
+    of the shuffle where few rows are wanted."""
+    bits, word = 1 << 25, 1 << 15  # word: bits of one row of the bitmap, fixed by Spark
+
+    def slot():
+        return F.pmod(F.xxhash64(F.col(key)), F.lit(bits)) + 1
+
+    held = wanted.select(slot().alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(word)).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    marked = df.withColumn("_bucket", F.bitmap_bucket_number(slot())).join(F.broadcast(held), "_bucket")
+    return marked.where(F.getbit(byte, place.bitwiseAND(F.lit(7))) == 1).select(*df.columns)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components by alternating large-star and small-star steps: columns ``node`` and ``component`` (the
     smallest node reachable), one row for every node that has an edge to another node.

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import RunHash, distinct, mix64, rows, stored, text_chunks
+from couponlens.llm.common import RunHash, distinct, mix64, perhaps_among, rows, stored, text_chunks
 from couponlens.llm.groups import K, PAD, SLOTS, how_common, similar_components, sketch, sketches
 
 #: Sets of so many shingles and the sets similar to them are in their sketches as a whole.
@@ -26,6 +26,7 @@ WHOLE = 38
 #: Least number of neighbour pairs that larger sets share with a similar one.
 NEIGHBOURS = 7
 _NO_ID = -(1 << 63)
+_CHUNK = 500_000  # characters whose sets are made at once
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _WHITE = np.zeros(256, bool)
@@ -83,7 +84,7 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
         tool = RunHash()
         for whole_batch in batches:
             at = 0
-            for keys, texts in text_chunks([whole_batch]):
+            for keys, texts in text_chunks([whole_batch], _CHUNK):
                 sets = shingle_sets(texts, words, tool)
                 yield rows(
                     doc=keys, n_shingles=pa.array([len(s) for s in sets], pa.int64()), node=pa.array([_node(s) for s in sets], pa.int64()),
@@ -115,14 +116,14 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
 
     def full(batches):
         tool = RunHash()
-        for batch in batches:
-            sets = shingle_sets(batch.column(1).to_pylist(), words, tool)
-            same = [i for i, (s, n) in enumerate(zip(sets, batch.column(0).to_pylist())) if _node(s) == n]
-            yield rows(node=batch.column(0).take(pa.array(same, pa.int64())), body=pa.array([sets[i].tobytes() for i in same], pa.binary()))
+        for keys, texts in text_chunks(batches, _CHUNK):
+            sets = shingle_sets(texts, words, tool)
+            same = [i for i, (s, n) in enumerate(zip(sets, keys.to_pylist())) if _node(s) == n]
+            yield rows(node=keys.take(pa.array(same, pa.int64())), body=pa.array([sets[i].tobytes() for i in same], pa.binary()))
 
     def bodies(wanted: DataFrame) -> DataFrame:
-        of = wanted.join(firsts, "node").select("node", F.col("first").alias("doc"))
-        return whole.join(of, "doc").select("node", "text").mapInArrow(full, "node long, body binary").dropDuplicates(["node"])
+        of = stored(wanted.join(firsts, "node").select("node", F.col("first").alias("doc")), "wanted")
+        return perhaps_among(whole, "doc", of).join(of, "doc").select("node", "text").mapInArrow(full, "node long, body binary").dropDuplicates(["node"])
 
     parts = similar_components(index, bodies)
     ids = firsts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))

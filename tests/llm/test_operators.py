@@ -21,6 +21,7 @@ import oracle  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from couponlens.llm import bpe, egojoin, groups, imatch, langid, lines, minhash, packing, queries, suffix, tokenfile, toxicity  # noqa: E402
+from couponlens.llm.common import perhaps_among  # noqa: E402
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, doc string, node long, rest string"
@@ -289,3 +290,25 @@ def test_pipeline_stages(spark, data, odd):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, odd, labels).columns == odd.columns
     assert hashlib.sha256(b"").hexdigest() == brute.repeats({1: None}, 100)[1][3]
+
+
+def test_marks_lose_no_pair():
+    rnd = random.Random(5)
+    texts = ["", "a", "abcd", "abcde", "ééééé ñ"] + ["".join(rnd.choice("ab ") for _ in range(rnd.randint(1, 40))) for _ in range(150)]
+    texts += [x[:-2] for x in texts[40:]] + ["x" * 5000, "x" * 4999]
+    bodies = [x.encode() for x in texts]
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} or {x} for x in texts]
+    assert [len(x) for x in lines.line_sets(bodies)] == [len(x) for x in sets]
+    for packed, most in (lines.line_marks(bodies), groups.stored_marks([x.tobytes() for x in lines.line_sets(bodies)])):
+        for i, s in enumerate(sets):
+            may = groups.may_be_similar(np.bitwise_count(packed[i] ^ packed).sum(axis=1, dtype=np.int64), most[i] + most)
+            assert all(ok or 100 * len(s & t) < 80 * len(s | t) for ok, t in zip(may, sets))
+    assert groups.stored_marks([])[0].shape == lines.line_marks([])[0].shape == (0, groups.MARKS // 8)
+
+
+def test_perhaps_among_keeps_all_wanted(spark):
+    table = spark.range(-500, 20000).select(F.col("id").alias("doc"), F.lit("x").alias("t"))
+    wanted = table.where("doc % 9 = 0").select("doc")
+    found = perhaps_among(table, "doc", wanted)
+    assert found.columns == ["doc", "t"] and found.join(wanted, "doc").count() == wanted.count()
+    assert found.count() < 1.1 * wanted.count() and perhaps_among(table, "doc", wanted.limit(0)).count() == 0
