@@ -3,8 +3,8 @@
 Every list first links its members to one of them, its centre, the member made up of the most common values. A list is
 settled when all of these links hold. The members of the other lists form families, one for each centre; two members
 that are similar share a list and so a family. The members
-outside a family's largest component are compared, in blocks and on the full sets, with each other and with that
-component; no more than spanning links leave a task. Within a pair, 48 bits of a hash stand for a member of a set.
+outside a family's largest component are compared, in blocks, with each other and with that component: first by marks of
+fixed size that rule out most pairs and lose none, then on the full sets; no more than spanning links leave a task. Within a pair, 48 bits of a hash stand for a member of a set.
 """
 
 from __future__ import annotations
@@ -200,45 +200,74 @@ def _meeting(part: np.ndarray, left: np.ndarray, packed: np.ndarray, most: np.nd
     return np.nonzero(ok.any(axis=0) | np.isin(np.arange(len(part)), few[ok.any(axis=1)]))[0]
 
 
-def _family_links(sets_of: Sets, marks_of: Marks):
-    """Task: rows (centre, i, j, block, node, part, body) ordered by (centre, i, j) to spanning links (a, b). Sets are made
-    for the members that their marks allow to be similar to another."""
-
-    def cut(table, final):
-        centre, i, j, block, node, part = (table.column(c).to_numpy() for c in range(6))
-        new = np.nonzero((centre[1:] != centre[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))[0] + 1
-        edges = np.concatenate([[0], new, [len(centre)] if final else []]).astype(np.int64)
-        out_a, out_b, met = [], [], []
-        bodies = table.column(6).slice(0, int(edges[-1]))
-        packed, most = marks_of(bodies.to_pylist())
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            if b - a > 1 and (part[a:b] != part[a]).any():
-                at = a + _meeting(part[a:b], block[a:b] == i[a], packed[a:b], most[a:b])
-                met += [at] if len(at) else []
-        every = sets_of(bodies.take(pa.array(np.concatenate(met))).to_pylist()) if met else []
-        for at in met:
-            sets, every = every[: len(at)], every[len(at) :]
-            x, y = links_between(part[at], block[at] == i[at], sets)
-            root = spanning(len(at), x, y)
-            linked = np.nonzero(root != np.arange(len(at)))[0]
-            out_a.append(node[at][linked])
-            out_b.append(node[at][root[linked]])
-        return int(edges[-1]), rows(a=np.concatenate([*out_a, np.zeros(0, np.int64)]), b=np.concatenate([*out_b, np.zeros(0, np.int64)]))
+def _whole_blocks(work):
+    """Task over rows (centre, i, j, ...) ordered by these three: ``work`` gets tables of whole block pairs and where each
+    begins, and the end."""
 
     def run(batches):
         held = None
-        for batch in (x.slice(i, 2000) for x in batches for i in range(0, x.num_rows, 2000)):
+        for batch in (x.slice(k, 2000) for x in batches for k in range(0, x.num_rows, 2000)):
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            done, found = cut(held, False)
-            held = held.slice(done)
-            yield found
+            edges = _edges(held)
+            if len(edges) > 2:
+                yield work(held, edges[:-1])
+                held = held.slice(int(edges[-2]))
         if held is not None and held.num_rows:
-            yield cut(held, True)[1]
+            yield work(held, _edges(held))
 
     return run
 
 
+def _edges(table: pa.Table) -> np.ndarray:
+    centre, i, j = (table.column(c).to_numpy() for c in range(3))
+    new = np.nonzero((centre[1:] != centre[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))[0] + 1
+    return np.concatenate([[0], new, [len(centre)]]).astype(np.int64)
+
+
+def _meetings(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+    """Rows (centre, i, j, block, node, part, marks, most) to those whose marks allow a link within their pair of blocks."""
+    i, block, part, most = (table.column(c).to_numpy() for c in (1, 3, 5, 7))
+    end = int(edges[-1])
+    packed = np.frombuffer(b"".join(table.column(6).slice(0, end).to_pylist()), np.uint8).reshape(end, MARKS // 8)
+    met = [np.zeros(0, np.int64)]
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        if b - a > 1 and (part[a:b] != part[a]).any():
+            met.append(a + _meeting(part[a:b], block[a:b] == i[a], packed[a:b], most[a:b]))
+    out = table.select(range(6)).take(pa.array(np.concatenate(met)))
+    return rows(**{name: out.column(name).combine_chunks() for name in out.column_names})
+
+
+def _spanning_links(sets_of: Sets):
+    """Rows (centre, i, j, block, node, part, body) to spanning links (a, b)."""
+
+    def work(table, edges):
+        i, block, node, part = (table.column(c).to_numpy() for c in (1, 3, 4, 5))
+        every = sets_of(table.column(6).slice(0, int(edges[-1])).to_pylist())
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if b - a > 1 and (part[a:b] != part[a]).any():
+                x, y = links_between(part[a:b], block[a:b] == i[a], every[a:b])
+                root = spanning(b - a, x, y)
+                linked = np.nonzero(root != np.arange(b - a))[0]
+                out_a.append(node[a:b][linked])
+                out_b.append(node[a:b][root[linked]])
+        return rows(a=np.concatenate(out_a), b=np.concatenate(out_b))
+
+    return work
+
+
+def _signs(bodies: DataFrame, marks_of: Marks) -> DataFrame:
+    """Marks of all bodies: node, marks, most."""
+
+    def run(batches):
+        for batch in (x.slice(k, 1000) for x in batches for k in range(0, x.num_rows, 1000)):
+            packed, most = marks_of(batch.column(1).to_pylist())
+            yield rows(node=batch.column(0), marks=pa.array([x.tobytes() for x in packed], pa.binary()), most=pa.array(most, pa.int64()))
+
+    return bodies.select("node", "body").mapInArrow(run, "node long, marks binary, most long")
+
+
 def _likely(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:
     """The pairs whose sizes and sketches allow a similarity of 0.8."""
 
@@ -304,10 +333,14 @@ def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFr
     numbered = counted.withColumn("nth", nth).withColumn("block", F.floor(F.when(F.col("rest"), F.col("nth") / _REST).otherwise(-1 - F.floor(F.col("nth") / _MAIN))).cast("int"))
     numbered = numbered.withColumn("top", F.max("block").over(of)).withColumn("bottom", F.min("block").over(of))
     others = F.when(F.col("rest"), F.sequence("bottom", "top")).otherwise(F.sequence(F.lit(0), "top"))
-    dealt = numbered.withColumn("other", F.explode(others)).join(bodies, "node")
-    dealt = dealt.select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "part", "body")
-    dealt = dealt.repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j")
-    more = stored(dealt.mapInArrow(_family_links(sets_of, marks_of), "a long, b long"), "more")
+    place = ["centre", "i", "j"]
+    dealt = numbered.withColumn("other", F.explode(others)).join(_signs(bodies, marks_of), "node")
+    dealt = dealt.select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "part", "marks", "most")
+    dealt = dealt.repartition(*place).sortWithinPartitions(*place)
+    # only members that may be similar to another one bring their bodies
+    met = stored(dealt.mapInArrow(_whole_blocks(_meetings), "centre long, i int, j int, block int, node long, part long"), "meetings")
+    met = met.join(bodies, "node").select(*place, "block", "node", "part", "body").repartition(*place).sortWithinPartitions(*place)
+    more = stored(met.mapInArrow(_whole_blocks(_spanning_links(sets_of)), "a long, b long"), "more")
     if more.isEmpty():
         return parts
     return components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
