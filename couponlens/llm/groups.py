@@ -2,9 +2,9 @@
 
 Every list first links its members to one of them, its centre, the member made up of the most common values. A list is
 settled when all of these links hold. The members of the other lists form families, one for each centre; two members
-that are similar share a list and so a family. The members
-outside a family's largest component are compared, in blocks, with each other and with that component: first by marks of
-fixed size that rule out most pairs and lose none, then on the full sets; no more than spanning links leave a task. Within a pair, 48 bits of a hash stand for a member of a set.
+that are similar share a list and so a family. The members outside a family's largest component are compared, in blocks,
+with each other and with that component: first by marks of fixed size that rule out most pairs and lose none, then on the
+full sets; no more than spanning links leave a task. Within a pair, 48 bits of a hash stand for a member of a set.
 """
 
 from __future__ import annotations
