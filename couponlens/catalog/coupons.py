@@ -29,13 +29,14 @@ def valid(tables) -> DataFrame:
     return filters.filter_valid_reservation(tables["reservation"], created="created_at", **P.VALID)
 
 
-def daily(spark, folder, named: bool = False) -> DataFrame:
+def daily(spark, folder, named: bool = False, ids=P.POLICY_IDS) -> DataFrame:
     build = kpi.new_coupon_daily_named if named else kpi.new_coupon_daily
-    return build(read_coupon_tables(spark, folder), P.POLICY_IDS, P.VALID, P.LEDGER, unit=P.DAY_UNIT)
+    return build(read_coupon_tables(spark, folder), ids, P.VALID, P.LEDGER, unit=P.DAY_UNIT)
 
 
 DAILY = [CP, ledger_daily(False)]
 NAMED = [CP, ledger_daily(True)]
+EVERY = [CP, ledger_daily(False, target="")]  # reservations of all policies
 
 
 @catalog.add("src_coupon_tables", sql([CP], """
@@ -179,11 +180,11 @@ def policy_period_summary(spark, folder):
     return kpi.policy_period_summary(daily(spark, folder, named=True), ["pid", "coupon_name"], P.SUMMARY_WINDOW, P.DAY_UNIT)
 
 
-@catalog.add("creation_day_counts", sql(DAILY, """
+@catalog.add("creation_day_counts", sql(EVERY, """
 SELECT CAST(create_date - DATE '1997-03-01' + 1 AS INTEGER) AS day_index, CAST(sum(cnt) AS BIGINT) AS cnt FROM daily
 WHERE create_date BETWEEN DATE '1997-03-01' AND DATE '1997-03-01' + 89 GROUP BY ALL"""))
 def creation_day_counts(spark, folder):
-    return kpi.creation_day_counts(daily(spark, folder), P.CREATION_START, P.CREATION_DAYS)
+    return kpi.creation_day_counts(daily(spark, folder, ids=None), P.CREATION_START, P.CREATION_DAYS)
 
 
 @catalog.add("distinct_policies_matched", sql([CP], """

@@ -185,13 +185,13 @@ def wow_total(source: str = "f") -> str:
 FROM (SELECT {sums}, CAST(sum(prev_cnt) AS BIGINT) AS prev_cnt, CAST(sum(cur_cnt) AS BIGINT) AS cur_cnt FROM {source})"""
 
 
-def ledger_daily(named: bool, unit: str = "1e3", name: str = "daily") -> str:
+def ledger_daily(named: bool, unit: str = "1e3", name: str = "daily", target: str = " WHERE policy_id BETWEEN 4 AND 403") -> str:
     """Net revenue by creation date and policy as CTEs, with one correlated lookup per value."""
     keys = "create_date, pid, coupon_name" if named else "create_date, pid"
     return f"""
 keyed AS (
   SELECT v.id, v.create_date, i.policy_id AS pid, i.coupon_name FROM valid AS v JOIN issued AS i ON i.reservation_id = v.id
-  WHERE v.id IN (SELECT reservation_id FROM issued WHERE policy_id BETWEEN 4 AND 403)
+  WHERE v.id IN (SELECT reservation_id FROM issued{target})
 ),
 rent AS (SELECT reservation_id, sum(amount) AS a FROM charge WHERE charge_type IN ('rent', 'refund') GROUP BY ALL),
 fee AS (SELECT reservation_id, sum(amount) AS a FROM charge WHERE charge_type IN ('protection_fee') GROUP BY ALL),

@@ -81,31 +81,34 @@ def weekly_class_kpi(
 
 
 def new_coupon_daily(
-    tables: dict[str, DataFrame], ids: Sequence[int], valid: dict, ledger_types: dict, vat: float = 1.1,
+    tables: dict[str, DataFrame], ids: Sequence[int] | None, valid: dict, ledger_types: dict, vat: float = 1.1,
     unit: float = 1e6,
 ) -> DataFrame:
-    """Local creation date by policy: reservations and net revenue in ``unit``.
+    """Local creation date by policy: reservations and net revenue in ``unit``; without ``ids`` over all policies.
 
     ``valid`` holds the arguments of ``filter_valid_reservation``, ``ledger_types`` those of ``gross_ledger``. The target
     test and the policy lookup share one aggregation of the coupon table, and the reservation, coupon and ledger
     sides are all partitioned by the reservation, so each is shuffled once.
 
-    Every side is first held against the reservations that used a target policy. These semi joins come behind the
-    map-side combine of the child rows; where the tables are large, Spark turns them into bloom filters that drop the
-    rows of all other reservations at the scans (``spark.sql.optimizer.runtime.bloomFilter.*``). Nothing is counted or
-    stored beforehand.
+    With ``ids``, every side is first held against the reservations that used a target policy. These semi joins come
+    behind the map-side combine of the child rows; where the tables are large, Spark turns them into bloom filters that
+    drop the rows of all other reservations at the scans (``spark.sql.optimizer.runtime.bloomFilter.*``). Nothing is
+    counted or stored beforehand.
     """
     policies, coupons, charges, payments = (tables[t] for t in ("policy", "coupon", "charge", "payment"))
-    used = coupons.filter(F.col("policy_id").isin(*ids)).select("reservation_id")
-    of_campaign = used.withColumnRenamed("reservation_id", "id")
     kept = filter_valid_reservation(tables["reservation"], created="created_at", **valid).select("id", "created_at")
-    kept = kept.join(of_campaign, "id", "left_semi")
-    targets = coupon_summary(coupons.join(used, "reservation_id", "left_semi"), policies, ids).filter("is_target")
+    ledger = gross_ledger(charges, payments, **ledger_types)
+    if ids is not None:
+        used = coupons.filter(F.col("policy_id").isin(*ids)).select("reservation_id")
+        of_campaign = used.withColumnRenamed("reservation_id", "id")
+        kept, ledger = kept.join(of_campaign, "id", "left_semi"), ledger.join(of_campaign, "id", "left_semi")
+        coupons = coupons.join(used, "reservation_id", "left_semi")
+    targets = coupon_summary(coupons, policies, ids).filter("is_target")
     keyed = kept.join(targets, "id").select(
         "id", single_policy(F.col("pid"), F.col("n_coupons")).alias("pid"),
         local_date(F.col("created_at"), valid["tz"]).alias("create_date"),
     )
-    priced = with_gross(keyed, gross_ledger(charges, payments, **ledger_types).join(of_campaign, "id", "left_semi"))
+    priced = with_gross(keyed, ledger)
     return (
         priced.groupBy("create_date", "pid")
         .agg(F.countDistinct("id").alias("cnt"), F.sum("gross").alias("gross"))
@@ -114,7 +117,7 @@ def new_coupon_daily(
 
 
 def new_coupon_daily_named(
-    tables: dict[str, DataFrame], ids: Sequence[int], valid: dict, ledger_types: dict, vat: float = 1.1,
+    tables: dict[str, DataFrame], ids: Sequence[int] | None, valid: dict, ledger_types: dict, vat: float = 1.1,
     unit: float = 1e6,
 ) -> DataFrame:
     """``new_coupon_daily`` with the policy name, which is joined to the grouped rows."""

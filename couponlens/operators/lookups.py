@@ -31,8 +31,8 @@ def semi_target_policy(
     return reservations.join(keys, "id", "left_semi")
 
 
-def coupon_summary(coupons: DataFrame, policies: DataFrame, ids: Sequence[int] = ()) -> DataFrame:
-    """One row per reservation: number of coupons, policy id, and whether a target policy is among them.
+def coupon_summary(coupons: DataFrame, policies: DataFrame, ids: Sequence[int] | None = ()) -> DataFrame:
+    """One row per reservation: number of coupons, policy id, and whether a target policy is among them (None: all are).
 
     Only numbers are aggregated, which keeps the aggregation hash based; names are joined to the result.
     """
@@ -40,7 +40,7 @@ def coupon_summary(coupons: DataFrame, policies: DataFrame, ids: Sequence[int] =
     return known.groupBy(F.col("reservation_id").alias("id")).agg(
         F.count(F.lit(1)).alias("n_coupons"),
         F.max("policy_id").alias("pid"),
-        F.max(F.col("policy_id").isin(*ids) if ids else F.lit(False)).alias("is_target"),
+        F.max(F.col("policy_id").isin(*ids) if ids else F.lit(ids is None)).alias("is_target"),
     )
 
 

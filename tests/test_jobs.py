@@ -308,6 +308,27 @@ def test_sql_over_the_views_gives_the_same_rows(spark, data):
     assert as_set(spark.sql(CREATION_SQL)) == as_set(daily)
 
 
+def test_creation_days_count_reservations_of_all_policies(spark, tmp_path):
+    """Policies far from the campaign's ids count too; one that does not exist, and an invalid reservation, do not."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    customers = [10, 199, 210, 5000, 7009, 7010, 7019, 9999, 5001]
+    given = {
+        "part": [(2 * c, f"policy {c}", "b", "t", 1, 1.0) for c in customers if c != 9999],
+        "orders": [(k, c, "F", 1.0, datetime(1997, 3, 1 + k % 4, 3), "1-URGENT") for k, c in enumerate(customers)],
+        "lineitem": [(1, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "R", "F", datetime(1997, 4, 1))],
+    }
+    con = duckdb.connect()
+    for name, lines in given.items():
+        spark.createDataFrame(lines, SCHEMAS[name]).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    got = sorted(map(tuple, entry.queries()["creation_day_counts"](spark, str(tmp_path)).collect()))
+    assert got == [(2, 2), (3, 2), (4, 2), (5, 1)]  # local days are a day later
+    assert got == sorted(con.execute(entry.oracle_sql()["creation_day_counts"]).fetchall())
+
+
 def test_scalar_subquery_gives_the_same_lookup(spark):
     """Spark plans the subquery as a nested loop, so this runs on the smallest tables only."""
     data = "/root/testdata/sf0.001"
