@@ -3,13 +3,16 @@
 Texts become lower-case letters with single spaces between runs of them. Spark counts the four-character runs of every
 language over all documents to learn from, and smooths all counts order by order. The log-probability of a run is a sum of
 terms, which become sorted arrays of hashes, in parts of bounded size dealt by hash. Every text is looked up in every part;
-it gets the language of the least cross-entropy per character.
+it gets the language of the least cross-entropy per character. The confidence and the limits of rejection are set by all
+documents to learn from, too.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -22,7 +25,8 @@ from couponlens.llm.common import RunHash, chunks, mix64, rows, stored, text_chu
 ORDER = 4
 CELLS = 1 << 24  # numbers of the model that a task holds at once; a larger model is looked up in several parts
 DISCOUNT = 0.75
-CALIBRATED = 4_000  # documents to learn from that the confidence is calibrated on
+SHARPNESS = tuple(2.0 ** np.arange(-2, 8))
+COMMON = 0.999  # share of a language's texts to learn from that are like it
 _TASK_GRAMS = 1_000_000  # different runs that a task counts before it hands them on
 _END = 0xD800
 
@@ -226,22 +230,59 @@ def train(labelled: DataFrame) -> Model | None:
     return Model(langs, floor, stored(every.mapInArrow(_keyed(langs), "key long, lang int, value double"), "terms"))
 
 
-def calibrate(model: Model, labelled: DataFrame, id_column: str) -> tuple[float, np.ndarray]:
+def quantiles(values: DataFrame, q: float) -> dict[int, float]:
+    """For each language of the rows (own, bits, n) the quantile q, as numpy has it. ``bits`` are those of numbers that are
+    not negative, which have the same order; ``n`` rows hold them. The two numbers beside the quantile are found by four
+    counts, each by the next 16 bits of the rows that share what is known of one; so a count returns 65,536 rows for each
+    of them at most, whatever the number of rows."""
+    asked: dict[int, list[tuple[int, int]]] = {}  # bits known so far, and the place among the rows that begin with them
+    share: dict[int, float] = {}
+    for shift in (48, 32, 16, 0):
+        heads = sorted({(own, head) for own, places in asked.items() for head, _ in places})
+        among = [(F.col("own") == own) & (F.shiftright("bits", shift + 16) == head) for own, head in heads]
+        counts = (values.where(reduce(or_, among)) if among else values).groupBy("own", F.shiftright("bits", shift).alias("cell")).agg(F.sum("n").alias("n")).toPandas()
+        if not among:
+            for own, n in counts.groupby("own")["n"].sum().items():
+                low = int(q * (n - 1))
+                asked[own], share[own] = [(0, low), (0, min(low + 1, n - 1))], q * (n - 1) - low
+        for own, mine in counts.sort_values("cell").groupby("own"):
+            cells, n = mine["cell"].to_numpy(), mine["n"].to_numpy()
+            for i, (head, place) in enumerate(asked[own]):
+                inside = cells >> 16 == head if among else np.ones(len(cells), bool)
+                ends = np.cumsum(n[inside])
+                at = int(np.searchsorted(ends, place, side="right"))
+                asked[own][i] = int(cells[inside][at]), int(place - ends[at] + n[inside][at])
+    ends = {own: np.array([bits for bits, _ in places], np.int64).view(np.float64) for own, places in asked.items()}
+    return {own: float(low + (high - low) * share[own]) for own, (low, high) in ends.items()}
+
+
+def calibrate(scored: DataFrame, n_langs: int, floor: float) -> tuple[float, np.ndarray]:
     """Sharpness of the confidence, by the likelihood of the right language, and the entropy per language above which a
-    text is rejected (that of one in a thousand texts of the language), from a bounded sample."""
-    ids = labelled.where("lang is not null").select(id_column).orderBy(F.xxhash64(id_column)).limit(CALIBRATED)
-    sample = labelled.join(ids, id_column, "left_semi").select("lang", "text").limit(2 * CALIBRATED).toPandas()
-    sample = sample[sample["lang"].isin(model.langs) & sample["text"].notna()]
-    if sample.empty:
-        return 1.0, np.full(len(model.langs), np.inf)
-    entropy, runs = model.entropies(sample["text"].tolist())
-    right = sample["lang"].map({x: i for i, x in enumerate(model.langs)}).to_numpy()[runs > 0]
-    entropy = entropy[runs > 0]
-    if not len(right):
-        return 1.0, np.full(len(model.langs), np.inf)
-    best = min(2.0 ** np.arange(-2, 8), key=lambda s: np.mean(np.log(np.exp(-s * (entropy - entropy[np.arange(len(right)), right][:, None])).sum(axis=1))))
-    limits = [np.quantile(entropy[right == k, k], 0.999) if (right == k).any() else np.inf for k in range(len(model.langs))]
-    return float(best), np.array(limits)
+    text is rejected (that of one in a thousand texts of the language), from all rows whose right language ``own`` is
+    known. Rows are (own, copies, runs, t0, t1, ...), with the terms' total for each language."""
+
+    def measure(batches):
+        for batch in batches:
+            own, n, runs = (batch.column(c).to_numpy() for c in range(3))
+            found = entropy(np.stack([batch.column(3 + k).to_numpy() for k in range(n_langs)], axis=1), runs, floor)
+            right = found[np.arange(len(own)), own]
+            losses = {}
+            for i, s in enumerate(SHARPNESS):
+                x = s * (right[:, None] - found)
+                top = x.max(axis=1)
+                losses[f"s{i}"] = n * (top + np.log(np.exp(x - top[:, None]).sum(axis=1)))
+            yield rows(own=own, bits=np.maximum(right, 0.0).view(np.int64), n=n, **losses)
+
+    sums = [f"s{i}" for i in range(len(SHARPNESS))]
+    known = scored.where("own is not null and runs > 0").select("own", F.col("copies").cast("long"), "runs", *[f"t{k}" for k in range(n_langs)])
+    measured = known.mapInArrow(measure, ", ".join(["own int, bits long, n long", *[f"{x} double" for x in sums]]))
+    losses = measured.agg(*[F.sum(x).alias(x) for x in sums]).first()
+    limits = np.full(n_langs, np.inf)
+    if losses[0] is None:
+        return 1.0, limits
+    for own, limit in quantiles(measured.select("own", "bits", "n"), COMMON).items():
+        limits[own] = limit
+    return SHARPNESS[int(np.argmin(losses))], limits
 
 
 def identify(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -252,60 +293,52 @@ def identify(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "t
     (the best entropy is above nearly all texts of that language); their prediction is still the best. Repeated rows are
     judged each; other columns are ignored; an empty table gives no rows.
     """
-    known = docs.where(learn).select(F.col(key).cast("string").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    model = train(known)
-    sharp, limits = calibrate(model, known, "id") if model else (1.0, np.zeros(0))
-
-    langs, floor = (model.langs, model.floor) if model else ([], 1.0)
-
-    def judged(total, runs):
-        n = len(runs)
-        if not langs:
-            return dict(lang_pred=["und"] * n, score=np.zeros(n), rejected=np.ones(n, bool))
-        own = entropy(total, runs, floor)
-        best = own.argmin(axis=1)
-        low = own[np.arange(n), best]
-        score = np.where(runs > 0, 1 / np.exp(-sharp * (own - low[:, None])).sum(axis=1), 0.0)
-        pred = [langs[k] if r else "und" for k, r in zip(best.tolist(), runs.tolist())]
-        return dict(lang_pred=pred, score=score, rejected=(low > limits[best]) | (runs == 0))
-
-    def whole(part):
-        def run(batches):
-            for keys, texts in text_chunks(batches):
-                found = part.value.totals(texts) if langs else (None, np.zeros(len(texts), np.int64))
-                yield rows(doc_id=keys, **judged(*found))
-
-        return run
+    body, known = F.col(text).cast("string"), F.col(lang).cast("string")
+    model = train(docs.where(learn).select(known.alias("lang"), body.alias("text")))
+    given = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(body, F.lit("")).alias("text"), F.when(learn & body.isNotNull(), known).alias("own"))
+    if model is None:
+        return given.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+
+    langs, floor = model.langs, model.floor
+    number = {x: i for i, x in enumerate(langs)}
+    sums = [f"t{k}" for k in range(len(langs))]
 
-    def partly(part):
+    def look_up(part):
         def run(batches):
             for batch in batches:
                 at = 0
                 for keys, texts in text_chunks([batch]):
                     total, runs = part.value.totals(texts)
-                    yield rows(doc_id=keys, mark=batch.column(2).slice(at, len(texts)), runs=runs, **{f"t{k}": total[:, k] for k in range(len(langs))})
+                    own = pa.array([number.get(x) for x in batch.column(2).slice(at, len(texts)).to_pylist()], pa.int32())
+                    mark = batch.column(3).slice(at, len(texts))
+                    yield rows(doc_id=keys, own=own, mark=mark, runs=runs, **{t: total[:, k] for k, t in enumerate(sums)})
                     at += len(texts)
 
         return run
 
-    def together(batches):
-        for batch in batches:
-            total = np.stack([batch.column(3 + k).to_numpy() for k in range(len(langs))], axis=1)
-            yield rows(doc_id=batch.column(0), copies=batch.column(1), **judged(total, batch.column(2).to_numpy()))
-
-    given = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     share = docs.sparkSession.sparkContext.broadcast
-    if model is None or model.parts == 1:
-        return given.mapInArrow(whole(share(model.part(0)) if model else None), "doc_id long, lang_pred string, score double, rejected boolean")
+    schema = ", ".join(["doc_id long, own int, mark long, runs long", *[f"{t} double" for t in sums]])
     marked = given.withColumn("mark", F.xxhash64("text"))
-    sums = [f"t{k}" for k in range(len(langs))]
-    looked_up = [
-        marked.mapInArrow(partly(share(model.part(r))), ", ".join(["doc_id long, mark long, runs long", *[f"{t} double" for t in sums]]))
-        for r in range(model.parts)]
-    every = looked_up[0]
-    for more in looked_up[1:]:
-        every = every.unionAll(more)
-    copies = F.count(F.lit(1)) / model.parts  # rows that repeat id and text
-    each = every.groupBy("doc_id", "mark").agg(copies.cast("int").alias("copies"), F.max("runs").alias("runs"), *[(F.sum(t) / copies).alias(t) for t in sums])
-    found = each.drop("mark").mapInArrow(together, "doc_id long, copies int, lang_pred string, score double, rejected boolean")
-    return found.select("doc_id", "lang_pred", "score", "rejected", F.explode(F.sequence(F.lit(1), "copies"))).drop("col")
+    every = reduce(DataFrame.unionAll, [marked.mapInArrow(look_up(share(model.part(r))), schema) for r in range(model.parts)])
+    copies = F.count(F.lit(1)) / model.parts  # rows that repeat id, text and language
+    if model.parts > 1:
+        every = every.groupBy("doc_id", "own", "mark").agg(copies.cast("int").alias("copies"), F.max("runs").alias("runs"), *[(F.sum(t) / copies).alias(t) for t in sums])
+    else:
+        every = every.withColumn("copies", F.lit(1))
+    scored = stored(every.select("doc_id", "own", "copies", "runs", *sums), "totals")
+    sharp, limits = calibrate(scored, len(langs), floor)
+
+    def judge(batches):
+        for batch in batches:
+            runs, n = batch.column(2).to_numpy(), batch.num_rows
+            own = entropy(np.stack([batch.column(3 + k).to_numpy() for k in range(len(langs))], axis=1), runs, floor)
+            best = own.argmin(axis=1)
+            low = own[np.arange(n), best]
+            score = np.where(runs > 0, 1 / np.exp(-sharp * (own - low[:, None])).sum(axis=1), 0.0)
+            pred = [langs[k] if r else "und" for k, r in zip(best.tolist(), runs.tolist())]
+            yield rows(doc_id=batch.column(0), copies=batch.column(1), lang_pred=pred, score=score, rejected=(low > limits[best]) | (runs == 0))
+
+    found = scored.select("doc_id", "copies", "runs", *sums).mapInArrow(judge, "doc_id long, copies int, lang_pred string, score double, rejected boolean")
+    if model.parts > 1:
+        found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return found.select("doc_id", "lang_pred", "score", "rejected")

@@ -251,6 +251,36 @@ def test_language_model(spark, monkeypatch):
     assert len(got) == len(texts) and [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want])
 
 
+def test_all_documents_calibrate_languages(spark, monkeypatch):
+    """The confidence and the limits are those of all 9,000 texts to learn from, repeated ones counted each."""
+    rnd = random.Random(8)
+    own = {"a": "abc ", "b": "bcd ", "c": "cde "}
+    rows = [(i, "".join(rnd.choice(own[x]) for _ in range(rnd.randint(1, 9))), x) for i, x in enumerate("abc" * 2900)]
+    rows += [*rows[:300], (None, "abc", "a"), (5, None, "a"), (6, "!", "b"), (7, "dab", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    entropy, runs = langid.train(docs).entropies([t or "" for _, t, _ in rows])
+    right = np.array(["abc".find(x) if x and t is not None and n else -1 for (_, t, x), n in zip(rows, runs)])
+    limits = np.array([np.quantile(entropy[right == k, k], 0.999) for k in range(3)]) + 1e-9
+    known = entropy[right >= 0]
+    loss = [np.log(np.exp(s * (known[np.arange(len(known)), right[right >= 0]][:, None] - known)).sum(axis=1)).sum() for s in 2.0 ** np.arange(-2, 8)]
+    sharp, low = 2.0 ** (np.argmin(loss) - 2), entropy.min(axis=1)
+    score = np.where(runs > 0, 1 / np.exp(sharp * (low[:, None] - entropy)).sum(axis=1), 0)
+    rejected = (low > limits[entropy.argmin(axis=1)]) | (runs == 0)
+    for cells in (langid.CELLS, 200):
+        monkeypatch.setattr(langid, "CELLS", cells)
+        got = langid.identify(docs, learn=F.lit(True)).collect()
+        assert np.allclose(sorted(r.score for r in got), sorted(score)) and sum(r.rejected for r in got) == rejected.sum()
+
+
+def test_quantiles_of_all_rows(spark):
+    rng = np.random.default_rng(3)
+    values = {0: np.round(rng.gamma(2.0, size=5000), 2), 3: rng.random(1001) * 1e-9, 7: np.array([0.0]), 9: np.array([2.5] * 40 + [1.0])}
+    given = spark.createDataFrame([(k, int(b), 1) for k, v in values.items() for b in v.view(np.int64)], "own int, bits long, n long")
+    for q in (0.37, 0.999, 1.0):
+        got = langid.quantiles(given, q)
+        assert got.keys() == values.keys() and all(np.isclose(got[k], np.quantile(v, q), rtol=1e-12, atol=0) for k, v in values.items())
+
+
 def test_toxicity(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
