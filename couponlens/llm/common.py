@@ -6,7 +6,7 @@ import ctypes.util
 import gc
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -110,6 +110,16 @@ def trim() -> None:
         library.malloc_trim(0)
 
 
+def trimmed(task: Callable) -> Callable:
+    """The task, followed by `trim`."""
+
+    def run(batches):
+        yield from task(batches)
+        trim()
+
+    return run
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of 64-bit values."""
     x = x.astype(np.uint64, copy=True)

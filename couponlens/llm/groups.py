@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import chunks, components, distinct, rows, stored
+from couponlens.llm.common import chunks, components, distinct, rows, stored, trimmed
 
 K = 48
 #: Shared values that the union's bottom-k has at least where the similarity is 0.8: fewer than 20 of 48 have a
@@ -27,7 +27,8 @@ PAD = np.uint64(0xFFFFFFFFFFFFFFFF)
 SLOTS = 1 << 18  # counters of how common a value is; the table has this size for any corpus
 MARKS = 1024  # bits that stand for a set before its members are made
 _REST, _MAIN = 512, 2048  # members of a family's smaller parts, and of its largest part, that a task compares
-_SLICE = 4096  # values that a comparison holds as a matrix at once
+_SLICE = 1024  # values that a comparison holds as a matrix at once
+_ROWS = 256  # members that are compared with all others at once
 
 
 def sketch(values: np.ndarray) -> bytes:
@@ -146,7 +147,7 @@ def exact_links(pairs: DataFrame, bodies: DataFrame, sets_of: Sets, marks_of: Ma
             ok = 100 * shared >= 80 * (np.array([len(s) + len(t) for s, t in zip(x, y)]) - shared)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
 
-    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long")
+    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(trimmed(exact), "a long, b long")
 
 
 def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -182,10 +183,18 @@ def links_between(part: np.ndarray, left: np.ndarray, sets: list[np.ndarray]) ->
         matrix = np.zeros((n, min(_SLICE, int(which[-1]) + 1 - low)), np.float32)
         matrix[row[a:b], which[a:b] - low] = 1
         overlap += matrix[few] @ matrix.T
-    both = size[few][:, None] + size[None, :]
-    ok = (180 * overlap.astype(np.int64) >= 80 * both) & (part[few][:, None] != part[None, :]) & ((left[few][:, None] != left[None, :]) | left.all())
-    i, j = np.nonzero(ok)
-    return few[i], j
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for at in range(0, len(few), _ROWS):
+        own = few[at : at + _ROWS]
+        both = size[own][:, None] + size[None, :]
+        i, j = np.nonzero((180 * overlap[at : at + _ROWS].astype(np.int64) >= 80 * both) & _apart(part, left, own))
+        found.append((own[i], j))
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
+
+
+def _apart(part: np.ndarray, left: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Whether sets ``own`` and all sets are in different parts, and in different blocks if there are two."""
+    return (part[own][:, None] != part[None, :]) & ((left[own][:, None] != left[None, :]) | left.all())
 
 
 def _meeting(part: np.ndarray, left: np.ndarray, packed: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -194,10 +203,14 @@ def _meeting(part: np.ndarray, left: np.ndarray, packed: np.ndarray, most: np.nd
     few = np.nonzero(part != parts[count.argmax()])[0]
     matrix = np.unpackbits(packed, axis=1).astype(np.float32)
     size = matrix.sum(axis=1)
-    differ = size[few][:, None] + size[None, :] - 2 * (matrix[few] @ matrix.T)
-    ok = may_be_similar(differ, (most[few][:, None] + most[None, :]).astype(np.float32)) & (part[few][:, None] != part[None, :])
-    ok &= (left[few][:, None] != left[None, :]) | left.all()
-    return np.nonzero(ok.any(axis=0) | np.isin(np.arange(len(part)), few[ok.any(axis=1)]))[0]
+    met = np.zeros(len(part), bool)
+    for at in range(0, len(few), _ROWS):
+        own = few[at : at + _ROWS]
+        differ = size[own][:, None] + size[None, :] - 2 * (matrix[own] @ matrix.T)
+        ok = may_be_similar(differ, (most[own][:, None] + most[None, :]).astype(np.float32)) & _apart(part, left, own)
+        met |= ok.any(axis=0)
+        met[own[ok.any(axis=1)]] = True
+    return np.nonzero(met)[0]
 
 
 def _whole_blocks(work):
@@ -216,7 +229,7 @@ def _whole_blocks(work):
         if held is not None and held.num_rows:
             yield work(held, _edges(held))
 
-    return run
+    return trimmed(run)
 
 
 def _edges(table: pa.Table) -> np.ndarray:
@@ -265,7 +278,7 @@ def _signs(bodies: DataFrame, marks_of: Marks) -> DataFrame:
             packed, most = marks_of(batch.column(1).to_pylist())
             yield rows(node=batch.column(0), marks=pa.array([x.tobytes() for x in packed], pa.binary()), most=pa.array(most, pa.int64()))
 
-    return bodies.select("node", "body").mapInArrow(run, "node long, marks binary, most long")
+    return bodies.select("node", "body").mapInArrow(trimmed(run), "node long, marks binary, most long")
 
 
 def _likely(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:

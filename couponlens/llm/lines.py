@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from couponlens.llm.common import RunHash, chunks, mix64, rows, stored, text_chunks
+from couponlens.llm.common import RunHash, chunks, mix64, rows, stored, text_chunks, trimmed
 from couponlens.llm.groups import MARKS, distinct_parts, marks, similar_components
 
 SHINGLE = 5  # characters
@@ -163,9 +163,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("rest")).withColumn("mark", F.xxhash64("text"))
     plain = whole.select("doc", "text", "mark")
-    placed = stored(plain.mapInArrow(_placed, "node long, doc long, mark long, line long").distinct(), "lines")
+    placed = stored(plain.mapInArrow(trimmed(_placed), "node long, doc long, mark long, line long").distinct(), "lines")
     firsts = placed.groupBy("node").agg(F.min(F.struct("doc", "mark", "line")).alias("first"))
-    index = plain.mapInArrow(_banded, "value long, node long")
+    index = plain.mapInArrow(trimmed(_banded), "value long, node long")
 
     def cut(batches):
         for batch in (x.slice(i, 500) for x in batches for i in range(0, x.num_rows, 500)):
@@ -181,7 +181,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     def bodies(wanted: DataFrame) -> DataFrame:
         of = wanted.join(firsts, "node").groupBy(F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "node")).alias("wanted"))
-        return plain.join(of, ["doc", "mark"]).select("text", "wanted").mapInArrow(cut, "node long, body binary").dropDuplicates(["node"])
+        return plain.join(of, ["doc", "mark"]).select("text", "wanted").mapInArrow(trimmed(cut), "node long, body binary").dropDuplicates(["node"])
 
     parts = similar_components(index, bodies, line_sets, line_marks, estimate=False)
     groups = firsts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -204,4 +204,4 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     joined = whole.join(dropped, ["doc", "mark"], "left").select("text", "lines", "rest")
     rest = joined.schema["rest"].dataType.simpleString()
-    return joined.mapInArrow(remove, f"text string, n_lines long, n_removed long, rest {rest}")
+    return joined.mapInArrow(trimmed(remove), f"text string, n_lines long, n_removed long, rest {rest}")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import RunHash, distinct, mix64, perhaps_among, rows, stored, text_chunks
+from couponlens.llm.common import RunHash, distinct, mix64, perhaps_among, rows, stored, text_chunks, trimmed
 from couponlens.llm.groups import K, PAD, SLOTS, how_common, similar_components, sketch, sketches
 
 #: Sets of so many shingles and the sets similar to them are in their sketches as a whole.
@@ -92,7 +92,7 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
                 at += len(texts)
 
     marked = whole.withColumn("mark", F.xxhash64("text"))
-    measured = stored(marked.mapInArrow(measure, "doc long, n_shingles long, node long, sig binary, mark long"), "sketches")
+    measured = stored(marked.mapInArrow(trimmed(measure), "doc long, n_shingles long, node long, sig binary, mark long"), "sketches")
     nodes = measured.where("node is not null")
     firsts = nodes.groupBy("node").agg(F.min("doc").alias("first"))
     signatures = nodes.select("node", F.col("n_shingles").alias("size"), "sig").dropDuplicates(["node"])
@@ -123,7 +123,7 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
 
     def bodies(wanted: DataFrame) -> DataFrame:
         of = stored(wanted.join(firsts, "node").select("node", F.col("first").alias("doc")), "wanted")
-        return perhaps_among(whole, "doc", of).join(of, "doc").select("node", "text").mapInArrow(full, "node long, body binary").dropDuplicates(["node"])
+        return perhaps_among(whole, "doc", of).join(of, "doc").select("node", "text").mapInArrow(trimmed(full), "node long, body binary").dropDuplicates(["node"])
 
     parts = similar_components(index, bodies)
     ids = firsts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
