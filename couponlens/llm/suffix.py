@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import RunHash, mix64, rows, stored
+from couponlens.llm.common import RunHash, drop_stored, mix64, rows, stored, stored_tables, trimmed
 
 _CHUNK = 500_000  # bytes that a task scans at once
 _GATHERED = 500_000  # bytes of the anchors that share a suffix array
@@ -372,7 +372,7 @@ def remove_repeats(docs: DataFrame, size: int = 100, key: str = "doc_id", text:
     whole = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("rest")).withColumn("mark", F.xxhash64("text"))
-    found = whole.select("doc", "text", "mark").mapInArrow(_scan(size, k), "h1 long, h2 long, doc long, mark long, loc long")
+    found = whole.select("doc", "text", "mark").mapInArrow(trimmed(_scan(size, k)), "h1 long, h2 long, doc long, mark long, loc long")
     is_range = F.col("loc").bitwiseAND(255) == 0
     by_piece = Window.partitionBy("h1", "h2").orderBy("doc", "mark", "loc")
     by_anchor = Window.partitionBy("h1")
@@ -393,21 +393,25 @@ def remove_repeats(docs: DataFrame, size: int = 100, key: str = "doc_id", text:
 
     def cut(state: int) -> DataFrame:
         wanted = judged.where(F.col("state") == state).groupBy("doc", "mark").agg(F.collect_list(F.struct("h1", "loc")).alias("found"))
-        return whole.join(wanted, ["doc", "mark"]).select("doc", "text", "mark", "found").mapInArrow(_cut_out(size), "h1 long, doc long, mark long, loc long, body binary")
+        return whole.join(wanted, ["doc", "mark"]).select("doc", "text", "mark", "found").mapInArrow(trimmed(_cut_out(size)), "h1 long, doc long, mark long, loc long, body binary")
     dealt = cut(3).repartition("h1").sortWithinPartitions("h1", "doc", "mark", "loc")
-    more = dealt.mapInArrow(_shards(size, shard_bytes), "doc long, mark long, start long, end long")
+    # stored, as are those of large anchors, so that texts and pieces are not kept in shuffle files at the same time
+    more = stored(dealt.mapInArrow(trimmed(_shards(size, shard_bytes)), "doc long, mark long, start long, end long"), "covered")
     ranges = ranges.unionAll(more)
     if judged.where("state = 4").limit(1).count():
+        begin = stored_tables()
         pieces = stored(cut(4).select("doc", "mark", "loc", "body"), "large")
-        windows = pieces.mapInArrow(_windows(size), "window long, doc long, mark long, start long")
+        windows = pieces.mapInArrow(trimmed(_windows(size)), "window long, doc long, mark long, start long")
         own = F.struct("doc", "mark", "start")
         firsts = windows.groupBy("window").agg(F.min(own).alias("first"), F.max(own).alias("last")).where("first < last")
         again = windows.join(firsts.drop("last"), "window").where(own != F.col("first"))
-        ranges = ranges.unionAll(again.select("doc", "mark", "start", (F.col("start") + size).alias("end")))
+        again = stored(again.select("doc", "mark", "start", (F.col("start") + size).alias("end")), "again")
+        drop_stored(whole.sparkSession, since=begin, keep=1)
+        ranges = ranges.unionAll(again)
     spans = ranges.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     joined = whole.join(spans, ["doc", "mark"], "left").select("doc", "text", "found", "rest")
     rest = joined.schema["rest"].dataType.simpleString()
-    out = joined.mapInArrow(_remove(as_text), f"doc_id long, rest {rest}, n_bytes long, kept binary, spans array<struct<start:long,end:long>>" + ", kept_text string" * as_text)
+    out = joined.mapInArrow(trimmed(_remove(as_text)), f"doc_id long, rest {rest}, n_bytes long, kept binary, spans array<struct<start:long,end:long>>" + ", kept_text string" * as_text)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
 
 

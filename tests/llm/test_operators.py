@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import sys
+import tracemalloc
 import zlib
 from collections import defaultdict
 from pathlib import Path
@@ -20,8 +21,8 @@ import brute  # noqa: E402
 import oracle  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from couponlens.llm import bpe, egojoin, groups, imatch, langid, lines, minhash, packing, queries, suffix, tokenfile, toxicity  # noqa: E402
-from couponlens.llm.common import perhaps_among  # noqa: E402
+from couponlens.llm import bpe, common, egojoin, groups, imatch, langid, lines, minhash, packing, queries, suffix, tokenfile, toxicity  # noqa: E402
+from couponlens.llm.common import perhaps_among, stored_tables  # noqa: E402
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, doc string, node long, rest string"
@@ -281,6 +282,32 @@ def test_quantiles_of_all_rows(spark):
         assert got.keys() == values.keys() and all(np.isclose(got[k], np.quantile(v, q), rtol=1e-12, atol=0) for k, v in values.items())
 
 
+def test_comparison_of_a_family_stays_small():
+    """A full pair of blocks takes some 100 MB at once."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 4000, 200).astype(np.uint64)) for _ in range(2560)]
+    part, left = np.arange(2560), np.ones(2560, bool)
+    packed, most = groups.stored_marks([x.tobytes() for x in sets])
+    tracemalloc.start()
+    try:
+        i, _ = groups.links_between(part, left, sets)
+        met = groups._meeting(part, left, packed, most)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert not len(i) and len(met) <= 2560 and peak < 120e6
+
+
+def test_suffix_stages_leave_no_texts_behind(spark):
+    """Ranges of each kind are stored on their own, so the texts' shuffle files go; pieces of large anchors do not stay."""
+    passage = "".join(random.Random(3).choices("abcdefgh", k=150))
+    docs = table(spark, [(i, f"{i} {passage} {i * 7}") for i in range(40)] + [(99, "none")])
+    begin = stored_tables()
+    got = suffix.remove_repeats(docs, size=100, shard_bytes=100)
+    names = [x.rsplit("/", 1)[1].split("-")[1] for x in common._STORED[begin:]]
+    assert names == ["pieces", "covered", "again"] and got.where("size(spans) > 0").count() == 39
+
+
 def test_toxicity(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
