@@ -32,13 +32,15 @@ def semi_target_policy(
 
 
 def coupon_summary(coupons: DataFrame, policies: DataFrame, ids: Sequence[int] | None = ()) -> DataFrame:
-    """One row per reservation: number of coupons, policy id, and whether a target policy is among them (None: all are).
+    """One row per reservation: number of coupons, policy id, and whether a target policy is among them.
+    With ``ids`` None all policies are targets, and coupons or policies that repeat count once.
 
     Only numbers are aggregated, which keeps the aggregation hash based; names are joined to the result.
     """
-    known = coupons.join(policies.select(F.col("id").alias("policy_id")), "policy_id")
+    known = coupons.join(policies.select(F.col("id").alias("policy_id")), "policy_id", "left_semi" if ids is None else "inner")
+    several = F.when(F.min("policy_id") < F.max("policy_id"), 2).otherwise(1)
     return known.groupBy(F.col("reservation_id").alias("id")).agg(
-        F.count(F.lit(1)).alias("n_coupons"),
+        (several if ids is None else F.count(F.lit(1))).alias("n_coupons"),
         F.max("policy_id").alias("pid"),
         F.max(F.col("policy_id").isin(*ids) if ids else F.lit(ids is None)).alias("is_target"),
     )

@@ -324,6 +324,8 @@ def test_creation_days_count_reservations_of_all_policies(spark, tmp_path):
     for name, lines in given.items():
         spark.createDataFrame(lines, SCHEMAS[name]).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    # coupons that repeat, by repeated orders, count once
+    spark.createDataFrame(given["orders"][:3], SCHEMAS["orders"]).coalesce(1).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
     got = sorted(map(tuple, entry.queries()["creation_day_counts"](spark, str(tmp_path)).collect()))
     assert got == [(2, 2), (3, 2), (4, 2), (5, 1)]  # local days are a day later
     assert got == sorted(con.execute(entry.oracle_sql()["creation_day_counts"]).fetchall())
