@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,9 +96,8 @@ def rows(**columns) -> pa.RecordBatch:
 def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterator[tuple[pa.Array, list[str]]]:
     """Keys and texts of the rows (key, text), in chunks of about ``limit`` characters."""
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for a, b in chunks([len(x) for x in texts], limit):
-            yield batch.column(0).slice(a, b - a), texts[a:b]
+        for a, b in chunks(pc.utf8_length(batch.column(1)).to_pylist(), limit):
+            yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a).to_pylist()
 
 
 def trim() -> None:

@@ -13,12 +13,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import RunHash, rows, text_chunks, trim
+from couponlens.llm.common import RunHash, rows, text_chunks, trim, trimmed
 from couponlens.llm.langid import letter_table
 
 SAMPLE = 12_000  # labelled documents that everything is fitted on
@@ -176,7 +178,7 @@ def train(labelled: DataFrame):
     """Lexicon keys, weights, scale and shift, learned from rows (id, text, toxic); None without labels of both kinds."""
     ids = labelled.select("id").orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
     sample = labelled.join(F.broadcast(ids.distinct()), "id", "left_semi")  # SAMPLE ids at most
-    counts = sample.select("toxic", "text").mapInArrow(_count_entries, "entry string, clean long, toxic long")
+    counts = sample.select("toxic", "text").mapInArrow(trimmed(_count_entries), "entry string, clean long, toxic long")
     counts = counts.groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where("toxic >= 4 and toxic > 3 * clean")
     strength = F.log((F.col("toxic") + 0.1) / (F.col("clean") + 0.5))
     top = counts.orderBy(F.desc(F.col("toxic") * strength), "entry").limit(LEXICON).toPandas()
@@ -188,7 +190,7 @@ def train(labelled: DataFrame):
             ends = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * x.shape[1], pa.int32())
             yield rows(toxic=toxic, x=pa.ListArray.from_arrays(ends, pa.array(x.ravel())))
 
-    table = sample.select("toxic", "text").mapInArrow(measure, "toxic int, x array<double>").limit(2 * SAMPLE).toArrow()
+    table = sample.select("toxic", "text").mapInArrow(trimmed(measure), "toxic int, x array<double>").limit(2 * SAMPLE).toArrow()
     if not table.num_rows:
         return None
     y = table.column(0).to_numpy().astype(np.float64)
@@ -220,22 +222,19 @@ def score(docs: DataFrame, labels: DataFrame, learn, key: str = "doc_id", text:
     ids = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * SAMPLE)  # some labels belong to no document
     fitted = train(given.join(F.broadcast(ids), "doc_id").select(F.col("doc_id").alias("id"), "text", "toxic"))
 
-    def run(batches):
-        for whole in batches:
-            at, parts = 0, text_chunks([whole], _CHUNK)
-            for keys, texts in parts:
-                rest = {"rest": whole.column(2).slice(at, len(texts))} if carry else {}
-                at += len(texts)
-                yield rows(doc_id=keys, **judged(texts), **rest)
+    @F.arrow_udf("double")
+    def judged(given: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in given:
+            p = [np.zeros(0)]
+            for _, some in text_chunks([rows(key=texts, text=texts)], _CHUNK):
+                if fitted is None:
+                    p.append(np.zeros(len(some)))
+                else:
+                    entries, w, (scale, shift) = fitted
+                    p.append(1 / (1 + np.exp(-np.clip(scale * (inputs(features(some, entries)) @ w) + shift, -30, 30))))
+            yield pa.array(np.concatenate(p))
         trim()
 
-    def judged(texts):
-        if fitted is None:
-            p = np.zeros(len(texts))
-        else:
-            entries, w, (scale, shift) = fitted
-            p = 1 / (1 + np.exp(-np.clip(scale * (inputs(features(texts, entries)) @ w) + shift, -30, 30)))
-        return {"score": p, "predicted": (p >= 0.5).astype(np.int32)}
-
-    schema = "doc_id long, score double, predicted int" + (f", rest {given.schema['rest'].dataType.simpleString()}" if carry else "")
-    return given.mapInArrow(run, schema)
+    # only the texts go to Python; each is judged once, also where rows are picked by what comes out
+    found = given.withColumn("score", judged.asNondeterministic()("text"))
+    return found.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *[F.col("rest")] * carry)

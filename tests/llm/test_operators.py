@@ -369,3 +369,12 @@ def test_perhaps_among_keeps_all_wanted(spark):
     found = perhaps_among(table, "doc", wanted)
     assert found.columns == ["doc", "t"] and found.join(wanted, "doc").count() == wanted.count()
     assert found.count() < 1.1 * wanted.count() and perhaps_among(table, "doc", wanted.limit(0)).count() == 0
+
+
+def test_toxicity_sends_only_texts_to_python(spark):
+    docs = table(spark, [(k, ("vile zorblat " if k % 2 else "fine day ") * 3 + str(k)) for k in range(40)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    found = toxicity.score(docs, labels, learn=F.lit(True), carry=True).where("predicted = 1").select("rest.*")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+    assert {r.doc_id for r in found.collect()} == set(range(1, 40, 2)) and found.columns == docs.columns
