@@ -9,7 +9,7 @@ full sets; no more than spanning links leave a task. Within a pair, 48 bits of a
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,6 +29,8 @@ MARKS = 1024  # bits that stand for a set before its members are made
 _REST, _MAIN = 512, 2048  # members of a family's smaller parts, and of its largest part, that a task compares
 _SLICE = 1024  # values that a comparison holds as a matrix at once
 _ROWS = 256  # members that are compared with all others at once
+_DEALT = 12  # leading bits of a value that name its bucket
+_HELD = 1 << 20  # pairs of value and node that a task holds before it deals or lists them
 
 
 def sketch(values: np.ndarray) -> bytes:
@@ -102,6 +104,68 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return np.concatenate(out)
 
 
+def dealt(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Pairs (value, node), both of 64 bits, as rows (bucket, held) that hold many pairs of one bucket each, so that the
+    shuffle moves few rows."""
+
+    def rows_of(held):
+        value, node = (np.concatenate([x[k] for x in held]).view(np.int64) for k in (0, 1))
+        bucket = (value.view(np.uint64) >> np.uint64(64 - _DEALT)).astype(np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        n = np.bincount(bucket, minlength=1 << _DEALT)
+        some = np.nonzero(n)[0].astype(np.int32)
+        ends = np.concatenate([[0], 16 * np.cumsum(n[some])]).astype(np.int32)
+        body = pa.py_buffer(np.stack([value[order], node[order]], axis=1))
+        return rows(bucket=some, held=pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(ends), body]))
+
+    held, n = [], 0
+    for value, node in pairs:
+        held.append((value, node))
+        n += len(value)
+        if n >= _HELD:
+            yield rows_of(held)
+            held, n = [], 0
+    if n:
+        yield rows_of(held)
+
+
+def _listed(batches):
+    """Task over rows (bucket, held) ordered by bucket: rows (value, node, centre, larger) of the lists of two nodes and more."""
+    held, n = [], 0
+    for batch in (x.slice(k, 256) for x in batches for k in range(0, x.num_rows, 256)):
+        bucket, raw = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+        if n >= _HELD and (new := bucket != held[-1][0]).any():
+            at = int(new.argmax())  # all buckets before this row are whole
+            yield _lists([*(x for _, x in held), *raw[:at]])
+            held, n, bucket, raw = [], 0, bucket[at:], raw[at:]
+        held += zip(bucket.tolist(), raw)
+        n += sum(map(len, raw)) // 16
+    if held:
+        yield _lists([x for _, x in held])
+
+
+def _lists(raw: list[bytes]) -> pa.RecordBatch:
+    value, node = np.frombuffer(b"".join(raw), np.int64).reshape(-1, 2).T
+    # one plain sort by the leading bits of each value, with its place in the others, finds those that may come twice
+    bits = np.uint64(len(value).bit_length())
+    keys = (value.view(np.uint64) >> bits << bits) | np.arange(len(value), dtype=np.uint64)
+    keys.sort()
+    same = keys[1:] >> bits == keys[:-1] >> bits
+    keys = keys[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+    order = (keys & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    order = order[np.lexsort((node[order], value[order]))]
+    value, node = value[order], node[order]
+    new = np.ones(len(value), bool)  # a node that comes twice counts once
+    new[1:] = (value[1:] != value[:-1]) | (node[1:] != node[:-1])
+    value, node = value[new], node[new]
+    begins = np.nonzero(np.concatenate([[True], value[1:] != value[:-1]])[: len(value)])[0]
+    size = np.diff([*begins, len(value)])
+    each = np.repeat(size, size)
+    centre = np.repeat(node[begins + size - 1], size)
+    listed = each > 1
+    return rows(value=value[listed], node=node[listed], centre=centre[listed], larger=each[listed] > 2)
+
+
 Sets = Callable[[list[bytes]], list[np.ndarray]]
 #: Bodies to the packed bits of each one's members (MARKS / 8 bytes), and a bound on the number of its members.
 Marks = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
@@ -131,23 +195,33 @@ def stored_marks(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros((0, MARKS // 8), np.uint8), *parts]), sizes
 
 
-def exact_links(pairs: DataFrame, bodies: DataFrame, sets_of: Sets, marks_of: Marks) -> DataFrame:
-    """The pairs (a, b) whose full sets have a Jaccard similarity of 0.8 or more. Sets are made for the pairs that their
+def exact_links(pairs: DataFrame, bodies: DataFrame, signs: DataFrame, sets_of: Sets) -> DataFrame:
+    """The pairs (a, b) whose full sets have a Jaccard similarity of 0.8 or more. Bodies are brought to the pairs that their
     marks allow."""
-    a, b = (bodies.select(F.col("node").alias(k), F.col("body").alias(f"s{k}")) for k in "ab")
+
+    def allowed(batches):
+        for batch in batches:
+            packed = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (2, 3)]
+            differ = np.bitwise_count(packed[0] ^ packed[1]).sum(axis=1, dtype=np.int64)
+            yield batch.select([0, 1]).filter(pa.array(may_be_similar(differ, batch.column(4).to_numpy())))
 
     def exact(batches):
         for batch in (x.slice(i, 1000) for x in batches for i in range(0, x.num_rows, 1000)):
-            (x, most_x), (y, most_y) = marks_of(batch.column(2).to_pylist()), marks_of(batch.column(3).to_pylist())
-            batch = batch.filter(pa.array(may_be_similar(np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64), most_x + most_y)))
-            if not batch.num_rows:
-                continue
-            x, y = sets_of(batch.column(2).to_pylist()), sets_of(batch.column(3).to_pylist())
+            body = dict(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())) | dict(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()))
+            sets = dict(zip(body, sets_of([*body.values()])))  # a node comes in several pairs
+            x, y = ([sets[node] for node in batch.column(k).to_pylist()] for k in (0, 1))
             shared = shared_counts(x, y)
             ok = 100 * shared >= 80 * (np.array([len(s) + len(t) for s, t in zip(x, y)]) - shared)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok))
+            yield batch.select([0, 1]).filter(pa.array(ok))
 
-    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(trimmed(exact), "a long, b long")
+    def sides(table: DataFrame, *columns: str) -> list[DataFrame]:
+        return [table.select(F.col("node").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in columns]) for k in "ab"]
+
+    a, b = sides(signs, "marks", "most")
+    pairs = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "marks_a", "marks_b", (F.col("most_a") + F.col("most_b")).alias("most"))
+    pairs = pairs.mapInArrow(trimmed(allowed), "a long, b long")
+    a, b = sides(bodies, "body")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "body_a", "body_b").mapInArrow(trimmed(exact), "a long, b long")
 
 
 def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -304,29 +378,32 @@ def _likely(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:
 def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], sets_of: Sets = stored_sets, marks_of: Marks = stored_marks, estimate: bool = True) -> DataFrame:
     """Components (node, component) over all pairs of nodes that share a list and whose sets are similar to 0.8 or more.
 
-    ``index`` has rows (value, node) and may have (weight, need): the member of the greatest weight, or the greatest one, is
-    a list's centre, and a node that has fewer than ``need`` lists with others has no similar one. ``bodies_of`` takes a
-    table of nodes and returns (node, body), ``sets_of`` makes sorted 64-bit hashes of bodies and ``marks_of`` their marks. With ``estimate``, the
-    sketches of the unions sort out pairs before the full sets meet. Nodes without a link are not in the result.
+    ``index`` has rows (bucket, held) as `dealt` makes them of values and nodes, or (value, node, weight, need): the greatest
+    member, or the one of the greatest weight, is a list's centre, and a node that has fewer than ``need`` lists with others
+    has no similar one. ``bodies_of`` takes a table of nodes and returns (node, body), ``sets_of`` makes sorted 64-bit hashes
+    of bodies and ``marks_of`` their marks. With ``estimate``, the sketches of the unions sort out pairs before the full sets
+    meet. Nodes without a link are not in the result.
     """
-    within = Window.partitionBy("value")
-    ends = {"low": F.min("node").over(within), "high": F.max("node").over(within)}
-    if "need" in index.columns:
+    if "held" in index.columns:
+        lists = index.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(_listed), "value long, node long, centre long, larger boolean")
+        lists = stored(lists.select("value", "node", F.lit(1).alias("need"), "centre", "larger"), "lists")
+    else:
+        within = Window.partitionBy("value")
+        ends = {"low": F.min("node").over(within), "high": F.max("node").over(within)}
         found = stored(index.withColumns(ends).where("low != high").drop("low", "high"), "found")
         enough = found.groupBy("node").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("node")
         lists = found.join(enough, "node", "left_semi").withColumns({**ends, "centre": F.max(F.struct("weight", "node")).over(within)["node"]})
-    else:
-        lists = index.withColumns(ends).withColumns({"centre": F.col("high"), "need": F.lit(1)})
-    # the link to the centre settles a list of two
-    larger = F.max((F.col("node") != F.col("low")) & (F.col("node") != F.col("high"))).over(within)
-    lists = lists.where("low != high").withColumn("larger", larger)
-    lists = stored(lists.select("value", "node", "need", "centre", "larger"), "lists")
+        # the link to the centre settles a list of two
+        larger = F.max((F.col("node") != F.col("low")) & (F.col("node") != F.col("high"))).over(within)
+        lists = lists.where("low != high").withColumn("larger", larger)
+        lists = stored(lists.select("value", "node", "need", "centre", "larger"), "lists")
     bodies = stored(bodies_of(lists.select("node").distinct()), "bodies")
 
     likely = lists.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     if estimate:
         likely = _likely(likely, bodies, sets_of)
-    links = stored(exact_links(likely, bodies, sets_of, marks_of), "verified")
+    signs = stored(_signs(bodies, marks_of), "signs")
+    links = stored(exact_links(likely, bodies, signs, sets_of), "verified")
     parts = stored(components(links), "parts")
 
     linked = links.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.lit(True).alias("ok"))
@@ -347,7 +424,7 @@ def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFr
     numbered = numbered.withColumn("top", F.max("block").over(of)).withColumn("bottom", F.min("block").over(of))
     others = F.when(F.col("rest"), F.sequence("bottom", "top")).otherwise(F.sequence(F.lit(0), "top"))
     place = ["centre", "i", "j"]
-    dealt = numbered.withColumn("other", F.explode(others)).join(_signs(bodies, marks_of), "node")
+    dealt = numbered.withColumn("other", F.explode(others)).join(signs, "node")
     dealt = dealt.select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "part", "marks", "most")
     dealt = dealt.repartition(*place).sortWithinPartitions(*place)
     # only members that may be similar to another one bring their bodies

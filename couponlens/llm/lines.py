@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from couponlens.llm.common import RunHash, chunks, mix64, rows, stored, text_chunks, trimmed
-from couponlens.llm.groups import MARKS, distinct_parts, marks, similar_components
+from couponlens.llm.common import RunHash, chunks, mix64, perhaps_among, rows, stored, text_chunks, trimmed
+from couponlens.llm.groups import MARKS, dealt, distinct_parts, marks, similar_components
 
 SHINGLE = 5  # characters
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** 6) ** 27 = 0.9997, one of 0.15 with 0.0003.
 BANDS, ROWS = 27, 6
 _FACTORS = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_BLOCK = 1 << 15  # shingles
+_BLOCK = 1 << 16  # shingles
 _NO_ID = -(1 << 63)
 _END = 10
 
@@ -101,14 +103,18 @@ def _bands(lines: list[str], node: np.ndarray) -> np.ndarray:
     minima = np.empty((BANDS * ROWS, len(lines)), np.uint32)
     minima[:] = node.view(np.uint64) >> np.uint64(32)
     for a, b in chunks(sizes.tolist(), _BLOCK):
-        if len(whole := a + np.nonzero(sizes[a:b] >= SHINGLE)[0]):
-            hashes = _quick_hashes(codes[begins[a] : begins[b]])
+        part = codes[begins[a] : begins[b]]
+        at, n = _inside(part, begins[a : b + 1])
+        if len(at):
+            whole = np.nonzero(n)[0]
+            hashes = _quick_hashes(part)[at]
             scrambled = np.empty_like(hashes)
-            # every other range is a line's
-            ranges = (np.stack([begins[whole], begins[whole] + sizes[whole] - SHINGLE + 1], axis=1) - begins[a]).ravel()
+            least = np.empty((BANDS * ROWS, len(whole)), np.uint32)
+            first = (np.cumsum(n) - n)[whole]
             for k, factor in enumerate(_FACTORS):
                 np.multiply(hashes, factor, out=scrambled)
-                minima[k, whole] = np.minimum.reduceat(scrambled, ranges)[::2]
+                np.minimum.reduceat(scrambled, first, out=least[k])
+            minima[:, a + whole] = least
     keys = np.empty((len(lines), BANDS), np.uint64)
     for band in range(BANDS):
         key = np.full(len(lines), band + 1, np.uint64)
@@ -127,8 +133,9 @@ def _lines(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     return [s for x in split for _, s in x], np.repeat(np.arange(len(texts)), n), np.array([k for x in split for k, _ in x], np.int64)
 
 
-def _banded(batches):
-    seen = np.zeros(0, np.int64)  # the lines of this partition
+def _own_lines(batches) -> Iterator[tuple[list[str], np.ndarray]]:
+    """The distinct lines of a partition, and their identities."""
+    seen = np.zeros(0, np.int64)
     for _, texts in text_chunks(batches):
         lines = list(dict.fromkeys(_lines(texts)[0]))
         node = _nodes(lines)
@@ -136,7 +143,16 @@ def _banded(batches):
         if new.any():
             lines, node = [x for x, ok in zip(lines, new.tolist()) if ok], node[new]
             seen = np.concatenate([seen, node])
-            yield rows(value=_bands(lines, node).view(np.int64).ravel(), node=np.repeat(node, BANDS))
+            yield lines, node
+
+
+def _banded(batches):
+    return dealt((_bands(lines, node).ravel(), np.repeat(node, BANDS)) for lines, node in _own_lines(batches))
+
+
+def _bodies(batches):
+    for lines, node in _own_lines(batches):
+        yield rows(node=node, body=pa.array([x.encode() for x in lines], pa.binary()))
 
 
 def _placed(batches):
@@ -163,32 +179,20 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("rest")).withColumn("mark", F.xxhash64("text"))
     plain = whole.select("doc", "text", "mark")
-    placed = stored(plain.mapInArrow(trimmed(_placed), "node long, doc long, mark long, line long").distinct(), "lines")
-    firsts = placed.groupBy("node").agg(F.min(F.struct("doc", "mark", "line")).alias("first"))
-    index = plain.mapInArrow(trimmed(_banded), "value long, node long")
-
-    def cut(batches):
-        for batch in (x.slice(i, 500) for x in batches for i in range(0, x.num_rows, 500)):
-            node, body = [], []
-            for t, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                lines = t.split("\n")
-                for w in wanted:
-                    if w["line"] < len(lines):
-                        node.append(w["node"])
-                        body.append(lines[w["line"]].strip())
-            same = np.nonzero(_nodes(body) == np.array(node, np.int64))[0].tolist()
-            yield rows(node=pa.array([node[i] for i in same], pa.int64()), body=pa.array([body[i].encode() for i in same], pa.binary()))
+    placed = stored(plain.mapInArrow(trimmed(_placed), "node long, doc long, mark long, line long"), "lines")
+    index = plain.select("doc", "text").mapInArrow(trimmed(_banded), "bucket int, held binary")
 
     def bodies(wanted: DataFrame) -> DataFrame:
-        of = wanted.join(firsts, "node").groupBy(F.col("first.doc").alias("doc"), F.col("first.mark").alias("mark")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "node")).alias("wanted"))
-        return plain.join(of, ["doc", "mark"]).select("text", "wanted").mapInArrow(trimmed(cut), "node long, body binary").dropDuplicates(["node"])
+        wanted = stored(wanted, "wanted")
+        every = plain.select("doc", "text").mapInArrow(trimmed(_bodies), "node long, body binary")
+        return perhaps_among(every, "node", wanted).join(wanted, "node").dropDuplicates(["node"])
 
     parts = similar_components(index, bodies, line_sets, line_marks, estimate=False)
-    groups = firsts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    kept = groups.groupBy("component").agg(F.min("first").alias("kept"))
-    kept = groups.join(kept, "component").select("node", "kept")
-    dropped = placed.join(kept, "node").where(F.struct("doc", "mark", "line") != F.col("kept"))
-    dropped = dropped.groupBy("doc", "mark").agg(F.collect_list("line").alias("lines"))
+    place = F.struct("doc", "mark", "line")
+    groups = placed.join(parts, "node", "left").select(F.coalesce("component", "node").alias("component"), "doc", "mark", "line")
+    kept = groups.groupBy("component").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    dropped = groups.join(kept, "component").where(place != F.col("kept"))
+    dropped = dropped.groupBy("doc", "mark").agg(F.collect_set("line").alias("lines"))  # rows that repeat are one document
 
     def remove(batches):
         for batch in batches:

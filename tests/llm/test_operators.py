@@ -11,6 +11,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -371,6 +372,31 @@ def test_perhaps_among_keeps_all_wanted(spark):
     assert found.count() < 1.1 * wanted.count() and perhaps_among(table, "doc", wanted.limit(0)).count() == 0
 
 
+def test_dealt_pairs_give_the_lists(monkeypatch):
+    rng = np.random.default_rng(4)
+    value = np.concatenate([rng.integers(0, 1 << 64, 3000, np.uint64), np.repeat(rng.integers(0, 1 << 64, 200, np.uint64), 5), [np.uint64(7)] * 400])
+    value = np.concatenate([value, value[:500] ^ np.uint64(1)])  # values that differ in their last bit alone
+    node = rng.integers(-60, 60, len(value))
+    want = {}
+    for v, n in zip(value.view(np.int64).tolist(), node.tolist()):
+        want.setdefault(v, set()).add(n)
+    want = {(v, n, max(s), len(s) > 2) for v, s in want.items() if len(s) > 1 for n in s}
+    for held in (50, 1 << 20):
+        monkeypatch.setattr(groups, "_HELD", held)
+        packed = [r for b in groups.dealt((value[i : i + 700], node[i : i + 700]) for i in range(0, len(value), 700)) for r in b.to_pylist()]
+        assert sum(len(r["held"]) for r in packed) == 16 * len(value)
+        packed.sort(key=lambda r: r["bucket"])
+        got = [tuple(r.values()) for b in groups._listed([pa.RecordBatch.from_pylist(packed)]) for r in b.to_pylist()]
+        assert set(got) == want and len(got) == len(want)
+    assert not list(groups.dealt(iter([]))) and not list(groups._listed(iter([])))
+
+
+def test_band_keys_leave_a_task_in_few_rows():
+    texts = ["\n".join(f"line {i} {k} of many words" for k in range(100)) for i in range(300)]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(300)), "text": texts})
+    assert sum(b.num_rows for b in lines._banded([batch])) <= 1 << groups._DEALT < 300 * 100 * lines.BANDS
+
+
 def test_toxicity_sends_only_texts_to_python(spark):
     docs = table(spark, [(k, ("vile zorblat " if k % 2 else "fine day ") * 3 + str(k)) for k in range(40)])
     labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
