@@ -184,12 +184,8 @@ def may_be_similar(differ: np.ndarray, most: np.ndarray) -> np.ndarray:
     return 9 * differ <= most
 
 
-def stored_sets(bodies: list[bytes]) -> list[np.ndarray]:
-    """Bodies that are the sorted hashes themselves."""
-    return [np.frombuffer(x, np.uint64) for x in bodies]
-
-
 def stored_marks(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of bodies that are the sorted hashes themselves, and their sizes."""
     sizes = np.array([len(x) // 8 for x in bodies], np.int64)
     parts = [marks(np.frombuffer(b"".join(bodies[a:b]), np.uint64) >> np.uint64(16), sizes[a:b]) for a, b in chunks((8 * sizes + MARKS).tolist())]
     return np.concatenate([np.zeros((0, MARKS // 8), np.uint8), *parts]), sizes
@@ -344,25 +340,23 @@ def _spanning_links(sets_of: Sets):
     return work
 
 
-def _signs(bodies: DataFrame, marks_of: Marks) -> DataFrame:
-    """Marks of all bodies: node, marks, most."""
+def _signs(bodies: DataFrame, sets_of: Sets, marks_of: Marks | None) -> DataFrame:
+    """Marks of all bodies: node, marks, most. Without ``marks_of`` they are those of the sets, whose sketches (sig) come too."""
 
     def run(batches):
         for batch in (x.slice(k, 1000) for x in batches for k in range(0, x.num_rows, 1000)):
-            packed, most = marks_of(batch.column(1).to_pylist())
-            yield rows(node=batch.column(0), marks=pa.array([x.tobytes() for x in packed], pa.binary()), most=pa.array(most, pa.int64()))
+            own = batch.column(1).to_pylist()
+            sets = None if marks_of else sets_of(own)
+            packed, most = marks_of(own) if marks_of else stored_marks([s.tobytes() for s in sets])
+            more = {} if marks_of else {"sig": pa.array([sketch(s) for s in sets], pa.binary())}
+            yield rows(node=batch.column(0), marks=pa.array([x.tobytes() for x in packed], pa.binary()), most=pa.array(most, pa.int64()), **more)
 
-    return bodies.select("node", "body").mapInArrow(trimmed(run), "node long, marks binary, most long")
+    return bodies.select("node", "body").mapInArrow(trimmed(run), "node long, marks binary, most long" + ("" if marks_of else ", sig binary"))
 
 
-def _likely(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:
+def _likely(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     """The pairs whose sizes and sketches allow a similarity of 0.8."""
 
-    def with_sketch(batches):
-        for batch in batches:
-            sets = sets_of(batch.column(1).to_pylist())
-            yield rows(node=batch.column(0), size=pa.array([len(s) for s in sets], pa.int64()), sig=pa.array([sketch(s) for s in sets], pa.binary()))
-
     def judge(batches):
         for batch in batches:
             a, b, na, nb = (batch.column(c).to_numpy() for c in range(4))
@@ -370,19 +364,18 @@ def _likely(pairs: DataFrame, bodies: DataFrame, sets_of: Sets) -> DataFrame:
             ok &= 100 * np.minimum(na, nb) >= 80 * np.maximum(na, nb)
             yield rows(a=a[ok], b=b[ok])
 
-    signatures = bodies.select("node", "body").mapInArrow(with_sketch, "node long, size long, sig binary")
-    left, right = (signatures.select(F.col("node").alias(k), F.col("size").alias(f"n{k}"), F.col("sig").alias(f"s{k}")) for k in "ab")
+    left, right = (signs.select(F.col("node").alias(k), F.col("most").alias(f"n{k}"), F.col("sig").alias(f"s{k}")) for k in "ab")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(judge, "a long, b long")
 
 
-def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], sets_of: Sets = stored_sets, marks_of: Marks = stored_marks, estimate: bool = True) -> DataFrame:
+def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFrame], sets_of: Sets, marks_of: Marks | None = None) -> DataFrame:
     """Components (node, component) over all pairs of nodes that share a list and whose sets are similar to 0.8 or more.
 
     ``index`` has rows (bucket, held) as `dealt` makes them of values and nodes, or (value, node, weight, need): the greatest
     member, or the one of the greatest weight, is a list's centre, and a node that has fewer than ``need`` lists with others
     has no similar one. ``bodies_of`` takes a table of nodes and returns (node, body), ``sets_of`` makes sorted 64-bit hashes
-    of bodies and ``marks_of`` their marks. With ``estimate``, the sketches of the unions sort out pairs before the full sets
-    meet. Nodes without a link are not in the result.
+    of bodies and ``marks_of`` their marks; without it, these are made of the sets, and the sketches of the unions sort out
+    pairs before the full sets meet. Nodes without a link are not in the result.
     """
     if "held" in index.columns:
         lists = index.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(_listed), "value long, node long, centre long, larger boolean")
@@ -400,9 +393,9 @@ def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFr
     bodies = stored(bodies_of(lists.select("node").distinct()), "bodies")
 
     likely = lists.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    if estimate:
-        likely = _likely(likely, bodies, sets_of)
-    signs = stored(_signs(bodies, marks_of), "signs")
+    signs = stored(_signs(bodies, sets_of, marks_of), "signs")
+    if not marks_of:
+        likely = _likely(likely, signs)
     links = stored(exact_links(likely, bodies, signs, sets_of), "verified")
     parts = stored(components(links), "parts")
 
@@ -424,7 +417,7 @@ def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFr
     numbered = numbered.withColumn("top", F.max("block").over(of)).withColumn("bottom", F.min("block").over(of))
     others = F.when(F.col("rest"), F.sequence("bottom", "top")).otherwise(F.sequence(F.lit(0), "top"))
     place = ["centre", "i", "j"]
-    dealt = numbered.withColumn("other", F.explode(others)).join(signs, "node")
+    dealt = numbered.withColumn("other", F.explode(others)).join(signs.select("node", "marks", "most"), "node")
     dealt = dealt.select("centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "part", "marks", "most")
     dealt = dealt.repartition(*place).sortWithinPartitions(*place)
     # only members that may be similar to another one bring their bodies

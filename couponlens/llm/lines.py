@@ -187,7 +187,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         every = plain.select("doc", "text").mapInArrow(trimmed(_bodies), "node long, body binary")
         return perhaps_among(every, "node", wanted).join(wanted, "node").dropDuplicates(["node"])
 
-    parts = similar_components(index, bodies, line_sets, line_marks, estimate=False)
+    parts = similar_components(index, bodies, line_sets, line_marks)
     place = F.struct("doc", "mark", "line")
     groups = placed.join(parts, "node", "left").select(F.coalesce("component", "node").alias("component"), "doc", "mark", "line")
     kept = groups.groupBy("component").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")

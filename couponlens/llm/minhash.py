@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import RunHash, distinct, mix64, perhaps_among, rows, stored, text_chunks, trimmed
+from couponlens.llm.common import RunHash, chunks, distinct, mix64, perhaps_among, rows, stored, text_chunks, trimmed
 from couponlens.llm.groups import K, PAD, SLOTS, how_common, similar_components, sketch, sketches
 
 #: Sets of so many shingles and the sets similar to them are in their sketches as a whole.
@@ -64,6 +64,21 @@ def shingle_sets(texts: list[str], words: int, tool: RunHash) -> list[np.ndarray
     return out
 
 
+def packed(text: str) -> bytes:
+    """A text as a body: its length in UTF-8, then the compressed bytes, less than a third of its shingles' hashes."""
+    raw = text.encode()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def packed_sets(bodies: list[bytes], words: int) -> list[np.ndarray]:
+    """The shingle sets of packed texts."""
+    out, tool, codec = [], RunHash(), pa.Codec("zstd")
+    sizes = [int.from_bytes(x[:8], "little") for x in bodies]
+    for a, b in chunks(sizes, _CHUNK):
+        out += shingle_sets([codec.decompress(x[8:], n, asbytes=True).decode() for x, n in zip(bodies[a:b], sizes[a:b])], words, tool)
+    return out
+
+
 def _node(shingles: np.ndarray) -> int | None:
     """Identity of a set; equal sets are one node."""
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True) if len(shingles) else None
@@ -117,15 +132,17 @@ def near_components(docs: DataFrame, words: int = 5, key: str = "doc_id", text:
     def full(batches):
         tool = RunHash()
         for keys, texts in text_chunks(batches, _CHUNK):
-            sets = shingle_sets(texts, words, tool)
-            same = [i for i, (s, n) in enumerate(zip(sets, keys.to_pylist())) if _node(s) == n]
-            yield rows(node=keys.take(pa.array(same, pa.int64())), body=pa.array([sets[i].tobytes() for i in same], pa.binary()))
+            nodes = [_node(s) for s in shingle_sets(texts, words, tool)]
+            yield rows(node=pa.array(nodes, pa.int64()), first=keys, body=pa.array([packed(x) for x in texts], pa.binary()))
 
     def bodies(wanted: DataFrame) -> DataFrame:
-        of = stored(wanted.join(firsts, "node").select("node", F.col("first").alias("doc")), "wanted")
-        return perhaps_among(whole, "doc", of).join(of, "doc").select("node", "text").mapInArrow(trimmed(full), "node long, body binary").dropDuplicates(["node"])
+        of = stored(wanted.join(firsts, "node"), "wanted")
+        # one shuffle of texts serves the rows that repeat and the join
+        every = perhaps_among(whole, "doc", of.select(F.col("first").alias("doc"))).select("doc", "text")
+        every = every.mapInArrow(trimmed(full), "node long, first long, body binary").dropDuplicates(["node", "first"])
+        return every.join(of, ["node", "first"]).select("node", "body")
 
-    parts = similar_components(index, bodies)
+    parts = similar_components(index, bodies, lambda own: packed_sets(own, words))
     ids = firsts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = ids.groupBy("component").agg(F.min("first").alias("component_id"))
     ids = ids.join(least, "component").select("node", "component_id")

@@ -404,3 +404,16 @@ def test_toxicity_sends_only_texts_to_python(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
     assert {r.doc_id for r in found.collect()} == set(range(1, 40, 2)) and found.columns == docs.columns
+
+
+def test_bodies_of_documents_are_smaller_than_their_hashes(spark):
+    rnd = random.Random(3)
+    texts = ["", "Ünï çödé", "a\x00b\nc", " ".join(rnd.choice(["The", "market", "of", "Größe", "x"]) + str(rnd.randrange(40)) for _ in range(500))]
+    packed = [minhash.packed(t) for t in texts]
+    whole = minhash.shingle_sets(texts, 2, common.RunHash())
+    assert [s.tolist() for s in minhash.packed_sets(packed, 2)] == [s.tolist() for s in whole]
+    assert len(packed[-1]) < whole[-1].nbytes / 2
+    base = [f"w{i}" for i in range(40)]
+    docs = [(1, " ".join(base)), (1, "  ".join(base).upper()), (1, " ".join([*base, "z"])), (1, "else"), (2, " ".join([*base, "y"])), (2, " ".join([*base, "y"])), (None, " ".join(["v", *base]))]
+    got = minhash.near_components(table(spark, docs), 2).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in got) == [(0, 40, None), (1, 1, 1), (1, 39, None), (1, 39, None), (1, 40, None), (2, 40, None), (2, 40, None)]
