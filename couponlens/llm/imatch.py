@@ -27,6 +27,7 @@ _NO_ID = -(1 << 63)
 def terms(text: Column) -> Column:
     """Distinct runs of characters other than ASCII white space; A-Z count as a-z."""
     low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    low = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(low)  # the same for ASCII alone, and faster
     return F.array_remove(F.array_distinct(F.split(low, "[\\x20\\x09-\\x0D]+")), "")
 
 
@@ -42,28 +43,42 @@ def _bucket(term: Column) -> Column:
 
 
 def _lookup(words: DataFrame) -> Column:
-    """The lexicon as one constant array of buckets; its size is bounded as the lexicon's is."""
-    buckets: list[list[str]] = [[] for _ in range(_BUCKETS)]
-    for row in words.select(_bucket(F.col("term")).alias("b"), "term").orderBy("term").toLocalIterator():
-        buckets[row.b].append(row.term)
-    return F.from_json(F.lit(json.dumps(buckets)), "array<array<string>>")
+    """The lexicon as one constant; its size is bounded as the lexicon's is. ``words`` has the terms in their order,
+    ``terms`` those of each bucket and ``codes`` theirs: the place in ``words`` before a bit for each subset."""
+    md5 = F.md5("term")
+    bits = [F.when(F.substring(md5, 2 * k + 1, 2) < f"{b:02x}", 1 << k).otherwise(0) for k, b in enumerate(BOUNDS)]
+    lookup = {"words": [], "terms": [[] for _ in range(_BUCKETS)], "codes": [[] for _ in range(_BUCKETS)]}
+    for row in words.select(_bucket(F.col("term")).alias("b"), "term", sum(bits, F.lit(0)).alias("bits")).orderBy("term").toLocalIterator():
+        lookup["terms"][row.b].append(row.term)
+        lookup["codes"][row.b].append(len(lookup["words"]) << len(BOUNDS) | row.bits)
+        lookup["words"].append(row.term)
+    return F.from_json(F.lit(json.dumps(lookup)), "words array<string>, terms array<array<string>>, codes array<array<bigint>>")
 
 
 def fingerprint(text: Column, lookup: Column) -> Column:
     """Fingerprint of a text as an array of hashes; a text without any lexicon term has one hash of its whole text."""
-    inside = F.filter(terms(text), lambda t: F.array_contains(F.get(lookup, _bucket(t)), t))
-    marked = F.transform(F.array_sort(inside), lambda t: F.struct(t.alias("t"), F.md5(t).alias("m")))
-    bounds = [F.struct(F.lit(2 * k + 1).alias("at"), F.lit(f"{b:02x}").alias("below")) for k, b in enumerate(BOUNDS)]
 
-    def hashed(found: Column) -> Column:
-        def one(b: Column) -> Column:
-            own = F.filter(found, lambda x: F.substr(x["m"], b["at"], F.lit(2)) < b["below"])
-            joined = F.array_join(F.transform(own, lambda x: x["t"]), " ")
+    def code(term: Column) -> Column:
+        place = F.array_position(F.get(lookup["terms"], _bucket(term)), term)
+        return F.get(F.get(lookup["codes"], _bucket(term)), (place - 1).cast("int"))
+
+    inside = F.filter(terms(text), lambda t: F.array_contains(F.get(lookup["terms"], _bucket(t)), t))
+    codes = F.sort_array(F.transform(inside, code))  # numbers in the order of their terms
+    bits = F.array(*[F.lit(1 << k).cast("long") for k in range(len(BOUNDS))])
+
+    def subsets(found: Column) -> Column:
+        def one(bit: Column) -> Column:
+            own = F.filter(found, lambda c: c.bitwiseAND(bit) != 0)
+            joined = F.array_join(F.transform(own, lambda c: F.get(lookup["words"], F.shiftright(c, len(BOUNDS)).cast("int"))), " ")
             return F.when(F.size(own) > 0, F.substring(F.md5(joined), 1, 8)).otherwise(F.lit(EMPTY))
 
-        return F.when(F.size(found) > 0, F.transform(F.array(*bounds), one)).otherwise(F.array(F.concat(F.lit("text:"), F.md5(text))))
+        return F.transform(bits, one)
+
+    def hashed(found: Column) -> Column:
+        chosen = F.filter(found, lambda c: c.bitwiseAND(F.lit((1 << len(BOUNDS)) - 1).cast("long")) != 0)
+        return F.when(F.size(found) > 0, F.transform(F.array(chosen), subsets)[0]).otherwise(F.array(F.concat(F.lit("text:"), F.md5(text))))
 
-    return F.transform(F.array(marked), hashed)[0]
+    return F.transform(F.array(codes), hashed)[0]
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -417,3 +417,27 @@ def test_bodies_of_documents_are_smaller_than_their_hashes(spark):
     docs = [(1, " ".join(base)), (1, "  ".join(base).upper()), (1, " ".join([*base, "z"])), (1, "else"), (2, " ".join([*base, "y"])), (2, " ".join([*base, "y"])), (None, " ".join(["v", *base]))]
     got = minhash.near_components(table(spark, docs), 2).collect()
     assert sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in got) == [(0, 40, None), (1, 1, 1), (1, 39, None), (1, 39, None), (1, 40, None), (2, 40, None), (2, 40, None)]
+
+
+def test_fingerprints_from_codes_of_terms(spark):
+    rnd = random.Random(8)
+    words = ["Über", "über", "ÜBER", "Zeta", "zeta", "ß", "😀", "￮", *(f"W{i}" for i in range(60))]
+    docs = [(k, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 12)))) for k in range(60)]
+    low = {k: {"".join(c.lower() if c.isascii() else c for c in w) for w in t.split(" ")} for k, t in docs}
+    df = defaultdict(int)
+    for own in low.values():
+        for w in own:
+            df[w] += 1
+    known = {w for w, n in df.items() if imatch.LOW * 60 <= n <= imatch.HIGH * 60}
+    want = {}
+    for k, t in docs:
+        found = sorted(low[k] & known, key=str.encode)
+        subsets = [[w for w in found if hashlib.md5(w.encode()).digest()[i] < b] for i, b in enumerate(imatch.BOUNDS)]
+        want[k] = [hashlib.md5(" ".join(own).encode()).hexdigest()[:8] if own else imatch.EMPTY for own in subsets] if found else ["text:" + hashlib.md5(t.encode()).hexdigest()]
+    frame = table(spark, docs)
+    assert {r.doc_id: r.fingerprint for r in imatch.fingerprints(frame).collect()} == want
+    lookup = spark.range(1).select(imatch._lookup(imatch.lexicon(frame)).alias("l")).first().l
+    assert set(lookup.words) == known and lookup.words == sorted(known, key=str.encode)
+    for terms, codes in zip(lookup.terms, lookup.codes):
+        assert [lookup.words[c >> 16] for c in codes] == terms
+        assert [c & 0xFFFF for c in codes] == [sum(1 << i for i, b in enumerate(imatch.BOUNDS) if hashlib.md5(w.encode()).digest()[i] < b) for w in terms]
