@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes.util
+import functools
 import gc
 import os
 import uuid
@@ -100,10 +101,17 @@ def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK) -> Iterat
             yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a).to_pylist()
 
 
+@functools.cache
+def _settle() -> None:
+    """What a worker holds after its first task, above all its modules, need not be gone through after each later one."""
+    gc.freeze()
+
+
 def trim() -> None:
     """Hands the memory that a Python worker has freed back to the system. Workers outlive their tasks, so what one stage
     leaves behind would otherwise count against the next."""
     gc.collect()
+    _settle()
     pa.default_memory_pool().release_unused()
     name = ctypes.util.find_library("c")
     if name and hasattr(library := ctypes.CDLL(name), "malloc_trim"):
@@ -190,6 +198,26 @@ def perhaps_among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return marked.where(F.getbit(byte, place.bitwiseAND(F.lit(7))) == 1).select(*df.columns)
 
 
+_BITS = 1 << 25
+
+
+def bits_of(wanted: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of the lowest bits of the hashes in the column ``key``, of 4 MB whatever their number, for `among_bits`."""
+    slot = F.col(key).bitwiseAND(F.lit(_BITS - 1)) + 1
+    held = wanted.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    out = np.zeros((_BITS >> 15, 1 << 12), np.uint8)
+    for bucket, bits in held.collect():
+        out[bucket - 1] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
+def among_bits(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether hashes can be among those of the bitmap; those that are not wanted may be, too."""
+    slot = keys & (_BITS - 1)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 != 0
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components by alternating large-star and small-star steps: columns ``node`` and ``component`` (the
     smallest node reachable), one row for every node that has an edge to another node.

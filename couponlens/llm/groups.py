@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from couponlens.llm.common import chunks, components, distinct, rows, stored, trimmed
+from couponlens.llm.common import chunks, components, rows, stored, trimmed
 
 K = 48
 #: Shared values that the union's bottom-k has at least where the similarity is 0.8: fewer than 20 of 48 have a
@@ -82,14 +82,16 @@ def _numbered(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def distinct_parts(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     """The sorted distinct hashes of consecutive parts, of which the upper 48 bits count."""
-    out = []
-    begins = np.concatenate([[0], np.cumsum(sizes)])
-    for a in range(0, len(sizes), 1 << 16):
-        b = min(a + (1 << 16), len(sizes))
-        keys = distinct(_numbered(hashes[begins[a] : begins[b]], sizes[a:b]))
-        ends = np.searchsorted(keys, np.arange(1, b - a, dtype=np.uint64) << np.uint64(48))
-        out += np.split(keys << np.uint64(16), ends)
-    return out
+    keys = hashes & ~np.uint64(0xFFFF)
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    for a, b in zip(begins.tolist(), ends.tolist()):
+        keys[a:b].sort()
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    new[begins[sizes > 0]] = True
+    keys, ends = keys[new], np.concatenate([[0], np.cumsum(new)])[ends].tolist()
+    return [keys[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -98,7 +100,7 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     for a, b in chunks([len(x) + len(y) + 64 for x, y in zip(left, right)]):  # at most 31,250 pairs
         pairs = left[a:b], right[a:b]
         keys = np.concatenate([_numbered(np.concatenate(side), np.array([len(x) for x in side])) for side in pairs])
-        keys.sort()
+        keys.sort(kind="stable")  # merges the two sorted sides
         both = keys[1:][keys[1:] == keys[:-1]]
         out.append(np.bincount((both >> np.uint64(48)).astype(np.int64), minlength=len(pairs[0])))
     return np.concatenate(out)
@@ -217,7 +219,8 @@ def exact_links(pairs: DataFrame, bodies: DataFrame, signs: DataFrame, sets_of:
     pairs = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "marks_a", "marks_b", (F.col("most_a") + F.col("most_b")).alias("most"))
     pairs = pairs.mapInArrow(trimmed(allowed), "a long, b long")
     a, b = sides(bodies, "body")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "body_a", "body_b").mapInArrow(trimmed(exact), "a long, b long")
+    # by centre at last, so that a centre's set is made once for many pairs
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "body_a", "body_b").mapInArrow(trimmed(exact), "a long, b long")
 
 
 def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -426,4 +429,14 @@ def similar_components(index: DataFrame, bodies_of: Callable[[DataFrame], DataFr
     more = stored(met.mapInArrow(_whole_blocks(_spanning_links(sets_of)), "a long, b long"), "more")
     if more.isEmpty():
         return parts
-    return components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
+    return _merged(parts, more)
+
+
+def _merged(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """Components (node, component) that further links (a, b) make of those there are; the links between them are few."""
+    ends = [parts.select(F.col("node").alias(k), F.col("component").alias(f"of_{k}")) for k in "ab"]
+    between = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    new = stored(components(between), "merged")
+    alone = new.join(parts, "node", "left_anti").select("node", F.col("node").alias("component"))
+    new = new.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    return parts.unionAll(alone).join(new, "component", "left").select("node", F.coalesce("least", "component").alias("component"))

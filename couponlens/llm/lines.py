@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,14 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from couponlens.llm.common import RunHash, chunks, mix64, perhaps_among, rows, stored, text_chunks, trimmed
+from couponlens.llm.common import RunHash, among_bits, bits_of, chunks, distinct, mix64, rows, stored, text_chunks, trimmed
 from couponlens.llm.groups import MARKS, dealt, distinct_parts, marks, similar_components
 
 SHINGLE = 5  # characters
 #: A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8 ** 6) ** 27 = 0.9997, one of 0.15 with 0.0003.
 BANDS, ROWS = 27, 6
-_FACTORS = (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_BLOCK = 1 << 16  # shingles
+#: The minima are taken after each of these multiplications, one upon the other.
+_STEPS = {bits: (mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) >> np.uint64(64 - bits)).astype(f"u{bits // 8}") | 1 for bits in (16, 32)}
+#: Minima of 16 bits tell sets of up to _NARROW apart, and those of 32 bits tell sets of more than _WIDE; similar sets
+#: are both of one kind, since _WIDE is less than 0.8 of _NARROW.
+_NARROW, _WIDE = 5120, 4000
+_BLOCK = 1 << 17  # characters
 _NO_ID = -(1 << 63)
 _END = 10
 
@@ -34,9 +38,11 @@ def _nodes(lines: list[str]) -> np.ndarray:
 
 
 def _inside(codes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``codes`` at which a shingle of a line begins, and how many each line has."""
-    stops = np.concatenate([[0], np.cumsum(codes == _END, dtype=np.int64)])
-    return np.nonzero(stops[SHINGLE:] == stops[:-SHINGLE])[0], np.maximum(np.diff(begins) - SHINGLE, 0)
+    """At which places of ``codes``, but the last, a shingle of a line begins, and how many each line has."""
+    inside = np.ones(len(codes), bool)
+    for k in range(1, SHINGLE + 1):
+        inside[np.maximum(begins[1:] - begins[0] - k, 0)] = False
+    return inside[: 1 - SHINGLE], np.maximum(np.diff(begins) - SHINGLE, 0)
 
 
 def _with_short(lines: list[str], hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +78,7 @@ def line_marks(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         lines = [x.decode() for x in bodies[a:b]]
         codes, begins = _codes(lines)
         at, sizes = _inside(codes, begins)
-        hashes = _quick_hashes(codes)[at] if len(at) else np.zeros(0, np.uint32)
+        hashes = _quick_hashes(codes)[at] if sizes.any() else np.zeros(0, np.uint32)
         hashes, sizes = _with_short(lines, hashes, sizes)
         packed.append(marks(hashes, sizes))
         most.append(sizes)
@@ -95,29 +101,36 @@ def _quick_hashes(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bands(lines: list[str], node: np.ndarray) -> np.ndarray:
-    """Band keys of each line, from the minima of its shingles under BANDS * ROWS multiplications; a line that is shorter
-    than a shingle has its own. Lines are taken in blocks that stay in a processor's cache."""
+def _bands(lines: list[str], node: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Band keys and the line of each; none for a line that is shorter than a shingle, as it only equals itself."""
+    length = np.fromiter(map(len, lines), np.int64, len(lines))
+    narrow, wide = length >= SHINGLE, length >= _WIDE + SHINGLE
+    for k in np.nonzero(wide)[0].tolist():
+        n = len(distinct(_quick_hashes(_codes([lines[k]])[0][:-1])))
+        narrow[k], wide[k] = n <= _NARROW, n > _WIDE
+    for bits, some in ((16, narrow), (32, wide)):
+        if some.any():
+            own = lines if some.all() else [x for x, ok in zip(lines, some.tolist()) if ok]
+            yield _band_keys(own, bits).ravel(), np.repeat(node[some], BANDS)
+
+
+def _band_keys(lines: list[str], bits: int) -> np.ndarray:
+    """BANDS keys of each line, from the minima of its shingles under BANDS * ROWS multiplications. Lines are taken in blocks
+    that stay in a processor's cache."""
     codes, begins = _codes(lines)
-    sizes = np.diff(begins) - 1
-    minima = np.empty((BANDS * ROWS, len(lines)), np.uint32)
-    minima[:] = node.view(np.uint64) >> np.uint64(32)
-    for a, b in chunks(sizes.tolist(), _BLOCK):
+    minima = np.empty((BANDS * ROWS, len(lines)), f"u{bits // 8}")
+    for a, b in chunks(np.diff(begins).tolist(), _BLOCK):
         part = codes[begins[a] : begins[b]]
         at, n = _inside(part, begins[a : b + 1])
-        if len(at):
-            whole = np.nonzero(n)[0]
-            hashes = _quick_hashes(part)[at]
-            scrambled = np.empty_like(hashes)
-            least = np.empty((BANDS * ROWS, len(whole)), np.uint32)
-            first = (np.cumsum(n) - n)[whole]
-            for k, factor in enumerate(_FACTORS):
-                np.multiply(hashes, factor, out=scrambled)
-                np.minimum.reduceat(scrambled, first, out=least[k])
-            minima[:, a + whole] = least
+        hashes = (_quick_hashes(part)[at] >> np.uint32(32 - bits)).astype(minima.dtype)
+        np.maximum(hashes, 1, out=hashes)  # zero would stay the least
+        first = np.cumsum(n) - n
+        for step, least in zip(_STEPS[bits], minima):
+            np.multiply(hashes, step, out=hashes)
+            np.minimum.reduceat(hashes, first, out=least[a:b])
     keys = np.empty((len(lines), BANDS), np.uint64)
     for band in range(BANDS):
-        key = np.full(len(lines), band + 1, np.uint64)
+        key = np.full(len(lines), BANDS * bits + band, np.uint64)
         for r in range(ROWS):
             key *= np.uint64(RunHash.BASE)
             key += minima[band * ROWS + r]
@@ -147,22 +160,32 @@ def _own_lines(batches) -> Iterator[tuple[list[str], np.ndarray]]:
 
 
 def _banded(batches):
-    return dealt((_bands(lines, node).ravel(), np.repeat(node, BANDS)) for lines, node in _own_lines(batches))
-
+    return dealt(pair for lines, node in _own_lines(batches) for pair in _bands(lines, node))
 
-def _bodies(batches):
-    for lines, node in _own_lines(batches):
-        yield rows(node=node, body=pa.array([x.encode() for x in lines], pa.binary()))
 
+def _placed(wanted: Callable[[], np.ndarray]):
+    """Task over rows (doc, text, mark): a row for each line, with its body where it can be wanted, once in a partition.
+    ``wanted`` gives the bits of `bits_of`."""
 
-def _placed(batches):
-    for batch in batches:
-        at = 0
-        for keys, texts in text_chunks([batch]):
-            lines, of, place = _lines(texts)
-            if lines:
-                yield rows(node=_nodes(lines), doc=keys.take(pa.array(of)), mark=batch.column(2).slice(at, len(texts)).take(pa.array(of)), line=place)
-            at += len(texts)
+    def run(batches):
+        seen = np.zeros(0, np.int64)
+        for batch in batches:
+            at = 0
+            for keys, texts in text_chunks([batch]):
+                lines, of, place = _lines(texts)
+                if lines:
+                    node, body = _nodes(lines), np.full(len(lines), None, object)
+                    few = np.nonzero(among_bits(node, wanted()))[0]
+                    few = few[np.unique(node[few], return_index=True)[1]]
+                    few = few[~np.isin(node[few], seen)]
+                    seen = np.concatenate([seen, node[few]])
+                    for k in few.tolist():
+                        body[k] = lines[k].encode()
+                    mark = batch.column(2).slice(at, len(texts))
+                    yield rows(node=node, doc=keys.take(pa.array(of)), mark=mark.take(pa.array(of)), line=place, body=pa.array(body, pa.binary()))
+                at += len(texts)
+
+    return run
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -179,18 +202,24 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("rest")).withColumn("mark", F.xxhash64("text"))
     plain = whole.select("doc", "text", "mark")
-    placed = stored(plain.mapInArrow(trimmed(_placed), "node long, doc long, mark long, line long"), "lines")
     index = plain.select("doc", "text").mapInArrow(trimmed(_banded), "bucket int, held binary")
 
+    placed = plain  # until the wanted lines are known, whose bodies come in the same pass
+
     def bodies(wanted: DataFrame) -> DataFrame:
+        nonlocal placed
         wanted = stored(wanted, "wanted")
-        every = plain.select("doc", "text").mapInArrow(trimmed(_bodies), "node long, body binary")
-        return perhaps_among(every, "node", wanted).join(wanted, "node").dropDuplicates(["node"])
+        bits = wanted.sparkSession.sparkContext.broadcast(bits_of(wanted, "node"))
+        every = plain.mapInArrow(trimmed(_placed(lambda: bits.value)), "node long, doc long, mark long, line long, body binary")
+        placed = stored(every, "lines")
+        return placed.select("node", "body").where("body is not null").join(wanted, "node").dropDuplicates(["node"])
 
     parts = similar_components(index, bodies, line_sets, line_marks)
     place = F.struct("doc", "mark", "line")
-    groups = placed.join(parts, "node", "left").select(F.coalesce("component", "node").alias("component"), "doc", "mark", "line")
-    kept = groups.groupBy("component").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    twice = placed.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    several = twice.join(parts, "node", "full_outer").select("node", F.coalesce("component", "node").alias("component"))
+    groups = stored(placed.select("node", "doc", "mark", "line").join(several, "node").drop("node"), "groups")
+    kept = groups.groupBy("component").agg(F.min(place).alias("kept"))
     dropped = groups.join(kept, "component").where(place != F.col("kept"))
     dropped = dropped.groupBy("doc", "mark").agg(F.collect_set("line").alias("lines"))  # rows that repeat are one document
 
@@ -199,7 +228,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             out, n_lines, n_removed = [], [], []
             for t, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 gone, split = set(lines or ()), t.split("\n")
-                real = [bool(x.strip()) for x in split]
+                real = [x != "" and not x.isspace() for x in split]
                 out.append("\n".join([x for k, x in enumerate(split) if k not in gone]) if gone else t)
                 n_lines.append(sum(real))
                 n_removed.append(sum(k < len(real) and real[k] for k in gone))

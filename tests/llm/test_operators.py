@@ -397,6 +397,48 @@ def test_band_keys_leave_a_task_in_few_rows():
     assert sum(b.num_rows for b in lines._banded([batch])) <= 1 << groups._DEALT < 300 * 100 * lines.BANDS
 
 
+def test_similar_lines_of_any_length_share_a_band_key():
+    rnd = random.Random(8)
+    long = "".join(rnd.choice("abcdefghijklmnop") for _ in range(6500))
+    base = [long[:n] for n in (5, 6, 40, 350, 3990, 4004, 4005, 4200, 5000, 5124, 5125, 5300, 6500)] + ["abcdefgh" * 2, "abcdefgh" * 2000]
+    texts = base + [x + "z" for x in base if len(x) > 5] + [x[: len(x) - len(x) // 8] for x in base] + ["", "a", "abcd", "wxyz"]
+    texts = list(dict.fromkeys(texts))
+    node = np.arange(len(texts))
+    held = defaultdict(set)
+    for value, at in lines._bands(texts, node):
+        assert len(value) == len(at)
+        for v, k in zip(value.tolist(), at.tolist()):
+            held[k].add(v)
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in texts]
+    for i, s in enumerate(sets):
+        # lines shorter than a shingle have no key, and both kinds of minima are kept where either may be needed
+        assert len(held[i]) == lines.BANDS * ((0 < len(s) <= 5120) + (len(s) > 4000))
+        assert all(held[i] & held[j] for j, t in enumerate(sets) if s and 100 * len(s & t) >= 85 * len(s | t))
+    assert sum(len(s & t) > 4000 and s != t and 100 * len(s & t) >= 80 * len(s | t) for s in sets for t in sets) > 20
+
+
+def test_only_wanted_lines_send_their_bodies(spark):
+    texts = [f"some line {k}\n common line \n\n{'é' * (k % 3)}" for k in range(60)]
+    wanted = ["common line", "some line 7", "é", "not there"]
+    bits = common.bits_of(spark.createDataFrame([(int(k),) for k in lines._nodes(wanted)], "node long"), "node")
+    assert bits.nbytes == 1 << 22 and int(np.bitwise_count(bits).sum()) == len(wanted) and not common.among_bits(np.arange(9), 0 * bits).any()
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(60)), "text": texts, "mark": list(range(100, 160))})
+    got = [r for b in lines._placed(lambda: bits)([batch, batch]) for r in b.to_pylist()]
+    assert len(got) == 2 * (60 + 60 + 40) and all(r["mark"] == r["doc"] + 100 for r in got)
+    assert sorted(r["body"].decode() for r in got if r["body"] is not None) == ["common line", "some line 7", "é"]
+    assert {r["line"] for r in got if r["node"] == int(lines._nodes(["common line"])[0])} == {1}
+
+
+def test_merged_components_equal_those_of_all_links(spark):
+    rnd = random.Random(9)
+    for some, few in ((80, 12), (80, 0), (0, 9)):
+        links, more = ([(rnd.randrange(-60, 60), rnd.randrange(-60, 90)) for _ in range(n)] for n in (some, few))
+        of = [spark.createDataFrame(x, "a long, b long") for x in (links, more)]
+        want = {tuple(r) for r in common.components(of[0].unionAll(of[1])).collect()}
+        got = [tuple(r) for r in groups._merged(common.components(of[0]), of[1]).collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
 def test_toxicity_sends_only_texts_to_python(spark):
     docs = table(spark, [(k, ("vile zorblat " if k % 2 else "fine day ") * 3 + str(k)) for k in range(40)])
     labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
