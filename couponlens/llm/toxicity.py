@@ -222,19 +222,28 @@ def score(docs: DataFrame, labels: DataFrame, learn, key: str = "doc_id", text:
     ids = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * SAMPLE)  # some labels belong to no document
     fitted = train(given.join(F.broadcast(ids), "doc_id").select(F.col("doc_id").alias("id"), "text", "toxic"))
 
+    def scores(texts: pa.Array) -> pa.Array:
+        p = [np.zeros(0)]
+        for _, some in text_chunks([rows(key=texts, text=texts)], _CHUNK):
+            if fitted is None:
+                p.append(np.zeros(len(some)))
+            else:
+                entries, w, (scale, shift) = fitted
+                p.append(1 / (1 + np.exp(-np.clip(scale * (inputs(features(some, entries)) @ w) + shift, -30, 30))))
+        return pa.array(np.concatenate(p))
+
     @F.arrow_udf("double")
     def judged(given: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in given:
-            p = [np.zeros(0)]
-            for _, some in text_chunks([rows(key=texts, text=texts)], _CHUNK):
-                if fitted is None:
-                    p.append(np.zeros(len(some)))
-                else:
-                    entries, w, (scale, shift) = fitted
-                    p.append(1 / (1 + np.exp(-np.clip(scale * (inputs(features(some, entries)) @ w) + shift, -30, 30))))
-            yield pa.array(np.concatenate(p))
+        yield from map(scores, given)
         trim()
 
-    # only the texts go to Python; each is judged once, also where rows are picked by what comes out
-    found = given.withColumn("score", judged.asNondeterministic()("text"))
+    def scored(batches):
+        for batch in batches:
+            yield rows(doc_id=batch.column(0), score=scores(batch.column(1)))
+
+    if carry:
+        # only the texts go to Python; each is judged once, also where rows are picked by what comes out
+        found = given.withColumn("score", judged.asNondeterministic()("text"))
+    else:
+        found = given.mapInArrow(trimmed(scored), "doc_id long, score double")
     return found.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *[F.col("rest")] * carry)

@@ -448,6 +448,16 @@ def test_toxicity_sends_only_texts_to_python(spark):
     assert {r.doc_id for r in found.collect()} == set(range(1, 40, 2)) and found.columns == docs.columns
 
 
+def test_toxicity_scores_are_the_same_with_carried_rows(spark):
+    docs = table(spark, [(k, ("vile zorblat " if k % 3 else "fine day ") * (k % 4) + str(k)) for k in range(60)] + [(None, None), (3, ""), (3, ""), (7, None)])
+    for toxic in (lambda k: int(k % 3 > 0), lambda k: 1):
+        labels = spark.createDataFrame([(k, toxic(k)) for k in range(60)], "doc_id long, toxic int")
+        plain, carried = (toxicity.score(docs, labels, learn=F.lit(True), carry=c) for c in (False, True))
+        assert "Python" not in plain._jdf.queryExecution().executedPlan().toString()
+        got, want = (sorted(((r.doc_id is None, r.doc_id, r.score, r.predicted) for r in x.collect()), key=str) for x in (plain, carried))
+        assert got == want and len(got) == 64
+
+
 def test_bodies_of_documents_are_smaller_than_their_hashes(spark):
     rnd = random.Random(3)
     texts = ["", "Ünï çödé", "a\x00b\nc", " ".join(rnd.choice(["The", "market", "of", "Größe", "x"]) + str(rnd.randrange(40)) for _ in range(500))]
